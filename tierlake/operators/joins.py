@@ -1,0 +1,29 @@
+"""Join helpers.
+
+Broadcasting is only ever requested for a side whose row count has been
+proven to be under a bound.  Everything else is left to the planner: AQE
+measures the materialised shuffle output at run time and converts a
+sort-merge join to a broadcast join only when it really is small, and
+splits skewed partitions (``spark.sql.adaptive.skewJoin.enabled``).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A lookup side with at most this many rows is always safe to ship to every
+# executor (a few MB at most for the narrow tables we use it on).
+BROADCAST_MAX_ROWS = 100_000
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """``broadcast(df)`` if ``df`` provably holds at most ``max_rows`` rows.
+
+    The proof is a ``limit(max_rows + 1).count()``: it stops reading as soon
+    as the bound is exceeded, so it is cheap even when the answer is "no".
+    Beyond the bound the plain DataFrame is returned and the planner picks a
+    shuffle join.
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
