@@ -290,3 +290,70 @@ SELECT city, event_date, avg_price, listing_count,
          AS price_change
 FROM daily""",
 }
+
+_CLEAN_RAW = """SELECT listing_id, event_type, city, locality, price, bedrooms, area_sqft,
+       agent_id, "timestamp", 'stream' AS source FROM listing"""
+_LANDING = """CASE WHEN "timestamp" < '2024-01-15' THEN 'batch_001' ELSE 'batch_002' END"""
+_KEPT = """SELECT * FROM silver s WHERE NOT EXISTS (
+  SELECT 1 FROM customer c
+  WHERE c.c_custkey % 10 = 0 AND CAST(c.c_custkey AS VARCHAR) = s.agent_id)"""
+
+
+def _ctes(gold: str) -> str:
+    """The leading ``, name AS (...)`` CTE list of a gold query."""
+    return gold[:gold.index("\nSELECT ")]
+
+
+def _final(gold: str) -> str:
+    return gold[gold.index("\nSELECT ") + 1:]
+
+
+def _counts(parts: dict[str, str]) -> str:
+    return "\nUNION ALL\n".join(
+        f"SELECT '{name}' AS table_name, COUNT(*) AS row_count FROM ({sql})"
+        for name, sql in parts.items())
+
+
+ORACLE.update({
+    "bronze_json_stream": _with("SELECT * FROM bronze"),
+    "stream_resume": _with(_CLEAN_RAW),
+    "bronze_csv_stream": _with("""SELECT listing_id, event_type, city, locality,
+       CASE WHEN event_type = 'REMOVED' THEN 0 ELSE price END AS price, bedrooms, area_sqft,
+       agent_id, "timestamp", 'external-provider' AS source FROM listing"""),
+    "bronze_csv_provenance": _with(f"""SELECT {_LANDING} AS landing, COUNT(*) AS row_count
+FROM listing GROUP BY 1"""),
+    "distinct_files": _with(f"SELECT DISTINCT {_LANDING} AS landing FROM listing"),
+    "csv_roundtrip": _with("SELECT * FROM silver"),
+    "sql_path_scan": _with("SELECT * FROM silver"),
+    "overwrite_roundtrip": _with("""SELECT listing_id, event_type, city, locality, price,
+       bedrooms, area_sqft, agent_id, event_timestamp,
+       date_trunc('day', event_timestamp) AS event_date
+FROM silver WHERE event_type <> 'REMOVED'"""),
+    "schema_evolve": _with("""SELECT listing_id, event_type, city, locality, price, bedrooms,
+       area_sqft, agent_id, "timestamp",
+       CASE WHEN "timestamp" < '2024-01-15' THEN NULL ELSE 'stream' END AS source
+FROM listing"""),
+    "compact_table": _with("SELECT * FROM silver"),
+    "cluster_layout": _with("SELECT * FROM silver"),
+    "delete_by_key": _with(_KEPT),
+    "load_history": _with(f"""SELECT CAST(5 AS BIGINT) AS version, 'WRITE' AS operation,
+       (SELECT COUNT(*) FROM silver) AS row_count
+UNION ALL SELECT 4, 'OPTIMIZE', (SELECT COUNT(*) FROM ({_KEPT}))
+UNION ALL SELECT 3, 'OPTIMIZE', (SELECT COUNT(*) FROM ({_KEPT}))
+UNION ALL SELECT 2, 'DELETE', (SELECT COUNT(*) FROM ({_KEPT}))
+UNION ALL SELECT 1, 'WRITE',
+       (SELECT COUNT(*) FROM silver WHERE event_timestamp >= TIMESTAMP '2024-01-15')"""),
+    "table_detail": _with("SELECT 'parquet' AS format, COUNT(*) AS num_rows FROM silver"),
+    "layer_row_counts": _with(_counts({
+        "bronze": "SELECT * FROM bronze", "silver": "SELECT * FROM silver",
+        "avg_price_by_city": GOLD1, "listing_count_by_event": GOLD2,
+        "price_trend_by_locality": GOLD3, "top_active_cities": GOLD4})),
+    "catalog_counts": "WITH " + _LISTING + _AGENTS + _ctes(GOLD6) + _ctes(GOLD7)
+                      + _ctes(GOLD8) + "\n" + _counts({
+        "silver_property_events": "SELECT * FROM silver",
+        "gold_avg_price_by_city": GOLD1, "gold_listing_count_by_event": GOLD2,
+        "gold_price_trend_by_locality": GOLD3, "gold_top_active_cities": GOLD4,
+        "gold_agent_performance": GOLD5, "gold_agent_vs_city_benchmark": _final(GOLD6),
+        "gold_top_agents_by_tier": _final(GOLD7),
+        "gold_agent_city_movement_impact": _final(GOLD8)}),
+})

@@ -65,14 +65,14 @@ def iso_text(ts: Column) -> Column:
 
 
 def listing_events(spark: SparkSession, sf_dir: str, dirty: bool = True,
-                   removed_price: Column | None = None) -> DataFrame:
+                   removed_price: Column | None = None, source: str = "stream") -> DataFrame:
     """Raw (bronze) listing events in the stream schema.
 
     ``dirty`` adds the padding/case dirt and the replayed duplicates the
     clean layer has to undo.  The replay copy is produced by ``explode`` of
     a one- or two-element sequence, so the fact table is scanned once.
     ``removed_price`` is the price REMOVED events carry (NULL on the stream,
-    0 in CSV drops).
+    0 in CSV drops); ``source`` labels the feed.
     """
     ev = read_table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type",
                     "value", "props")
@@ -86,7 +86,7 @@ def listing_events(spark: SparkSession, sf_dir: str, dirty: bool = True,
         removed_price = F.lit(None).cast("long")
     price = F.when(etype == REMOVED, removed_price).otherwise(
         F.round(F.col("value") * 100).cast("long"))
-    source = F.lit("stream")
+    label = F.lit(source)
     if dirty:
         etype = F.when(F.col("event_id") % 3 == 0,
                        F.concat(F.lit("  "), F.lower(etype), F.lit(" "))).otherwise(etype)
@@ -95,7 +95,7 @@ def listing_events(spark: SparkSession, sf_dir: str, dirty: bool = True,
         copy = F.explode(F.sequence(F.lit(0), F.when(F.col("event_id") % 10 == 0, 1)
                                     .otherwise(0)))
         joined = joined.withColumn("_copy", copy)
-        source = F.when(F.col("_copy") == 1, F.lit("replay")).otherwise(F.lit("stream"))
+        label = F.when(F.col("_copy") == 1, F.lit("replay")).otherwise(label)
 
     return joined.select(
         F.col("event_id").cast("string").alias("listing_id"),
@@ -107,7 +107,7 @@ def listing_events(spark: SparkSession, sf_dir: str, dirty: bool = True,
         (F.col("k") * 25 + 500).cast("int").alias("area_sqft"),
         F.col("user_id").cast("string").alias("agent_id"),
         iso_text(F.col("ts")).alias("timestamp"),
-        source.alias("source"),
+        label.alias("source"),
     )
 
 
