@@ -19,41 +19,40 @@ SCD2_COLUMNS = AGENT_COLUMNS + ["effective_start_date", "effective_end_date", "i
                                 "scd_version"]
 
 
-def _one_row_per_key(feed: DataFrame, key: str, extra_keys: Sequence[str] = ()) -> DataFrame:
-    """Collapse the feed to one row per key, failing the job on a duplicate."""
-    keys = [key, *extra_keys]
-    rest = [c for c in feed.columns if c not in keys]
-    grouped = feed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"),
-                                      *[F.first(c).alias(c) for c in rest])
-    guard = F.when(F.col("_n") > 1, F.raise_error(F.concat(
-        F.lit("merge source has more than one row for key "), F.col(key).cast("string"))))
-    # the guard is folded into the key so that column pruning cannot drop it
-    return grouped.select(F.coalesce(guard.cast(feed.schema[key].dataType), F.col(key)).alias(key),
-                          *[F.col(c) for c in extra_keys], *[F.col(c) for c in rest])
-
-
 # ---------------------------------------------------------------- type 1
 
 def scd1_upsert(dim: DataFrame, updates: DataFrame, key: str = "agent_id",
                 set_columns: Sequence[str] = ("tier",)) -> DataFrame:
     """MERGE: matched keys take ``set_columns`` from the update (others kept);
-    unmatched update rows are inserted whole; no history is kept."""
+    unmatched update rows are inserted whole; no history is kept.
+
+    Planned as one aggregate over ``dim UNION ALL updates`` grouped by the
+    key - a single shuffle with map-side combining, instead of a full outer
+    join that shuffles both sides and cannot combine a hot key.
+    """
     cols = dim.columns
-    src = _one_row_per_key(updates.select(*cols), key)
-    d, s = dim.alias("d"), src.alias("s")
-    joined = d.join(s, F.col(f"d.{key}") == F.col(f"s.{key}"), "full_outer")
-    in_dim = F.col(f"d.{key}").isNotNull()
-    out = []
+    tagged = (dim.select(*cols, F.lit(0).alias("_src"))
+              .unionByName(updates.select(*cols, F.lit(1).alias("_src"))))
+    from_dim, from_upd = F.col("_src") == 0, F.col("_src") == 1
+    aggs = [F.count_if(from_dim).alias("_nd"), F.count_if(from_upd).alias("_nu")]
+    for c in cols:
+        if c != key:
+            aggs.append(F.first(F.when(from_dim, F.col(c)), ignorenulls=True).alias(f"_d_{c}"))
+            aggs.append(F.first(F.when(from_upd, F.col(c)), ignorenulls=True).alias(f"_u_{c}"))
+    g = tagged.groupBy(key).agg(*aggs)
+    guard = F.when(F.col("_nu") > 1, F.raise_error(F.concat(
+        F.lit("merge source has more than one row for key "), F.col(key).cast("string"))))
+    out = [F.coalesce(guard.cast(dim.schema[key].dataType), F.col(key)).alias(key)]
     for c in cols:
         if c == key:
-            out.append(F.coalesce(F.col(f"d.{c}"), F.col(f"s.{c}")).alias(c))
-        elif c in set_columns:
-            # matched -> update value; dimension-only -> old; insert -> update
-            out.append(F.when(F.col(f"s.{key}").isNotNull(), F.col(f"s.{c}"))
-                       .otherwise(F.col(f"d.{c}")).alias(c))
+            continue
+        if c in set_columns:
+            out.append(F.when(F.col("_nu") > 0, F.col(f"_u_{c}")).otherwise(F.col(f"_d_{c}"))
+                       .alias(c))
         else:
-            out.append(F.when(in_dim, F.col(f"d.{c}")).otherwise(F.col(f"s.{c}")).alias(c))
-    return joined.select(*out)
+            out.append(F.when(F.col("_nd") > 0, F.col(f"_d_{c}")).otherwise(F.col(f"_u_{c}"))
+                       .alias(c))
+    return g.select(*out).select(*cols)
 
 
 def change_feed(before: DataFrame, after: DataFrame, key: str) -> DataFrame:
@@ -118,58 +117,62 @@ def scd2_apply(history: DataFrame, changes: DataFrame, key: str = "agent_id",
       nothing.
     * Several changes for one key are allowed when ``change_time`` names a
       column giving each row's effective time; otherwise every row takes
-      ``as_of`` and a key may appear only once.
+      ``as_of``.  Two feed rows for one key and time fail the job.
 
-    Only the current versions of keys present in the feed are rewritten;
-    the rest of the history passes through untouched.  The ordering work is
-    a window over (current version + feed rows) of each changed key.
+    Plan: ``history UNION ALL feed`` is hash-partitioned on the key once;
+    every window below is partitioned by the key (plus a flag), which that
+    partitioning already satisfies, so there is exactly one shuffle.  Rows
+    of keys absent from the feed, and closed versions, pass through.
     """
     attrs = [c for c in history.columns if c not in SCD2_COLUMNS[len(AGENT_COLUMNS):]]
-    tracked = list(tracked)
+    meta = ["effective_start_date", "effective_end_date", "is_current", "scd_version"]
     start = (F.col(change_time).cast("timestamp") if change_time is not None
              else (F.lit(as_of).cast("timestamp") if isinstance(as_of, str) else as_of))
-    feed = changes.select(*[F.col(c) for c in attrs], start.alias("effective_start_date"))
-    if change_time is None:
-        feed = _one_row_per_key(feed, key)
-    else:
-        feed = _one_row_per_key(feed, key, ["effective_start_date"])
-    feed = feed.select(*attrs, "effective_start_date")
-
-    touched = feed.select(key).distinct()
-    cur = history.filter(F.col("is_current"))
-    cur_touched = cur.join(touched, key, "left_semi")
-    # history rows that stay exactly as they are
-    keep = history.join(touched, key, "left_anti").unionByName(
-        history.filter(~F.col("is_current")).join(touched, key, "left_semi"))
-
-    seq = (cur_touched.select(*attrs, "effective_start_date", "scd_version",
-                              F.lit(0).alias("_new"))
-           .unionByName(feed.select(*attrs, "effective_start_date",
-                                    F.lit(None).cast("int").alias("scd_version"),
-                                    F.lit(1).alias("_new"))))
+    feed = changes.select(*[F.col(c) for c in attrs], start.alias("effective_start_date"),
+                          F.lit(None).cast("timestamp").alias("effective_end_date"),
+                          F.lit(None).cast("boolean").alias("is_current"),
+                          F.lit(None).cast("int").alias("scd_version"),
+                          F.lit(1).alias("_new"))
+    u = history.select(*attrs, *meta, F.lit(0).alias("_new")).unionByName(feed)
+
     by_key = Window.partitionBy(key)
-    ordered = by_key.orderBy("effective_start_date", "_new")
-    # feed rows not strictly newer than the current version are stale
-    cur_start = F.max(F.when(F.col("_new") == 0, F.col("effective_start_date"))).over(by_key)
-    seq = seq.withColumn("_cur_start", cur_start).filter(
-        (F.col("_new") == 0) | F.col("_cur_start").isNull()
-        | (F.col("effective_start_date") > F.col("_cur_start")))
+    by_time = Window.partitionBy(key, "effective_start_date")
+    is_new = F.col("_new") == 1
+    u = (u.withColumn("_touched", F.max("_new").over(by_key) == 1)
+         .withColumn("_cur_start", F.max(F.when(~is_new & F.col("is_current"),
+                                                F.col("effective_start_date"))).over(by_key))
+         .withColumn("_same_time", F.sum("_new").over(by_time)))
+    guard = F.when(is_new & (F.col("_same_time") > 1), F.raise_error(F.concat(
+        F.lit("change feed has more than one row for key "), F.col(key).cast("string"),
+        F.lit(" at one effective time"))))
+    # the sequence to rebuild: the current version of a touched key plus the
+    # feed rows strictly newer than it; everything else passes through.
+    # The guard sits in the filter (evaluated first for every row) rather
+    # than in the key column, which must stay the partitioning attribute.
+    in_seq = ((~is_new & F.col("is_current") & F.col("_touched"))
+              | (is_new & (F.col("_cur_start").isNull()
+                           | (F.col("effective_start_date") > F.col("_cur_start")))))
+    u = u.withColumn("_seq", in_seq).filter(
+        F.coalesce(guard.cast("boolean"), ~is_new | F.col("_seq")))
+
+    seq = Window.partitionBy(key, "_seq").orderBy("effective_start_date", "_new")
     changed = F.lit(False)
     for c in tracked:
-        changed = changed | ~F.col(c).eqNullSafe(F.lag(c).over(ordered))
-    seq = (seq.withColumn("_changed", changed)
-           .withColumn("_first", F.row_number().over(ordered) == 1)
-           .filter((F.col("_new") == 0) | F.col("_first") | F.col("_changed")))
-    base_version = F.coalesce(F.max("scd_version").over(by_key), F.lit(0))
-    n_new = F.sum("_new").over(ordered.rowsBetween(Window.unboundedPreceding, 0))
-    nxt = F.lead("effective_start_date").over(ordered)
-    rebuilt = seq.select(
-        *attrs, "effective_start_date",
-        nxt.alias("effective_end_date"),
-        nxt.isNull().alias("is_current"),
-        F.when(F.col("_new") == 0, F.col("scd_version"))
-        .otherwise(base_version + n_new).cast("int").alias("scd_version"))
-    return keep.select(*SCD2_COLUMNS).unionByName(rebuilt.select(*SCD2_COLUMNS))
+        changed = changed | ~F.col(c).eqNullSafe(F.lag(c).over(seq))
+    u = (u.withColumn("_keep", ~F.col("_seq") | ~is_new | changed
+                      | (F.row_number().over(seq) == 1))
+         .filter("_keep"))
+    nxt = F.lead("effective_start_date").over(seq)
+    base = F.coalesce(F.max("scd_version").over(Window.partitionBy(key, "_seq")), F.lit(0))
+    n_new = F.sum("_new").over(seq.rowsBetween(Window.unboundedPreceding, 0))
+    rebuilt = {
+        "effective_end_date": F.when(F.col("_seq"), nxt).otherwise(F.col("effective_end_date")),
+        "is_current": F.when(F.col("_seq"), nxt.isNull()).otherwise(F.col("is_current")),
+        "scd_version": F.when(is_new, base + n_new).otherwise(F.col("scd_version"))
+        .cast("int"),
+    }
+    return u.select(*attrs, "effective_start_date",
+                    *[rebuilt[c].alias(c) for c in meta[1:]]).select(*SCD2_COLUMNS)
 
 
 def scd2_current(history: DataFrame) -> DataFrame:

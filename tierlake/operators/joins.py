@@ -17,13 +17,27 @@ from pyspark.sql import functions as F
 BROADCAST_MAX_ROWS = 100_000
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+_PROVEN: dict[tuple, bool] = {}
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
+                      cache_key: tuple | None = None) -> DataFrame:
     """``broadcast(df)`` if ``df`` provably holds at most ``max_rows`` rows.
 
     The proof is a ``limit(max_rows + 1).count()``: it stops reading as soon
     as the bound is exceeded, so it is cheap even when the answer is "no".
     Beyond the bound the plain DataFrame is returned and the planner picks a
     shuffle join.
+
+    With ``cache_key`` (e.g. the input paths of an immutable table) the proof
+    is done once per session and reused.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    full_key = None
+    if cache_key is not None:
+        full_key = (df.sparkSession.sparkContext.applicationId, max_rows, *cache_key)
+    small = _PROVEN.get(full_key) if full_key is not None else None
+    if small is None:
+        small = df.limit(max_rows + 1).count() <= max_rows
+        if full_key is not None:
+            _PROVEN[full_key] = small
+    return F.broadcast(df) if small else df

@@ -120,13 +120,22 @@ class ParquetTable:
             F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("num_rows"))
 
     # ------------------------------------------------------------ writes
+    def stage(self, df: DataFrame, partition_by: Sequence[str] | None = None
+              ) -> tuple[str, int]:
+        """Write a snapshot folder that readers do not see yet."""
+        path = f"{self.root}/snapshot-{uuid.uuid4().hex}"
+        return path, write_observed(df, path, partition_by=partition_by)
+
+    def publish(self, path: str, rows: int, operation: str = "WRITE", **params) -> int:
+        """Make a staged snapshot the current one."""
+        return self._record(operation, {"mode": "Overwrite", **params}, rows, path)
+
     def overwrite(self, df: DataFrame, operation: str = "WRITE",
                   partition_by: Sequence[str] | None = None, **params) -> int:
         """Staged overwrite: new snapshot folder, then recorded as current.
         The new schema replaces the old one (``overwriteSchema``)."""
-        path = f"{self.root}/snapshot-{uuid.uuid4().hex}"
-        rows = write_observed(df, path, partition_by=partition_by)
-        return self._record(operation, {"mode": "Overwrite", **params}, rows, path)
+        path, rows = self.stage(df, partition_by)
+        return self.publish(path, rows, operation, **params)
 
     def append(self, df: DataFrame, operation: str = "WRITE", **params) -> int:
         head = self._head()

@@ -45,12 +45,14 @@ def ts_lit(value: str) -> Column:
 
 
 def geography(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """nation key -> (city, locality): 25 rows at every scale."""
+    """nation key -> (city, locality): 25 rows at every scale, broadcast
+    once its row count is proven small."""
     nation = read_table(spark, sf_dir, "nation", "n_nationkey", "n_name", "n_regionkey")
     region = read_table(spark, sf_dir, "region", "r_regionkey", "r_name")
-    return (nation.join(region, nation.n_regionkey == region.r_regionkey, "left")
-            .select("n_nationkey", F.col("r_name").alias("city"),
-                    F.col("n_name").alias("locality")))
+    geo = (nation.join(region, nation.n_regionkey == region.r_regionkey, "left")
+           .select("n_nationkey", F.col("r_name").alias("city"),
+                   F.col("n_name").alias("locality")))
+    return bounded_broadcast(geo, cache_key=("geography", sf_dir))
 
 
 def _event_type(raw: Column) -> Column:
@@ -77,7 +79,7 @@ def listing_events(spark: SparkSession, sf_dir: str, dirty: bool = True,
     ev = read_table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type",
                     "value", "props")
     ev = ev.withColumn("k", F.get_json_object("props", "$.k").cast("bigint"))
-    geo = bounded_broadcast(geography(spark, sf_dir))
+    geo = geography(spark, sf_dir)
     joined = ev.join(geo, (ev.k % N_NATIONS) == geo.n_nationkey, "left")
 
     etype = _event_type(F.col("event_type"))
@@ -131,7 +133,7 @@ def _customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def agent_master(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Agent dimension (6 columns), one row per customer."""
     cust = _customers(spark, sf_dir)
-    geo = bounded_broadcast(geography(spark, sf_dir))
+    geo = geography(spark, sf_dir)
     return _agent_select(cust, geo, cust.c_nationkey)
 
 
@@ -139,7 +141,7 @@ def scd1_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tier corrections for existing agents plus brand-new agents."""
     cust = _customers(spark, sf_dir).filter(
         (F.col("c_custkey") % 10 == 3) | (F.col("c_custkey") % 300 == 7))
-    geo = bounded_broadcast(geography(spark, sf_dir))
+    geo = geography(spark, sf_dir)
     base = _agent_select(cust, geo, cust.c_nationkey).withColumn("_key", F.col("agent_id").cast("bigint"))
     is_new = F.col("_key") % 300 == 7
     return base.select(
@@ -155,5 +157,5 @@ def scd1_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def scd2_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """City moves: every tenth agent moves to nation (c_nationkey + 7) % 25."""
     cust = _customers(spark, sf_dir).filter(F.col("c_custkey") % 10 == 0)
-    geo = bounded_broadcast(geography(spark, sf_dir))
+    geo = geography(spark, sf_dir)
     return _agent_select(cust, geo, (cust.c_nationkey + 7) % N_NATIONS).select(*AGENT_COLUMNS)
