@@ -1,0 +1,132 @@
+"""Table jobs and streaming ingestion against real files."""
+
+import glob
+import os
+
+import pyarrow.parquet as pq
+from pyspark.sql import functions as F
+
+from tierlake.plans import catalog
+from tierlake.plans.tables import ParquetTable
+from tierlake.schemas import BRONZE_EVENT
+from tierlake.session import scratch_path
+from tierlake.sources import fixtures as fx
+from tierlake.streaming import ingest
+
+from conftest import SF_SMALL
+
+
+def _local(path):
+    return path[len("file:"):] if path.startswith("file:") else path
+
+
+def _files(path):
+    return sorted(glob.glob(os.path.join(_local(path), "*.parquet")))
+
+
+def test_staged_overwrite_reads_itself_and_logs(spark):
+    t = ParquetTable(spark, scratch_path(spark, "t_overwrite"))
+    df = spark.range(100).withColumn("g", F.col("id") % 3)
+    assert t.overwrite(df) == 0
+    v1 = t.overwrite(t.read().filter("g = 0").withColumn("extra", F.lit(1)))   # reads itself
+    assert v1 == 1 and t.read().count() == 34 and "extra" in t.read().columns
+    assert t.append(spark.range(5).withColumn("g", F.lit(0)).withColumn("extra", F.lit(2))) == 2
+    assert t.read().count() == 39
+    h = [(r.version, r.operation, r.row_count) for r in t.history(5).collect()]
+    assert h == [(2, "WRITE", 5), (1, "WRITE", 34), (0, "WRITE", 100)]
+
+
+def test_compaction_keeps_rows_and_reduces_files(spark):
+    t = ParquetTable(spark, scratch_path(spark, "t_compact"))
+    df = spark.range(5000).withColumn("v", F.col("id") * 2)
+    t.overwrite(df.repartition(20))
+    assert len(_files(t.location())) == 20
+    t.compact()
+    assert len(_files(t.location())) == 1
+    assert sorted(r.id for r in t.read().collect()) == list(range(5000))
+    d = t.detail().first()
+    assert (d.num_files, d.num_rows) == (1, 5000) and d.size_in_bytes > 0
+
+
+def test_cluster_layout_gives_narrow_file_ranges(spark):
+    t = ParquetTable(spark, scratch_path(spark, "t_cluster"))
+    df = spark.range(20000).select(((F.col("id") * 7919) % 50).alias("k"), "id")
+    t.overwrite(df.repartition(8))
+    n = t.cluster_by(["k"], target_file_bytes=10_000)
+    assert n == 1
+    files = _files(t.location())
+    assert len(files) > 1
+    ranges = []
+    for f in files:
+        col = pq.read_table(f, columns=["k"]).column("k").to_pylist()
+        assert col == sorted(col)                    # sorted inside the file
+        ranges.append((min(col), max(col)))
+    ranges.sort()
+    overlaps = sum(1 for a, b in zip(ranges, ranges[1:]) if b[0] < a[1])
+    assert overlaps == 0                            # files cover disjoint key ranges
+    assert t.read().count() == 20000
+
+
+def test_delete_by_key(spark):
+    t = ParquetTable(spark, scratch_path(spark, "t_delete"))
+    t.overwrite(spark.range(10).withColumn("k", (F.col("id") % 5).cast("string")))
+    t.delete_keys(spark.createDataFrame([("1",), ("3",), ("3",)], "k string"), "k")
+    assert sorted(r.k for r in t.read().collect()) == ["0", "0", "2", "2", "4", "4"]
+    assert t.history(1).first().operation == "DELETE"
+
+
+def test_catalog_registration_and_reregistration(spark):
+    root = scratch_path(spark, "t_catalog")
+    catalog.create_database(spark, "tl_test", f"{root}/_db")
+    t = ParquetTable(spark, f"{root}/x")
+    t.overwrite(spark.range(3))
+    catalog.register_table(spark, "tl_test", "x", t.location())
+    assert spark.table("tl_test.x").count() == 3
+    t.overwrite(spark.range(7))
+    catalog.register_table(spark, "tl_test", "x", t.location())
+    assert "x" in catalog.list_tables(spark, "tl_test")
+    assert catalog.table_counts(spark, "tl_test", ["x"]).first().row_count == 7
+
+
+def test_stream_two_landings_one_checkpoint(spark):
+    root = scratch_path(spark, "t_stream")
+    events = fx.listing_events(spark, SF_SMALL, dirty=False)
+    even = F.col("listing_id").cast("long") % 2 == 0
+    ingest.land_envelopes(events.filter(even), f"{root}/landing")
+    stream = ingest.decode_json(ingest.envelope_stream(spark, f"{root}/landing"))
+    q1 = ingest.drain(stream, f"{root}/out", f"{root}/ckpt")
+    n1 = sum(p["numInputRows"] for p in q1.recentProgress)
+    ingest.land_envelopes(events.filter(~even), f"{root}/landing")
+    q2 = ingest.drain(stream, f"{root}/out", f"{root}/ckpt")
+    n2 = sum(p["numInputRows"] for p in q2.recentProgress)
+    q3 = ingest.drain(stream, f"{root}/out", f"{root}/ckpt")          # nothing new
+    n3 = sum(p["numInputRows"] for p in q3.recentProgress)
+    total = events.count()
+    assert n1 + n2 == total and n3 == 0
+    out = spark.read.schema(BRONZE_EVENT).parquet(f"{root}/out")
+    assert out.count() == total and out.select("listing_id").distinct().count() == total
+
+
+def test_csv_stream_subfolders_and_provenance(spark):
+    root = scratch_path(spark, "t_csv")
+    rows = [("1", " new_listing", "ASIA", "N", 10, 1, 500, "a", "2024-01-01T00:00:00+00:00", "x"),
+            ("2", "REMOVED", "ASIA", "N", 0, 1, 500, "a", "2024-01-01T00:00:00+00:00", "x")]
+    ingest.land_csv(spark.createDataFrame(rows, BRONZE_EVENT), f"{root}/in/batch_001")
+    ingest.land_csv(spark.createDataFrame(rows[:1], BRONZE_EVENT), f"{root}/in/batch_002")
+    os.makedirs(_local(f"{root}/in/batch_003"), exist_ok=True)            # empty landing
+    s = ingest.with_provenance(ingest.csv_stream(spark, f"{root}/in"))
+    ingest.drain(s, f"{root}/out", f"{root}/ckpt")
+    out = spark.read.parquet(f"{root}/out")
+    got = sorted((r.listing_id, r.event_type, r.land) for r in
+                 out.select("*", ingest.landing_name().alias("land")).collect())
+    assert got == [("1", " new_listing", "batch_001"), ("1", " new_listing", "batch_002"),
+                   ("2", "REMOVED", "batch_001")]
+    assert out.filter(F.col("ingestion_timestamp").isNull()).count() == 0
+
+
+def test_run_for_bounded_time(spark):
+    root = scratch_path(spark, "t_runfor")
+    ingest.land_envelopes(fx.listing_events(spark, SF_SMALL, dirty=False), f"{root}/landing")
+    stream = ingest.decode_json(ingest.envelope_stream(spark, f"{root}/landing"))
+    q = ingest.run_for(stream, f"{root}/out", f"{root}/ckpt", seconds=8)
+    assert not q.isActive

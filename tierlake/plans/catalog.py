@@ -22,7 +22,7 @@ def create_database(spark: SparkSession, database: str, location: str | None = N
 
 def register_table(spark: SparkSession, database: str, table: str, location: str) -> str:
     name = f"{database}.{table}"
-    if spark.catalog.tableExists(table, database):
+    if spark.catalog.tableExists(name):
         spark.sql(f"ALTER TABLE {_q(name)} SET LOCATION '{location}'")
         spark.sql(f"REFRESH TABLE {_q(name)}")
     else:
