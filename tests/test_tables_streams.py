@@ -130,3 +130,33 @@ def test_run_for_bounded_time(spark):
     stream = ingest.decode_json(ingest.envelope_stream(spark, f"{root}/landing"))
     q = ingest.run_for(stream, f"{root}/out", f"{root}/ckpt", seconds=8)
     assert not q.isActive
+
+
+def test_table_properties_are_labels(spark):
+    root = scratch_path(spark, "t_props")
+    catalog.create_database(spark, "tl_props", f"{root}/_db")
+    t = ParquetTable(spark, f"{root}/x")
+    t.overwrite(spark.range(2))
+    name = catalog.register_table(spark, "tl_props", "x", t.location())
+    catalog.set_properties(spark, name, {"quality": "gold", "layer": "business"})
+    props = catalog.table_properties(spark, name)
+    assert props["quality"] == "gold" and props["layer"] == "business"
+
+
+def test_layer_job_end_to_end(spark):
+    from tierlake.plans import layers
+    from tierlake.queries import agents_history, bronze
+
+    run = layers.LayerRun(scratch_path(spark, "t_layers"))
+    ingest.land_envelopes(bronze(spark, SF_SMALL), f"{run.root}/landing")
+    raw = layers.run_bronze(spark, run, f"{run.root}/landing")
+    silver_t = layers.run_silver(spark, run, raw, as_of="2024-01-31 00:00:00")
+    assert silver_t.read().count() == run.rows["silver"] == 1000
+    hist = agents_history(spark, SF_SMALL)
+    gold = layers.run_gold(spark, run, silver_t.read(), hist)
+    assert set(gold) == set(layers.GOLD_TABLES)
+    counts = {k: t.read().count() for k, t in gold.items()}
+    assert counts["avg_price_by_city"] == 5 and counts["agent_performance"] > 0
+    assert counts["top_agents_by_tier"] == counts["agent_performance"]
+    pq_ = layers.point_queries(silver_t.read(), gold)
+    assert pq_["silver_city_event_count"].first()["count"] > 0

@@ -30,6 +30,18 @@ def register_table(spark: SparkSession, database: str, table: str, location: str
     return name
 
 
+def set_properties(spark: SparkSession, name: str, properties: dict[str, str]) -> None:
+    """``ALTER TABLE .. SET TBLPROPERTIES``: labels only.  The behaviours the
+    reference switched on this way (deletion vectors, change data feed) are
+    jobs here: ``ParquetTable.delete_keys`` and ``dimensions.change_feed``."""
+    props = ", ".join(f"'{k}' = '{v}'" for k, v in properties.items())
+    spark.sql(f"ALTER TABLE {_q(name)} SET TBLPROPERTIES ({props})")
+
+
+def table_properties(spark: SparkSession, name: str) -> dict[str, str]:
+    return {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {_q(name)}").collect()}
+
+
 def list_tables(spark: SparkSession, database: str) -> list[str]:
     """``SHOW TABLES IN db`` (catalog metadata, one entry per table)."""
     return sorted(t.name for t in spark.catalog.listTables(database) if not t.isTemporary)

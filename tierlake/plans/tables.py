@@ -166,17 +166,22 @@ class ParquetTable:
         return self.overwrite(kept, "DELETE", on=[on] if isinstance(on, str) else list(on))
 
 
-def cluster_layout(df: DataFrame, columns: Sequence[str], num_files: int) -> DataFrame:
+def cluster_layout(df: DataFrame, columns: Sequence[str], num_files: int | None = None
+                   ) -> DataFrame:
     """Range-partition on ``columns`` then sort within partitions.
 
     A row hash is the last range key: rows of one very frequent value are
     spread over several consecutive ranges instead of one oversized file,
-    while each file still covers a narrow interval of ``columns``.
+    while each file still covers a narrow interval of ``columns``.  Without
+    ``num_files`` the session's shuffle width is used and AQE coalesces
+    small ranges, so a table can be laid out in the same pass that builds it.
     """
     cols = list(columns)
     spread = F.xxhash64(*[F.col(c) for c in df.columns])
-    return (df.repartitionByRange(num_files, *[F.col(c) for c in cols], spread)
-            .sortWithinPartitions(*cols))
+    keys = [*[F.col(c) for c in cols], spread]
+    parted = (df.repartitionByRange(num_files, *keys) if num_files
+              else df.repartitionByRange(*keys))
+    return parted.sortWithinPartitions(*cols)
 
 
 def delete_by_key(df: DataFrame, keys: DataFrame, on: Sequence[str] | str) -> DataFrame:
