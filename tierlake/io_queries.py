@@ -11,10 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierlake.operators import aggregates as agg
-from tierlake.operators import star
-from tierlake.plans import catalog
+from tierlake.plans import catalog, layers
 from tierlake.plans.tables import ParquetTable
-from tierlake.queries import (agents_current, agents_history, bronze, silver)
+from tierlake.queries import agents_history, bronze, silver
 from tierlake.schemas import BRONZE_EVENT, SILVER_EVENT
 from tierlake.session import scratch_path
 from tierlake.sources import fixtures as fx
@@ -154,9 +153,16 @@ def q_delete_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.read()
 
 
+def _published_silver(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Clean events written once; later steps read the files (lineage cut)."""
+    t = ParquetTable(spark, scratch_path(spark, name, "silver"))
+    t.overwrite(silver(spark, sf_dir))
+    return t.read()
+
+
 def _scripted_loads(spark: SparkSession, sf_dir: str) -> ParquetTable:
     t = ParquetTable(spark, scratch_path(spark, "load_history"))
-    s = silver(spark, sf_dir)
+    s = _published_silver(spark, sf_dir, "load_history_src")
     early = F.col("event_timestamp") < F.lit(SPLIT_TIME).cast("timestamp")
     t.overwrite(s.filter(early))                                   # v0 WRITE
     t.append(s.filter(~early))                                     # v1 WRITE (append)
@@ -178,52 +184,41 @@ def q_table_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- layer checks
 
-def _write_layers(spark: SparkSession, sf_dir: str) -> dict[str, str]:
-    """Write raw, clean and gold 1-4 tables; return name -> snapshot folder."""
-    s = silver(spark, sf_dir)
-    frames = {
-        "bronze": bronze(spark, sf_dir),
-        "silver": s,
-        "avg_price_by_city": agg.avg_price_by_city(s),
-        "listing_count_by_event": agg.listing_count_by_event(s),
-        "price_trend_by_locality": agg.price_trend_by_locality(s),
-        "top_active_cities": agg.top_active_cities(s),
-    }
-    root = scratch_path(spark, "layers")
-    paths = {}
-    for name, df in frames.items():
-        t = ParquetTable(spark, f"{root}/{name}")
-        t.overwrite(df)
-        paths[name] = t.location()
-    return paths
+def _publish_layers(spark: SparkSession, sf_dir: str) -> tuple[layers.LayerRun, dict]:
+    """Raw -> clean -> business tables, each step reading what the previous
+    one published (the layer job on batch-landed raw events)."""
+    run = layers.LayerRun(scratch_path(spark, "layers"))
+    raw_t = run.table(spark, "bronze")
+    raw_t.overwrite(bronze(spark, sf_dir))
+    silver_t = layers.run_silver(spark, run, raw_t.read(), as_of=fx.SILVER_LOAD)
+    hist_t = run.table(spark, "agent_scd2")
+    hist_t.overwrite(agents_history(spark, sf_dir))
+    gold = layers.run_gold(spark, run, silver_t.read(), hist_t.read())
+    return run, {"bronze": raw_t, "silver": silver_t, **gold}
 
 
 def q_layer_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return catalog.path_counts(spark, _write_layers(spark, sf_dir))
+    """Tagged row counts of the raw, clean and first four business tables,
+    as one SQL UNION ALL over path-addressed scans."""
+    _, tables = _publish_layers(spark, sf_dir)
+    names = ["bronze", "silver", "avg_price_by_city", "listing_count_by_event",
+             "price_trend_by_locality", "top_active_cities"]
+    return catalog.path_counts(spark, {n: tables[n].location() for n in names})
+
+
+CATALOG_NAMES = {"silver": "silver_property_events",
+                 **{g: f"gold_{g}" for g in layers.GOLD_TABLES}}
 
 
 def q_catalog_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Register clean and all eight gold tables; count each registered table."""
-    s = silver(spark, sf_dir)
-    current, history = agents_current(spark, sf_dir), agents_history(spark, sf_dir)
-    frames = {
-        "silver_property_events": s,
-        "gold_avg_price_by_city": agg.avg_price_by_city(s),
-        "gold_listing_count_by_event": agg.listing_count_by_event(s),
-        "gold_price_trend_by_locality": agg.price_trend_by_locality(s),
-        "gold_top_active_cities": agg.top_active_cities(s),
-        "gold_agent_performance": star.agent_performance(s, current),
-        "gold_agent_vs_city_benchmark": star.agent_vs_city_benchmark(s, current),
-        "gold_top_agents_by_tier": star.top_agents_by_tier(s, current),
-        "gold_agent_city_movement_impact": star.agent_city_movement(s, history),
-    }
-    root = scratch_path(spark, "catalog")
-    catalog.create_database(spark, GOLD_DATABASE, f"{root}/_db")
-    for name, df in frames.items():
-        t = ParquetTable(spark, f"{root}/{name}")
-        t.overwrite(df)
-        catalog.register_table(spark, GOLD_DATABASE, name, t.location())
-    return catalog.table_counts(spark, GOLD_DATABASE, sorted(frames))
+    """Register the clean and all eight business tables; count each one."""
+    run, tables = _publish_layers(spark, sf_dir)
+    catalog.create_database(spark, GOLD_DATABASE, f"{run.root}/_db")
+    for name, table_name in CATALOG_NAMES.items():
+        catalog.register_table(spark, GOLD_DATABASE, table_name, tables[name].location())
+    registered = set(catalog.list_tables(spark, GOLD_DATABASE))
+    return catalog.table_counts(spark, GOLD_DATABASE,
+                                sorted(n for n in CATALOG_NAMES.values() if n in registered))
 
 
 IO_QUERIES = {

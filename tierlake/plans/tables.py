@@ -4,7 +4,7 @@ layout, delete by key, load history and table detail.
 A table is a folder of snapshot folders plus an append-only run log:
 
     <root>/snapshot-<uuid>/part-*.parquet   data written by one overwrite
-    <root>/_history/part-*.parquet          one row per load
+    <root>/_history/<version>.json          one small file per load
 
 An overwrite always writes a *new* snapshot folder and only then records it
 as current, so a job may read the table it is replacing (Parquet has no
@@ -59,34 +59,70 @@ def files_for(spark: SparkSession, path: str, target_file_bytes: int = TARGET_FI
     return max(1, math.ceil(path_bytes(spark, path) / target_file_bytes))
 
 
+class _FileSystem:
+    """The Hadoop FileSystem of a path: listing and small metadata files."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self._jvm = spark._jvm
+        self._path = self._jvm.org.apache.hadoop.fs.Path
+        self.fs = self._path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def names(self, folder: str) -> list[str]:
+        p = self._path(folder)
+        if not self.fs.exists(p):
+            return []
+        return [st.getPath().getName() for st in self.fs.listStatus(p)]
+
+    def create(self, path: str, text: str) -> None:
+        """Write a new small file; fails if it already exists."""
+        out = self.fs.create(self._path(path), False)
+        try:
+            out.write(bytearray(text.encode("utf-8")))
+        finally:
+            out.close()
+
+    def read(self, path: str) -> str:
+        stream = self.fs.open(self._path(path))
+        try:
+            return self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+
+
 class ParquetTable:
-    """A Parquet table with staged overwrites and a run log."""
+    """A Parquet table with staged overwrites and a run log.
+
+    The run log is one small JSON file per load, ``_history/<version>.json``,
+    created with overwrite disabled: two writers racing for a version cannot
+    both succeed.  Finding the current snapshot is a folder listing, not a
+    Spark job.
+    """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
         self.history_path = f"{self.root}/_history"
+        self._fs = _FileSystem(spark, self.root)
 
     # ------------------------------------------------------------ log
-    def _log(self) -> DataFrame | None:
-        try:
-            return self.spark.read.schema(HISTORY_SCHEMA).parquet(self.history_path)
-        except Exception:  # noqa: BLE001 - no load yet
-            return None
+    def _versions(self) -> list[int]:
+        return sorted(int(n[:-5]) for n in self._fs.names(self.history_path)
+                      if n.endswith(".json") and n[:-5].isdigit())
 
-    def _head(self):
-        log = self._log()
-        if log is None:
+    def _head(self) -> dict | None:
+        versions = self._versions()
+        if not versions:
             return None
-        return log.orderBy(F.desc("version")).select("version", "location").first()
+        return json.loads(self._fs.read(f"{self.history_path}/{versions[-1]:020d}.json"))
 
     def _record(self, operation: str, params: dict, rows: int, location: str) -> int:
         head = self._head()
         version = 0 if head is None else head["version"] + 1
-        row = (version, datetime.now(timezone.utc).replace(tzinfo=None), operation,
-               json.dumps(params, sort_keys=True), rows, location)
-        (self.spark.createDataFrame([row], HISTORY_SCHEMA).coalesce(1)
-         .write.mode("append").parquet(self.history_path))
+        entry = {"version": version,
+                 "timestamp": datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%S.%f"),
+                 "operation": operation, "operation_parameters": json.dumps(params, sort_keys=True),
+                 "row_count": rows, "location": location}
+        self._fs.create(f"{self.history_path}/{version:020d}.json", json.dumps(entry))
         return version
 
     # ------------------------------------------------------------ reads
@@ -101,9 +137,9 @@ class ParquetTable:
 
     def history(self, limit: int | None = 5) -> DataFrame:
         """Most recent loads first (``DESCRIBE HISTORY .. LIMIT n``)."""
-        log = self._log()
-        if log is None:
+        if not self._versions():
             return self.spark.createDataFrame([], HISTORY_SCHEMA)
+        log = self.spark.read.schema(HISTORY_SCHEMA).json(self.history_path)
         out = log.orderBy(F.desc("version"))
         return out.limit(limit) if limit else out
 
