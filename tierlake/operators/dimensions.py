@@ -21,38 +21,38 @@ SCD2_COLUMNS = AGENT_COLUMNS + ["effective_start_date", "effective_end_date", "i
 
 # ---------------------------------------------------------------- type 1
 
+def _one_row_per_key(feed: DataFrame, key: str) -> DataFrame:
+    """Collapse a merge source to one row per key, failing the job (from inside
+    the plan, when the key is first used) if a key has two rows."""
+    rest = [c for c in feed.columns if c != key]
+    grouped = feed.groupBy(key).agg(F.count(F.lit(1)).alias("_n"),
+                                    *[F.first(c).alias(c) for c in rest])
+    guard = F.when(F.col("_n") > 1, F.raise_error(F.concat(
+        F.lit("merge source has more than one row for key "), F.col(key).cast("string"))))
+    return grouped.select(F.coalesce(guard.cast(feed.schema[key].dataType), F.col(key)).alias(key),
+                          *[F.col(c) for c in rest])
+
+
 def scd1_upsert(dim: DataFrame, updates: DataFrame, key: str = "agent_id",
                 set_columns: Sequence[str] = ("tier",)) -> DataFrame:
     """MERGE: matched keys take ``set_columns`` from the update (others kept);
     unmatched update rows are inserted whole; no history is kept.
 
-    Planned as one aggregate over ``dim UNION ALL updates`` grouped by the
-    key - a single shuffle with map-side combining, instead of a full outer
-    join that shuffles both sides and cannot combine a hot key.
+    The work scales with the feed: the dimension is joined to the collapsed
+    feed (left join) and the feed's new keys are found against the matched
+    keys only.  When the feed is small AQE broadcasts it, and the dimension
+    is read without being shuffled.
     """
     cols = dim.columns
-    tagged = (dim.select(*cols, F.lit(0).alias("_src"))
-              .unionByName(updates.select(*cols, F.lit(1).alias("_src"))))
-    from_dim, from_upd = F.col("_src") == 0, F.col("_src") == 1
-    aggs = [F.count_if(from_dim).alias("_nd"), F.count_if(from_upd).alias("_nu")]
-    for c in cols:
-        if c != key:
-            aggs.append(F.first(F.when(from_dim, F.col(c)), ignorenulls=True).alias(f"_d_{c}"))
-            aggs.append(F.first(F.when(from_upd, F.col(c)), ignorenulls=True).alias(f"_u_{c}"))
-    g = tagged.groupBy(key).agg(*aggs)
-    guard = F.when(F.col("_nu") > 1, F.raise_error(F.concat(
-        F.lit("merge source has more than one row for key "), F.col(key).cast("string"))))
-    out = [F.coalesce(guard.cast(dim.schema[key].dataType), F.col(key)).alias(key)]
-    for c in cols:
-        if c == key:
-            continue
-        if c in set_columns:
-            out.append(F.when(F.col("_nu") > 0, F.col(f"_u_{c}")).otherwise(F.col(f"_d_{c}"))
-                       .alias(c))
-        else:
-            out.append(F.when(F.col("_nd") > 0, F.col(f"_d_{c}")).otherwise(F.col(f"_u_{c}"))
-                       .alias(c))
-    return g.select(*out).select(*cols)
+    src = _one_row_per_key(updates.select(*cols), key)
+    hits = src.select(key, F.lit(True).alias("_hit"),
+                      *[F.col(c).alias(f"_u_{c}") for c in set_columns])
+    kept = dim.join(hits, key, "left").select(*[
+        F.when(F.col("_hit"), F.col(f"_u_{c}")).otherwise(F.col(c)).alias(c)
+        if c in set_columns else F.col(c) for c in cols])
+    matched = dim.select(key).join(src.select(key), key, "left_semi")
+    inserts = src.join(matched, key, "left_anti").select(*cols)
+    return kept.unionByName(inserts)
 
 
 def change_feed(before: DataFrame, after: DataFrame, key: str) -> DataFrame:
@@ -119,10 +119,11 @@ def scd2_apply(history: DataFrame, changes: DataFrame, key: str = "agent_id",
       column giving each row's effective time; otherwise every row takes
       ``as_of``.  Two feed rows for one key and time fail the job.
 
-    Plan: ``history UNION ALL feed`` is hash-partitioned on the key once;
-    every window below is partitioned by the key (plus a flag), which that
-    partitioning already satisfies, so there is exactly one shuffle.  Rows
-    of keys absent from the feed, and closed versions, pass through.
+    Plan: the history is split by the feed's key set (a semi and an anti
+    join - broadcast by AQE when the feed is small, so the history is read
+    but not shuffled).  Only the touched keys' rows, unioned with the feed,
+    are hash-partitioned on the key; every window below is partitioned by
+    the key (plus a flag), which that one shuffle already satisfies.
     """
     attrs = [c for c in history.columns if c not in SCD2_COLUMNS[len(AGENT_COLUMNS):]]
     meta = ["effective_start_date", "effective_end_date", "is_current", "scd_version"]
@@ -133,7 +134,10 @@ def scd2_apply(history: DataFrame, changes: DataFrame, key: str = "agent_id",
                           F.lit(None).cast("boolean").alias("is_current"),
                           F.lit(None).cast("int").alias("scd_version"),
                           F.lit(1).alias("_new"))
-    u = history.select(*attrs, *meta, F.lit(0).alias("_new")).unionByName(feed)
+    touched = changes.select(key).distinct()
+    untouched = history.join(touched, key, "left_anti")
+    u = (history.join(touched, key, "left_semi").select(*attrs, *meta, F.lit(0).alias("_new"))
+         .unionByName(feed))
 
     by_key = Window.partitionBy(key)
     by_time = Window.partitionBy(key, "effective_start_date")
@@ -171,8 +175,9 @@ def scd2_apply(history: DataFrame, changes: DataFrame, key: str = "agent_id",
         "scd_version": F.when(is_new, base + n_new).otherwise(F.col("scd_version"))
         .cast("int"),
     }
-    return u.select(*attrs, "effective_start_date",
-                    *[rebuilt[c].alias(c) for c in meta[1:]]).select(*SCD2_COLUMNS)
+    out = u.select(*attrs, "effective_start_date",
+                   *[rebuilt[c].alias(c) for c in meta[1:]]).select(*SCD2_COLUMNS)
+    return untouched.select(*SCD2_COLUMNS).unionByName(out)
 
 
 def scd2_current(history: DataFrame) -> DataFrame:

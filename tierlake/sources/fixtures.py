@@ -62,8 +62,13 @@ def _event_type(raw: Column) -> Column:
 
 
 def iso_text(ts: Column) -> Column:
-    """Timestamp -> ISO-8601 text with an explicit UTC offset."""
-    return F.concat(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("+00:00"))
+    """Timestamp -> ISO-8601 text with an explicit offset (``+00:00`` in UTC).
+
+    The offset is the session zone's, so parsing the text back gives the
+    same wall-clock time in any session time zone.
+    """
+    return F.regexp_replace(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"),
+                            "Z$", "+00:00")
 
 
 def listing_events(spark: SparkSession, sf_dir: str, dirty: bool = True,
