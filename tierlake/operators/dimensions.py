@@ -142,10 +142,11 @@ def scd2_apply(history: DataFrame, changes: DataFrame, key: str = "agent_id",
     by_key = Window.partitionBy(key)
     by_time = Window.partitionBy(key, "effective_start_date")
     is_new = F.col("_new") == 1
-    u = (u.withColumn("_touched", F.max("_new").over(by_key) == 1)
-         .withColumn("_cur_start", F.max(F.when(~is_new & F.col("is_current"),
-                                                F.col("effective_start_date"))).over(by_key))
-         .withColumn("_same_time", F.sum("_new").over(by_time)))
+    u = u.withColumns({
+        "_touched": F.max("_new").over(by_key) == 1,
+        "_cur_start": F.max(F.when(~is_new & F.col("is_current"),
+                                   F.col("effective_start_date"))).over(by_key),
+        "_same_time": F.sum("_new").over(by_time)})
     guard = F.when(is_new & (F.col("_same_time") > 1), F.raise_error(F.concat(
         F.lit("change feed has more than one row for key "), F.col(key).cast("string"),
         F.lit(" at one effective time"))))

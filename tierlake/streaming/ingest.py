@@ -1,6 +1,6 @@
 """Raw-tier ingestion with Structured Streaming.
 
-Two sources, both stateless append pipelines (no watermark, no state):
+Two sources, both stateless appends (no watermark, no state):
 
 * an envelope stream of binary JSON bodies (any message source that yields
   a ``body`` column; here a file source over landed envelopes), decoded with
