@@ -11,6 +11,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def register_views(frames: dict[str, DataFrame]) -> list[str]:
+    """``createOrReplaceTempView`` for each DataFrame, so existing SQL text
+    (``FROM silver_property_events s JOIN agent_master a ...``) runs as is."""
+    for name, df in frames.items():
+        df.createOrReplaceTempView(name)
+    return sorted(frames)
+
+
 def _q(name: str) -> str:
     return ".".join(f"`{p}`" for p in name.split("."))
 

@@ -62,7 +62,8 @@ def run_bronze(spark: SparkSession, run: LayerRun, landing: str) -> DataFrame:
     """Drain every landed message into the raw table; returns the raw table."""
     out, ckpt = f"{run.root}/bronze", f"{run.root}/_checkpoints/bronze"
     stream = ingest.decode_json(ingest.envelope_stream(spark, landing), BRONZE_EVENT)
-    _timed(run, "bronze_ingest", lambda: ingest.drain(stream, out, ckpt))
+    q = _timed(run, "bronze_ingest", lambda: ingest.drain(stream, out, ckpt))
+    run.rows["bronze"] = sum(p["numInputRows"] for p in q.recentProgress)
     return spark.read.schema(BRONZE_EVENT).parquet(out)
 
 
