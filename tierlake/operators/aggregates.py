@@ -1,54 +1,117 @@
 """Gold aggregate tables 1-4 over clean listing events.
 
-Each is one grouped aggregate: partial aggregation in the map tasks, one
-hash shuffle on the (low-cardinality) grouping key, final aggregation.
+All four (and the daily city windows) are exact roll-ups of one summary,
+``market_facts``: events grouped by (city, locality, event_type, day) with
+counts, sums, minima and maxima.  Building the summary is the only pass
+over the events (partial aggregation in the map tasks, one shuffle); every
+report then reads a table with one row per city, locality, type and day.
+Sums are kept in double - what ``avg`` itself accumulates - so averages
+rolled up as sum/count equal ``AVG`` and cannot overflow a long.
+
 ``ordered`` adds the report ordering; the sort runs on the aggregated rows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tierlake.functions.columns import count_where, rounded_avg
 from tierlake.schemas import NEW_LISTING, PRICE_CHANGE, REMOVED
 
 
-def priced(silver: DataFrame) -> DataFrame:
+def priced_condition() -> Column:
     """Events that carry a real asking price."""
-    return silver.filter((F.col("event_type") != REMOVED) & (F.col("price") > 0))
+    return (F.col("event_type") != REMOVED) & (F.col("price") > 0)
 
 
-def avg_price_by_city(silver: DataFrame, ordered: bool = True) -> DataFrame:
-    out = priced(silver).groupBy("city").agg(
-        rounded_avg("price").alias("avg_price"),
-        F.max("price").alias("max_price"),
-        F.min("price").alias("min_price"),
-        F.count("listing_id").alias("total_listings"))
+def priced(silver: DataFrame) -> DataFrame:
+    return silver.filter(priced_condition())
+
+
+def event_day(column: str = "event_timestamp") -> Column:
+    """``DATE_TRUNC('DAY', ts)``: a midnight timestamp, not a date."""
+    return F.date_trunc("day", F.col(column))
+
+
+def ratio(total: Column, count: Column) -> Column:
+    """Average from a rolled-up sum and count; NULL when the count is 0."""
+    return F.try_divide(total, count)
+
+
+def market_facts(silver: DataFrame) -> DataFrame:
+    """Summary by (city, locality, event_type, event_date).
+
+    n_rows / n_listings       rows / non-null listing ids
+    p_sum, p_cnt, p_listings  price sum, price count, listing count of priced rows
+    p_max, p_min              extreme prices of priced rows
+    """
+    pp = F.when(priced_condition(), F.col("price"))
+    return silver.groupBy("city", "locality", "event_type",
+                          event_day().alias("event_date")).agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count("listing_id").alias("n_listings"),
+        F.sum(pp.cast("double")).alias("p_sum"),
+        F.count(pp).alias("p_cnt"),
+        F.count(F.when(priced_condition(), F.col("listing_id"))).alias("p_listings"),
+        F.max(pp).alias("p_max"),
+        F.min(pp).alias("p_min"))
+
+
+def _priced_rollup(facts: DataFrame, *keys) -> DataFrame:
+    return facts.filter(F.col("p_cnt") > 0).groupBy(*keys).agg(
+        F.round(ratio(F.sum("p_sum"), F.sum("p_cnt")), 2).alias("avg_price"),
+        F.max("p_max").alias("max_price"),
+        F.min("p_min").alias("min_price"),
+        F.sum("p_listings").alias("n"))
+
+
+def avg_price_by_city_from(facts: DataFrame, ordered: bool = True) -> DataFrame:
+    out = _priced_rollup(facts, "city").select(
+        "city", "avg_price", "max_price", "min_price", F.col("n").alias("total_listings"))
     return out.orderBy(F.desc("avg_price")) if ordered else out
 
 
-def listing_count_by_event(silver: DataFrame, ordered: bool = True) -> DataFrame:
-    out = silver.groupBy("event_type").agg(F.count("listing_id").alias("total_count"))
+def listing_count_by_event_from(facts: DataFrame, ordered: bool = True) -> DataFrame:
+    out = facts.groupBy("event_type").agg(F.sum("n_listings").alias("total_count"))
     return out.orderBy(F.desc("total_count")) if ordered else out
 
 
-def event_day(column: str = "event_timestamp"):
-    """``DATE_TRUNC('DAY', ts)``: a midnight timestamp, not a date."""
-    return F.date_trunc("day", F.col(column))
+def price_trend_by_locality_from(facts: DataFrame, ordered: bool = True) -> DataFrame:
+    out = _priced_rollup(facts, "city", "locality", "event_date").select(
+        "city", "locality", "event_date", "avg_price", F.col("n").alias("listing_count"))
+    return out.orderBy("event_date", F.desc("avg_price")) if ordered else out
+
+
+def top_active_cities_from(facts: DataFrame, ordered: bool = True) -> DataFrame:
+    def rows_of(kind: str) -> Column:
+        return F.sum(F.when(F.col("event_type") == kind, F.col("n_rows")).otherwise(0))
+
+    out = facts.groupBy("city").agg(
+        F.sum("n_listings").alias("total_events"),
+        rows_of(NEW_LISTING).alias("new_listings"),
+        rows_of(PRICE_CHANGE).alias("price_changes"),
+        rows_of(REMOVED).alias("removals"))
+    return out.orderBy(F.desc("total_events")) if ordered else out
+
+
+def daily_city_prices_from(facts: DataFrame) -> DataFrame:
+    return _priced_rollup(facts, "city", "event_date").select(
+        "city", "event_date", "avg_price", F.col("n").alias("listing_count"))
+
+
+# ------------------------------------------------ one-table convenience forms
+
+def avg_price_by_city(silver: DataFrame, ordered: bool = True) -> DataFrame:
+    return avg_price_by_city_from(market_facts(silver), ordered)
+
+
+def listing_count_by_event(silver: DataFrame, ordered: bool = True) -> DataFrame:
+    return listing_count_by_event_from(market_facts(silver), ordered)
 
 
 def price_trend_by_locality(silver: DataFrame, ordered: bool = True) -> DataFrame:
-    out = priced(silver).groupBy("city", "locality", event_day().alias("event_date")).agg(
-        rounded_avg("price").alias("avg_price"),
-        F.count("listing_id").alias("listing_count"))
-    return out.orderBy("event_date", F.desc("avg_price")) if ordered else out
+    return price_trend_by_locality_from(market_facts(silver), ordered)
 
 
 def top_active_cities(silver: DataFrame, ordered: bool = True) -> DataFrame:
-    out = silver.groupBy("city").agg(
-        F.count("listing_id").alias("total_events"),
-        count_where(F.col("event_type") == NEW_LISTING).alias("new_listings"),
-        count_where(F.col("event_type") == PRICE_CHANGE).alias("price_changes"),
-        count_where(F.col("event_type") == REMOVED).alias("removals"))
-    return out.orderBy(F.desc("total_events")) if ordered else out
+    return top_active_cities_from(market_facts(silver), ordered)

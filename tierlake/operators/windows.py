@@ -17,8 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tierlake.functions.columns import rounded_avg
-from tierlake.operators.aggregates import event_day, priced
+from tierlake.operators.aggregates import daily_city_prices_from, market_facts
 
 
 def rank_within(df: DataFrame, group: str, value: str, rank_col: str = "rank",
@@ -43,9 +42,7 @@ def rank_within(df: DataFrame, group: str, value: str, rank_col: str = "rank",
 
 
 def daily_city_prices(silver: DataFrame) -> DataFrame:
-    return priced(silver).groupBy("city", event_day().alias("event_date")).agg(
-        rounded_avg("price").alias("avg_price"),
-        F.count("listing_id").alias("listing_count"))
+    return daily_city_prices_from(market_facts(silver))
 
 
 def dense_rank_cities_by_day(silver: DataFrame) -> DataFrame:

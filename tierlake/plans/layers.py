@@ -3,7 +3,8 @@
     run_bronze  stream landed message bodies into the raw table (availableNow)
     run_silver  clean + deduplicate the raw table, stage it, run the gates on
                 the staged files, publish only if every gate passes
-    run_gold    build the eight business tables from the published clean table
+    run_gold    summarise the published clean table twice (market and agent-city
+                grain) and roll the eight business tables up from the summaries
 
 Each step reads what the previous one published, so a failed step leaves
 the previous tables in place and can be re-run.  Layout: the clean table is
@@ -23,7 +24,6 @@ from pyspark.sql import functions as F
 from tierlake.operators import aggregates as agg
 from tierlake.operators import quality, star
 from tierlake.operators.clean import clean_events
-from tierlake.operators.windows import rank_within
 from tierlake.plans.tables import ParquetTable, cluster_layout
 from tierlake.schemas import BRONZE_EVENT
 from tierlake.streaming import ingest
@@ -81,40 +81,33 @@ def run_silver(spark: SparkSession, run: LayerRun, raw: DataFrame, as_of: str |
     return t
 
 
-def gold_frames(silver: DataFrame, current_agents: DataFrame, agent_history: DataFrame
-                ) -> dict[str, DataFrame]:
-    """The eight business tables as lazy DataFrames (no ordering: files)."""
-    return {
-        "avg_price_by_city": agg.avg_price_by_city(silver, ordered=False),
-        "listing_count_by_event": agg.listing_count_by_event(silver, ordered=False),
-        "price_trend_by_locality": agg.price_trend_by_locality(silver, ordered=False),
-        "top_active_cities": agg.top_active_cities(silver, ordered=False),
-        "agent_performance": star.agent_performance(silver, current_agents, ordered=False),
-        "agent_vs_city_benchmark": star.agent_vs_city_benchmark(silver, current_agents,
-                                                                ordered=False),
-        "agent_city_movement_impact": star.agent_city_movement(silver, agent_history,
-                                                               ordered=False),
-    }
-
-
-def top_agents_from_performance(perf: DataFrame) -> DataFrame:
-    """Gold 7 from Gold 5: same per-agent count and positive-price average,
-    so the ranking reads one row per agent instead of rescanning events."""
-    metrics = perf.select("agent_id", "agent_name", "tier", "rating", "base_city",
-                          "total_listings", perf["avg_listing_price"].alias("avg_price"))
-    ranked = rank_within(metrics, "tier", "total_listings", "rank_within_tier", "_tier_total")
-    return ranked.select(
-        "tier", "agent_id", "agent_name", "base_city", "rating", "total_listings", "avg_price",
-        "rank_within_tier",
-        F.round(F.col("total_listings") * 100.0 / F.col("_tier_total"), 2)
-        .alias("pct_of_tier_listings"))
-
-
 def run_gold(spark: SparkSession, run: LayerRun, silver: DataFrame, agent_history: DataFrame
              ) -> dict[str, ParquetTable]:
+    """Two passes over the clean events build the summaries every business
+    table rolls up from; the summaries are written (lineage cut) and the
+    eight tables are built from the written summaries.  Gold 7 reads Gold 5.
+    """
     current = agent_history.filter("is_current")
+    summaries = {}
+    for name, build in (("market_facts", agg.market_facts),
+                        ("agent_city_facts", star.agent_city_facts)):
+        t = run.table(spark, f"summary/{name}")
+        _timed(run, f"summary_{name}", lambda t=t, build=build: t.overwrite(build(silver)))
+        summaries[name] = t.read()
+    market, agent_city = summaries["market_facts"], summaries["agent_city_facts"]
+    frames = {
+        "avg_price_by_city": agg.avg_price_by_city_from(market, ordered=False),
+        "listing_count_by_event": agg.listing_count_by_event_from(market, ordered=False),
+        "price_trend_by_locality": agg.price_trend_by_locality_from(market, ordered=False),
+        "top_active_cities": agg.top_active_cities_from(market, ordered=False),
+        "agent_performance": star.agent_performance_from(agent_city, current, ordered=False),
+        "agent_vs_city_benchmark": star.agent_vs_city_benchmark_from(agent_city, current,
+                                                                     ordered=False),
+        "agent_city_movement_impact": star.agent_city_movement_from(agent_city, agent_history,
+                                                                    ordered=False),
+    }
     tables = {}
-    for name, df in gold_frames(silver, current, agent_history).items():
+    for name, df in frames.items():
         if name in GOLD_LAYOUT:
             df = cluster_layout(df, GOLD_LAYOUT[name])
         t = run.table(spark, f"gold/{name}")
@@ -123,7 +116,7 @@ def run_gold(spark: SparkSession, run: LayerRun, silver: DataFrame, agent_histor
     t7 = run.table(spark, "gold/top_agents_by_tier")
     perf = tables["agent_performance"].read()
     _timed(run, "gold_top_agents_by_tier",
-           lambda: t7.overwrite(top_agents_from_performance(perf)))
+           lambda: t7.overwrite(star.top_agents_from_performance(perf, ordered=False)))
     tables["top_agents_by_tier"] = t7
     return tables
 
