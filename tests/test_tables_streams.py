@@ -160,3 +160,12 @@ def test_layer_job_end_to_end(spark):
     assert counts["top_agents_by_tier"] == counts["agent_performance"]
     pq_ = layers.point_queries(silver_t.read(), gold)
     assert pq_["silver_city_event_count"].first()["count"] > 0
+
+
+def test_cluster_conf_sizes_partitions():
+    from tierlake.session import cluster_conf
+
+    conf = cluster_conf(100 * 1024 ** 4, total_cores=8000)
+    assert int(conf["spark.sql.shuffle.partitions"]) == 100 * 1024 ** 4 // (256 * 1024 ** 2)
+    small = cluster_conf(10 * 1024 ** 2, total_cores=8)
+    assert int(small["spark.sql.shuffle.partitions"]) == 16

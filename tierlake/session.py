@@ -37,6 +37,34 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
+def cluster_conf(input_bytes: int, total_cores: int,
+                 target_partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+    """Settings for a run over ``input_bytes`` of Parquet on ``total_cores``.
+
+    * scans: split files at ``target_partition_bytes`` so each scan task
+      reads about that much;
+    * shuffles: start wide enough that no reducer holds more than the target
+      (at least two waves of tasks), and let AQE coalesce small partitions up
+      to the same advisory size - which is also roughly the size of each
+      written file;
+    * skew: a partition five times the median and above the target is split.
+
+    At 100 TB with 1000 executors x 8 cores and 256 MB targets this gives
+    ~400k shuffle partitions before coalescing.
+    """
+    shuffle = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes),
+    }
+
+
 def shared_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
