@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierlake.operators import aggregates as agg
+from tierlake.operators.dedup import distinct_values
 from tierlake.plans import catalog, layers
 from tierlake.plans.tables import ParquetTable
 from tierlake.queries import agents_history, bronze, silver
@@ -26,7 +27,7 @@ GOLD_DATABASE = "tierlake_gold"
 TIMESTAMP_TEXT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
 
-def _before_split(df: DataFrame):
+def _before_split():
     """Raw rows whose ISO event-time text sorts before the split day."""
     return F.col("timestamp") < F.lit(SPLIT_TIME)
 
@@ -58,8 +59,8 @@ def q_stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _csv_drops(spark: SparkSession, sf_dir: str, root: str) -> None:
     drops = fx.listing_events(spark, sf_dir, dirty=False, removed_price=F.lit(0).cast("long"),
                               source=CSV_SOURCE)
-    ingest.land_csv(drops.filter(_before_split(drops)), f"{root}/incoming/batch_001")
-    ingest.land_csv(drops.filter(~_before_split(drops)), f"{root}/incoming/batch_002")
+    ingest.land_csv(drops.filter(_before_split()), f"{root}/incoming/batch_001")
+    ingest.land_csv(drops.filter(~_before_split()), f"{root}/incoming/batch_002")
 
 
 def _csv_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,9 +83,8 @@ def q_bronze_csv_provenance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_distinct_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = _csv_ingest(spark, sf_dir)
-    files = raw.select("source_file_name").distinct()
-    return files.select(ingest.landing_name().alias("landing")).distinct()
+    files = distinct_values(_csv_ingest(spark, sf_dir), "source_file_name")
+    return distinct_values(files.select(ingest.landing_name().alias("landing")), "landing")
 
 
 # ---------------------------------------------------------------- files and tables
@@ -118,8 +118,8 @@ def q_schema_evolve(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An older drop without ``source`` plus a newer one with it; merged on read."""
     path = scratch_path(spark, "schema_evolve")
     raw = fx.listing_events(spark, sf_dir, dirty=False)
-    raw.filter(_before_split(raw)).drop("source").write.parquet(path)
-    raw.filter(~_before_split(raw)).write.mode("append").parquet(path)
+    raw.filter(_before_split()).drop("source").write.parquet(path)
+    raw.filter(~_before_split()).write.mode("append").parquet(path)
     return spark.read.option("mergeSchema", True).parquet(path)
 
 
