@@ -33,23 +33,44 @@ TIMELINESS_MAX_AGE_DAYS = 7
 
 
 # ---------------------------------------------------------------- shared tiers
+#
+# The shared tiers are lazy DataFrames over immutable inputs; one object per
+# session and input folder is kept and reused, as a notebook keeps its
+# ``silver_df`` - nothing is cached or collected, every action still runs the
+# whole plan, but the plan is analysed once instead of once per query.
+
+_SHARED: dict[tuple, DataFrame] = {}
+
+
+def _shared(spark: SparkSession, name: str, sf_dir: str, build) -> DataFrame:
+    key = (spark.sparkContext.applicationId, name, sf_dir)
+    df = _SHARED.get(key)
+    if df is None:
+        df = _SHARED[key] = build()
+    return df
+
 
 def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fx.listing_events(spark, sf_dir, dirty=True)
+    return _shared(spark, "bronze", sf_dir,
+                   lambda: fx.listing_events(spark, sf_dir, dirty=True))
 
 
 def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean_events(bronze(spark, sf_dir), as_of=fx.SILVER_LOAD)
+    return _shared(spark, "silver", sf_dir,
+                   lambda: clean_events(bronze(spark, sf_dir), as_of=fx.SILVER_LOAD))
 
 
 def agents_scd1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dims.scd1_upsert(fx.agent_master(spark, sf_dir), fx.scd1_feed(spark, sf_dir))
+    return _shared(spark, "agents_scd1", sf_dir, lambda: dims.scd1_upsert(
+        fx.agent_master(spark, sf_dir), fx.scd1_feed(spark, sf_dir)))
 
 
 def agents_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    initial = dims.scd2_init(agents_scd1(spark, sf_dir), fx.INITIAL_LOAD)
-    return dims.scd2_apply(initial, fx.scd2_feed(spark, sf_dir), key="agent_id",
-                           tracked=["base_city"], as_of=fx.CITY_MOVE)
+    def build():
+        initial = dims.scd2_init(agents_scd1(spark, sf_dir), fx.INITIAL_LOAD)
+        return dims.scd2_apply(initial, fx.scd2_feed(spark, sf_dir), key="agent_id",
+                               tracked=["base_city"], as_of=fx.CITY_MOVE)
+    return _shared(spark, "agents_history", sf_dir, build)
 
 
 def agents_current(spark: SparkSession, sf_dir: str) -> DataFrame:
