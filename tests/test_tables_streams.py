@@ -169,3 +169,20 @@ def test_cluster_conf_sizes_partitions():
     assert int(conf["spark.sql.shuffle.partitions"]) == 100 * 1024 ** 4 // (256 * 1024 ** 2)
     small = cluster_conf(10 * 1024 ** 2, total_cores=8)
     assert int(small["spark.sql.shuffle.partitions"]) == 16
+
+
+def test_cluster_layout_spreads_a_hot_value(spark):
+    from tierlake.plans.tables import cluster_layout
+
+    # 90% of the rows share one key value
+    df = spark.range(20000).select(
+        F.when(F.col("id") % 10 == 0, F.col("id") % 7).otherwise(F.lit(0)).alias("k"), "id")
+    path = scratch_path(spark, "t_hot")
+    cluster_layout(df, ["k"], num_files=8).write.parquet(path)
+    files_with_hot = 0
+    for f in _files(path):
+        ks = pq.read_table(f, columns=["k"]).column("k").to_pylist()
+        assert ks == sorted(ks)
+        files_with_hot += 0 in ks
+    assert files_with_hot >= 4                         # the hot value is split, not one file
+    assert spark.read.parquet(path).count() == 20000
