@@ -87,3 +87,30 @@ def test_bad_json_becomes_null_row(spark):
     assert all(v is None for v in out[1])                           # malformed -> all NULL
     assert all(v is None for v in out[2])
     assert out[3].price is None                                     # wrong-typed field -> NULL
+
+
+def test_union_of_stream_and_csv_feeds_cleans_to_the_same_table(spark):
+    from conftest import SF_SMALL
+    from tierlake.operators.clean import union_bronze
+    from tierlake.queries import bronze, silver
+    from tierlake.session import scratch_path
+    from tierlake.sources import fixtures as fx
+    from tierlake.streaming import ingest
+
+    path = scratch_path(spark, "t_union")
+    drops = fx.listing_events(spark, SF_SMALL, dirty=False,
+                              removed_price=F.lit(0).cast("long"), source="csv")
+    ingest.land_csv(drops, f"{path}/batch_001")
+    csv_raw = ingest.with_provenance(
+        spark.read.schema(BRONZE_EVENT).option("header", True)
+        .option("recursiveFileLookup", True).csv(path), as_of=AS_OF)
+    both = union_bronze(bronze(spark, SF_SMALL), csv_raw)
+    assert both.columns == BRONZE_EVENT.fieldNames()
+    merged = clean_events(both, AS_OF)
+    expected = silver(spark, SF_SMALL)
+    assert merged.count() == expected.count() == 1000
+    # (rows compared on the driver: Spark 4.1.2's exceptAll fails on a
+    # dropDuplicates aggregate with an internal attribute-binding error)
+    key = repr
+    assert sorted(map(tuple, merged.collect()), key=key) == \
+        sorted(map(tuple, expected.collect()), key=key)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tierlake.functions.columns import normalized_label, parse_event_time, price_or_zero, trimmed
 from tierlake.operators.dedup import EVENT_KEYS, drop_duplicates
+from tierlake.schemas import BRONZE_EVENT
 
 
 def ingestion_mark(as_of: str | None) -> Column:
@@ -41,3 +42,17 @@ def clean_events(bronze: DataFrame, as_of: str | None = None) -> DataFrame:
     standardisation they are identical and any survivor is the same row.
     """
     return drop_duplicates(standardize(bronze, as_of), EVENT_KEYS)
+
+
+def union_bronze(*raw: DataFrame) -> DataFrame:
+    """All raw feeds (message stream, CSV drops, ...) as one raw table in the
+    stream schema.  Columns a feed lacks are NULL; extra columns (ingestion
+    time, source file) are dropped.  Clean then deduplicates across feeds."""
+    cols = BRONZE_EVENT.fieldNames()
+    out = None
+    for df in raw:
+        part = df.select(*[df[c].cast(BRONZE_EVENT[c].dataType).alias(c) if c in df.columns
+                           else F.lit(None).cast(BRONZE_EVENT[c].dataType).alias(c)
+                           for c in cols])
+        out = part if out is None else out.unionByName(part)
+    return out
