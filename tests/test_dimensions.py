@@ -165,3 +165,12 @@ def test_scd2_invariants(spark, initial, feed):
     again = dims.scd2_apply(out, f, as_of=T1)
     assert canon(again.collect()) == canon(rows)  # idempotent
     assert out.schema == AGENT_SCD2 or [x.name for x in out.schema] == AGENT_SCD2.fieldNames()
+
+
+def test_scd2_key_with_only_closed_versions_continues_numbering(spark):
+    closed = [("1", "n", "C1", "t", 1.0, 1, datetime(2024, 1, 1), datetime(2024, 1, 5), False, 1),
+              ("1", "n", "C2", "t", 1.0, 1, datetime(2024, 1, 5), datetime(2024, 1, 9), False, 2)]
+    hist = spark.createDataFrame(closed, AGENT_SCD2)
+    out = dims.scd2_apply(hist, agents(spark, [a("1", city="C3")]), as_of=T1)
+    assert [(h[0], h[1], h[2]) for h in history_of(out, "1")] == [
+        ("C1", 1, False), ("C2", 2, False), ("C3", 3, True)]

@@ -146,7 +146,9 @@ def scd2_apply(history: DataFrame, changes: DataFrame, key: str = "agent_id",
         "_touched": F.max("_new").over(by_key) == 1,
         "_cur_start": F.max(F.when(~is_new & F.col("is_current"),
                                    F.col("effective_start_date"))).over(by_key),
-        "_same_time": F.sum("_new").over(by_time)})
+        "_same_time": F.sum("_new").over(by_time),
+        # highest version so far, closed ones included: new versions follow it
+        "_base": F.coalesce(F.max("scd_version").over(by_key), F.lit(0))})
     guard = F.when(is_new & (F.col("_same_time") > 1), F.raise_error(F.concat(
         F.lit("change feed has more than one row for key "), F.col(key).cast("string"),
         F.lit(" at one effective time"))))
@@ -168,12 +170,11 @@ def scd2_apply(history: DataFrame, changes: DataFrame, key: str = "agent_id",
                       | (F.row_number().over(seq) == 1))
          .filter("_keep"))
     nxt = F.lead("effective_start_date").over(seq)
-    base = F.coalesce(F.max("scd_version").over(Window.partitionBy(key, "_seq")), F.lit(0))
     n_new = F.sum("_new").over(seq.rowsBetween(Window.unboundedPreceding, 0))
     rebuilt = {
         "effective_end_date": F.when(F.col("_seq"), nxt).otherwise(F.col("effective_end_date")),
         "is_current": F.when(F.col("_seq"), nxt.isNull()).otherwise(F.col("is_current")),
-        "scd_version": F.when(is_new, base + n_new).otherwise(F.col("scd_version"))
+        "scd_version": F.when(is_new, F.col("_base") + n_new).otherwise(F.col("scd_version"))
         .cast("int"),
     }
     out = u.select(*attrs, "effective_start_date",
