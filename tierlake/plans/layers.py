@@ -81,31 +81,41 @@ def run_silver(spark: SparkSession, run: LayerRun, raw: DataFrame, as_of: str |
     return t
 
 
-def run_gold(spark: SparkSession, run: LayerRun, silver: DataFrame, agent_history: DataFrame
-             ) -> dict[str, ParquetTable]:
+MARKET_TABLES = GOLD_TABLES[:4]
+
+
+def run_gold(spark: SparkSession, run: LayerRun, silver: DataFrame,
+             agent_history: DataFrame | None = None) -> dict[str, ParquetTable]:
     """Two passes over the clean events build the summaries every business
     table rolls up from; the summaries are written (lineage cut) and the
     eight tables are built from the written summaries.  Gold 7 reads Gold 5.
+    Without ``agent_history`` only the four market tables are built (one
+    pass).
     """
-    current = agent_history.filter("is_current")
+    builders = [("market_facts", agg.market_facts)]
+    if agent_history is not None:
+        builders.append(("agent_city_facts", star.agent_city_facts))
     summaries = {}
-    for name, build in (("market_facts", agg.market_facts),
-                        ("agent_city_facts", star.agent_city_facts)):
+    for name, build in builders:
         t = run.table(spark, f"summary/{name}")
         _timed(run, f"summary_{name}", lambda t=t, build=build: t.overwrite(build(silver)))
         summaries[name] = t.read()
-    market, agent_city = summaries["market_facts"], summaries["agent_city_facts"]
+    market = summaries["market_facts"]
     frames = {
         "avg_price_by_city": agg.avg_price_by_city_from(market, ordered=False),
         "listing_count_by_event": agg.listing_count_by_event_from(market, ordered=False),
         "price_trend_by_locality": agg.price_trend_by_locality_from(market, ordered=False),
         "top_active_cities": agg.top_active_cities_from(market, ordered=False),
-        "agent_performance": star.agent_performance_from(agent_city, current, ordered=False),
-        "agent_vs_city_benchmark": star.agent_vs_city_benchmark_from(agent_city, current,
-                                                                     ordered=False),
-        "agent_city_movement_impact": star.agent_city_movement_from(agent_city, agent_history,
-                                                                    ordered=False),
     }
+    if agent_history is not None:
+        current, agent_city = agent_history.filter("is_current"), summaries["agent_city_facts"]
+        frames.update({
+            "agent_performance": star.agent_performance_from(agent_city, current, ordered=False),
+            "agent_vs_city_benchmark": star.agent_vs_city_benchmark_from(agent_city, current,
+                                                                         ordered=False),
+            "agent_city_movement_impact": star.agent_city_movement_from(
+                agent_city, agent_history, ordered=False),
+        })
     tables = {}
     for name, df in frames.items():
         if name in GOLD_LAYOUT:
@@ -113,6 +123,8 @@ def run_gold(spark: SparkSession, run: LayerRun, silver: DataFrame, agent_histor
         t = run.table(spark, f"gold/{name}")
         _timed(run, f"gold_{name}", lambda df=df, t=t: t.overwrite(df))
         tables[name] = t
+    if agent_history is None:
+        return tables
     t7 = run.table(spark, "gold/top_agents_by_tier")
     perf = tables["agent_performance"].read()
     _timed(run, "gold_top_agents_by_tier",
