@@ -25,6 +25,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
 
+from tierlake.sources.tables import path_bytes
+
 HISTORY_SCHEMA = StructType([
     StructField("version", LongType(), False),
     StructField("timestamp", TimestampType(), False),
@@ -48,13 +50,6 @@ def write_observed(df: DataFrame, path: str, mode: str = "errorifexists",
     return int(obs.get.get("rows", 0))
 
 
-def path_bytes(spark: SparkSession, path: str) -> int:
-    """Bytes under ``path`` from one file-system summary call (no data read)."""
-    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = jpath.getFileSystem(spark._jsc.hadoopConfiguration())
-    return int(fs.getContentSummary(jpath).getLength())
-
-
 def files_for(spark: SparkSession, path: str, target_file_bytes: int = TARGET_FILE_BYTES) -> int:
     return max(1, math.ceil(path_bytes(spark, path) / target_file_bytes))
 

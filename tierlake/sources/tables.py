@@ -18,12 +18,32 @@ def table_path(sf_dir: str, name: str) -> str:
 
 
 _SCHEMAS: dict[tuple[str, str], object] = {}
+_SPLITS: dict[tuple[str, str], tuple[int, int]] = {}
+
+# A scan with fewer splits than cores is spread over the cores only when the
+# table holds at least this much data (below it one task is fast enough).
+SPREAD_MIN_BYTES = 1024 * 1024
+
+
+def path_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes under ``path`` from one file-system summary call (no data read)."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = jpath.getFileSystem(spark._jsc.hadoopConfiguration())
+    return int(fs.getContentSummary(jpath).getLength())
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
-    """Scan a given table.  Its schema is read from the footer once per
-    session and then passed to the reader (the inputs are immutable), which
-    skips schema inference on every later scan."""
+    """Scan a given table.
+
+    * The schema is read from the footer once per session and then passed
+      to the reader (the inputs are immutable): no schema inference per scan.
+    * A table stored as few unsplittable pieces (one Parquet row group here)
+      yields fewer scan tasks than there are cores; such a scan of at least
+      ``SPREAD_MIN_BYTES`` is round-robin repartitioned over the cores right
+      after column selection, so the expression work and the partial
+      aggregates above it run in parallel.  A large input on a cluster has
+      far more splits than cores and is left exactly as the scan yields it.
+    """
     path = table_path(sf_dir, name)
     key = (spark.sparkContext.applicationId, path)
     schema = _SCHEMAS.get(key)
@@ -32,4 +52,11 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> Da
         _SCHEMAS[key] = df.schema
     else:
         df = spark.read.schema(schema).parquet(path)
-    return df.select(*columns) if columns else df
+    if key not in _SPLITS:
+        _SPLITS[key] = (df.rdd.getNumPartitions(), path_bytes(spark, path))
+    splits, size = _SPLITS[key]
+    out = df.select(*columns) if columns else df
+    cores = spark.sparkContext.defaultParallelism
+    if splits < cores and size >= SPREAD_MIN_BYTES:
+        out = out.repartition(cores)
+    return out
