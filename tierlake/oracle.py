@@ -357,3 +357,44 @@ UNION ALL SELECT 1, 'WRITE',
         "gold_top_agents_by_tier": _final(GOLD7),
         "gold_agent_city_movement_impact": _final(GOLD8)}),
 })
+
+
+# ---------------------------------------------------------------- rounding
+#
+# Spark's ROUND on a DOUBLE rounds the value's shortest decimal text HALF_UP
+# (an average of exactly 4597.525 becomes 4597.53).  DuckDB's ROUND on a
+# DOUBLE works on the binary value (4597.52499999... -> 4597.52).  The
+# reference's rounding is Spark's, so every ``ROUND(x, 2)`` of the oracle is
+# evaluated the same way: shortest text -> DECIMAL -> ROUND -> DOUBLE.
+
+def _spark_round(sql: str) -> str:
+    out, i, token = [], 0, "ROUND("
+    while True:
+        j = sql.find(token, i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        out.append(sql[i:j])
+        depth, k = 0, j + len(token) - 1
+        while True:                      # find the matching ')'
+            if sql[k] == "(":
+                depth += 1
+            elif sql[k] == ")":
+                depth -= 1
+                if depth == 0:
+                    break
+            k += 1
+        inner = sql[j + len(token):k]
+        comma, depth = None, 0
+        for p, ch in enumerate(inner):   # last top-level comma
+            depth += ch == "("
+            depth -= ch == ")"
+            if ch == "," and depth == 0:
+                comma = p
+        expr, places = _spark_round(inner[:comma]), inner[comma + 1:].strip()
+        out.append(f"CAST(ROUND(CAST(CAST({expr} AS VARCHAR) AS DECIMAL(38,17)), {places})"
+                   f" AS DOUBLE)")
+        i = k + 1
+
+
+ORACLE = {key: _spark_round(sql) for key, sql in ORACLE.items()}
