@@ -34,3 +34,22 @@ def test_entry_smoke(spark):
 def test_query_matches_oracle(spark, con, key):
     status, detail = compare(QUERIES[key](spark, SF_SMALL), con, ORACLE[key])
     assert status == "OK", detail
+
+
+SF_BENCH = "/root/testdata/sf0.1"
+
+
+@pytest.fixture(scope="module")
+def con_bench():
+    c = duck_connect(SF_BENCH)
+    yield c
+    c.close()
+
+
+# sf0.1 holds averages of exactly x.xx5 (rounding is where engines differ), and
+# its events file is large enough that the scan is spread over the cores.
+@pytest.mark.parametrize("key", ["gold_price_trend_by_locality", "agent_pre_post_move",
+                                 "silver_clean"])
+def test_bench_scale_keys_match_oracle(spark, con_bench, key):
+    status, detail = compare(QUERIES[key](spark, SF_BENCH), con_bench, ORACLE[key])
+    assert status == "OK", detail
