@@ -25,6 +25,16 @@ _SPLITS: dict[tuple[str, str], tuple[int, int]] = {}
 SPREAD_MIN_BYTES = 1024 * 1024
 
 
+def _size_setting(text: str) -> int:
+    """A byte-size setting as Spark accepts it: ``134217728``, ``128m``, ``1g``."""
+    t = text.strip().lower()
+    for suffix, mult in (("kb", 2**10), ("mb", 2**20), ("gb", 2**30), ("tb", 2**40),
+                         ("k", 2**10), ("m", 2**20), ("g", 2**30), ("t", 2**40), ("b", 1)):
+        if t.endswith(suffix):
+            return int(float(t[:-len(suffix)]) * mult)
+    return int(t)
+
+
 def path_bytes(spark: SparkSession, path: str) -> int:
     """Bytes under ``path`` from one file-system summary call (no data read)."""
     jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -52,11 +62,18 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> Da
         _SCHEMAS[key] = df.schema
     else:
         df = spark.read.schema(schema).parquet(path)
+    cores = spark.sparkContext.defaultParallelism
     if key not in _SPLITS:
-        _SPLITS[key] = (df.rdd.getNumPartitions(), path_bytes(spark, path))
+        size = path_bytes(spark, path)
+        split_bytes = _size_setting(spark.conf.get("spark.sql.files.maxPartitionBytes",
+                                                   "134217728"))
+        if size < SPREAD_MIN_BYTES or size >= cores * split_bytes:
+            splits = cores              # too small to matter, or large enough: no need to look
+        else:
+            splits = df.rdd.getNumPartitions()
+        _SPLITS[key] = (splits, size)
     splits, size = _SPLITS[key]
     out = df.select(*columns) if columns else df
-    cores = spark.sparkContext.defaultParallelism
     if splits < cores and size >= SPREAD_MIN_BYTES:
         out = out.repartition(cores)
     return out
