@@ -186,3 +186,19 @@ def test_cluster_layout_spreads_a_hot_value(spark):
         files_with_hot += 0 in ks
     assert files_with_hot >= 4                         # the hot value is split, not one file
     assert spark.read.parquet(path).count() == 20000
+
+
+def test_run_all_matches_the_registered_queries(spark):
+    from tierlake.plans import layers
+    from tierlake.queries import QUERIES, bronze
+
+    run = layers.LayerRun(scratch_path(spark, "t_run_all"))
+    ingest.land_envelopes(bronze(spark, SF_SMALL), f"{run.root}/landing")
+    tables = layers.run_all(spark, run, f"{run.root}/landing",
+                            fx.agent_master(spark, SF_SMALL), fx.scd1_feed(spark, SF_SMALL),
+                            fx.scd2_feed(spark, SF_SMALL), fx.INITIAL_LOAD, fx.CITY_MOVE,
+                            as_of=fx.SILVER_LOAD, database="tl_run_all")
+    canon = lambda df: sorted((tuple(r) for r in df.collect()), key=repr)
+    assert canon(tables["agent_scd2"].read()) == canon(QUERIES["scd2_apply"](spark, SF_SMALL))
+    gold = spark.table("tl_run_all.agent_performance")
+    assert canon(gold) == canon(QUERIES["gold_agent_performance"](spark, SF_SMALL))

@@ -146,3 +146,45 @@ def point_queries(silver: DataFrame, gold: dict[str, ParquetTable], city: str =
         "gold_locality": gold["price_trend_by_locality"].read()
         .filter(F.col("locality") == locality),
     }
+
+
+def run_dimension(spark: SparkSession, run: LayerRun, master: DataFrame,
+                  scd1_updates: DataFrame | None, scd2_changes: DataFrame | None,
+                  initial_load: str, change_time: str, key: str = "agent_id",
+                  tier_columns: tuple[str, ...] = ("tier",),
+                  tracked: tuple[str, ...] = ("base_city",)) -> ParquetTable:
+    """Agent dimension: type-1 corrections, then the type-2 history (first
+    load, then the day's changes), published as one staged table."""
+    from tierlake.operators import dimensions as dims
+
+    current = master
+    if scd1_updates is not None:
+        current = dims.scd1_upsert(current, scd1_updates, key, tier_columns)
+    history = dims.scd2_init(current, initial_load)
+    if scd2_changes is not None:
+        history = dims.scd2_apply(history, scd2_changes, key, tracked, as_of=change_time)
+    t = run.table(spark, "agent_scd2")
+    _timed(run, "agent_scd2", lambda: t.overwrite(history, "MERGE"))
+    return t
+
+
+def run_all(spark: SparkSession, run: LayerRun, landing: str, master: DataFrame,
+            scd1_updates: DataFrame | None, scd2_changes: DataFrame | None,
+            initial_load: str, change_time: str, as_of: str | None = None,
+            database: str | None = None) -> dict[str, ParquetTable]:
+    """The whole flow: stream the landed messages into the raw table, publish
+    the gated clean table, build the agent dimension, build the business
+    tables, and (with ``database``) register the clean and business tables."""
+    from tierlake.plans import catalog
+
+    raw = run_bronze(spark, run, landing)
+    silver_t = run_silver(spark, run, raw, as_of)
+    agents_t = run_dimension(spark, run, master, scd1_updates, scd2_changes,
+                             initial_load, change_time)
+    tables = {"silver": silver_t, "agent_scd2": agents_t,
+              **run_gold(spark, run, silver_t.read(), agents_t.read())}
+    if database:
+        catalog.create_database(spark, database, f"{run.root}/_db")
+        for name, t in tables.items():
+            catalog.register_table(spark, database, name, t.location())
+    return tables
