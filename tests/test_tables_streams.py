@@ -188,17 +188,27 @@ def test_cluster_layout_spreads_a_hot_value(spark):
     assert spark.read.parquet(path).count() == 20000
 
 
+def canon(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
 def test_run_all_matches_the_registered_queries(spark):
     from tierlake.plans import layers
     from tierlake.queries import QUERIES, bronze
 
     run = layers.LayerRun(scratch_path(spark, "t_run_all"))
     ingest.land_envelopes(bronze(spark, SF_SMALL), f"{run.root}/landing")
+    # the same events also arrive as a CSV drop: the clean table must not change
+    drops = fx.listing_events(spark, SF_SMALL, dirty=False,
+                              removed_price=F.lit(0).cast("long"), source="csv")
+    ingest.land_csv(drops, f"{run.root}/incoming/batch_001")
     tables = layers.run_all(spark, run, f"{run.root}/landing",
                             fx.agent_master(spark, SF_SMALL), fx.scd1_feed(spark, SF_SMALL),
                             fx.scd2_feed(spark, SF_SMALL), fx.INITIAL_LOAD, fx.CITY_MOVE,
-                            as_of=fx.SILVER_LOAD, database="tl_run_all")
-    canon = lambda df: sorted((tuple(r) for r in df.collect()), key=repr)
+                            as_of=fx.SILVER_LOAD, database="tl_run_all",
+                            csv_incoming=f"{run.root}/incoming")
+    assert run.rows["bronze_csv"] == 1000 and run.rows["silver"] == 1000
+    assert canon(tables["silver"].read()) == canon(QUERIES["silver_clean"](spark, SF_SMALL))
     assert canon(tables["agent_scd2"].read()) == canon(QUERIES["scd2_apply"](spark, SF_SMALL))
     gold = spark.table("tl_run_all.agent_performance")
     assert canon(gold) == canon(QUERIES["gold_agent_performance"](spark, SF_SMALL))

@@ -1,6 +1,7 @@
 """The three-tier job: raw stream -> clean table -> business tables.
 
     run_bronze  stream landed message bodies into the raw table (availableNow)
+    run_bronze_csv  stream CSV drops into their raw table (with provenance)
     run_silver  clean + deduplicate the raw table, stage it, run the gates on
                 the staged files, publish only if every gate passes
     run_gold    summarise the published clean table twice (market and agent-city
@@ -67,6 +68,17 @@ def run_bronze(spark: SparkSession, run: LayerRun, landing: str) -> DataFrame:
     return spark.read.schema(BRONZE_EVENT).parquet(out)
 
 
+def run_bronze_csv(spark: SparkSession, run: LayerRun, incoming: str,
+                   as_of: str | None = None) -> DataFrame:
+    """Drain CSV drops (any sub-folder) into their raw table, with ingestion
+    time and source file; returns the raw table."""
+    out, ckpt = f"{run.root}/bronze_csv", f"{run.root}/_checkpoints/bronze_csv"
+    stream = ingest.with_provenance(ingest.csv_stream(spark, incoming, BRONZE_EVENT), as_of)
+    q = _timed(run, "bronze_csv_ingest", lambda: ingest.drain(stream, out, ckpt))
+    run.rows["bronze_csv"] = sum(p["numInputRows"] for p in q.recentProgress)
+    return spark.read.parquet(out)
+
+
 def run_silver(spark: SparkSession, run: LayerRun, raw: DataFrame, as_of: str | None = None
                ) -> ParquetTable:
     """Clean, stage, gate, publish.  Raises ``QualityGateError`` on a failed gate."""
@@ -171,13 +183,18 @@ def run_dimension(spark: SparkSession, run: LayerRun, master: DataFrame,
 def run_all(spark: SparkSession, run: LayerRun, landing: str, master: DataFrame,
             scd1_updates: DataFrame | None, scd2_changes: DataFrame | None,
             initial_load: str, change_time: str, as_of: str | None = None,
-            database: str | None = None) -> dict[str, ParquetTable]:
-    """The whole flow: stream the landed messages into the raw table, publish
-    the gated clean table, build the agent dimension, build the business
-    tables, and (with ``database``) register the clean and business tables."""
+            database: str | None = None, csv_incoming: str | None = None
+            ) -> dict[str, ParquetTable]:
+    """The whole flow: stream the landed messages (and, with ``csv_incoming``,
+    the CSV drops) into raw tables, publish the gated clean table built from
+    all raw feeds, build the agent dimension, build the business tables, and
+    (with ``database``) register the clean and business tables."""
+    from tierlake.operators.clean import union_bronze
     from tierlake.plans import catalog
 
     raw = run_bronze(spark, run, landing)
+    if csv_incoming:
+        raw = union_bronze(raw, run_bronze_csv(spark, run, csv_incoming, as_of))
     silver_t = run_silver(spark, run, raw, as_of)
     agents_t = run_dimension(spark, run, master, scd1_updates, scd2_changes,
                              initial_load, change_time)
