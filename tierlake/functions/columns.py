@@ -42,11 +42,6 @@ def count_where(cond: Column) -> Column:
     return F.count_if(cond)
 
 
-def rounded_avg(c: str | Column, scale: int = 2) -> Column:
-    """``ROUND(AVG(x), scale)`` in double, HALF_UP."""
-    return F.round(F.avg(_col(c)), scale)
-
-
 def positive_or_null(c: str | Column) -> Column:
     """``CASE WHEN x > 0 THEN x END``: feeds AVG/MIN that ignore zero prices."""
     x = _col(c)
