@@ -25,16 +25,6 @@ _SPLITS: dict[tuple[str, str], tuple[int, int]] = {}
 SPREAD_MIN_BYTES = 1024 * 1024
 
 
-def _size_setting(text: str) -> int:
-    """A byte-size setting as Spark accepts it: ``134217728``, ``128m``, ``1g``."""
-    t = text.strip().lower()
-    for suffix, mult in (("kb", 2**10), ("mb", 2**20), ("gb", 2**30), ("tb", 2**40),
-                         ("k", 2**10), ("m", 2**20), ("g", 2**30), ("t", 2**40), ("b", 1)):
-        if t.endswith(suffix):
-            return int(float(t[:-len(suffix)]) * mult)
-    return int(t)
-
-
 def path_bytes(spark: SparkSession, path: str) -> int:
     """Bytes under ``path`` from one file-system summary call (no data read)."""
     jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -52,7 +42,8 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> Da
       ``SPREAD_MIN_BYTES`` is round-robin repartitioned over the cores right
       after column selection, so the expression work and the partial
       aggregates above it run in parallel.  A large input on a cluster has
-      far more splits than cores and is left exactly as the scan yields it.
+      far more splits than cores and is left exactly as the scan yields it
+      (its size is never asked for).
     """
     path = table_path(sf_dir, name)
     key = (spark.sparkContext.applicationId, path)
@@ -64,13 +55,11 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> Da
         df = spark.read.schema(schema).parquet(path)
     cores = spark.sparkContext.defaultParallelism
     if key not in _SPLITS:
-        size = path_bytes(spark, path)
-        split_bytes = _size_setting(spark.conf.get("spark.sql.files.maxPartitionBytes",
-                                                   "134217728"))
-        if size < SPREAD_MIN_BYTES or size >= cores * split_bytes:
-            splits = cores              # too small to matter, or large enough: no need to look
-        else:
-            splits = df.rdd.getNumPartitions()
+        # split planning works on the file statuses the reader already listed;
+        # the byte count (a file-system call) is only needed for a few-split
+        # table, which is also a few-file table
+        splits = df.rdd.getNumPartitions()
+        size = path_bytes(spark, path) if splits < cores else 0
         _SPLITS[key] = (splits, size)
     splits, size = _SPLITS[key]
     out = df.select(*columns) if columns else df
