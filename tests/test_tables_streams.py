@@ -212,3 +212,15 @@ def test_run_all_matches_the_registered_queries(spark):
     assert canon(tables["agent_scd2"].read()) == canon(QUERIES["scd2_apply"](spark, SF_SMALL))
     gold = spark.table("tl_run_all.agent_performance")
     assert canon(gold) == canon(QUERIES["gold_agent_performance"](spark, SF_SMALL))
+
+
+def test_backlog_drains_in_bounded_batches(spark):
+    from tierlake.plans import layers
+
+    run = layers.LayerRun(scratch_path(spark, "t_batches"))
+    events = fx.listing_events(spark, SF_SMALL, dirty=False).repartition(6)
+    ingest.land_envelopes(events, f"{run.root}/landing")               # 6 files
+    raw = layers.run_bronze(spark, run, f"{run.root}/landing", files_per_batch=2)
+    assert raw.count() == run.rows["bronze"] == 1000
+    ckpt_batches = os.listdir(_local(f"{run.root}/_checkpoints/bronze/commits"))
+    assert len([b for b in ckpt_batches if b.isdigit()]) == 3          # 6 files / 2 per batch

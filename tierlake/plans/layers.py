@@ -59,21 +59,31 @@ def _timed(run: LayerRun, name: str, fn):
     return out
 
 
-def run_bronze(spark: SparkSession, run: LayerRun, landing: str) -> DataFrame:
-    """Drain every landed message into the raw table; returns the raw table."""
+def run_bronze(spark: SparkSession, run: LayerRun, landing: str,
+               files_per_batch: int | None = None) -> DataFrame:
+    """Drain every landed message into the raw table; returns the raw table.
+
+    ``files_per_batch`` bounds each micro-batch, so a large backlog is
+    drained as a sequence of committed batches rather than one huge one
+    (a failure then only repeats the uncommitted batch)."""
     out, ckpt = f"{run.root}/bronze", f"{run.root}/_checkpoints/bronze"
-    stream = ingest.decode_json(ingest.envelope_stream(spark, landing), BRONZE_EVENT)
+    stream = ingest.decode_json(
+        ingest.envelope_stream(spark, landing, max_files_per_trigger=files_per_batch),
+        BRONZE_EVENT)
     q = _timed(run, "bronze_ingest", lambda: ingest.drain(stream, out, ckpt))
     run.rows["bronze"] = sum(p["numInputRows"] for p in q.recentProgress)
     return spark.read.schema(BRONZE_EVENT).parquet(out)
 
 
 def run_bronze_csv(spark: SparkSession, run: LayerRun, incoming: str,
-                   as_of: str | None = None) -> DataFrame:
+                   as_of: str | None = None, files_per_batch: int | None = None
+                   ) -> DataFrame:
     """Drain CSV drops (any sub-folder) into their raw table, with ingestion
     time and source file; returns the raw table."""
     out, ckpt = f"{run.root}/bronze_csv", f"{run.root}/_checkpoints/bronze_csv"
-    stream = ingest.with_provenance(ingest.csv_stream(spark, incoming, BRONZE_EVENT), as_of)
+    stream = ingest.with_provenance(
+        ingest.csv_stream(spark, incoming, BRONZE_EVENT, max_files_per_trigger=files_per_batch),
+        as_of)
     q = _timed(run, "bronze_csv_ingest", lambda: ingest.drain(stream, out, ckpt))
     run.rows["bronze_csv"] = sum(p["numInputRows"] for p in q.recentProgress)
     return spark.read.parquet(out)
@@ -183,8 +193,8 @@ def run_dimension(spark: SparkSession, run: LayerRun, master: DataFrame,
 def run_all(spark: SparkSession, run: LayerRun, landing: str, master: DataFrame,
             scd1_updates: DataFrame | None, scd2_changes: DataFrame | None,
             initial_load: str, change_time: str, as_of: str | None = None,
-            database: str | None = None, csv_incoming: str | None = None
-            ) -> dict[str, ParquetTable]:
+            database: str | None = None, csv_incoming: str | None = None,
+            files_per_batch: int | None = None) -> dict[str, ParquetTable]:
     """The whole flow: stream the landed messages (and, with ``csv_incoming``,
     the CSV drops) into raw tables, publish the gated clean table built from
     all raw feeds, build the agent dimension, build the business tables, and
@@ -192,9 +202,10 @@ def run_all(spark: SparkSession, run: LayerRun, landing: str, master: DataFrame,
     from tierlake.operators.clean import union_bronze
     from tierlake.plans import catalog
 
-    raw = run_bronze(spark, run, landing)
+    raw = run_bronze(spark, run, landing, files_per_batch)
     if csv_incoming:
-        raw = union_bronze(raw, run_bronze_csv(spark, run, csv_incoming, as_of))
+        raw = union_bronze(raw, run_bronze_csv(spark, run, csv_incoming, as_of,
+                                               files_per_batch))
     silver_t = run_silver(spark, run, raw, as_of)
     agents_t = run_dimension(spark, run, master, scd1_updates, scd2_changes,
                              initial_load, change_time)
