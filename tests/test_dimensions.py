@@ -174,3 +174,17 @@ def test_scd2_key_with_only_closed_versions_continues_numbering(spark):
     out = dims.scd2_apply(hist, agents(spark, [a("1", city="C3")]), as_of=T1)
     assert [(h[0], h[1], h[2]) for h in history_of(out, "1")] == [
         ("C1", 1, False), ("C2", 2, False), ("C3", 3, True)]
+
+
+def test_scd2_is_generic_over_the_dimension(spark):
+    rows = [("p1", "red", 3), ("p2", "blue", 5)]
+    dim = spark.createDataFrame(rows, "sku string, colour string, size int")
+    hist = dims.scd2_init(dim, T0)
+    feed = spark.createDataFrame([("p1", "green", 3), ("p3", "black", 1)],
+                                 "sku string, colour string, size int")
+    out = dims.scd2_apply(hist, feed, key="sku", tracked=["colour"], as_of=T1)
+    assert out.columns == ["sku", "colour", "size", "effective_start_date",
+                           "effective_end_date", "is_current", "scd_version"]
+    got = sorted((r.sku, r.colour, r.scd_version, r.is_current) for r in out.collect())
+    assert got == [("p1", "green", 2, True), ("p1", "red", 1, False), ("p2", "blue", 1, True),
+                   ("p3", "black", 1, True)]

@@ -13,10 +13,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tierlake.schemas import AGENT_COLUMNS
-
-SCD2_COLUMNS = AGENT_COLUMNS + ["effective_start_date", "effective_end_date", "is_current",
-                                "scd_version"]
 
 
 # ---------------------------------------------------------------- type 1
@@ -125,8 +121,8 @@ def scd2_apply(history: DataFrame, changes: DataFrame, key: str = "agent_id",
     are hash-partitioned on the key; every window below is partitioned by
     the key (plus a flag), which that one shuffle already satisfies.
     """
-    attrs = [c for c in history.columns if c not in SCD2_COLUMNS[len(AGENT_COLUMNS):]]
     meta = ["effective_start_date", "effective_end_date", "is_current", "scd_version"]
+    attrs = [c for c in history.columns if c not in meta]
     start = (F.col(change_time).cast("timestamp") if change_time is not None
              else (F.lit(as_of).cast("timestamp") if isinstance(as_of, str) else as_of))
     feed = changes.select(*[F.col(c) for c in attrs], start.alias("effective_start_date"),
@@ -143,7 +139,6 @@ def scd2_apply(history: DataFrame, changes: DataFrame, key: str = "agent_id",
     by_time = Window.partitionBy(key, "effective_start_date")
     is_new = F.col("_new") == 1
     u = u.withColumns({
-        "_touched": F.max("_new").over(by_key) == 1,
         "_cur_start": F.max(F.when(~is_new & F.col("is_current"),
                                    F.col("effective_start_date"))).over(by_key),
         "_same_time": F.sum("_new").over(by_time),
@@ -152,11 +147,11 @@ def scd2_apply(history: DataFrame, changes: DataFrame, key: str = "agent_id",
     guard = F.when(is_new & (F.col("_same_time") > 1), F.raise_error(F.concat(
         F.lit("change feed has more than one row for key "), F.col(key).cast("string"),
         F.lit(" at one effective time"))))
-    # the sequence to rebuild: the current version of a touched key plus the
-    # feed rows strictly newer than it; everything else passes through.
+    # the sequence to rebuild: the current version of each touched key plus
+    # the feed rows strictly newer than it; closed versions pass through.
     # The guard sits in the filter (evaluated first for every row) rather
     # than in the key column, which must stay the partitioning attribute.
-    in_seq = ((~is_new & F.col("is_current") & F.col("_touched"))
+    in_seq = ((~is_new & F.col("is_current"))
               | (is_new & (F.col("_cur_start").isNull()
                            | (F.col("effective_start_date") > F.col("_cur_start")))))
     u = u.withColumn("_seq", in_seq).filter(
@@ -177,9 +172,8 @@ def scd2_apply(history: DataFrame, changes: DataFrame, key: str = "agent_id",
         "scd_version": F.when(is_new, F.col("_base") + n_new).otherwise(F.col("scd_version"))
         .cast("int"),
     }
-    out = u.select(*attrs, "effective_start_date",
-                   *[rebuilt[c].alias(c) for c in meta[1:]]).select(*SCD2_COLUMNS)
-    return untouched.select(*SCD2_COLUMNS).unionByName(out)
+    out = u.select(*attrs, "effective_start_date", *[rebuilt[c].alias(c) for c in meta[1:]])
+    return untouched.select(*attrs, *meta).unionByName(out)
 
 
 def scd2_current(history: DataFrame) -> DataFrame:
