@@ -117,9 +117,11 @@ def scd2_apply(history: DataFrame, changes: DataFrame, key: str = "agent_id",
 
     Plan: the history is split by the feed's key set (a semi and an anti
     join - broadcast by AQE when the feed is small, so the history is read
-    but not shuffled).  Only the touched keys' rows, unioned with the feed,
-    are hash-partitioned on the key; every window below is partitioned by
-    the key (plus a flag), which that one shuffle already satisfies.
+    but not shuffled).  Closed versions pass through as they are; only the
+    current version of each touched key, the feed rows and one "highest
+    closed version" row per key are hash-partitioned on the key, and every
+    window below is partitioned by the key (plus a flag), which that one
+    shuffle already satisfies.
     """
     meta = ["effective_start_date", "effective_end_date", "is_current", "scd_version"]
     attrs = [c for c in history.columns if c not in meta]
@@ -132,30 +134,37 @@ def scd2_apply(history: DataFrame, changes: DataFrame, key: str = "agent_id",
                           F.lit(1).alias("_new"))
     touched = changes.select(key).distinct()
     untouched = history.join(touched, key, "left_anti")
-    u = (history.join(touched, key, "left_semi").select(*attrs, *meta, F.lit(0).alias("_new"))
-         .unionByName(feed))
+    hist_t = history.join(touched, key, "left_semi")
+    # closed versions of touched keys stay as they are and skip the shuffle;
+    # only their highest version number per key (partially aggregated) joins it
+    closed = hist_t.filter(~F.coalesce(F.col("is_current"), F.lit(False)))
+    newest_closed = closed.groupBy(key).agg(F.max("scd_version").alias("_closed_max"))
+    nulls = {c: F.lit(None).cast(history.schema[c].dataType) for c in attrs + meta if c != key}
+    u = (hist_t.filter(F.col("is_current"))
+         .select(*attrs, *meta, F.lit(0).alias("_new"), F.lit(None).cast("int").alias("_closed_max"))
+         .unionByName(feed.withColumn("_closed_max", F.lit(None).cast("int")))
+         .unionByName(newest_closed.select(F.col(key), *[v.alias(c) for c, v in nulls.items()],
+                                           F.lit(2).alias("_new"), "_closed_max")))
 
     by_key = Window.partitionBy(key)
     by_time = Window.partitionBy(key, "effective_start_date")
-    is_new = F.col("_new") == 1
+    is_new, is_cur = F.col("_new") == 1, F.col("_new") == 0
     u = u.withColumns({
-        "_cur_start": F.max(F.when(~is_new & F.col("is_current"),
-                                   F.col("effective_start_date"))).over(by_key),
-        "_same_time": F.sum("_new").over(by_time),
+        "_cur_start": F.max(F.when(is_cur, F.col("effective_start_date"))).over(by_key),
+        "_same_time": F.sum(F.when(is_new, 1).otherwise(0)).over(by_time),
         # highest version so far, closed ones included: new versions follow it
-        "_base": F.coalesce(F.max("scd_version").over(by_key), F.lit(0))})
+        "_base": F.coalesce(F.max(F.greatest("scd_version", "_closed_max")).over(by_key),
+                            F.lit(0))})
     guard = F.when(is_new & (F.col("_same_time") > 1), F.raise_error(F.concat(
         F.lit("change feed has more than one row for key "), F.col(key).cast("string"),
         F.lit(" at one effective time"))))
     # the sequence to rebuild: the current version of each touched key plus
-    # the feed rows strictly newer than it; closed versions pass through.
-    # The guard sits in the filter (evaluated first for every row) rather
-    # than in the key column, which must stay the partitioning attribute.
-    in_seq = ((~is_new & F.col("is_current"))
-              | (is_new & (F.col("_cur_start").isNull()
-                           | (F.col("effective_start_date") > F.col("_cur_start")))))
-    u = u.withColumn("_seq", in_seq).filter(
-        F.coalesce(guard.cast("boolean"), ~is_new | F.col("_seq")))
+    # the feed rows strictly newer than it.  The guard sits in the filter
+    # (evaluated first for every row) rather than in the key column, which
+    # must stay the partitioning attribute.
+    in_seq = is_cur | (is_new & (F.col("_cur_start").isNull()
+                                 | (F.col("effective_start_date") > F.col("_cur_start"))))
+    u = u.withColumn("_seq", in_seq).filter(F.coalesce(guard.cast("boolean"), F.col("_seq")))
 
     seq = Window.partitionBy(key, "_seq").orderBy("effective_start_date", "_new")
     changed = F.lit(False)
@@ -173,7 +182,8 @@ def scd2_apply(history: DataFrame, changes: DataFrame, key: str = "agent_id",
         .cast("int"),
     }
     out = u.select(*attrs, "effective_start_date", *[rebuilt[c].alias(c) for c in meta[1:]])
-    return untouched.select(*attrs, *meta).unionByName(out)
+    return (untouched.select(*attrs, *meta).unionByName(closed.select(*attrs, *meta))
+            .unionByName(out))
 
 
 def scd2_current(history: DataFrame) -> DataFrame:
