@@ -224,3 +224,23 @@ def test_backlog_drains_in_bounded_batches(spark):
     assert raw.count() == run.rows["bronze"] == 1000
     ckpt_batches = os.listdir(_local(f"{run.root}/_checkpoints/bronze/commits"))
     assert len([b for b in ckpt_batches if b.isdigit()]) == 3          # 6 files / 2 per batch
+
+
+def test_run_log_rejects_a_second_writer_for_the_same_version(spark):
+    import pytest
+    from py4j.protocol import Py4JJavaError
+
+    root = scratch_path(spark, "t_race")
+    writer_a, writer_b = ParquetTable(spark, root), ParquetTable(spark, root)
+    writer_a.overwrite(spark.range(3))
+    path, rows = writer_b.stage(spark.range(5))
+    # writer A publishes version 1 first; B, which also computed version 1, loses
+    original_head = writer_b._head
+    head_before = original_head()
+    writer_a.overwrite(spark.range(4))
+    writer_b._head = lambda: head_before
+    with pytest.raises(Py4JJavaError):
+        writer_b.publish(path, rows)
+    writer_b._head = original_head
+    assert writer_b.read().count() == 4                 # A's snapshot stays current
+    assert [r.version for r in writer_b.history(None).collect()] == [1, 0]
