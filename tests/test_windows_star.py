@@ -84,3 +84,21 @@ def test_movement_and_pre_post(spark):
     pp = sorted((r.agent_id, r.scd_version, r.base_city, r.listings, r.avg_price)
                 for r in star.pre_post_move(s, hist).collect())
     assert pp == [("a", 1, "C1", 1, 100.0), ("a", 2, "C9", 1, 300.0), ("b", 1, "C2", 1, 10.0)]
+
+
+def test_bounded_broadcast_only_under_the_bound(spark):
+    import contextlib
+    import io
+
+    from tierlake.operators.joins import bounded_broadcast
+
+    def logical(df):
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            df.explain(True)
+        return buf.getvalue().split("== Optimized Logical Plan ==")[0]
+
+    small = spark.range(50)
+    assert "broadcast" in logical(bounded_broadcast(small, max_rows=100)).lower()
+    big = spark.range(500)
+    assert bounded_broadcast(big, max_rows=100) is big          # untouched: planner decides
