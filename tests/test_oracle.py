@@ -8,8 +8,11 @@ from tools.check_oracle import compare, duck_connect
 
 from conftest import SF_SMALL
 
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
+from tierlake.io_queries import IO_QUERIES
+from tierlake.oracle import ORACLE
+from tierlake.queries import QUERIES as BATCH_QUERIES
+
+QUERIES = {**BATCH_QUERIES, **IO_QUERIES}
 
 
 @pytest.fixture(scope="module")
@@ -21,6 +24,7 @@ def con():
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
 
 
 def test_entry_smoke(spark):
