@@ -10,9 +10,10 @@ The automaton's transitions are a dense table (state x symbol), so a batch of te
 is parsed in step, one symbol of every text at a time.  Texts of any length are
 parsed whole, in runs of ``RUN`` symbols; a phrase ends at the end of a run.
 
-Training: a bounded sample, ``SAMPLE_ROWS`` labelled rows of each language of least
-hash of the id, ``SAMPLE_CHARS`` symbols at most.  Only these short texts are sent to
-the tasks, and every worker builds its automata once from them.
+Training: a bounded sample, the whole texts of ``SAMPLE_ROWS`` labelled rows of each
+language, of at most ``TEXT_CHARS`` characters, by least hash of the id.  One half is
+learned, the other gives the rate of unseen text.  Only these texts are sent to the
+tasks, and every worker builds its automata once from them.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0; ties go
 to the language with more labelled rows, then by name; a language without a letter in
@@ -31,8 +32,8 @@ from pyspark.sql import functions as F
 
 from tierlake.llm.words import text_slices
 
-SAMPLE_ROWS = 150
-SAMPLE_CHARS = 24_000
+SAMPLE_ROWS = 24
+TEXT_CHARS = 3000
 RUN = 1024
 UNDETERMINED = "und"
 
@@ -147,7 +148,7 @@ class Model:
 
     def _cut(self, texts) -> np.ndarray:
         parts = [self.alphabet.symbols(t + " ") for t in texts]
-        return np.concatenate(parts)[:SAMPLE_CHARS // 2] if parts else np.zeros(0, np.uint8)
+        return np.concatenate(parts) if parts else np.zeros(0, np.uint8)
 
     @staticmethod
     def _runs(symbols: list[np.ndarray]):
@@ -186,34 +187,27 @@ class Model:
         return langs, scores
 
 
-def sample_texts(labelled: DataFrame, key: str, text: str, lang: str,
-                 rows: int = SAMPLE_ROWS) -> tuple[tuple[str, tuple[str, ...]], ...]:
-    """Texts of ``rows`` labelled rows of each language, those of least hash of ``key``;
-    most frequent language first.  The counts are over all rows; what is then
-    fetched is about three times the sample, however large the table is."""
-    counts = labelled.groupBy(lang).count().collect()
-    ordered = sorted(((r[0], r[1]) for r in counts), key=lambda c: (-c[1], c[0]))
+def sample_texts(labelled: DataFrame, key: str, text: str, lang: str, rows: int = SAMPLE_ROWS,
+                 text_chars: int = TEXT_CHARS) -> tuple[tuple[str, tuple[str, ...]], ...]:
+    """Whole texts of ``rows`` labelled rows of each language: of the distinct texts of at
+    most ``text_chars`` characters those of least hash of ``key`` (or the shortest text,
+    where all are longer); most frequent language first.  Counts are over all rows; what
+    is then fetched is about three times the sample, however large the table is."""
+    known = labelled.where(F.length(text) > 0).select(
+        F.col(lang).alias("l"), F.col(text).alias("t"), F.length(text).alias("n"),
+        (F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(1 << 40)) / float(1 << 40)).alias("p"))
+    counts = known.groupBy("l").agg(F.count(F.lit(1)).alias("all"),
+                                    F.count_if(F.col("n") <= text_chars).alias("short"),
+                                    F.min(F.struct("n", "t")).alias("shortest")).select(
+        "l", "all", "short", F.when(F.col("short") == 0, F.col("shortest.t")).alias("t")).collect()
+    ordered = sorted(counts, key=lambda c: (-c["all"], c["l"]))
     if not ordered:
         return ()
-    place = F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(1 << 40)) / float(1 << 40)
-    near = F.create_map(*[F.lit(x) for l, n in ordered for x in (l, min(1.0, 3.0 * rows / n + 1e-12))])
-    got: dict[str, list[tuple[float, str]]] = {l: [] for l, _ in ordered}
-    wanted = (labelled.select(F.col(lang).alias("l"), place.alias("p"), F.substring(text, 1, SAMPLE_CHARS).alias("t"))
-              .where(F.col("p") <= near[F.col("l")]))
-    for r in wanted.toLocalIterator():
+    got = {c["l"]: [(0.0, c["t"])] if c["t"] else [] for c in ordered}
+    near = F.create_map(*[F.lit(x) for c in ordered for x in (c["l"], min(1.0, 3.0 * rows / max(c["short"], 1) + 1e-12))])
+    for r in known.where((F.col("n") <= text_chars) & (F.col("p") <= near[F.col("l")])).toLocalIterator():
         got[r["l"]].append((r["p"], r["t"]))
-    out = []
-    for l, _ in ordered:
-        seen, used, mine = set(), 0, []
-        for _, t in sorted(got[l]):
-            if t not in seen and len(mine) < rows and used < 2 * SAMPLE_CHARS:
-                # no one text is more than a tenth of what is learned
-                t = t[:SAMPLE_CHARS // 10]
-                seen.add(t)
-                mine.append(t)
-                used += len(t)
-        out.append((l, tuple(mine)))
-    return tuple(out)
+    return tuple((l, tuple(list(dict.fromkeys(t for _, t in sorted(mine)))[:rows])) for l, mine in got.items())
 
 
 def identify(documents: DataFrame, sample, text: str = "text") -> DataFrame:

@@ -8,10 +8,10 @@ up to a quota: swaps in both directions, and the room that a shard has left.  Wh
 them move is decided by a hash of the hub, so that groups move together; a group above
 the quota is admitted row by row.
 
-A last step makes sizes exact.  Each shard keeps its rows, groups first in order, up
-to its quota; the rest, groups first and in order again, then rows without links, fills
-the shards' room from the emptiest shard on.  So a group larger than a shard fills whole
-shards, and rows without links are the filler.
+A last step makes sizes exact.  Each shard keeps its linked rows, groups in order, up
+to its quota; linked rows above it, and those that still wanted to move after the last
+round, then fill the shards' room, groups in order, from the emptiest shard on.  So a
+group larger than a shard fills whole shards.  Rows without links are the filler.
 
 Only DataFrame functions are used.  State is a table written every round.  What the
 driver sees are counts per shard and per pair of shards.
@@ -49,8 +49,8 @@ def _quota(total: int, shards: int) -> list[int]:
 
 def propagate(spark: SparkSession, links: DataFrame, total: int, shards: int = SHARDS,
               rounds: int = ROUNDS) -> DataFrame:
-    """(row, hub, n, shard) of linked rows; ``links`` is (row, hub, n), n the hub's rows,
-    ``total`` the number of all rows."""
+    """(row, shard) of linked rows; ``links`` is (row, hub, n), n the hub's rows, ``total``
+    the number of all rows.  Shard is null for a row that found no room where it belongs."""
     state = written(spark, links.select("row").distinct().withColumn(
         "shard", F.pmod(F.xxhash64("row", F.lit(7)), F.lit(shards)).cast("int")), "labels")
     quota = _quota(total, shards)
@@ -89,8 +89,9 @@ def propagate(spark: SparkSession, links: DataFrame, total: int, shards: int = S
         luck = F.pmod(F.when(by_row, F.xxhash64("row", F.lit(turn))).otherwise(F.xxhash64("hub", F.lit(turn))),
                       F.lit(1 << 30)) / float(1 << 30)
         moves = (F.col("shard") != F.col("to")) & (luck < share)
-        state = written(spark, wish.select("row", F.when(moves, F.col("to")).otherwise(F.col("shard")).alias("shard")),
-                        "labels")
+        # after the last round, rows that still want to move are released
+        stay = F.when((F.lit(turn) < rounds - 1) | (F.col("shard") == F.col("to")), F.col("shard"))
+        state = written(spark, wish.select("row", F.when(moves, F.col("to")).otherwise(stay).alias("shard")), "labels")
     return state
 
 
@@ -113,7 +114,8 @@ def _numbered(spark: SparkSession, df: DataFrame, group: str, *order: str) -> Da
 
 
 def settle(spark: SparkSession, rows: DataFrame, shards: int = SHARDS) -> DataFrame:
-    """Exact sizes: ``rows`` is (row, hub, shard, ...), hub and shard null without links."""
+    """Exact sizes: ``rows`` is (row, hub, shard, ...), hub null without links, shard null
+    if the row has none yet."""
     linked, free = rows.where(F.col("shard").isNotNull()), rows.where(F.col("shard").isNull())
     numbered = written(spark, _numbered(spark, linked, "shard", "hub", "row"), "numbered")
     held = {r["shard"]: r["count"] for r in rows.groupBy("shard").count().collect()}
