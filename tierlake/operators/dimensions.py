@@ -23,8 +23,9 @@ def _one_row_per_key(feed: DataFrame, key: str) -> DataFrame:
     rest = [c for c in feed.columns if c != key]
     grouped = feed.groupBy(key).agg(F.count(F.lit(1)).alias("_n"),
                                     *[F.first(c).alias(c) for c in rest])
-    guard = F.when(F.col("_n") > 1, F.raise_error(F.concat(
-        F.lit("merge source has more than one row for key "), F.col(key).cast("string"))))
+    guard = F.when(F.col(key).isNull(), F.raise_error(F.lit("merge source has a row without a key"))) \
+        .when(F.col("_n") > 1, F.raise_error(F.concat(
+            F.lit("merge source has more than one row for key "), F.col(key).cast("string"))))
     return grouped.select(F.coalesce(guard.cast(feed.schema[key].dataType), F.col(key)).alias(key),
                           *[F.col(c) for c in rest])
 
@@ -34,21 +35,17 @@ def scd1_upsert(dim: DataFrame, updates: DataFrame, key: str = "agent_id",
     """MERGE: matched keys take ``set_columns`` from the update (others kept);
     unmatched update rows are inserted whole; no history is kept.
 
-    The work scales with the feed: the dimension is joined to the collapsed
-    feed (left join) and the feed's new keys are found against the matched
-    keys only.  When the feed is small AQE broadcasts it, and the dimension
-    is read without being shuffled.
+    One full outer join on the key: the dimension and the feed are each read
+    once.  A feed row without a key fails the job.
     """
     cols = dim.columns
-    src = _one_row_per_key(updates.select(*cols), key)
-    hits = src.select(key, F.lit(True).alias("_hit"),
-                      *[F.col(c).alias(f"_u_{c}") for c in set_columns])
-    kept = dim.join(hits, key, "left").select(*[
-        F.when(F.col("_hit"), F.col(f"_u_{c}")).otherwise(F.col(c)).alias(c)
-        if c in set_columns else F.col(c) for c in cols])
-    matched = dim.select(key).join(src.select(key), key, "left_semi")
-    inserts = src.join(matched, key, "left_anti").select(*cols)
-    return kept.unionByName(inserts)
+    src = _one_row_per_key(updates.select(*cols), key).select(
+        F.lit(True).alias("_hit"), *[F.col(c).alias(f"_u_{c}") for c in cols])
+    old = dim.withColumn("_old", F.lit(True))
+    merged = old.join(src, F.col(key) == F.col(f"_u_{key}"), "full_outer")
+    from_feed = {c: F.col("_hit") if c in set_columns else F.col("_old").isNull() for c in cols}
+    return merged.select(*[F.when(from_feed[c], F.col(f"_u_{c}")).otherwise(F.col(c)).alias(c)
+                           for c in cols])
 
 
 def change_feed(before: DataFrame, after: DataFrame, key: str) -> DataFrame:
@@ -56,16 +53,19 @@ def change_feed(before: DataFrame, after: DataFrame, key: str) -> DataFrame:
 
     ``_change_type`` is insert, delete, update_preimage or update_postimage;
     unchanged rows are omitted.  Comparison is null-safe on every column.
-    One full outer join on the key (both sides hash-shuffled once).
+    One full outer join on the key (both sides hash-shuffled once).  Rows
+    without a key never match: they are deletes of the old and inserts of
+    the new snapshot.
     """
     cols = [c for c in before.columns]
-    b, a = before.alias("b"), after.alias("a")
+    b = before.withColumn("_in", F.lit(True)).alias("b")
+    a = after.withColumn("_in", F.lit(True)).alias("a")
     j = b.join(a, F.col(f"b.{key}") == F.col(f"a.{key}"), "full_outer")
     same = F.lit(True)
     for c in cols:
         same = same & F.col(f"b.{c}").eqNullSafe(F.col(f"a.{c}"))
-    kind = (F.when(F.col(f"b.{key}").isNull(), F.lit("insert"))
-            .when(F.col(f"a.{key}").isNull(), F.lit("delete"))
+    kind = (F.when(F.col("b._in").isNull(), F.lit("insert"))
+            .when(F.col("a._in").isNull(), F.lit("delete"))
             .when(~same, F.lit("update")))
     j = j.withColumn("_kind", kind).filter(F.col("_kind").isNotNull())
     pre = F.struct(*[F.col(f"b.{c}").alias(c) for c in cols],
@@ -83,8 +83,10 @@ def apply_change_feed(before: DataFrame, changes: DataFrame, key: str) -> DataFr
     """Replay a change feed onto a snapshot (inverse of ``change_feed``)."""
     cols = before.columns
     post = changes.filter(F.col("_change_type").isin("insert", "update_postimage")).select(*cols)
-    gone = changes.filter(F.col("_change_type").isin("delete", "update_preimage")).select(key)
-    return before.join(gone, key, "left_anti").select(*cols).unionByName(post)
+    gone = changes.filter(F.col("_change_type").isin("delete", "update_preimage")).select(
+        F.col(key).alias("_gone"))
+    return (before.join(gone, F.col(key).eqNullSafe(F.col("_gone")), "left_anti")
+            .select(*cols).unionByName(post))
 
 
 # ---------------------------------------------------------------- type 2
@@ -109,69 +111,53 @@ def scd2_apply(history: DataFrame, changes: DataFrame, key: str = "agent_id",
       at the new row's start and stops being current.
     * A key not yet in the history starts at version 1.
     * Feed rows that change nothing, or that are not newer than the key's
-      current version, are ignored - so applying a feed twice changes
-      nothing.
+      current version, leave the history as it is - so applying a feed twice
+      changes nothing.  ``scd2_late`` returns those among them that would
+      have said something new, for the caller to count and keep.
     * Several changes for one key are allowed when ``change_time`` names a
       column giving each row's effective time; otherwise every row takes
-      ``as_of``.  Two feed rows for one key and time fail the job.
-
-    Plan: the history is split by the feed's key set (a semi and an anti
-    join - broadcast by AQE when the feed is small, so the history is read
-    but not shuffled).  Closed versions pass through as they are; only the
-    current version of each touched key, the feed rows and one "highest
-    closed version" row per key are hash-partitioned on the key, and every
-    window below is partitioned by the key (plus a flag), which that one
-    shuffle already satisfies.
+      ``as_of``.  Two feed rows for one key and time, and a feed row without
+      a key, fail the job.
+
+    Plan: history and feed are each read once, united and hash-partitioned
+    on the key; every window is partitioned by the key (plus a flag), which
+    that one shuffle satisfies.
     """
     meta = ["effective_start_date", "effective_end_date", "is_current", "scd_version"]
     attrs = [c for c in history.columns if c not in meta]
-    start = (F.col(change_time).cast("timestamp") if change_time is not None
-             else (F.lit(as_of).cast("timestamp") if isinstance(as_of, str) else as_of))
-    feed = changes.select(*[F.col(c) for c in attrs], start.alias("effective_start_date"),
-                          F.lit(None).cast("timestamp").alias("effective_end_date"),
-                          F.lit(None).cast("boolean").alias("is_current"),
-                          F.lit(None).cast("int").alias("scd_version"),
-                          F.lit(1).alias("_new"))
-    touched = changes.select(key).distinct()
-    untouched = history.join(touched, key, "left_anti")
-    hist_t = history.join(touched, key, "left_semi")
-    # closed versions of touched keys stay as they are and skip the shuffle;
-    # only their highest version number per key (partially aggregated) joins it
-    closed = hist_t.filter(~F.coalesce(F.col("is_current"), F.lit(False)))
-    newest_closed = closed.groupBy(key).agg(F.max("scd_version").alias("_closed_max"))
-    nulls = {c: F.lit(None).cast(history.schema[c].dataType) for c in attrs + meta if c != key}
-    u = (hist_t.filter(F.col("is_current"))
-         .select(*attrs, *meta, F.lit(0).alias("_new"), F.lit(None).cast("int").alias("_closed_max"))
-         .unionByName(feed.withColumn("_closed_max", F.lit(None).cast("int")))
-         .unionByName(newest_closed.select(F.col(key), *[v.alias(c) for c, v in nulls.items()],
-                                           F.lit(2).alias("_new"), "_closed_max")))
+    feed = _dated(changes, attrs, as_of, change_time).select(
+        *attrs, "effective_start_date", F.lit(None).cast("timestamp").alias("effective_end_date"),
+        F.lit(None).cast("boolean").alias("is_current"),
+        F.lit(None).cast("int").alias("scd_version"), F.lit(1).alias("_new"))
+    u = history.select(*attrs, *meta, F.lit(0).alias("_new")).unionByName(feed)
 
     by_key = Window.partitionBy(key)
     by_time = Window.partitionBy(key, "effective_start_date")
-    is_new, is_cur = F.col("_new") == 1, F.col("_new") == 0
+    is_new = F.col("_new") == 1
+    is_cur = ~is_new & F.coalesce(F.col("is_current"), F.lit(False))
     u = u.withColumns({
+        "_touched": F.max("_new").over(by_key) == 1,
         "_cur_start": F.max(F.when(is_cur, F.col("effective_start_date"))).over(by_key),
-        "_same_time": F.sum(F.when(is_new, 1).otherwise(0)).over(by_time),
+        "_same_time": F.sum("_new").over(by_time),
         # highest version so far, closed ones included: new versions follow it
-        "_base": F.coalesce(F.max(F.greatest("scd_version", "_closed_max")).over(by_key),
-                            F.lit(0))})
-    guard = F.when(is_new & (F.col("_same_time") > 1), F.raise_error(F.concat(
-        F.lit("change feed has more than one row for key "), F.col(key).cast("string"),
-        F.lit(" at one effective time"))))
+        "_base": F.coalesce(F.max("scd_version").over(by_key), F.lit(0))})
+    guard = F.when(is_new & F.col(key).isNull(), F.raise_error(F.lit("change feed has a row without a key"))) \
+        .when(is_new & (F.col("_same_time") > 1), F.raise_error(F.concat(
+            F.lit("change feed has more than one row for key "), F.col(key).cast("string"),
+            F.lit(" at one effective time"))))
     # the sequence to rebuild: the current version of each touched key plus
     # the feed rows strictly newer than it.  The guard sits in the filter
     # (evaluated first for every row) rather than in the key column, which
     # must stay the partitioning attribute.
-    in_seq = is_cur | (is_new & (F.col("_cur_start").isNull()
-                                 | (F.col("effective_start_date") > F.col("_cur_start"))))
-    u = u.withColumn("_seq", in_seq).filter(F.coalesce(guard.cast("boolean"), F.col("_seq")))
+    newer = F.col("_cur_start").isNull() | (F.col("effective_start_date") > F.col("_cur_start"))
+    u = (u.withColumn("_seq", F.col("_touched") & (is_cur | (is_new & newer)))
+         .filter(F.coalesce(guard.cast("boolean"), ~is_new | F.col("_seq"))))
 
     seq = Window.partitionBy(key, "_seq").orderBy("effective_start_date", "_new")
     changed = F.lit(False)
     for c in tracked:
         changed = changed | ~F.col(c).eqNullSafe(F.lag(c).over(seq))
-    u = (u.withColumn("_keep", ~F.col("_seq") | ~is_new | changed
-                      | (F.row_number().over(seq) == 1))
+    u = (u.withColumn("_keep", ~is_new | changed | (F.row_number().over(seq) == 1))
          .filter("_keep"))
     nxt = F.lead("effective_start_date").over(seq)
     n_new = F.sum("_new").over(seq.rowsBetween(Window.unboundedPreceding, 0))
@@ -181,9 +167,37 @@ def scd2_apply(history: DataFrame, changes: DataFrame, key: str = "agent_id",
         "scd_version": F.when(is_new, F.col("_base") + n_new).otherwise(F.col("scd_version"))
         .cast("int"),
     }
-    out = u.select(*attrs, "effective_start_date", *[rebuilt[c].alias(c) for c in meta[1:]])
-    return (untouched.select(*attrs, *meta).unionByName(closed.select(*attrs, *meta))
-            .unionByName(out))
+    return u.select(*attrs, "effective_start_date", *[rebuilt[c].alias(c) for c in meta[1:]])
+
+
+def _dated(changes: DataFrame, attrs: Sequence[str], as_of: str | Column | None,
+           change_time: str | None) -> DataFrame:
+    start = (F.col(change_time).cast("timestamp") if change_time is not None
+             else (F.lit(as_of).cast("timestamp") if isinstance(as_of, str) else as_of))
+    return changes.select(*[F.col(c) for c in attrs], start.alias("effective_start_date"))
+
+
+def scd2_late(history: DataFrame, changes: DataFrame, key: str = "agent_id",
+              tracked: Sequence[str] = ("base_city",), as_of: str | Column | None = None,
+              change_time: str | None = None) -> DataFrame:
+    """The feed rows that ``scd2_apply`` leaves out although they say something
+    new: not newer than the key's current version, and different from the
+    version valid at their time (or from a time before the first version)."""
+    attrs = [c for c in history.columns if c not in
+             ("effective_start_date", "effective_end_date", "is_current", "scd_version")]
+    feed = _dated(changes, attrs, as_of, change_time)
+    spans = history.select(F.col(key).alias("_k"), F.col("effective_start_date").alias("_from"),
+                           F.col("effective_end_date").alias("_to"), "is_current",
+                           *[F.col(c).alias(f"_h_{c}") for c in tracked])
+    at = F.col("effective_start_date")
+    valid = (at >= F.col("_from")) & (F.col("_to").isNull() | (at < F.col("_to")))
+    same = F.lit(True)
+    for c in tracked:
+        same = same & F.col(c).eqNullSafe(F.col(f"_h_{c}"))
+    seen = feed.join(spans, F.col(key) == F.col("_k")).groupBy(*attrs, "effective_start_date").agg(
+        F.max(F.when(F.col("is_current"), F.col("_from"))).alias("_cur_start"),
+        F.coalesce(F.max(valid & same), F.lit(False)).alias("_known"))
+    return seen.filter((at <= F.col("_cur_start")) & ~F.col("_known")).select(*attrs, "effective_start_date")
 
 
 def scd2_current(history: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ Sums are doubles, as ``avg`` accumulates them.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tierlake.functions.columns import count_where, positive_or_null
@@ -126,11 +126,11 @@ def agent_city_movement_from(facts: DataFrame, history: DataFrame, ordered: bool
         "agent_id", F.col("city").alias("listing_city"),
         F.col("n_listings").alias("listings_in_city"),
         F.round(ratio(F.col("pos_sum"), F.col("pos_cnt")), 2).alias("avg_price_in_city"))
+    of_agent = Window.partitionBy("agent_id")   # the join's own partitioning
     versions = history.select("agent_id", "agent_name", "scd_version", "effective_start_date",
-                              "effective_end_date")
-    moved = (history.groupBy("agent_id").agg(F.count(F.lit(1)).alias("_versions"))
-             .filter(F.col("_versions") > 1).select("agent_id", F.lit(True).alias("_moved")))
-    j = acp.join(versions, "agent_id", "inner").join(moved, "agent_id", "left")
+                              "effective_end_date",
+                              (F.count(F.lit(1)).over(of_agent) > 1).alias("_moved"))
+    j = acp.join(versions, "agent_id", "inner")
     out = j.select(
         "agent_id", "agent_name", "listing_city", "listings_in_city", "avg_price_in_city",
         F.when(F.col("_moved"), "MOVED CITY").otherwise("STABLE").alias("agent_status"),
@@ -160,12 +160,17 @@ def agent_city_movement(silver: DataFrame, history: DataFrame, ordered: bool = T
 
 def pre_post_move(silver: DataFrame, history: DataFrame) -> DataFrame:
     """Performance per agent version, each event attributed to the version
-    valid at its event time (before vs after a city move)."""
+    valid at its event time (before vs after a city move).
+
+    The version is grouped as one struct.  Its partial sums then meet in a
+    shuffle of their own, so the grouping does not rely on the join's
+    partitioning and AQE is free to split a hot agent's join partition.
+    """
     facts = silver.select("agent_id", "listing_id", "price", "event_timestamp")
-    hist = history.select("agent_id", "scd_version", "base_city", "effective_start_date",
-                          "effective_end_date")
+    version = ["scd_version", "base_city", "effective_start_date", "effective_end_date"]
+    hist = history.select("agent_id", *version)
     j = valid_at(facts, hist, "agent_id", "event_timestamp")
-    return j.groupBy("agent_id", "scd_version", "base_city", "effective_start_date",
-                     "effective_end_date").agg(
+    return j.groupBy(F.struct("agent_id", *version).alias("v")).agg(
         F.count("listing_id").alias("listings"),
-        F.round(F.avg(positive_or_null("price")), 2).alias("avg_price"))
+        F.round(F.avg(positive_or_null("price")), 2).alias("avg_price")).select(
+        "v.*", "listings", "avg_price")

@@ -29,12 +29,18 @@ def create_database(spark: SparkSession, database: str, location: str | None = N
 
 
 def register_table(spark: SparkSession, database: str, table: str, location: str) -> str:
+    """Point the name at ``location``.  Where the published columns differ from
+    the registered ones, the (external) table is dropped and created anew."""
     name = f"{database}.{table}"
     if spark.catalog.tableExists(name):
-        spark.sql(f"ALTER TABLE {_q(name)} SET LOCATION '{location}'")
-        spark.sql(f"REFRESH TABLE {_q(name)}")
-    else:
-        spark.sql(f"CREATE TABLE {_q(name)} USING parquet LOCATION '{location}'")
+        published = spark.read.parquet(location).schema
+        if [(f.name, f.dataType) for f in spark.table(name).schema] == \
+                [(f.name, f.dataType) for f in published]:
+            spark.sql(f"ALTER TABLE {_q(name)} SET LOCATION '{location}'")
+            spark.sql(f"REFRESH TABLE {_q(name)}")
+            return name
+        spark.sql(f"DROP TABLE {_q(name)}")
+    spark.sql(f"CREATE TABLE {_q(name)} USING parquet LOCATION '{location}'")
     return name
 
 

@@ -8,9 +8,9 @@ A table is a folder of snapshot folders plus an append-only run log:
 
 An overwrite always writes a *new* snapshot folder and only then records it
 as current, so a job may read the table it is replacing (Parquet has no
-transaction log; overwriting the folder being read loses data).  Appends
-add files to the current snapshot.  Old snapshots stay on storage.
-Row counts come from ``observe()`` on the write itself - no second scan.
+transaction log; overwriting the folder being read loses data).  An append
+writes a folder of its own, which joins the list of current folders.  Old
+folders stay on storage until ``purge``.  Row counts come from ``observe()`` on the write itself - no second scan.
 """
 
 from __future__ import annotations
@@ -39,14 +39,10 @@ HISTORY_SCHEMA = StructType([
 TARGET_FILE_BYTES = 128 * 1024 * 1024
 
 
-def write_observed(df: DataFrame, path: str, mode: str = "errorifexists",
-                   partition_by: Sequence[str] | None = None) -> int:
+def write_observed(df: DataFrame, path: str) -> int:
     """Write ``df`` as Parquet and return the number of rows written."""
     obs = Observation(f"rows_{uuid.uuid4().hex[:8]}")
-    writer = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode(mode)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.parquet(path)
     return int(obs.get.get("rows", 0))
 
 
@@ -76,6 +72,9 @@ class _FileSystem:
         finally:
             out.close()
 
+    def delete(self, folder: str) -> None:
+        self.fs.delete(self._path(folder), True)
+
     def read(self, path: str) -> str:
         stream = self.fs.open(self._path(path))
         try:
@@ -88,9 +87,9 @@ class ParquetTable:
     """A Parquet table with staged overwrites and a run log.
 
     The run log is one small JSON file per load, ``_history/<version>.json``,
-    created with overwrite disabled: two writers racing for a version cannot
-    both succeed.  Finding the current snapshot is a folder listing, not a
-    Spark job.
+    created with overwrite disabled and numbered after the version the load
+    was made from: of two loads made from one version only the first is
+    recorded, the other fails and changes nothing.
     """
 
     def __init__(self, spark: SparkSession, root: str):
@@ -110,9 +109,14 @@ class ParquetTable:
             return None
         return json.loads(self._fs.read(f"{self.history_path}/{versions[-1]:020d}.json"))
 
-    def _record(self, operation: str, params: dict, rows: int, location: str) -> int:
-        head = self._head()
-        version = 0 if head is None else head["version"] + 1
+    def version(self) -> int:
+        """Number of the last load; -1 before the first."""
+        return max(self._versions(), default=-1)
+
+    def _record(self, operation: str, params: dict, rows: int, location: str, base: int) -> int:
+        """Record a load that was made from version ``base``.  If another load was
+        recorded meanwhile, its file exists and this one fails."""
+        version = base + 1
         entry = {"version": version,
                  "timestamp": datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%S.%f"),
                  "operation": operation, "operation_parameters": json.dumps(params, sort_keys=True),
@@ -121,14 +125,22 @@ class ParquetTable:
         return version
 
     # ------------------------------------------------------------ reads
-    def location(self) -> str:
+    def locations(self) -> list[str]:
+        """The current version's folders: one snapshot and one per append since."""
         head = self._head()
         if head is None:
             raise FileNotFoundError(f"table at {self.root} has no data yet")
-        return head["location"]
+        return head["location"].split(",")
+
+    def location(self) -> str:
+        """The one folder of a table without appends, for path-addressed readers."""
+        found = self.locations()
+        if len(found) > 1:
+            raise ValueError(f"table at {self.root} has appended folders; compact() it first")
+        return found[0]
 
     def read(self) -> DataFrame:
-        return self.spark.read.parquet(self.location())
+        return self.spark.read.parquet(*self.locations())
 
     def history(self, limit: int | None = 5) -> DataFrame:
         """Most recent loads first (``DESCRIBE HISTORY .. LIMIT n``)."""
@@ -145,56 +157,83 @@ class ParquetTable:
         per_file = df.groupBy("f", "s").agg(F.count(F.lit(1)).alias("n"))
         return per_file.agg(
             F.lit("parquet").alias("format"),
-            F.lit(self.location()).alias("location"),
+            F.lit(",".join(self.locations())).alias("location"),
             F.count(F.lit(1)).alias("num_files"),
             F.coalesce(F.sum("s"), F.lit(0)).cast("long").alias("size_in_bytes"),
             F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("num_rows"))
 
     # ------------------------------------------------------------ writes
-    def stage(self, df: DataFrame, partition_by: Sequence[str] | None = None
-              ) -> tuple[str, int]:
+    def stage(self, df: DataFrame) -> tuple[str, int]:
         """Write a snapshot folder that readers do not see yet."""
         path = f"{self.root}/snapshot-{uuid.uuid4().hex}"
-        return path, write_observed(df, path, partition_by=partition_by)
+        return path, write_observed(df, path)
 
-    def publish(self, path: str, rows: int, operation: str = "WRITE", **params) -> int:
-        """Make a staged snapshot the current one."""
-        return self._record(operation, {"mode": "Overwrite", **params}, rows, path)
+    def publish(self, path: str, rows: int, operation: str = "WRITE", base: int | None = None,
+                **params) -> int:
+        """Make a staged snapshot the current one.  ``base`` is the version it was made
+        from; a load recorded since then fails this one."""
+        return self._record(operation, {"mode": "Overwrite", **params}, rows, path,
+                            self.version() if base is None else base)
 
-    def overwrite(self, df: DataFrame, operation: str = "WRITE",
-                  partition_by: Sequence[str] | None = None, **params) -> int:
+    def overwrite(self, df: DataFrame, operation: str = "WRITE", base: int | None = None,
+                  **params) -> int:
         """Staged overwrite: new snapshot folder, then recorded as current.
         The new schema replaces the old one (``overwriteSchema``)."""
-        path, rows = self.stage(df, partition_by)
-        return self.publish(path, rows, operation, **params)
+        base = self.version() if base is None else base
+        path, rows = self.stage(df)
+        return self.publish(path, rows, operation, base, **params)
 
     def append(self, df: DataFrame, operation: str = "WRITE", **params) -> int:
-        head = self._head()
-        if head is None:
+        """New rows in a folder of their own; no folder that readers use is written to."""
+        base = self.version()
+        if base < 0:
             return self.overwrite(df, operation, **params)
-        rows = write_observed(df, head["location"], mode="append")
-        return self._record(operation, {"mode": "Append", **params}, rows, head["location"])
+        held = self.locations()
+        path, rows = self.stage(df)
+        return self._record(operation, {"mode": "Append", **params}, rows, ",".join([*held, path]), base)
 
     def compact(self, target_file_bytes: int = TARGET_FILE_BYTES) -> int:
-        """Rewrite the current snapshot into files of about the target size
+        """Rewrite the current version into files of about the target size
         (same rows, fewer files).  The file count comes from the bytes on
-        storage; ``repartition(n)`` spreads rows evenly over them."""
-        n = files_for(self.spark, self.location(), target_file_bytes)
-        return self.overwrite(self.read().repartition(n), "OPTIMIZE", files=n)
+        storage; scan tasks are merged without a shuffle."""
+        base = self.version()
+        n = sum(files_for(self.spark, p, target_file_bytes) for p in self.locations())
+        return self.overwrite(self.read().coalesce(n), "OPTIMIZE", base, files=n)
+
+    def purge(self) -> list[str]:
+        """Delete the folders that the current version does not use, for good (rows
+        removed by ``delete_keys`` are then off storage).  Returns their names."""
+        held = {p.rsplit("/", 1)[-1] for p in self.locations()}
+        gone = [n for n in self._fs.names(self.root) if n.startswith("snapshot-") and n not in held]
+        for n in gone:
+            self._fs.delete(f"{self.root}/{n}")
+        return gone
 
     def cluster_by(self, columns: Sequence[str], target_file_bytes: int = TARGET_FILE_BYTES
                    ) -> int:
         """Rewrite with rows range-partitioned and sorted on ``columns`` so
         each file covers a narrow min/max range and Parquet statistics skip
         files and row groups on equality/range filters."""
-        n = files_for(self.spark, self.location(), target_file_bytes)
+        base = self.version()
+        n = sum(files_for(self.spark, p, target_file_bytes) for p in self.locations())
         clustered = cluster_layout(self.read(), columns, n)
-        return self.overwrite(clustered, "OPTIMIZE", clusterBy=list(columns), files=n)
+        return self.overwrite(clustered, "OPTIMIZE", base, clusterBy=list(columns), files=n)
 
     def delete_keys(self, keys: DataFrame, on: Sequence[str] | str) -> int:
-        """Remove every row whose key is in ``keys`` (left anti join)."""
+        """Remove every row whose key is in ``keys`` (left anti join).  ``purge`` then
+        takes the superseded folders off storage."""
+        base = self.version()
         kept = delete_by_key(self.read(), keys, on)
-        return self.overwrite(kept, "DELETE", on=[on] if isinstance(on, str) else list(on))
+        return self.overwrite(kept, "DELETE", base, on=[on] if isinstance(on, str) else list(on))
+
+
+def compact_stream_output(spark: SparkSession, path: str, table: ParquetTable,
+                          target_file_bytes: int = TARGET_FILE_BYTES) -> int:
+    """A stream sink's committed files as a table of files of about the target size.
+    The sink's folder stays as it is: its log belongs to the running stream."""
+    base = table.version()
+    n = files_for(spark, path, target_file_bytes)
+    return table.overwrite(spark.read.parquet(path).coalesce(n), "OPTIMIZE", base, files=n)
 
 
 def cluster_layout(df: DataFrame, columns: Sequence[str], num_files: int | None = None

@@ -68,13 +68,16 @@ def cluster_conf(input_bytes: int, total_cores: int,
 def shared_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Read from the session.  Only when it is unset (a test or a laptop) do
-    we pick a fresh local folder and register it as the checkpoint dir.
+    Read from the session.  Only when it is unset in local mode (a test or a
+    laptop) do we pick a fresh local folder and register it as the checkpoint
+    dir; on a cluster an unset folder is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="tierlake-")
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")

@@ -17,7 +17,7 @@ Fixed values of the mapping (they must equal the oracle SQL):
   agents      id c_custkey, name c_name, base_city nation name, tier
               c_mktsegment, rating c_acctbal, total_deals c_custkey % 300
   SCD1 feed   c_custkey % 10 = 3 -> tier 'BUILDING';
-              c_custkey % 300 = 7 -> new agent c_custkey + 1000000, 0 deals
+              c_custkey % 300 = 7 -> new agent 'N' || c_custkey, 0 deals
   SCD2 feed   c_custkey % 10 = 0 -> base_city of nation (c_nationkey + 7) % 25
   times       initial load 2024-01-01, city moves 2024-01-15,
               silver load 2024-01-31
@@ -28,7 +28,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierlake.operators.joins import bounded_broadcast
 from tierlake.schemas import AGENT_COLUMNS, NEW_LISTING, PRICE_CHANGE, REMOVED
 from tierlake.sources.tables import read_table
 
@@ -36,7 +35,7 @@ INITIAL_LOAD = "2024-01-01 00:00:00"
 CITY_MOVE = "2024-01-15 00:00:00"
 SILVER_LOAD = "2024-01-31 00:00:00"
 SCD1_NEW_TIER = "BUILDING"
-INSERTED_KEY_OFFSET = 1_000_000
+INSERTED_KEY_PREFIX = "N"      # no number can equal it, however many customers there are
 N_NATIONS = 25
 
 
@@ -45,14 +44,14 @@ def ts_lit(value: str) -> Column:
 
 
 def geography(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """nation key -> (city, locality): 25 rows at every scale, broadcast
-    once its row count is proven small."""
+    """nation key -> (city, locality): 25 rows at every scale.  The planner
+    broadcasts it by its size; nothing is hinted."""
     nation = read_table(spark, sf_dir, "nation", "n_nationkey", "n_name", "n_regionkey")
     region = read_table(spark, sf_dir, "region", "r_regionkey", "r_name")
     geo = (nation.join(region, nation.n_regionkey == region.r_regionkey, "left")
            .select("n_nationkey", F.col("r_name").alias("city"),
                    F.col("n_name").alias("locality")))
-    return bounded_broadcast(geo, cache_key=("geography", sf_dir))
+    return geo
 
 
 def _event_type(raw: Column) -> Column:
@@ -150,7 +149,7 @@ def scd1_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = _agent_select(cust, geo, cust.c_nationkey).withColumn("_key", F.col("agent_id").cast("bigint"))
     is_new = F.col("_key") % 300 == 7
     return base.select(
-        F.when(is_new, (F.col("_key") + INSERTED_KEY_OFFSET).cast("string"))
+        F.when(is_new, F.concat(F.lit(INSERTED_KEY_PREFIX), F.col("agent_id")))
         .otherwise(F.col("agent_id")).alias("agent_id"),
         "agent_name", "base_city",
         F.when(is_new, F.col("tier")).otherwise(F.lit(SCD1_NEW_TIER)).alias("tier"),

@@ -17,14 +17,6 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
-_SCHEMAS: dict[tuple[str, str], object] = {}
-_SPLITS: dict[tuple[str, str], tuple[int, int]] = {}
-
-# A scan with fewer splits than cores is spread over the cores only when the
-# table holds at least this much data (below it one task is fast enough).
-SPREAD_MIN_BYTES = 1024 * 1024
-
-
 def path_bytes(spark: SparkSession, path: str) -> int:
     """Bytes under ``path`` from one file-system summary call (no data read)."""
     jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -33,36 +25,6 @@ def path_bytes(spark: SparkSession, path: str) -> int:
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
-    """Scan a given table.
-
-    * The schema is read from the footer once per session and then passed
-      to the reader (the inputs are immutable): no schema inference per scan.
-    * A table stored as few unsplittable pieces (one Parquet row group here)
-      yields fewer scan tasks than there are cores; such a scan of at least
-      ``SPREAD_MIN_BYTES`` is round-robin repartitioned over the cores right
-      after column selection, so the expression work and the partial
-      aggregates above it run in parallel.  A large input on a cluster has
-      far more splits than cores and is left exactly as the scan yields it
-      (its size is never asked for).
-    """
-    path = table_path(sf_dir, name)
-    key = (spark.sparkContext.applicationId, path)
-    schema = _SCHEMAS.get(key)
-    if schema is None:
-        df = spark.read.parquet(path)
-        _SCHEMAS[key] = df.schema
-    else:
-        df = spark.read.schema(schema).parquet(path)
-    cores = spark.sparkContext.defaultParallelism
-    if key not in _SPLITS:
-        # split planning works on the file statuses the reader already listed;
-        # the byte count (a file-system call) is only needed for a few-split
-        # table, which is also a few-file table
-        splits = df.rdd.getNumPartitions()
-        size = path_bytes(spark, path) if splits < cores else 0
-        _SPLITS[key] = (splits, size)
-    splits, size = _SPLITS[key]
-    out = df.select(*columns) if columns else df
-    if splits < cores and size >= SPREAD_MIN_BYTES:
-        out = out.repartition(cores)
-    return out
+    """Scan a given table, pruned to ``columns``; its splits are the reader's own."""
+    df = spark.read.parquet(table_path(sf_dir, name))
+    return df.select(*columns) if columns else df
