@@ -188,3 +188,53 @@ def test_scd2_is_generic_over_the_dimension(spark):
     got = sorted((r.sku, r.colour, r.scd_version, r.is_current) for r in out.collect())
     assert got == [("p1", "green", 2, True), ("p1", "red", 1, False), ("p2", "blue", 1, True),
                    ("p3", "black", 1, True)]
+
+
+def test_rows_without_key_and_late_rows(spark):
+    import pytest
+
+    hist = dims.scd2_init(spark.createDataFrame([("1", "A", 1), (None, "B", 1)], "k string, city string, n int"),
+                          "2024-01-01 00:00:00")
+    bad = spark.createDataFrame([(None, "C", 1)], "k string, city string, n int")
+    with pytest.raises(Exception, match="without a key"):
+        dims.scd2_apply(hist, bad, "k", ["city"], as_of="2024-02-01 00:00:00").collect()
+    with pytest.raises(Exception, match="without a key"):
+        dims.scd1_upsert(hist.select("k", "city", "n"), bad, "k", ["city"]).collect()
+    feed = spark.createDataFrame([("1", "C", 1)], "k string, city string, n int")
+    now = dims.scd2_apply(hist, feed, "k", ["city"], as_of="2024-02-01 00:00:00")
+    assert now.count() == 3
+    late = spark.createDataFrame([("1", "D", 1)], "k string, city string, n int")
+    for when, n in (("2023-06-01 00:00:00", 1), ("2024-01-20 00:00:00", 1), ("2024-03-01 00:00:00", 0)):
+        assert dims.scd2_late(now, late, "k", ["city"], as_of=when).count() == n
+    assert dims.scd2_late(now, feed, "k", ["city"], as_of="2024-02-01 00:00:00").count() == 0
+    assert dims.scd2_apply(now, late, "k", ["city"], as_of="2023-06-01 00:00:00").count() == 3
+    same = hist.select("k", "city", "n")
+    kinds = [r[0] for r in dims.change_feed(same, same.filter("k = '1'"), "k").select("_change_type").collect()]
+    assert kinds == ["delete"]
+
+
+def test_merges_read_each_input_once(spark):
+    from tierlake.operators import star
+    from tierlake.session import scratch_path
+    import contextlib
+    import io
+
+    def scans(df):
+        out = io.StringIO()
+        with contextlib.redirect_stdout(out):
+            df.explain("simple")
+        return out.getvalue().count("FileScan")
+
+    def table(df):
+        path = scratch_path(spark, "t_scans")
+        df.write.parquet(path)
+        return spark.read.parquet(path)
+    master = table(spark.createDataFrame([("1", "A", 1)], "agent_id string, base_city string, tier int"))
+    feed = table(spark.createDataFrame([("1", "B", 2)], "agent_id string, base_city string, tier int"))
+    assert scans(dims.scd1_upsert(master, feed)) == 2
+    history = table(dims.scd2_init(master.selectExpr("agent_id", "'x' AS agent_name", "base_city", "tier"),
+                                   "2024-01-01 00:00:00"))
+    moves = feed.selectExpr("agent_id", "'x' AS agent_name", "base_city", "tier")
+    assert scans(dims.scd2_apply(history, moves, as_of="2024-01-15 00:00:00")) == 2
+    facts = table(spark.sql("SELECT '1' agent_id, 'A' city, 1L n_listings, 1D pos_sum, 1L pos_cnt"))
+    assert scans(star.agent_city_movement_from(facts, history)) == 2

@@ -226,21 +226,78 @@ def test_backlog_drains_in_bounded_batches(spark):
     assert len([b for b in ckpt_batches if b.isdigit()]) == 3          # 6 files / 2 per batch
 
 
-def test_run_log_rejects_a_second_writer_for_the_same_version(spark):
+def test_overwrite_during_an_append_fails_one_side_and_loses_nothing(spark):
     import pytest
     from py4j.protocol import Py4JJavaError
 
     root = scratch_path(spark, "t_race")
-    writer_a, writer_b = ParquetTable(spark, root), ParquetTable(spark, root)
-    writer_a.overwrite(spark.range(3))
-    path, rows = writer_b.stage(spark.range(5))
-    # writer A publishes version 1 first; B, which also computed version 1, loses
-    original_head = writer_b._head
-    head_before = original_head()
-    writer_a.overwrite(spark.range(4))
-    writer_b._head = lambda: head_before
+    a, b = ParquetTable(spark, root), ParquetTable(spark, root)
+    a.overwrite(spark.range(10))
+    stage = b.stage
+
+    def slow_stage(df):                      # A's overwrite lands while B appends
+        a.overwrite(spark.range(100))
+        return stage(df)
+    b.stage = slow_stage
     with pytest.raises(Py4JJavaError):
-        writer_b.publish(path, rows)
-    writer_b._head = original_head
-    assert writer_b.read().count() == 4                 # A's snapshot stays current
-    assert [r.version for r in writer_b.history(None).collect()] == [1, 0]
+        b.append(spark.range(5))
+    assert a.read().count() == 100
+    assert [r.version for r in a.history(None).collect()] == [1, 0]
+    path, rows = stage(spark.range(3))
+    with pytest.raises(Py4JJavaError):
+        a.publish(path, rows, base=0)
+    b.stage = stage
+    b.append(spark.range(5))
+    assert a.read().count() == 105
+    with pytest.raises(ValueError):
+        a.location()
+    a.compact()
+    assert spark.read.parquet(a.location()).count() == 105
+
+
+def test_purge_takes_deleted_rows_off_storage(spark):
+    t = ParquetTable(spark, scratch_path(spark, "t_purge"))
+    t.overwrite(spark.range(10))
+    t.delete_keys(spark.range(4), "id")
+    assert len(t.purge()) == 1 and t.purge() == []
+    assert sorted(r.id for r in spark.read.parquet(f"{t.root}/snapshot-*").collect()) == list(range(4, 10))
+
+
+def test_registration_follows_changed_columns(spark):
+    root = scratch_path(spark, "t_schema")
+    t = ParquetTable(spark, f"{root}/t")
+    catalog.create_database(spark, "t_schema_db", f"{root}/_db")
+    t.overwrite(spark.range(3).selectExpr("id", "id * 2 AS a"))
+    catalog.register_table(spark, "t_schema_db", "t", t.location())
+    t.overwrite(spark.range(3).selectExpr("id", "string(id) AS b"))
+    catalog.register_table(spark, "t_schema_db", "t", t.location())
+    assert spark.table("t_schema_db.t").columns == ["id", "b"]
+    assert spark.table("t_schema_db.t").filter("b IS NULL").count() == 0
+
+
+def test_ingest_count_is_the_table_and_its_output_compacts(spark):
+    from tierlake.plans.tables import compact_stream_output
+
+    run = layers.LayerRun(scratch_path(spark, "t_progress"))
+    events = fx.listing_events(spark, SF_SMALL, dirty=False)
+    ingest.land_envelopes(events.repartition(12), f"{run.root}/landing")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "3")
+    try:
+        raw = layers.run_bronze(spark, run, f"{run.root}/landing", files_per_batch=1)
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+    assert run.rows["bronze"] == raw.count() == events.count()
+    t = run.table(spark, "bronze_compact")
+    compact_stream_output(spark, f"{run.root}/bronze", t)
+    assert len(_files(t.location())) == 1 < len(_files(f"{run.root}/bronze"))
+    assert t.read().exceptAll(raw).count() == 0 and t.read().count() == raw.count()
+
+
+def test_uniqueness_and_timeliness_gates_stop_publishing(spark):
+    import pytest
+
+    from tierlake.operators.quality import QualityGateError
+    run = layers.LayerRun(scratch_path(spark, "t_gates"))
+    with pytest.raises(QualityGateError, match="timeliness"):
+        layers.run_silver(spark, run, bronze(spark, SF_SMALL), fx.SILVER_LOAD, max_age_days=7)
+    assert run.table(spark, "silver").version() == -1

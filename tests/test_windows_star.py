@@ -86,19 +86,18 @@ def test_movement_and_pre_post(spark):
     assert pp == [("a", 1, "C1", 1, 100.0), ("a", 2, "C9", 1, 300.0), ("b", 1, "C2", 1, 10.0)]
 
 
-def test_bounded_broadcast_only_under_the_bound(spark):
-    import contextlib
-    import io
-
-    from tierlake.operators.joins import bounded_broadcast
-
-    def logical(df):
-        buf = io.StringIO()
-        with contextlib.redirect_stdout(buf):
-            df.explain(True)
-        return buf.getvalue().split("== Optimized Logical Plan ==")[0]
-
-    small = spark.range(50)
-    assert "broadcast" in logical(bounded_broadcast(small, max_rows=100)).lower()
-    big = spark.range(500)
-    assert bounded_broadcast(big, max_rows=100) is big          # untouched: planner decides
+def test_report_orders(spark):
+    from tierlake.queries import QUERIES
+    from conftest import SF_SMALL
+
+    def sequence(key, *cols):
+        return [tuple(r[c] for c in cols) for r in QUERIES[key](spark, SF_SMALL).collect()]
+
+    for key, col in (("gold_avg_price_by_city", "avg_price"), ("gold_agent_performance", "total_listings"),
+                     ("gold_agent_vs_city_benchmark", "pct_above_city_avg")):
+        found = sequence(key, col)
+        assert found == sorted(found, reverse=True), key
+    for key, cols in (("gold_top_agents_by_tier", ("tier", "rank_within_tier")),
+                      ("gold_agent_city_movement", ("agent_id", "scd_version"))):
+        found = sequence(key, *cols)
+        assert found == sorted(found), key
