@@ -276,6 +276,9 @@ def test_registration_follows_changed_columns(spark):
 
 
 def test_ingest_count_is_the_table_and_its_output_compacts(spark):
+    from tierlake.plans import layers
+    from tierlake.queries import bronze
+
     from tierlake.plans.tables import compact_stream_output
 
     run = layers.LayerRun(scratch_path(spark, "t_progress"))
@@ -294,6 +297,9 @@ def test_ingest_count_is_the_table_and_its_output_compacts(spark):
 
 
 def test_uniqueness_and_timeliness_gates_stop_publishing(spark):
+    from tierlake.plans import layers
+    from tierlake.queries import bronze
+
     import pytest
 
     from tierlake.operators.quality import QualityGateError
