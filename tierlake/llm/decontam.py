@@ -8,8 +8,9 @@ found holds all places where its opening window occurs verbatim, and chained
 places give the longest matches.  A document word inside such a match is hit.
 
 The benchmark is a stated test set.  It is read in blocks of at most
-``BLOCK_WORDS`` words, so what a task holds of it is bounded; each block is
-searched in all shards and the spans found are merged.
+``BLOCK_WORDS`` words, so what the driver and a task hold of it is bounded; each
+block is searched in all shards, what it found is written to the shared folder, and
+the next block's spans are merged with it.
 
 Defined cases: a null or wordless text has no words and no hits; an item without
 words matches nothing; items with one id count as one; a null item id counts as
@@ -27,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tierlake.llm.components import written
 from tierlake.llm.words import text_slices, word_hashes
 
 WINDOW = 10
@@ -146,13 +148,16 @@ def find_matches(documents: DataFrame, benchmark: DataFrame, text: str = "text",
     kept = [f for f in documents.schema if f.name != text]
     made = [T.StructField(N_WORDS, T.LongType()), T.StructField(SPANS, spans),
             T.StructField(ITEMS, T.ArrayType(benchmark.schema[item_id].dataType))]
-    blocks = list(_blocks(benchmark, item_id, item_text))
     out = documents
-    for k, (ids, texts) in enumerate(blocks):
-        last = [] if k == len(blocks) - 1 else [T.StructField(text, T.StringType())]
-        schema = T.StructType(kept + last + made)
-        out = out.mapInArrow(_mapper(TestSuffixes(texts, ids, window), text,
-                                     to_arrow_schema(schema)), schema)
+    blocks = _blocks(benchmark, item_id, item_text)
+    block = next(blocks)
+    while block:
+        tests = TestSuffixes(block[1], block[0], window)
+        block = next(blocks, None)           # one block is held, beside the one searched
+        schema = T.StructType(kept + ([T.StructField(text, T.StringType())] if block else []) + made)
+        out = out.mapInArrow(_mapper(tests, text, to_arrow_schema(schema)), schema)
+        if block:
+            out = written(documents.sparkSession, out, "decontam")
     return out
 
 
