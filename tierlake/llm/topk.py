@@ -144,12 +144,12 @@ def _search(k: int):
 
 def top_k(spark: SparkSession, vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     """(query_id, rank, vec_id, score) for ``queries`` against ``vectors`` (both id, v)."""
-    index = written(spark, vectors.mapInArrow(_pack(INDEX_BLOCK), _PACKED), "impact_index")
+    blocks = written(spark, vectors.mapInArrow(_pack(INDEX_BLOCK), _PACKED)
+                     .withColumn("i_block", F.monotonically_increasing_id()), "impact_index")
     asked = queries.mapInArrow(_pack(QUERY_BLOCK), _PACKED).select(
         F.col("ids").alias("q_ids"), F.col("m").alias("q_m"), F.col("wide").alias("q_wide"))
     asked = written(spark, asked.withColumn("q_block", F.monotonically_increasing_id()), "queries")
     # every index block meets every query block: block rows, not vectors
-    blocks = index.withColumn("i_block", F.monotonically_increasing_id())
     units = (blocks.select("i_block").crossJoin(asked.select("q_block"))
              .repartition("i_block", "q_block")
              .join(blocks, "i_block").join(asked, "q_block")
