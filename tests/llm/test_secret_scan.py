@@ -53,6 +53,17 @@ def test_edges_and_redaction(spark):
     clean = {r["doc_id"]: r["text"] for r in ss.redact(found).collect()}
     assert clean[0] is None and clean[2] == "token=short [SECRET]" and clean[6] == "é [SECRET]" and clean[8] == "f" * 31
     assert ss.digest(ss.find_secrets(spark, docs.limit(0))).count() == 0
+    assert ss.redact(found.limit(0)).count() == 0
+
+
+def test_many_spans_of_one_text():
+    text = "secret=abcdefgh12 " * 20_000 + "x" * 30
+    known = ss.known_spans(text)
+    assert len(known) == 20_000
+    assert [c[:2] for c in ss.candidates(text, known)] == [(len(text) - 30, len(text))]
+    spans = [{"start": a, "end": b} for _, a, b in known]
+    assert ss.masked(text, spans, "*") == "* " * 20_000 + "x" * 30
+    assert ss.masked("abcdef", [{"start": 1, "end": 4}, {"start": 2, "end": 3}, {"start": 4, "end": 5}], "*") == "a**f"
 
 
 def test_battery_adds_random_tokens_only(spark):

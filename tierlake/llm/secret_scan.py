@@ -26,8 +26,10 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -165,9 +167,12 @@ def p_bin(p: float) -> int:
 def candidates(text: str, known: list[tuple[str, int, int]]) -> list[tuple[int, int, int, int, bool]]:
     """(start, end, length class, bin of the p-value, looks uniform) of all other tokens."""
     out = []
+    starts = [x for _, x, _ in known]
+    ends = list(accumulate((y for _, _, y in known), max))     # of all known forms so far
     for m in CANDIDATE.finditer(text):
         a, b = m.span()
-        if any(x < b and a < y for _, x, y in known):
+        before = bisect_left(starts, b)                        # known forms that start before b
+        if before and a < ends[before - 1]:
             continue
         token = m.group()
         found = encoding_of(token)
@@ -263,14 +268,25 @@ def digest(found: DataFrame, doc_id: str = "doc_id") -> DataFrame:
                         F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
 
 
+def masked(text: str, spans: list[dict], mask: str) -> str:
+    out, at = [], 0
+    for s in spans:
+        if s["start"] >= at:
+            out += text[at:s["start"]], mask
+        at = max(at, s["end"])
+    return "".join(out) + text[at:]
+
+
 def redact(found: DataFrame, text: str = "text", mask: str = "[SECRET]") -> DataFrame:
-    """Every span's code points replaced by the mask (touching spans by one); drops ``spans``."""
-    step = F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at"))
-    body = F.col(text)
-    done = F.aggregate(F.col("spans"), step, lambda a, s: F.struct(
-        F.when(s["start"] >= a["at"], F.concat(
-            a["out"], F.substr(body, (a["at"] + 1).cast("int"), (s["start"] - a["at"]).cast("int")), F.lit(mask)))
-        .otherwise(a["out"]).alias("out"),
-        F.greatest(a["at"], s["end"]).alias("at")),
-        lambda a: F.concat(a["out"], F.substr(body, (a["at"] + 1).cast("int"))))
-    return found.withColumn(text, F.when(F.size("spans") > 0, done).otherwise(body)).drop("spans")
+    """Every span's code points replaced by the mask (overlapping spans by one); drops ``spans``."""
+    kept = [f.name for f in found.schema if f.name != "spans"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rows, texts in text_slices(batch, text):
+                clean = [t if t is None else masked(t.decode(), s, mask) if s else t.decode()
+                         for t, s in zip(texts, rows.column("spans").to_pylist())]
+                new = pa.array(clean, rows.schema.field(text).type)
+                yield pa.RecordBatch.from_arrays([new if c == text else rows.column(c) for c in kept], names=kept)
+
+    return found.mapInArrow(run, found.select(*kept).schema)
