@@ -26,12 +26,13 @@ def language_id(spark, docs, sf_dir):
 
 
 def near_duplicates(spark, docs, sf_dir):
-    """Keeps the document of smallest id of each group of near-duplicates."""
+    """Keeps the row of smallest id of each group of near-duplicates; of repeated rows, one."""
     ship(spark)
-    group = ngram_join.near_duplicates(spark, docs).select("doc_id", "class_id")
-    keep = group.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).select("doc_id").distinct()
-    kept = docs.join(keep.withColumnRenamed("doc_id", "__keep"), F.col("doc_id").eqNullSafe(F.col("__keep")), "left_semi")
-    return kept.select(*docs.columns)
+    rows = written(spark, docs.withColumn(
+        "__row", F.struct("doc_id", F.monotonically_increasing_id().alias("n"))), "pipeline_rows")
+    group = ngram_join.near_duplicates(spark, rows.select("__row", "text"), doc_id="__row")
+    keep = group.where(F.col("doc_id") == F.col("class_id")).select(F.col("doc_id").alias("__keep"))
+    return rows.join(keep, F.col("__row") == F.col("__keep"), "left_semi").select(*docs.columns)
 
 
 def benchmark_decontamination(spark, docs, sf_dir):

@@ -28,6 +28,16 @@ def test_stages(spark):
     assert {r["doc_id"] for r in packed.collect()} == {r["doc_id"] for r in safe.collect()}
 
 
+def test_repeated_rows_and_null_ids(spark):
+    a, b = "one two three four five six seven", "some other words that go on and on"
+    docs = documents(spark, [a, a, b, a, b, None, None, b], ids=[5, 5, 5, 7, 9, 11, 11, None])
+    got = cp.near_duplicates(spark, docs, SF_SMALL)
+    assert got.columns == docs.columns
+    # copies of b: the null id comes first; null texts are no copies of each other
+    assert sorted((str(r["doc_id"]), str(r["text"])) for r in got.collect()) == sorted(
+        [("5", a), ("None", b), ("11", "None"), ("11", "None")])
+
+
 def test_run_and_empty(spark):
     assert [n for n, _ in cp.STAGES] == ["language_id", "ngram_jaccard_join", "benchmark_decontamination", "secret_scans", "packing"]
     assert cp.run(spark, SF_SMALL).count() > 0

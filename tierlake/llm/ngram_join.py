@@ -257,10 +257,10 @@ def _candidate_filter(candidates: DataFrame) -> bytes:
 
 def near_duplicates(spark: SparkSession, documents: DataFrame, doc_id: str = "doc_id",
                     text: str = "text") -> DataFrame:
-    """One row per document: row (long, unique), doc_id, copy_class (its set of
-    shingles; null without words), class_id (smallest row of all it is linked to, over
-    any number of links; its own row if none) and n_links (documents, copies
-    included, whose similarity to it is at least the threshold)."""
+    """One row per document: doc_id, copy_class (its set of shingles; null without
+    words), class_id (smallest id of all it is linked to, over any number of links; its
+    own id if none) and n_links (documents, copies included, whose similarity to it is
+    at least the threshold).  ``doc_id`` may be of any type with an order."""
     rows = documents.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     # the id first names the row; equal ids are told apart by their text's class
     named = rows.select(F.col("doc_id").alias("row"), F.col("text").alias("text"))
