@@ -100,7 +100,7 @@ def test_union_of_stream_and_csv_feeds_cleans_to_the_same_table(spark):
     path = scratch_path(spark, "t_union")
     drops = fx.listing_events(spark, SF_SMALL, dirty=False,
                               removed_price=F.lit(0).cast("long"), source="csv")
-    ingest.land_csv(drops, f"{path}/batch_001")
+    fx.land_csv(drops, f"{path}/batch_001")
     csv_raw = ingest.with_provenance(
         spark.read.schema(BRONZE_EVENT).option("header", True)
         .option("recursiveFileLookup", True).csv(path), as_of=AS_OF)

@@ -92,11 +92,11 @@ def test_stream_two_landings_one_checkpoint(spark):
     root = scratch_path(spark, "t_stream")
     events = fx.listing_events(spark, SF_SMALL, dirty=False)
     even = F.col("listing_id").cast("long") % 2 == 0
-    ingest.land_envelopes(events.filter(even), f"{root}/landing")
+    fx.land_envelopes(events.filter(even), f"{root}/landing")
     stream = ingest.decode_json(ingest.envelope_stream(spark, f"{root}/landing"))
     q1 = ingest.drain(stream, f"{root}/out", f"{root}/ckpt")
     n1 = sum(p["numInputRows"] for p in q1.recentProgress)
-    ingest.land_envelopes(events.filter(~even), f"{root}/landing")
+    fx.land_envelopes(events.filter(~even), f"{root}/landing")
     q2 = ingest.drain(stream, f"{root}/out", f"{root}/ckpt")
     n2 = sum(p["numInputRows"] for p in q2.recentProgress)
     q3 = ingest.drain(stream, f"{root}/out", f"{root}/ckpt")          # nothing new
@@ -111,8 +111,8 @@ def test_csv_stream_subfolders_and_provenance(spark):
     root = scratch_path(spark, "t_csv")
     rows = [("1", " new_listing", "ASIA", "N", 10, 1, 500, "a", "2024-01-01T00:00:00+00:00", "x"),
             ("2", "REMOVED", "ASIA", "N", 0, 1, 500, "a", "2024-01-01T00:00:00+00:00", "x")]
-    ingest.land_csv(spark.createDataFrame(rows, BRONZE_EVENT), f"{root}/in/batch_001")
-    ingest.land_csv(spark.createDataFrame(rows[:1], BRONZE_EVENT), f"{root}/in/batch_002")
+    fx.land_csv(spark.createDataFrame(rows, BRONZE_EVENT), f"{root}/in/batch_001")
+    fx.land_csv(spark.createDataFrame(rows[:1], BRONZE_EVENT), f"{root}/in/batch_002")
     os.makedirs(_local(f"{root}/in/batch_003"), exist_ok=True)            # empty landing
     s = ingest.with_provenance(ingest.csv_stream(spark, f"{root}/in"))
     ingest.drain(s, f"{root}/out", f"{root}/ckpt")
@@ -126,7 +126,7 @@ def test_csv_stream_subfolders_and_provenance(spark):
 
 def test_run_for_bounded_time(spark):
     root = scratch_path(spark, "t_runfor")
-    ingest.land_envelopes(fx.listing_events(spark, SF_SMALL, dirty=False), f"{root}/landing")
+    fx.land_envelopes(fx.listing_events(spark, SF_SMALL, dirty=False), f"{root}/landing")
     stream = ingest.decode_json(ingest.envelope_stream(spark, f"{root}/landing"))
     q = ingest.run_for(stream, f"{root}/out", f"{root}/ckpt", seconds=8)
     assert not q.isActive
@@ -148,7 +148,7 @@ def test_layer_job_end_to_end(spark):
     from tierlake.queries import agents_history, bronze
 
     run = layers.LayerRun(scratch_path(spark, "t_layers"))
-    ingest.land_envelopes(bronze(spark, SF_SMALL), f"{run.root}/landing")
+    fx.land_envelopes(bronze(spark, SF_SMALL), f"{run.root}/landing")
     raw = layers.run_bronze(spark, run, f"{run.root}/landing")
     silver_t = layers.run_silver(spark, run, raw, as_of="2024-01-31 00:00:00")
     assert silver_t.read().count() == run.rows["silver"] == 1000
@@ -197,11 +197,11 @@ def test_run_all_matches_the_registered_queries(spark):
     from tierlake.queries import QUERIES, bronze
 
     run = layers.LayerRun(scratch_path(spark, "t_run_all"))
-    ingest.land_envelopes(bronze(spark, SF_SMALL), f"{run.root}/landing")
+    fx.land_envelopes(bronze(spark, SF_SMALL), f"{run.root}/landing")
     # the same events also arrive as a CSV drop: the clean table must not change
     drops = fx.listing_events(spark, SF_SMALL, dirty=False,
                               removed_price=F.lit(0).cast("long"), source="csv")
-    ingest.land_csv(drops, f"{run.root}/incoming/batch_001")
+    fx.land_csv(drops, f"{run.root}/incoming/batch_001")
     tables = layers.run_all(spark, run, f"{run.root}/landing",
                             fx.agent_master(spark, SF_SMALL), fx.scd1_feed(spark, SF_SMALL),
                             fx.scd2_feed(spark, SF_SMALL), fx.INITIAL_LOAD, fx.CITY_MOVE,
@@ -219,7 +219,7 @@ def test_backlog_drains_in_bounded_batches(spark):
 
     run = layers.LayerRun(scratch_path(spark, "t_batches"))
     events = fx.listing_events(spark, SF_SMALL, dirty=False).repartition(6)
-    ingest.land_envelopes(events, f"{run.root}/landing")               # 6 files
+    fx.land_envelopes(events, f"{run.root}/landing")               # 6 files
     raw = layers.run_bronze(spark, run, f"{run.root}/landing", files_per_batch=2)
     assert raw.count() == run.rows["bronze"] == 1000
     ckpt_batches = os.listdir(_local(f"{run.root}/_checkpoints/bronze/commits"))
@@ -283,7 +283,7 @@ def test_ingest_count_is_the_table_and_its_output_compacts(spark):
 
     run = layers.LayerRun(scratch_path(spark, "t_progress"))
     events = fx.listing_events(spark, SF_SMALL, dirty=False)
-    ingest.land_envelopes(events.repartition(12), f"{run.root}/landing")
+    fx.land_envelopes(events.repartition(12), f"{run.root}/landing")
     spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "3")
     try:
         raw = layers.run_bronze(spark, run, f"{run.root}/landing", files_per_batch=1)

@@ -42,7 +42,7 @@ def _before_split():
 def q_bronze_json_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw events as JSON message bodies -> stream -> decode -> raw table."""
     root = scratch_path(spark, "bronze_json_stream")
-    ingest.land_envelopes(bronze(spark, sf_dir), f"{root}/landing")
+    fx.land_envelopes(bronze(spark, sf_dir), f"{root}/landing")
     decoded = ingest.decode_json(ingest.envelope_stream(spark, f"{root}/landing"))
     ingest.drain(decoded, f"{root}/bronze", f"{root}/_checkpoint")
     return spark.read.schema(BRONZE_EVENT).parquet(f"{root}/bronze")
@@ -53,10 +53,10 @@ def q_stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "stream_resume")
     events = fx.listing_events(spark, sf_dir, dirty=False)
     even = _true(F.col("listing_id").cast("long") % 2 == 0)
-    ingest.land_envelopes(events.filter(even), f"{root}/landing")
+    fx.land_envelopes(events.filter(even), f"{root}/landing")
     stream = ingest.decode_json(ingest.envelope_stream(spark, f"{root}/landing"))
     ingest.drain(stream, f"{root}/bronze", f"{root}/_checkpoint")
-    ingest.land_envelopes(events.filter(~even), f"{root}/landing")
+    fx.land_envelopes(events.filter(~even), f"{root}/landing")
     ingest.drain(stream, f"{root}/bronze", f"{root}/_checkpoint")
     return spark.read.schema(BRONZE_EVENT).parquet(f"{root}/bronze")
 
@@ -64,8 +64,8 @@ def q_stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _csv_drops(spark: SparkSession, sf_dir: str, root: str) -> None:
     drops = fx.listing_events(spark, sf_dir, dirty=False, removed_price=F.lit(0).cast("long"),
                               source=CSV_SOURCE)
-    ingest.land_csv(drops.filter(_before_split()), f"{root}/incoming/batch_001")
-    ingest.land_csv(drops.filter(~_before_split()), f"{root}/incoming/batch_002")
+    fx.land_csv(drops.filter(_before_split()), f"{root}/incoming/batch_001")
+    fx.land_csv(drops.filter(~_before_split()), f"{root}/incoming/batch_002")
 
 
 def _csv_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:

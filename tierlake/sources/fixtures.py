@@ -163,3 +163,19 @@ def scd2_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     cust = _customers(spark, sf_dir).filter(F.col("c_custkey") % 10 == 0)
     geo = geography(spark, sf_dir)
     return _agent_select(cust, geo, (cust.c_nationkey + 7) % N_NATIONS).select(*AGENT_COLUMNS)
+
+
+# ---------------------------------------------------------------- landed files
+
+def land_envelopes(df: DataFrame, path: str, mode: str = "append") -> None:
+    """Rows as UTF-8 JSON message bodies, one ``body`` per row, in files that a
+    stream can read."""
+    body = F.to_json(F.struct(*[F.col(c) for c in df.columns])).cast("binary")
+    df.select(body.alias("body")).write.mode(mode).parquet(path)
+
+
+def land_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """Write a CSV drop with a header; values are written verbatim."""
+    (df.write.mode(mode).option("header", True)
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+     .csv(path))

@@ -17,8 +17,6 @@ dedup would drop late rows).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -27,26 +25,6 @@ from pyspark.sql.types import StructType
 from tierlake.schemas import BRONZE_EVENT, ENVELOPE
 
 
-# ---------------------------------------------------------------- landing
-
-def land_envelopes(df: DataFrame, path: str, columns: Sequence[str] | None = None,
-                   mode: str = "append") -> None:
-    """Encode rows as UTF-8 JSON message bodies and land them as files.
-
-    The stand-in for a message producer: one ``body`` per row.
-    """
-    cols = list(columns) if columns else df.columns
-    body = F.to_json(F.struct(*[F.col(c) for c in cols])).cast("binary")
-    df.select(body.alias("body")).write.mode(mode).parquet(path)
-
-
-def land_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """Write a CSV drop with a header; values are written verbatim."""
-    (df.write.mode(mode).option("header", True)
-     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-     .csv(path))
-
-
 # ---------------------------------------------------------------- sources
 
 def envelope_stream(spark: SparkSession, path: str, fmt: str = "parquet",
