@@ -54,7 +54,8 @@ def test_whole_table(spark, medium):
     assert result(nj.near_duplicates(spark, medium)) == brute(texts)
 
 
-def test_large_group_in_blocks(spark):
+def test_large_group_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(nj, "BUCKET_CLASSES", 100)
     r = random.Random(1)
     base = [f"w{r.randrange(10**6)}" for _ in range(60)]
     texts = []
@@ -95,6 +96,48 @@ def test_pruning_keeps_all_similar_pairs():
             == [[len(np.intersect1d(a, b)) for b in sets[9:30]] for a in sets[:9]]).all()
 
 
+def connected(n, pairs):
+    label = list(range(n))
+    for a, b in pairs:
+        old, new = max(label[a], label[b]), min(label[a], label[b])
+        label = [new if x == old else x for x in label]
+    return label
+
+
+def test_forest_connects_what_all_pairs_connect():
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 256, (4, nj.HASHES), dtype=np.uint8)
+    brief = base[rng.integers(0, 4, 150)]
+    noise = rng.random(brief.shape) < rng.choice([0.0, 0.1, 0.35, 0.5], (150, 1))
+    brief[noise] = rng.integers(0, 256, noise.sum(), dtype=np.uint8)
+    sizes = rng.choice([90, 100, 130], 150)
+
+    def possible(a, b):
+        if min(sizes[a], sizes[b]) < 0.8 * max(sizes[a], sizes[b]):
+            return False
+        return all((brief[a, :n] == brief[b, :n]).sum() >= least for n, least in nj.least_matches())
+
+    for left in (None, 60):
+        pairs = [(a, b) for a in range(150) for b in range(a + 1, 150)
+                 if (left is None or a < left <= b) and possible(a, b)]
+        forest = nj.possible_forest(brief, sizes, left)
+        assert len(forest) < 150 < len(pairs) and set(forest) <= set(pairs)
+        assert connected(150, forest) == connected(150, pairs)
+
+
+def test_texts_that_share_a_band_are_no_group(spark):
+    r = random.Random(4)
+    common = [f"w{k}" for k in range(60)]
+    texts = [" ".join(common + [f"x{r.randrange(10**9)}" for _ in range(60)]) for _ in range(300)]
+    seen, real = [], nj.components
+    try:
+        nj.components = lambda spark, edges: seen.append(edges.count()) or real(spark, edges)
+        assert result(nj.near_duplicates(spark, documents(spark, texts))) == {i: (i, 0) for i in range(300)}
+    finally:
+        nj.components = real
+    assert seen == [0, 0]
+
+
 def test_components_of_chains(spark):
     edges = [(i, i + 1) for i in range(200)] + [(500, 501), (501, 500), (7, 7)]
     got = {r["id"]: r["component"] for r in components(spark, spark.createDataFrame(edges, "a long, b long")).collect()}

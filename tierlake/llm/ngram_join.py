@@ -2,17 +2,20 @@
 
 1. Texts become sets of hashed word 5-grams; texts with one set are one class, so
    copies are never paired.  The class keeps a MinHash signature.
-2. Classes that agree on any of ``BANDS`` bands of ``ROWS`` MinHash values hang onto
-   the band's smallest class (a star, never all pairs); connected stars are
-   candidate groups.  At the threshold, a pair shares no band with a chance of
-   (1 - 0.8^3)^30, below 1e-9.
-3. A candidate group is dealt into blocks of bounded size and each pair of blocks is
-   one unit of work, so a large group is spread over many tasks.  Within a unit
-   MinHash values are compared incrementally; a pair is dropped when the posterior
-   probability that its similarity reaches the threshold (uniform prior, binomial
-   evidence) falls below ``TOLERANCE``.
-4. The pairs that remain are verified on the whole sets.  A unit returns the number
-   of links of each class and a spanning forest of them, never the pairs.
+2. Classes that agree on any of ``BANDS`` bands of ``ROWS`` MinHash values share a
+   bucket.  At the threshold, a pair shares no band with a chance of
+   (1 - 0.8^3)^30, below 1e-9.  Within a bucket MinHash values are compared
+   incrementally; a pair is dropped when the posterior probability that its
+   similarity reaches the threshold (uniform prior, binomial evidence) falls below
+   ``TOLERANCE``.  Pairs that others already connect are not compared, and a bucket
+   returns a spanning forest, never the pairs.  Connected classes are candidate
+   groups; texts that merely share a band do not grow them.
+3. The pairs of a candidate group are pruned likewise, and those that remain are
+   verified on the whole sets.  The number of links of each class and a spanning
+   forest of them are returned, never the pairs.
+
+Buckets and candidate groups are dealt into blocks of bounded size, and each pair of
+blocks is one unit of work, so a large one is spread over many tasks.
 
 Defined cases: a null or wordless text is linked to nothing; a text of one to four
 words has one shingle, all its words; repeated rows are copies of each other.
@@ -23,6 +26,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import lru_cache
 from math import comb
 
 import numpy as np
@@ -39,7 +43,8 @@ BANDS, ROWS = 30, 3
 HASHES = BANDS * ROWS
 STEP = 15                      # MinHash values compared between two looks at the posterior
 TOLERANCE = 1e-7
-BLOCK_CLASSES = 256            # classes in a block
+BUCKET_CLASSES = 2048          # classes in a block of a bucket
+BLOCK_CLASSES = 256            # classes in a block of a candidate group
 BLOCK_SHINGLES = 2_000_000     # about as many shingles at most
 FILTER_BITS = 1 << 23          # bits of the filter of candidate classes: 1 MiB at any input size
 
@@ -96,12 +101,14 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for rows, texts in text_slices(batch, "text"):
             grams, offsets = shingle_sets(texts)
-            sig = iter(signatures(grams, offsets))
             keys = _class_keys(grams, offsets)
+            known = iter(signatures(grams, offsets))
+            sigs = [next(known) if k else None for k in keys]
             yield pa.RecordBatch.from_arrays(
                 [rows.column("row"), pa.array(keys, pa.binary()),
-                 pa.array([next(sig).tobytes() if k else None for k in keys], pa.binary()),
-                 pa.array(np.diff(offsets), pa.int64())], names=["row", "key", "sig", "n"])
+                 pa.array([None if s is None else s.tobytes() for s in sigs], pa.binary()),
+                 pa.array([None if s is None else s.astype(np.uint8).tobytes() for s in sigs], pa.binary()),
+                 pa.array(np.diff(offsets), pa.int64())], names=["row", "key", "sig", "brief", "n"])
 
 
 def _filter_position(key: bytes) -> int:
@@ -127,14 +134,40 @@ def _shingles_of(wanted: bytes):
     return run
 
 
-def least_matches(threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -> list[tuple[int, int]]:
+@lru_cache
+def least_matches(threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -> tuple[tuple[int, int], ...]:
     """(n, m): after n compared values, a pair with fewer than m equal ones is dropped."""
     out = []
     for n in range(STEP, HASHES + 1, STEP):
         def posterior(m, n=n):   # P(similarity >= threshold | m of n equal), prior uniform
             return sum(comb(n + 1, i) * threshold ** i * (1 - threshold) ** (n + 1 - i) for i in range(m + 1))
         out.append((n, next((m for m in range(n + 1) if posterior(m) >= tolerance), n)))
-    return out
+    return tuple(out)
+
+
+def possible_forest(brief: np.ndarray, sizes: np.ndarray, left: int | None = None) -> list[tuple[int, int]]:
+    """Index pairs that connect all sets whose similarity may reach the threshold: of all
+    pairs, or of those of the first ``left`` sets with the others.  ``brief`` has the low
+    bytes of the MinHash values; equal values have equal bytes, so no pair is dropped
+    that the whole values would keep."""
+    label = np.arange(len(sizes))
+    edges = []
+    for i in range(len(sizes) if left is None else left):
+        first = i + 1 if left is None else left
+        j = first + np.flatnonzero(label[first:] != label[i])
+        j = j[np.minimum(sizes[j], sizes[i]) >= THRESHOLD * np.maximum(sizes[j], sizes[i]) - 1e-9]
+        equal, seen = np.zeros(len(j), dtype=np.int64), 0
+        for n, least in least_matches():
+            if not len(j):
+                break
+            equal += (brief[j, seen:n] == brief[i, seen:n]).sum(axis=1)
+            keep = equal >= least
+            j, equal, seen = j[keep], equal[keep], n
+        if len(j):
+            others, at = np.unique(label[j], return_index=True)
+            edges += [(i, k) for k in j[at].tolist()]
+            label[np.isin(label, others)] = label[i]
+    return edges
 
 
 def similar_pairs(sig_a, sets_a, sig_b, sets_b, same: bool, threshold: float = THRESHOLD):
@@ -188,12 +221,49 @@ def _common_counts(sets_a, sets_b) -> np.ndarray:
     return out.astype(np.int64)
 
 
+def _each_unit(batches: Iterator[pa.RecordBatch], unit: tuple[str, ...], values: tuple[str, ...]):
+    """(unit, its rows) of rows sorted by unit; holds one unit at a time."""
+    now, held = None, []
+    for batch in batches:
+        for r in zip(*(batch.column(c).to_pylist() for c in unit + values)):
+            if r[:len(unit)] != now:
+                if held:
+                    yield now, held
+                now, held = r[:len(unit)], []
+            held.append(r[len(unit):])
+    if held:
+        yield now, held
+
+
+def _possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    a: list[int] = []
+    b: list[int] = []
+    for (_, x, y), held in _each_unit(batches, ("band", "x", "y"), ("block", "class", "n", "brief")):
+        held.sort()                              # blocks in order
+        left = None if x == y else sum(r[0] == x for r in held)
+        brief = np.frombuffer(b"".join(r[3] for r in held), dtype=np.uint8).reshape(len(held), HASHES)
+        for i, j in possible_forest(brief, np.array([r[2] for r in held]), left):
+            a.append(held[i][1])
+            b.append(held[j][1])
+        if len(a) > 10_000:
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+            a, b = [], []
+    if a:
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+
+def _in_units(df: DataFrame) -> DataFrame:
+    """Deals classes into ``blocks`` blocks; a row for each pair of blocks with the class's own."""
+    pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(
+        F.least("block", o).alias("x"), F.greatest("block", o).alias("y")))
+    return (df.withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
+            .withColumn("u", F.explode(pairs)).select("*", "u.x", "u.y").drop("u", "blocks"))
+
+
 def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (component, x, y); holds one unit at a time."""
-    unit, held = None, []
     out: list[tuple] = []
 
-    def work() -> None:
+    def work(unit: tuple, held: list[tuple]) -> None:
         sides = [[r for r in held if r[0] == unit[1]], [r for r in held if r[0] == unit[2]]]
         same = unit[1] == unit[2]
         if same:
@@ -228,18 +298,10 @@ def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out.clear()
         return made
 
-    for batch in batches:
-        for r in zip(*(batch.column(c).to_pylist() for c in
-                       ("component", "x", "y", "block", "class", "size", "sig", "shingles"))):
-            if r[:3] != unit:
-                if unit:
-                    work()
-                unit, held = r[:3], []
-                if len(out) > 10_000:
-                    yield drain()
-            held.append(r[3:])
-    if unit:
-        work()
+    for unit, held in _each_unit(batches, ("component", "x", "y"), ("block", "class", "size", "sig", "shingles")):
+        work(unit, held)
+        if len(out) > 10_000:
+            yield drain()
     if out:
         yield drain()
 
@@ -265,35 +327,36 @@ def near_duplicates(spark: SparkSession, documents: DataFrame, doc_id: str = "do
     # the id first names the row; equal ids are told apart by their text's class
     named = rows.select(F.col("doc_id").alias("row"), F.col("text").alias("text"))
     sketch = written(spark, named.mapInArrow(
-        _sketch, f"row {rows.schema['doc_id'].dataType.simpleString()}, key binary, sig binary, n long"), "sketch")
+        _sketch, f"row {rows.schema['doc_id'].dataType.simpleString()}, key binary, sig binary, brief binary, n long"), "sketch")
     classes = written(spark, sketch.where("key is not null").groupBy("key").agg(
         F.min("row").alias("rep"), F.count(F.lit(1)).alias("size"), F.max("sig").alias("sig"),
-        F.max("n").alias("n")).withColumn("class", F.monotonically_increasing_id()), "classes")
+        F.max("brief").alias("brief"), F.max("n").alias("n")).withColumn("class", F.monotonically_increasing_id()), "classes")
 
     bands = classes.select("class", F.explode(F.array(*[
         F.xxhash64(F.lit(b), F.substring("sig", 4 * ROWS * b + 1, 4 * ROWS)) for b in range(BANDS)])).alias("band"))
-    heads = bands.groupBy("band").agg(F.min("class").alias("head"), F.count(F.lit(1)).alias("m")).where("m > 1")
-    stars = (bands.join(heads, "band").where("class <> head")
-             .select(F.col("class").alias("a"), F.col("head").alias("b")))
-    groups = components(spark, stars)
-
-    candidates = written(spark, classes.join(groups.withColumnRenamed("id", "class"), "class"), "candidates")
+    buckets = bands.groupBy("band").agg(
+        F.count(F.lit(1)).alias("m"), F.min("class").alias("head"),
+        F.bit_xor(F.xxhash64("class")).alias("members")).where("m > 1")
+    # bands that bring the same classes together make one bucket
+    buckets = buckets.groupBy("m", "head", "members").agg(F.min("band").alias("band"))
+    buckets = buckets.select("band", F.ceil(F.col("m") / BUCKET_CLASSES).cast("int").alias("blocks"))
+    meeting = bands.join(buckets, "band").join(classes.select("class", "n", "brief"), "class")
+    possible = written(spark, _in_units(meeting).repartition("band", "x", "y").sortWithinPartitions("band", "x", "y")
+                       .mapInArrow(_possible, "a long, b long"), "possible")
+    groups = components(spark, possible)
+
+    candidates = written(spark, classes.drop("brief").join(groups.withColumnRenamed("id", "class"), "class"), "candidates")
     loads = candidates.groupBy("component").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("s"))
     blocks = F.greatest(F.ceil(F.col("m") / BLOCK_CLASSES), F.ceil(F.col("s") / BLOCK_SHINGLES)).cast("int")
-    dealt = (candidates.join(loads.select("component", blocks.alias("blocks")), "component")
-             .withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int")))
+    loads = loads.select("component", blocks.alias("blocks"))
     wanted = _candidate_filter(candidates)
     sets = named.mapInArrow(_shingles_of(wanted), f"row {rows.schema['doc_id'].dataType.simpleString()}, "
                             "key binary, shingles binary")
     kept = candidates.select(F.col("key").alias("k"), "rep")
     sets = (sets.join(kept, (F.col("key") == F.col("k")) & F.col("row").eqNullSafe(F.col("rep")))
             .dropDuplicates(["key"]).select("key", "shingles"))
-    pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(
-        F.least("block", o).alias("x"), F.greatest("block", o).alias("y")))
-    units = (dealt.join(sets, "key")
-             .select("component", "block", "class", "size", "sig", "shingles", F.explode(pairs).alias("u"))
-             .select("component", F.col("u.x").alias("x"), F.col("u.y").alias("y"),
-                     "block", "class", "size", "sig", "shingles"))
+    dealt = candidates.join(loads, "component").join(sets, "key")
+    units = _in_units(dealt.select("component", "blocks", "class", "size", "sig", "shingles"))
     links = written(spark, units.repartition("component", "x", "y").sortWithinPartitions("component", "x", "y")
                     .mapInArrow(_units, "class long, links long, root long"), "links")
 
