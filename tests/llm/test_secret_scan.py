@@ -84,3 +84,28 @@ def test_p_values():
     assert low < 60                      # three tests, each near its level
     assert abs(ss._upper_gamma(0.5, 1.92072941) - 0.05) < 1e-6 and abs(ss._upper_gamma(2.0, 4.743865) - 0.05) < 1e-6
     assert abs(ss._tail(10, 3, 0.15) - 0.17980) < 1e-4
+
+
+def ordinary_tokens(r, n):
+    words = ("under standing of the measure ment and inter nation al organ isation with out further consider ation "
+             "develop ers should return every account number before they change public service names which are "
+             "longer than usual between several different places").split()
+    joins = (lambda w: "".join(w), lambda w: "_".join(w), lambda w: "".join(w).upper(),
+             lambda w: "".join(x.title() for x in w), lambda w: "/".join(w))
+    return words, [joins[i % 5]([r.choice(words) for _ in range(r.randint(5, 9))]) for i in range(n)]
+
+
+def test_keys_of_small_alphabets_among_ordinary_tokens(spark):
+    r = random.Random(31)
+    words, plain = ordinary_tokens(r, 6000)
+    plain = [t for t in plain if len(t) >= ss.MIN_LENGTH]
+    made = {"base32": (string.ascii_uppercase + "234567", 32), "base36": (string.digits + string.ascii_lowercase, 32),
+            "HEX": ("0123456789ABCDEF", 32), "lower": (string.ascii_lowercase, 40), "BASE36": (string.digits + string.ascii_uppercase, 40)}
+    keys = [(name, "".join(r.choice(a) for _ in range(n))) for name, (a, n) in made.items() for _ in range(20)]
+    tokens = [(None, t) for t in plain] + keys
+    texts = [" ".join(r.choice(words) for _ in range(20)) + f" {t} here" for _, t in tokens]
+    rows = {x["doc_id"]: x["spans"] for x in ss.digest(ss.find_secrets(spark, documents(spark, texts))).collect()}
+    for name in made:
+        at = [i for i, (k, _) in enumerate(tokens) if k == name]
+        assert sum(rows[i].startswith("random") for i in at) >= 19, name
+    assert not [texts[i] for i, (k, _) in enumerate(tokens) if k is None and rows[i]]

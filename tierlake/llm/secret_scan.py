@@ -10,12 +10,17 @@ like uniform draws from that encoding's alphabet:
 * serial correlation of neighbouring symbols.
 
 A candidate that fails any at ``UNIFORM_LEVEL`` is structured and no secret.  One that
-passes may still be a short ordinary token, so it gets a p-value against structure:
-the chance that a token of its length, in which the kind of character (lower, upper,
-digit, sign) changes between neighbours with probability ``SWITCH_RATE``, has so many
-changes.  False discoveries are controlled per length class (Benjamini-Hochberg at
-``FDR``) over all candidates of the corpus: counts per class and p-value bin are
-summed by Spark, which gives each class its bound.
+passes gets a p-value against ordinary tokens of its encoding and length: the battery's
+fourth statistic is the likelihood ratio of uniform draws from the inferred alphabet
+against a chain of ordinary symbols, whose kind (lower, upper, digit, sign) changes with
+``SWITCH_RATE`` and whose letters follow each other as in the corpus's own words (a
+capital may begin a word anywhere).  As the ratio's mean over such tokens is 1, its
+inverse is a p-value (Markov).  The letter pairs are counted over all runs of
+key characters shorter than ``MIN_LENGTH``; a share of each chain step is kept for
+letters regardless of the one before, and for all letters alike.  False discoveries are
+controlled per encoding and length class (Benjamini-Hochberg at ``FDR``) over all
+candidates of the corpus: counts per class and p-value bin are summed by Spark, which
+gives each class its bound.
 
 Offsets are code points, ends exclusive.  Defined cases: a null text is empty;
 a candidate that touches a known form is not listed again; copies are scanned alike.
@@ -31,6 +36,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 from itertools import accumulate
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,9 +57,12 @@ CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % MIN_LENGTH)
 ALPHABETS = {
     "hex": "0123456789abcdef",
     "HEX": "0123456789ABCDEF",
+    "lower": "abcdefghijklmnopqrstuvwxyz",
+    "upper": "ABCDEFGHIJKLMNOPQRSTUVWXYZ",
     "base32": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567",
     "base36": "0123456789abcdefghijklmnopqrstuvwxyz",
     "BASE36": "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ",
+    "letters": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz",
     "base62": "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz",
     "base64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/",
     "base64url": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_",
@@ -62,7 +71,9 @@ _SETS = [(name, frozenset(a), {c: k for k, c in enumerate(a)}) for name, a in AL
 UNIFORM_LEVEL = 0.001
 SWITCH_RATE = 0.15
 FDR = 1e-4
-BINS = 40                      # p-value bins, one per power of two
+BINS = 160                     # p-value bins, one per power of two
+PAIR, SINGLE, ANY = 0.75, 0.2, 0.05    # shares of a step: after the letter before, any word's letter, all alike
+PRIOR = 200.0                  # letters, spread alike, that every count starts from
 
 
 def _upper_gamma(a: float, x: float) -> float:
@@ -141,10 +152,74 @@ def _kind(c: str) -> int:
     return 0 if c.islower() else 1 if c.isupper() else 2 if c.isdigit() else 3
 
 
-def structure_p(token: str) -> float:
-    kinds = [_kind(c) for c in token]
-    changes = sum(a != b for a, b in zip(kinds, kinds[1:]))
-    return _tail(len(token) - 1, changes, SWITCH_RATE)
+PAIRS = 27 * 27                # 0 for all but letters, then a to z of either case
+_LETTERS = np.zeros(256, dtype=np.int64)
+_LETTERS[65:91] = _LETTERS[97:123] = np.arange(1, 27)
+_IS_KEY = np.zeros(256, dtype=bool)
+_IS_KEY[[ord(c) for c in ALPHABETS["base64"] + "_-="]] = True
+
+
+def letter_pairs(texts: list[bytes | None]) -> np.ndarray:
+    """Counts of neighbouring symbols in runs of key characters below ``MIN_LENGTH``."""
+    buf = np.frombuffer(b"\n" + b"\n".join(t for t in texts if t) + b"\n", dtype=np.uint8)
+    key = _IS_KEY[buf]
+    edges = np.flatnonzero(key[1:] != key[:-1]) + 1
+    start, end = edges[::2], edges[1::2]
+    code = _LETTERS[buf]
+    for a, b in zip(start[end - start >= MIN_LENGTH].tolist(), end[end - start >= MIN_LENGTH].tolist()):
+        code[a:b] = 0
+    return np.bincount(code[:-1] * 27 + code[1:], minlength=PAIRS)
+
+
+class Ordinary:
+    """Bits of ordinary letters: ``bits[a][b]`` of letter b after a (0: no letter)."""
+
+    def __init__(self, pairs: tuple[int, ...] = (0,) * PAIRS):
+        n = np.array(pairs, dtype=np.float64).reshape(27, 27)[:, 1:]
+        single = (n.sum(axis=0) + PRIOR / 26) / (n.sum() + PRIOR)
+        pair = (n + PRIOR * single) / (n.sum(axis=1, keepdims=True) + PRIOR)
+        self.bits = (-np.log2(PAIR * pair + SINGLE * single + ANY / 26)).tolist()
+
+    def p(self, token: str, size: int) -> float:
+        """P-value of a token whose inferred alphabet has ``size`` symbols."""
+        stay, change = -math.log2(1 - SWITCH_RATE), -math.log2(SWITCH_RATE / 3)
+        capital = -math.log2((1 - SWITCH_RATE * 2 / 3) / 2)     # an upper or lower letter after an upper one
+        signs = math.log2(max(1, size - 62))
+        bits, before, kind = 0.0, 0, -1
+        for c in token:
+            now = _kind(c)
+            if kind < 0:
+                bits += 2.0
+            elif kind == 1 and now < 2:
+                bits += capital
+            else:
+                bits += stay if now == kind else change
+            if now < 2:
+                letter = ord(c.lower()) - 96
+                bits += self.bits[0 if (kind, now) == (0, 1) else before][letter - 1]
+            else:
+                letter = 0
+                bits += math.log2(10) if now == 2 else signs
+            before, kind = letter, now
+        return 2.0 ** max(-1000.0, min(0.0, len(token) * math.log2(size) - bits))
+
+
+def ordinary_pairs(documents: DataFrame, text: str = "text") -> tuple[int, ...]:
+    """``letter_pairs`` of all texts, summed by Spark."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(PAIRS, dtype=np.int64)
+        for batch in batches:
+            for _, texts in text_slices(batch, text):
+                total += letter_pairs(texts)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total[at], pa.int64())],
+                                         names=["pair", "n"])
+
+    out = [0] * PAIRS
+    counted = documents.select(text).mapInArrow(run, "pair int, n long")
+    for r in counted.groupBy("pair").agg(F.sum("n").alias("n")).collect():
+        out[r["pair"]] = r["n"]
+    return tuple(out)
 
 
 def known_spans(text: str) -> list[tuple[str, int, int]]:
@@ -156,16 +231,19 @@ def known_spans(text: str) -> list[tuple[str, int, int]]:
     return sorted(out, key=lambda s: (s[1], KINDS.index(s[0])))
 
 
-def length_class(n: int) -> int:
-    return n.bit_length()
+def token_class(encoding: str, n: int) -> int:
+    """One number per encoding and doubling of the length."""
+    return 64 * list(ALPHABETS).index(encoding) + n.bit_length()
 
 
 def p_bin(p: float) -> int:
     return min(BINS, int(-math.log2(p))) if p > 0 else BINS
 
 
-def candidates(text: str, known: list[tuple[str, int, int]]) -> list[tuple[int, int, int, int, bool]]:
-    """(start, end, length class, bin of the p-value, looks uniform) of all other tokens."""
+def candidates(text: str, known: list[tuple[str, int, int]],
+               ordinary: Ordinary | None = None) -> list[tuple[int, int, int, int, bool]]:
+    """(start, end, class, bin of the p-value, looks uniform) of all other tokens."""
+    ordinary = ordinary or Ordinary()
     out = []
     starts = [x for _, x, _ in known]
     ends = list(accumulate((y for _, _, y in known), max))     # of all known forms so far
@@ -174,11 +252,14 @@ def candidates(text: str, known: list[tuple[str, int, int]]) -> list[tuple[int,
         before = bisect_left(starts, b)                        # known forms that start before b
         if before and a < ends[before - 1]:
             continue
-        token = m.group()
-        found = encoding_of(token)
-        p = structure_p(token) if found else 1.0
-        uniform = bool(found) and p < 0.5 and uniform_p(found[1], found[2]) >= UNIFORM_LEVEL
-        out.append((a, b, length_class(b - a), p_bin(p), uniform))
+        found = encoding_of(m.group())
+        if not found:
+            out.append((a, b, -1, 0, False))
+            continue
+        name, symbols, size = found
+        uniform = uniform_p(symbols, size) >= UNIFORM_LEVEL
+        p = ordinary.p(m.group().rstrip("="), size) if uniform else 1.0
+        out.append((a, b, token_class(name, len(symbols)), p_bin(p), uniform))
     return out
 
 
@@ -189,14 +270,17 @@ _CANDIDATE = (T.StructType().add("start", "long").add("end", "long").add("class"
 
 
 def scan(documents: DataFrame, text: str = "text", keep_text: bool = False) -> DataFrame:
-    """``documents`` plus the known spans and the candidates with their test results."""
+    """``documents`` plus the known spans and the candidates with their test results.
+    The letter pairs are counted first, in a pass of its own."""
     from pyspark.sql.pandas.types import to_arrow_type
 
     kept = [f.name for f in documents.schema if keep_text or f.name != text]
     schema = documents.select(*kept).schema.add(BASE, T.ArrayType(_SPAN)).add(MORE, T.ArrayType(_CANDIDATE))
+    pairs = ordinary_pairs(documents, text)
     base_type, more_type = to_arrow_type(T.ArrayType(_SPAN)), to_arrow_type(T.ArrayType(_CANDIDATE))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ordinary = Ordinary(pairs)
         for batch in batches:
             for rows, texts in text_slices(batch, text):
                 base, more = [], []
@@ -204,7 +288,7 @@ def scan(documents: DataFrame, text: str = "text", keep_text: bool = False) -> D
                     t = t.decode() if t else ""
                     known = known_spans(t)
                     base.append([dict(zip(_SPAN.names, s)) for s in known])
-                    more.append([dict(zip(_CANDIDATE.names, c)) for c in candidates(t, known)])
+                    more.append([dict(zip(_CANDIDATE.names, c)) for c in candidates(t, known, ordinary)])
                 yield pa.RecordBatch.from_arrays(
                     [*(rows.column(c) for c in kept), pa.array(base, base_type), pa.array(more, more_type)],
                     names=[*kept, BASE, MORE])
@@ -213,8 +297,8 @@ def scan(documents: DataFrame, text: str = "text", keep_text: bool = False) -> D
 
 
 def discovery_bounds(scanned: DataFrame) -> dict[int, int]:
-    """Least p-value bin per length class at which a candidate is a discovery: the
-    step-up rule on binned p-values of all candidates.  At most a few thousand
+    """Least p-value bin per class at which a candidate is a discovery: the
+    step-up rule on binned p-values of all candidates.  At most some ten thousand
     counts reach the driver, however large the corpus is."""
     counts: dict[int, dict[int, int]] = {}
     for r in (scanned.select(F.explode(MORE).alias("c")).groupBy("c.class", "c.bin").count()).collect():
@@ -254,7 +338,7 @@ def listed(spans):
 
 def find_secrets(spark: SparkSession, documents: DataFrame, text: str = "text",
                  keep_text: bool = False) -> DataFrame:
-    """``documents`` plus ``spans``.  Scanned once; the results are written to the
+    """``documents`` plus ``spans``.  Texts are read twice (letter pairs, scan); the results are written to the
     shared folder and read for the corpus-wide bounds and for the result."""
     scanned = written(spark, scan(documents, text, keep_text), "secret_scan")
     return with_spans(scanned, discovery_bounds(scanned)).drop(BASE, MORE)
