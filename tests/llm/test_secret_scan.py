@@ -109,3 +109,29 @@ def test_keys_of_small_alphabets_among_ordinary_tokens(spark):
         at = [i for i, (k, _) in enumerate(tokens) if k == name]
         assert sum(rows[i].startswith("random") for i in at) >= 19, name
     assert not [texts[i] for i, (k, _) in enumerate(tokens) if k is None and rows[i]]
+
+
+def test_values_after_names(spark):
+    r = random.Random(12)
+    b64, url = string.ascii_letters + string.digits + "+/", string.ascii_letters + string.digits + "-_"
+    def key(a, n=40): return "".join(r.choice(a[:62]) for _ in range(n - 4)) + a[62] + a[63] + "7q"
+    forms = [("AWS_SECRET_ACCESS_KEY=", key(b64), ""), ("DB_KEY=", key(b64), "=="), ("https://x.org/a?sig=", key(url), "&v=1"),
+             ("auth=", key(b64), "="), ("my_service_account_name/", key(b64), ""), ("path/of-the/config+file_", key(url), "")]
+    _, plain = ordinary_tokens(r, 500)
+    texts = [f"see {a}{k}{z} here" for a, k, z in forms * 5] + [f"see {t} here" for t in plain] + ["see name_of=" + plain[0]]
+    rows = {x["doc_id"]: x["spans"] for x in ss.digest(ss.find_secrets(spark, documents(spark, texts))).collect()}
+    for i, (a, k, z) in enumerate(forms * 5):
+        found = [tuple(map(int, s.split(":")[1:])) for s in rows[i].split(",") if s]
+        held = {x for s, e in found for x in range(s, e)}
+        at = texts[i].index(k)
+        assert len(held & set(range(at, at + 40))) >= 36, texts[i]
+        if "=" in a:
+            assert found == [(at, at + 40 + len(z) * z.startswith("="))], texts[i]
+    assert not [texts[i] for i in range(30, len(texts)) if rows[i]]
+    # name=value of a short name: the length counts the value alone
+    assert [c[:2] for c in ss.candidates("a=" + "x" * 19 + " b=" + "y" * 20, [])] == [(24, 44)]
+
+
+def test_key_beside_known_form_in_one_run():
+    text = "AKIA" + "Z" * 16 + "/" + "k3Jx9" * 5
+    assert [c[:2] for c in ss.candidates(text, ss.known_spans(text))] == [(21, 46)]

@@ -1,7 +1,10 @@
 """Secret scan: known forms, and a randomness test battery for the rest.
 
 Known forms (assignments, access keys, hex keys) are found by pattern.  All other
-runs of key characters of ``MIN_LENGTH`` or more are candidates.  Their encoding is
+runs of key characters of ``MIN_LENGTH`` or more are candidates; ``=`` ends a run, as
+padding, so a value after ``name=`` is a run of its own.  Of a run that touches a known
+form, fits no alphabet or does not look uniform, the parts between signs (``_-``,
+``+/`` or all four) that are long enough are candidates too.  Their encoding is
 inferred from the characters they use, and three tests ask whether a candidate looks
 like uniform draws from that encoding's alphabet:
 
@@ -15,15 +18,16 @@ fourth statistic is the likelihood ratio of uniform draws from the inferred alph
 against a chain of ordinary symbols, whose kind (lower, upper, digit, sign) changes with
 ``SWITCH_RATE`` and whose letters follow each other as in the corpus's own words (a
 capital may begin a word anywhere).  As the ratio's mean over such tokens is 1, its
-inverse is a p-value (Markov).  The letter pairs are counted over all runs of
-key characters shorter than ``MIN_LENGTH``; a share of each chain step is kept for
+inverse is a p-value (Markov).  The letter pairs are counted over all distinct
+runs of key characters of up to ``WORD_LENGTH``, candidates too; a share of each chain step is kept for
 letters regardless of the one before, and for all letters alike.  False discoveries are
 controlled per encoding and length class (Benjamini-Hochberg at ``FDR``) over all
 candidates of the corpus: counts per class and p-value bin are summed by Spark, which
 gives each class its bound.
 
 Offsets are code points, ends exclusive.  Defined cases: a null text is empty;
-a candidate that touches a known form is not listed again; copies are scanned alike.
+a candidate that touches a known form is not listed again; parts of one run may overlap
+and are then all listed; copies are scanned alike.
 Extra columns pass through; n_assign, n_access, n_hex and spans are replaced.
 """
 
@@ -53,7 +57,9 @@ KINDS = ("assign", "access", "hex", "random")
 LEAST = {"assign": 8, "access": 16, "hex": 32}
 
 MIN_LENGTH = 20
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % MIN_LENGTH)
+# = only at the end, as padding: the value after name= is a run of its own
+CANDIDATE = re.compile(r"(?=[A-Za-z0-9+/_=-]{%d})[A-Za-z0-9+/_-]+={0,6}" % MIN_LENGTH)
+SPLITS = [re.compile(r"[A-Za-z0-9%s]+={0,6}" % signs) for signs in ("+/", "_-", "")]
 ALPHABETS = {
     "hex": "0123456789abcdef",
     "HEX": "0123456789ABCDEF",
@@ -73,7 +79,9 @@ SWITCH_RATE = 0.15
 FDR = 1e-4
 BINS = 160                     # p-value bins, one per power of two
 PAIR, SINGLE, ANY = 0.75, 0.2, 0.05    # shares of a step: after the letter before, any word's letter, all alike
-PRIOR = 200.0                  # letters, spread alike, that every count starts from
+PRIOR = 50.0                   # letters, spread alike, that every count starts from
+WORD_LENGTH = 128              # longer runs are data, not words
+HELD_WORDS = 1 << 17           # distinct runs a task holds at once
 
 
 def _upper_gamma(a: float, x: float) -> float:
@@ -155,19 +163,12 @@ def _kind(c: str) -> int:
 PAIRS = 27 * 27                # 0 for all but letters, then a to z of either case
 _LETTERS = np.zeros(256, dtype=np.int64)
 _LETTERS[65:91] = _LETTERS[97:123] = np.arange(1, 27)
-_IS_KEY = np.zeros(256, dtype=bool)
-_IS_KEY[[ord(c) for c in ALPHABETS["base64"] + "_-="]] = True
-
-
-def letter_pairs(texts: list[bytes | None]) -> np.ndarray:
-    """Counts of neighbouring symbols in runs of key characters below ``MIN_LENGTH``."""
-    buf = np.frombuffer(b"\n" + b"\n".join(t for t in texts if t) + b"\n", dtype=np.uint8)
-    key = _IS_KEY[buf]
-    edges = np.flatnonzero(key[1:] != key[:-1]) + 1
-    start, end = edges[::2], edges[1::2]
-    code = _LETTERS[buf]
-    for a, b in zip(start[end - start >= MIN_LENGTH].tolist(), end[end - start >= MIN_LENGTH].tolist()):
-        code[a:b] = 0
+_RUN = re.compile(rb"[a-z0-9+/_=-]+")
+
+
+def letter_pairs(words: list[bytes]) -> np.ndarray:
+    """Counts of neighbouring symbols, a word's start and end being no letters."""
+    code = _LETTERS[np.frombuffer(b"\n" + b"\n".join(words) + b"\n", dtype=np.uint8)]
     return np.bincount(code[:-1] * 27 + code[1:], minlength=PAIRS)
 
 
@@ -205,18 +206,30 @@ class Ordinary:
 
 
 def ordinary_pairs(documents: DataFrame, text: str = "text") -> tuple[int, ...]:
-    """``letter_pairs`` of all texts, summed by Spark."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(PAIRS, dtype=np.int64)
+    """``letter_pairs`` of the distinct runs of all texts, summed by Spark.  Each
+    run counts once, so a few words that fill the corpus do not make all others odd."""
+    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[bytes] = set()
         for batch in batches:
             for _, texts in text_slices(batch, text):
-                total += letter_pairs(texts)
+                for t in texts:
+                    seen.update(w for w in set(_RUN.findall(t.lower() if t else b"")) if len(w) <= WORD_LENGTH)
+                if len(seen) > HELD_WORDS:
+                    yield pa.RecordBatch.from_arrays([pa.array(seen, pa.binary())], names=["word"])
+                    seen.clear()
+        yield pa.RecordBatch.from_arrays([pa.array(seen, pa.binary())], names=["word"])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(PAIRS, dtype=np.int64)
+        for batch in batches:
+            for _, found in text_slices(batch, "word"):
+                total += letter_pairs(found)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total[at], pa.int64())],
                                          names=["pair", "n"])
 
     out = [0] * PAIRS
-    counted = documents.select(text).mapInArrow(run, "pair int, n long")
+    counted = documents.select(text).mapInArrow(words, "word binary").distinct().mapInArrow(count, "pair int, n long")
     for r in counted.groupBy("pair").agg(F.sum("n").alias("n")).collect():
         out[r["pair"]] = r["n"]
     return tuple(out)
@@ -247,19 +260,29 @@ def candidates(text: str, known: list[tuple[str, int, int]],
     out = []
     starts = [x for _, x, _ in known]
     ends = list(accumulate((y for _, _, y in known), max))     # of all known forms so far
-    for m in CANDIDATE.finditer(text):
-        a, b = m.span()
+
+    def test(a: int, b: int) -> bool:
+        """Lists the run, unless it touches a known form; whether it looks uniform."""
         before = bisect_left(starts, b)                        # known forms that start before b
         if before and a < ends[before - 1]:
-            continue
-        found = encoding_of(m.group())
+            return False
+        found = encoding_of(text[a:b])
         if not found:
-            out.append((a, b, -1, 0, False))
-            continue
+            return False
         name, symbols, size = found
         uniform = uniform_p(symbols, size) >= UNIFORM_LEVEL
-        p = ordinary.p(m.group().rstrip("="), size) if uniform else 1.0
+        p = ordinary.p(text[a:b].rstrip("="), size) if uniform else 1.0
         out.append((a, b, token_class(name, len(symbols)), p_bin(p), uniform))
+        return uniform
+
+    for m in CANDIDATE.finditer(text):
+        a, b = m.span()
+        if b - a < MIN_LENGTH or test(a, b):
+            continue
+        parts = {x.span() for split in SPLITS for x in split.finditer(text, a, b)}
+        for x, y in sorted(parts - {(a, b)}):
+            if y - x >= MIN_LENGTH:
+                test(x, y)
     return out
 
 
