@@ -47,3 +47,39 @@ def test_edges(spark):
     assert langid.identify(docs.limit(0), sample).count() == 0
     assert langid.sample_texts(docs.limit(0), "doc_id", "text", "lang") == ()
     assert langid.sample_texts(docs, "doc_id", "text", "lang")[0][0] == "en"
+
+
+def words_of(letters, n, seed):
+    rng = np.random.default_rng(seed)
+    vocabulary = ["".join(rng.choice(list(letters), int(k))) for k in np.random.default_rng(len(letters)).integers(2, 8, 60)]
+    own = np.random.default_rng(7)
+    vocabulary = ["".join(own.choice(list(letters), len(v))) for v in vocabulary]
+    return " ".join(rng.choice(vocabulary, n))
+
+
+def test_single_long_and_copied_texts(spark):
+    en, fr, de = "aeionrstl", "uiosqrcmd", "hgnekwzbt"
+    rows = [(i, words_of(en, 80, i), "en") for i in range(60)]
+    rows += [(1000 + i, words_of(fr, 1500, i), "fr") for i in range(6)]          # long texts only
+    copied = words_of(de, 80, 0)
+    rows += [(2000 + i, copied, "de") for i in range(600)] + [(3000 + i, words_of(de, 80, 50 + i), "de") for i in range(4)]
+    rows += [(4000, words_of("pqvxyfj", 80, 1), "one"), (4001, "12 34", "none")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    sample = dict(langid.sample_texts(docs, "doc_id", "text", "lang"))
+    assert list(sample) == ["de", "en", "fr", "one"]
+    assert len(sample["en"]) == langid.SAMPLE_ROWS and len(sample["fr"]) == 6 and len(sample["de"]) == 5
+    assert all(len(set(v)) == len(v) for v in sample.values())
+    model = langid.Model(tuple(sample.items()))
+    assert max(model.rates) < 3 * min(model.rates)
+    asked = [(words_of(a, 60, 900 + i), name) for name, a in (("en", en), ("fr", fr), ("de", de), ("one", "pqvxyfj")) for i in range(10)]
+    got, _ = model.predict([t for t, _ in asked])
+    assert got == [name for _, name in asked]
+
+
+def test_two_texts_where_all_are_longer_than_the_budget(spark):
+    rows = [(i, words_of("aeionrstl", 100, i), "en") for i in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    (_, texts), = langid.sample_texts(docs, "doc_id", "text", "lang", chars=200)
+    assert len(set(texts)) == 2 and all(len(t) == 100 for t in texts)
+    (_, texts), = langid.sample_texts(docs, "doc_id", "text", "lang", chars=1500)
+    assert 2 <= len(texts) <= 3 and set(texts) <= {t for _, t, _ in rows}

@@ -10,14 +10,18 @@ The automaton's transitions are a dense table (state x symbol), so a batch of te
 is parsed in step, one symbol of every text at a time.  Texts of any length are
 parsed whole, in runs of ``RUN`` symbols; a phrase ends at the end of a run.
 
-Training: a bounded sample, the whole texts of ``SAMPLE_ROWS`` labelled rows of each
-language, of at most ``TEXT_CHARS`` characters, by least hash of the id.  One half is
-learned, the other gives the rate of unseen text.  Only these texts are sent to the
-tasks, and every worker builds its automata once from them.
+Training: a bounded sample of each language, ``SAMPLE_ROWS`` whole distinct texts by
+least hash of the text, fewer where they pass ``SAMPLE_CHARS`` characters, but always two
+where the language has two.  Every other text is learned, the rest gives the rate of
+unseen text; no text is in both.  A language of a single text gets the mean rate of the
+others.  Only these texts are sent to the tasks, and every worker builds its automata
+once from them.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0; ties go
-to the language with more labelled rows, then by name; a language without a letter in
-its sample is not learned; without any labelled text every prediction is ``und``.
+to the language with more labelled rows, then by name; texts without a letter are not
+learned from, and a language without others is not learned; of a text above half of
+``SAMPLE_CHARS``, which is taken only where a language has fewer than two others, that
+half is learned; without any labelled text every prediction is ``und``.
 """
 
 from __future__ import annotations
@@ -33,7 +37,7 @@ from pyspark.sql import functions as F
 from tierlake.llm.words import text_slices
 
 SAMPLE_ROWS = 24
-TEXT_CHARS = 3000
+SAMPLE_CHARS = 72_000
 RUN = 1024
 UNDETERMINED = "und"
 
@@ -128,15 +132,18 @@ class Model:
         self.alphabet = Alphabet([t for _, ts in sample for t in ts])
         self.langs, self.tables, self.rates = [], [], []
         for lang, texts in sample:
-            learn = self._cut(texts[::2] or texts)
-            unseen = self._cut(texts[1::2] or texts)
-            if not (learn > 0).any():
+            texts = [t for t in dict.fromkeys(texts) if _LETTER.search(t)]
+            if not texts:
                 continue
             self.langs.append(lang)
-            # the rate of unseen own text, parsed against the half that is learned
-            half = suffix_automaton(learn, self.alphabet.size)
+            half = suffix_automaton(self._cut(texts[::2]), self.alphabet.size)
             self.tables.append(half)
-            self.rates.append(max(self._parse(half, [unseen])[0], 1) / max(len(unseen), 1))
+            # the rate of unseen own text, parsed against the half that is learned
+            unseen = self._cut(texts[1::2])
+            self.rates.append(max(self._parse(half, [unseen])[0], 1) / len(unseen) if len(unseen) else None)
+        rated = [r for r in self.rates if r is not None]
+        mean = sum(rated) / len(rated) if rated else 1.0
+        self.rates = [mean if r is None else r for r in self.rates]
 
     @classmethod
     def of(cls, sample) -> Model:
@@ -188,26 +195,66 @@ class Model:
 
 
 def sample_texts(labelled: DataFrame, key: str, text: str, lang: str, rows: int = SAMPLE_ROWS,
-                 text_chars: int = TEXT_CHARS) -> tuple[tuple[str, tuple[str, ...]], ...]:
-    """Whole texts of ``rows`` labelled rows of each language: of the distinct texts of at
-    most ``text_chars`` characters those of least hash of ``key`` (or the shortest text,
-    where all are longer); most frequent language first.  Counts are over all rows; what
-    is then fetched is about three times the sample, however large the table is."""
-    known = labelled.where(F.length(text) > 0).select(
-        F.col(lang).alias("l"), F.col(text).alias("t"), F.length(text).alias("n"),
-        (F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(1 << 40)) / float(1 << 40)).alias("p"))
-    counts = known.groupBy("l").agg(F.count(F.lit(1)).alias("all"),
-                                    F.count_if(F.col("n") <= text_chars).alias("short"),
-                                    F.min(F.struct("n", "t")).alias("shortest")).select(
-        "l", "all", "short", F.when(F.col("short") == 0, F.col("shortest.t")).alias("t")).collect()
-    ordered = sorted(counts, key=lambda c: (-c["all"], c["l"]))
-    if not ordered:
-        return ()
-    got = {c["l"]: [(0.0, c["t"])] if c["t"] else [] for c in ordered}
-    near = F.create_map(*[F.lit(x) for c in ordered for x in (c["l"], min(1.0, 3.0 * rows / max(c["short"], 1) + 1e-12))])
-    for r in known.where((F.col("n") <= text_chars) & (F.col("p") <= near[F.col("l")])).toLocalIterator():
-        got[r["l"]].append((r["p"], r["t"]))
-    return tuple((l, tuple(list(dict.fromkeys(t for _, t in sorted(mine)))[:rows])) for l, mine in got.items())
+                 chars: int = SAMPLE_CHARS) -> tuple[tuple[str, tuple[str, ...]], ...]:
+    """Of each language's distinct texts with a letter, of at most ``chars`` / 2 characters,
+    up to ``rows`` of least hash within ``chars`` characters; the shortest longer ones fill
+    up to two.  Most frequent language first; counts are over all rows.  Hashes are made
+    distinct by Spark (``key`` only picks between texts of one hash); the driver gets a
+    few times the sample's hashes and the sample's texts, however large the table is."""
+    known = labelled.where((F.length(text) > 0) & F.col(text).rlike(r"\p{L}")).select(
+        F.col(lang).alias("l"), F.col(text).alias("t"), F.col(key).alias("k"), F.xxhash64(text).alias("h"))
+    # leading zeros of the unsigned hash: level z holds 2^-(z+1) of the texts
+    level = F.when(F.col("h") < 0, 0).otherwise(F.lit(64) - F.length(F.regexp_replace(F.bin("h"), "^0+", "")))
+    texts = known.groupBy("l", "h").agg(F.count(F.lit(1)).alias("all"), F.max(F.length("t")).alias("n")) \
+        .withColumn("fits", F.col("n") <= chars // 2).withColumn("z", level.cast("int")).persist()
+    try:
+        levels = texts.groupBy("l", "fits", "z").agg(
+            F.sum("all").alias("all"), F.count(F.lit(1)).alias("texts"), F.sum("n").alias("n")).collect()
+        total: dict[str, int] = {}
+        for r in levels:
+            total[r["l"]] = total.get(r["l"], 0) + r["all"]
+        ordered = sorted(total, key=lambda name: (-total[name], name))
+        least: dict[str, int] = {}
+        for name in ordered:
+            held = held_chars = 0
+            least[name] = 0
+            for r in sorted((r for r in levels if r["l"] == name and r["fits"]), key=lambda r: -r["z"]):
+                held, held_chars = held + r["texts"], held_chars + r["n"]
+                if held >= rows or held >= 2 and held_chars >= chars:
+                    least[name] = r["z"]
+                    break
+        if not ordered:
+            return ()
+        from_level = F.create_map(*[F.lit(x) for item in least.items() for x in item])
+        near: dict[str, list] = {name: [] for name in ordered}
+        for r in texts.where(F.col("fits") & (F.col("z") >= from_level[F.col("l")])).select("l", "h", "n").collect():
+            near[r["l"]].append((r["h"] % (1 << 64), r["n"], r["h"]))
+        chosen: dict[str, list[int]] = {}
+        for name, found in near.items():
+            taken, held_chars = [], 0
+            for _, n, h in sorted(found)[:rows]:
+                if len(taken) >= 2 and held_chars + n > chars:
+                    break
+                taken.append(h)
+                held_chars += n
+            chosen[name] = taken
+        for _ in range(2):     # languages of long texts: the shortest ones
+            lacking = [name for name in ordered if len(chosen[name]) < 2]
+            if lacking:
+                rest = texts.where(~F.col("fits") & F.col("l").isin(lacking)
+                                   & ~F.col("h").isin([h for name in lacking for h in chosen[name]]))
+                for r in rest.groupBy("l").agg(F.min(F.struct("n", "h")).alias("m")).collect():
+                    chosen[r["l"]].append(r["m"]["h"])
+    finally:
+        texts.unpersist()
+    place = {(name, h): i for name, hs in chosen.items() for i, h in enumerate(hs)}
+    got: dict[str, dict[int, str]] = {name: {} for name in ordered}
+    wanted = known.where(F.col("h").isin(sorted({h for _, h in place}))).select(
+        "l", "h", "k", F.substring("t", 1, chars // 2).alias("t"))
+    for r in wanted.groupBy("l", "h").agg(F.min(F.struct("k", "t")).alias("m")).collect():
+        if (r["l"], r["h"]) in place:
+            got[r["l"]][place[r["l"], r["h"]]] = r["m"]["t"]
+    return tuple((name, tuple(mine[i] for i in sorted(mine))) for name, mine in got.items())
 
 
 def identify(documents: DataFrame, sample, text: str = "text") -> DataFrame:
