@@ -32,3 +32,9 @@ def test_parts_are_balanced_and_cover():
 def test_empty_table(spark):
     out = tc.count_tokens(documents(spark, ["a"]).limit(0), MODEL)
     assert out.count() == 0 and "n_tokens" in out.columns
+
+
+def test_last_space_after_a_stretch_without_spaces():
+    sp = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    texts = ["中文" * 9000 + " ", "中文" * 9000 + "  ", "a b " + "x" * 20_000 + " ", "中文" * 9000 + " a"]
+    assert tc.Counter.of(MODEL).counts(texts) == [len(sp.encode(t)) for t in texts]

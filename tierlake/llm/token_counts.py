@@ -57,7 +57,8 @@ class Counter:
                 cut = text.find(" ", at + size)
                 while 0 <= cut and text[cut - 1] in (" ", MARK):
                     cut = text.find(" ", cut + 1)
-                if cut < 0:
+                # a part of no characters would have no tokens, while a last space has one
+                if cut < 0 or cut + 1 == len(text):
                     break
             out.append(text[at:cut])
             at = cut + 1           # the model adds this space again
