@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tierlake.llm import (decontam, langid, ngram_join, packing, secret_scan, sharding, token_counts, topk,
-                          url_rules, warc)
+from tierlake.llm import (byte_bpe, decontam, hard_negatives, langid, ngram_join, packing, prefix_trie, secret_scan,
+                          sharding, token_counts, topk, url_rules, warc)
 from tierlake.llm.shipping import ship
 from tierlake.session import scratch_path
 from tierlake.sources.tables import table_path
@@ -77,6 +77,23 @@ def op10_topk(spark, sf_dir):
     return topk.top_k(spark, vectors, vectors.where(F.col("id") % 50 == 0))
 
 
+def op11_prefix_trie(spark, sf_dir):
+    turns = _read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    paths = prefix_trie.as_paths(prefix_trie.rebuilt(prefix_trie.sequences(turns)))
+    return prefix_trie.prefix_trie(spark, paths)
+
+
+def op12_byte_bpe(spark, sf_dir):
+    import public_tokenizers
+
+    return byte_bpe.round_trip(_read(spark, sf_dir, "documents").select("doc_id", "text"),
+                               tokenizer_path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+def op13_hard_negatives(spark, sf_dir):
+    return hard_negatives.mine(spark, hard_negatives.quantised(_read(spark, sf_dir, "embeddings")))
+
+
 def pipeline(spark, sf_dir):
     import corpus_pipeline
 
@@ -85,7 +102,7 @@ def pipeline(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     op1_sharding, op2_url_filters, op3_packing, op4_language_id, op5_warc, op6_ngram_join, op7_token_counts,
-    op8_decontamination, op9_secret_scans, op10_topk, pipeline)}
+    op8_decontamination, op9_secret_scans, op10_topk, op11_prefix_trie, op12_byte_bpe, op13_hard_negatives, pipeline)}
 
 ORACLE = {
     "op2_url_filters": r"""
@@ -132,6 +149,56 @@ ORACLE = {
             FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id),
         r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
         SELECT query_id, CAST(rank AS INT) AS rank, vec_id, score FROM r WHERE rank <= 5""",
+    "op11_prefix_trie": r"""
+        WITH seq AS (
+            SELECT conv_id, list({'r': coalesce(role, ''), 't': coalesce(text, '')} ORDER BY turn NULLS FIRST) AS s
+            FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+        h AS (
+            SELECT conv_id, s, xor(list_reduce(
+                list_prepend(4294967295, [ascii(c)::BIGINT for c in string_split(CAST(conv_id AS VARCHAR), '')]),
+                lambda a, b: list_reduce(list_prepend(xor(a, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+                                         lambda x, y: xor(x >> 1, (x & 1) * 3988292384))), 4294967295) % 4 AS h
+            FROM seq),
+        rebuilt AS (
+            SELECT c.conv_id, list_concat(coalesce(b.s[1:c.h], []), c.s[c.h + 1:]) AS p
+            FROM h c LEFT JOIN h b ON b.conv_id = c.conv_id - c.conv_id % 20),
+        nodes AS (
+            SELECT p[1:d] AS k, d, min(conv_id) AS conv_id, count(*) AS n,
+                   string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE len(p) = d) AS ends
+            FROM (SELECT conv_id, p, unnest(range(0, len(p) + 1)) AS d FROM rebuilt) GROUP BY 1, 2),
+        kids AS (SELECT k[1:d - 1] AS k, d - 1 AS d, count(*) AS c FROM nodes WHERE d > 0 GROUP BY 1, 2),
+        own AS (
+            SELECT nodes.*, coalesce(c, 0) AS c,
+                   CASE WHEN d = 0 THEN 0 ELSE (n - 1) * len(regexp_extract_all(k[d].t, '[^\x20\x09-\x0D]+')) END AS saved
+            FROM nodes LEFT JOIN kids USING (k, d)),
+        below AS (
+            SELECT k[1:a] AS k, a AS d, sum(CASE WHEN c = 0 THEN 1 ELSE 0 END) AS leaves, sum(saved) AS saved
+            FROM (SELECT k, c, saved, unnest(range(0, d + 1)) AS a FROM own) GROUP BY 1, 2)
+        SELECT o.conv_id, CAST(o.d AS BIGINT) AS depth, u.conv_id AS parent_conv_id, CAST(o.n AS BIGINT) AS n_convs,
+               CAST(o.c AS BIGINT) AS n_children, CAST(b.leaves AS BIGINT) AS n_leaves,
+               CAST(b.saved AS BIGINT) AS saved_tokens, sha256(coalesce(o.ends, '')) AS ends_sha256
+        FROM own o JOIN below b USING (k, d) LEFT JOIN nodes u ON u.d = o.d - 1 AND u.k = o.k[1:o.d - 1]""",
+    "op13_hard_negatives": r"""
+        WITH v AS (
+            SELECT row_number() OVER () AS r, vec_id,
+                   CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                   [CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE) for x in embedding] AS e
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+              AND len([1 for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+        s AS (
+            SELECT q.r AS qr, q.vec_id AS anchor_id, q.label = c.label AS alike, c.r, c.vec_id,
+                   CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
+            FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.r <> c.r),
+        p AS (SELECT * FROM s WHERE alike QUALIFY row_number() OVER (PARTITION BY qr ORDER BY score DESC, vec_id, r) <= 5),
+        n AS (
+            SELECT p.anchor_id, p.vec_id AS positive_id, s.vec_id AS negative_id, p.score AS positive_score,
+                   s.score AS negative_score,
+                   row_number() OVER (PARTITION BY p.qr, p.r ORDER BY s.score DESC, s.vec_id, s.r) AS rank
+            FROM p JOIN s ON s.qr = p.qr AND NOT s.alike
+                 AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score)
+        SELECT anchor_id, positive_id, CAST(rank AS INT) AS rank, negative_id, positive_score, negative_score
+        FROM n WHERE rank <= 3""",
     "op8_decontamination": r"""
         WITH dw AS (
             SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
