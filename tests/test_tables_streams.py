@@ -2,12 +2,13 @@
 
 import glob
 import os
+from uuid import uuid4
 
 import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 from tierlake.plans import catalog
-from tierlake.plans.tables import ParquetTable
+from tierlake.plans.tables import Table, by_day, by_key
 from tierlake.schemas import BRONZE_EVENT
 from tierlake.session import scratch_path
 from tierlake.sources import fixtures as fx
@@ -16,6 +17,10 @@ from tierlake.streaming import ingest
 from conftest import SF_SMALL
 
 
+def _table(spark, name, **kw):
+    return Table(spark, f"t_{uuid4().hex[:12]}.{name}", scratch_path(spark, name), **kw)
+
+
 def _local(path):
     return path[len("file:"):] if path.startswith("file:") else path
 
@@ -25,19 +30,19 @@ def _files(path):
 
 
 def test_staged_overwrite_reads_itself_and_logs(spark):
-    t = ParquetTable(spark, scratch_path(spark, "t_overwrite"))
+    t = _table(spark, "t_overwrite")
     df = spark.range(100).withColumn("g", F.col("id") % 3)
-    assert t.overwrite(df) == 0
-    v1 = t.overwrite(t.read().filter("g = 0").withColumn("extra", F.lit(1)))   # reads itself
-    assert v1 == 1 and t.read().count() == 34 and "extra" in t.read().columns
-    assert t.append(spark.range(5).withColumn("g", F.lit(0)).withColumn("extra", F.lit(2))) == 2
+    assert t.overwrite(df) == 100
+    n = t.overwrite(t.read().filter("g = 0").withColumn("extra", F.lit(1)))   # reads itself
+    assert n == 34 and t.read().count() == 34 and "extra" in t.read().columns
+    assert t.append(spark.range(5).withColumn("g", F.lit(0).cast("long")).withColumn("extra", F.lit(2))) == 5
     assert t.read().count() == 39
     h = [(r.version, r.operation, r.row_count) for r in t.history(5).collect()]
     assert h == [(2, "WRITE", 5), (1, "WRITE", 34), (0, "WRITE", 100)]
 
 
 def test_compaction_keeps_rows_and_reduces_files(spark):
-    t = ParquetTable(spark, scratch_path(spark, "t_compact"))
+    t = _table(spark, "t_compact")
     df = spark.range(5000).withColumn("v", F.col("id") * 2)
     t.overwrite(df.repartition(20))
     assert len(_files(t.location())) == 20
@@ -49,11 +54,10 @@ def test_compaction_keeps_rows_and_reduces_files(spark):
 
 
 def test_cluster_layout_gives_narrow_file_ranges(spark):
-    t = ParquetTable(spark, scratch_path(spark, "t_cluster"))
+    t = _table(spark, "t_cluster")
     df = spark.range(20000).select(((F.col("id") * 7919) % 50).alias("k"), "id")
     t.overwrite(df.repartition(8))
-    n = t.cluster_by(["k"], target_file_bytes=10_000)
-    assert n == 1
+    assert t.cluster_by(["k"], target_file_bytes=10_000) == 20000
     files = _files(t.location())
     assert len(files) > 1
     ranges = []
@@ -68,7 +72,7 @@ def test_cluster_layout_gives_narrow_file_ranges(spark):
 
 
 def test_delete_by_key(spark):
-    t = ParquetTable(spark, scratch_path(spark, "t_delete"))
+    t = _table(spark, "t_delete")
     t.overwrite(spark.range(10).withColumn("k", (F.col("id") % 5).cast("string")))
     t.delete_keys(spark.createDataFrame([("1",), ("3",), ("3",)], "k string"), "k")
     assert sorted(r.k for r in t.read().collect()) == ["0", "0", "2", "2", "4", "4"]
@@ -78,7 +82,7 @@ def test_delete_by_key(spark):
 def test_catalog_registration_and_reregistration(spark):
     root = scratch_path(spark, "t_catalog")
     catalog.create_database(spark, "tl_test", f"{root}/_db")
-    t = ParquetTable(spark, f"{root}/x")
+    t = _table(spark, "x")
     t.overwrite(spark.range(3))
     catalog.register_table(spark, "tl_test", "x", t.location())
     assert spark.table("tl_test.x").count() == 3
@@ -135,7 +139,7 @@ def test_run_for_bounded_time(spark):
 def test_table_properties_are_labels(spark):
     root = scratch_path(spark, "t_props")
     catalog.create_database(spark, "tl_props", f"{root}/_db")
-    t = ParquetTable(spark, f"{root}/x")
+    t = _table(spark, "x")
     t.overwrite(spark.range(2))
     name = catalog.register_table(spark, "tl_props", "x", t.location())
     catalog.set_properties(spark, name, {"quality": "gold", "layer": "business"})
@@ -226,46 +230,29 @@ def test_backlog_drains_in_bounded_batches(spark):
     assert len([b for b in ckpt_batches if b.isdigit()]) == 3          # 6 files / 2 per batch
 
 
-def test_overwrite_during_an_append_fails_one_side_and_loses_nothing(spark):
-    import pytest
-    from py4j.protocol import Py4JJavaError
-
-    root = scratch_path(spark, "t_race")
-    a, b = ParquetTable(spark, root), ParquetTable(spark, root)
-    a.overwrite(spark.range(10))
-    stage = b.stage
-
-    def slow_stage(df):                      # A's overwrite lands while B appends
-        a.overwrite(spark.range(100))
-        return stage(df)
-    b.stage = slow_stage
-    with pytest.raises(Py4JJavaError):
-        b.append(spark.range(5))
-    assert a.read().count() == 100
-    assert [r.version for r in a.history(None).collect()] == [1, 0]
-    path, rows = stage(spark.range(3))
-    with pytest.raises(Py4JJavaError):
-        a.publish(path, rows, base=0)
-    b.stage = stage
-    b.append(spark.range(5))
-    assert a.read().count() == 105
-    with pytest.raises(ValueError):
-        a.location()
-    a.compact()
-    assert spark.read.parquet(a.location()).count() == 105
-
-
-def test_purge_takes_deleted_rows_off_storage(spark):
-    t = ParquetTable(spark, scratch_path(spark, "t_purge"))
+def test_purge_takes_deleted_rows_off_storage_and_spares_staged_ones(spark):
+    t = _table(spark, "t_purge")
     t.overwrite(spark.range(10))
+    path, rows = t.stage(spark.range(3))                 # another job, not yet published
     t.delete_keys(spark.range(4), "id")
+    assert len(t.purge(older_than_seconds=3600)) == 0
     assert len(t.purge()) == 1 and t.purge() == []
-    assert sorted(r.id for r in spark.read.parquet(f"{t.root}/snapshot-*").collect()) == list(range(4, 10))
+    assert sorted(r.id for r in spark.read.parquet(f"{t.root}/load-*").collect()) == [0, 1, 2, *range(4, 10)]
+    t.publish(path, rows)
+    assert t.read().count() == 3 and len(t.purge()) == 1
+
+
+def test_readers_keep_their_folder_while_a_load_is_published(spark):
+    t = _table(spark, "t_readers")
+    t.overwrite(spark.range(10))
+    before = t.read()
+    t.overwrite(spark.range(20))
+    assert before.count() == 10 and t.read().count() == 20
 
 
 def test_registration_follows_changed_columns(spark):
     root = scratch_path(spark, "t_schema")
-    t = ParquetTable(spark, f"{root}/t")
+    t = _table(spark, "t")
     catalog.create_database(spark, "t_schema_db", f"{root}/_db")
     t.overwrite(spark.range(3).selectExpr("id", "id * 2 AS a"))
     catalog.register_table(spark, "t_schema_db", "t", t.location())
@@ -275,11 +262,8 @@ def test_registration_follows_changed_columns(spark):
     assert spark.table("t_schema_db.t").filter("b IS NULL").count() == 0
 
 
-def test_ingest_count_is_the_table_and_its_output_compacts(spark):
+def test_ingest_count_is_the_table(spark):
     from tierlake.plans import layers
-    from tierlake.queries import bronze
-
-    from tierlake.plans.tables import compact_stream_output
 
     run = layers.LayerRun(scratch_path(spark, "t_progress"))
     events = fx.listing_events(spark, SF_SMALL, dirty=False)
@@ -290,10 +274,6 @@ def test_ingest_count_is_the_table_and_its_output_compacts(spark):
     finally:
         spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
     assert run.rows["bronze"] == raw.count() == events.count()
-    t = run.table(spark, "bronze_compact")
-    compact_stream_output(spark, f"{run.root}/bronze", t)
-    assert len(_files(t.location())) == 1 < len(_files(f"{run.root}/bronze"))
-    assert t.read().exceptAll(raw).count() == 0 and t.read().count() == raw.count()
 
 
 def test_uniqueness_and_timeliness_gates_stop_publishing(spark):
@@ -306,4 +286,4 @@ def test_uniqueness_and_timeliness_gates_stop_publishing(spark):
     run = layers.LayerRun(scratch_path(spark, "t_gates"))
     with pytest.raises(QualityGateError, match="timeliness"):
         layers.run_silver(spark, run, bronze(spark, SF_SMALL), fx.SILVER_LOAD, max_age_days=7)
-    assert run.table(spark, "silver").version() == -1
+    assert not run.silver(spark).exists()

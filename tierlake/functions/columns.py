@@ -6,6 +6,8 @@ so expressions stay inside whole-stage codegen.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -42,6 +44,15 @@ def count_where(cond: Column) -> Column:
     return F.count_if(cond)
 
 
+def row_digest(columns: Sequence[str]) -> Column:
+    """SHA-256 of the columns' values; null is a value of its own, and values cannot run into
+    each other (each goes in with its length)."""
+    def part(c: str) -> Column:
+        value = F.col(c).cast("string")
+        return F.when(F.col(c).isNull(), F.lit("-")).otherwise(F.concat(F.octet_length(value).cast("string"), F.lit(":"), value))
+    return F.sha2(F.concat(*[part(c) for c in columns]), 256)
+
+
 def positive_or_null(c: str | Column) -> Column:
     """``CASE WHEN x > 0 THEN x END``: feeds AVG/MIN that ignore zero prices."""
     x = _col(c)

@@ -7,13 +7,15 @@ downstream reader would see.
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierlake.operators import aggregates as agg
 from tierlake.operators.dedup import distinct_values
 from tierlake.plans import catalog, layers
-from tierlake.plans.tables import ParquetTable
+from tierlake.plans.tables import Slices, Table, by_key
 from tierlake.queries import agents_history, bronze, silver
 from tierlake.schemas import BRONZE_EVENT, SILVER_EVENT
 from tierlake.session import scratch_path
@@ -27,6 +29,11 @@ GOLD_DATABASE = "tierlake_gold"
 TIMESTAMP_TEXT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
 
+def _table(spark: SparkSession, name: str, slices: Slices | None = None) -> Table:
+    """A table in a database of this call's own."""
+    return Table(spark, f"tierlake_{uuid4().hex[:12]}.{name}", scratch_path(spark, name), slices)
+
+
 def _true(condition):
     """Never null, so a split by it and its negation keeps every row."""
     return F.coalesce(condition, F.lit(False))
@@ -110,7 +117,7 @@ def q_sql_path_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_overwrite_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Overwrite a table from a read of itself, replacing its schema."""
-    t = ParquetTable(spark, scratch_path(spark, "overwrite_roundtrip"))
+    t = _table(spark, "overwrite_roundtrip")
     t.overwrite(silver(spark, sf_dir))
     reshaped = (t.read().filter(F.col("event_type") != "REMOVED")
                 .drop("ingestion_timestamp")
@@ -128,9 +135,9 @@ def q_schema_evolve(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.option("mergeSchema", True).parquet(path)
 
 
-def _silver_table(spark: SparkSession, sf_dir: str, name: str) -> ParquetTable:
+def _silver_table(spark: SparkSession, sf_dir: str, name: str) -> Table:
     """The clean table as two loads, so that table jobs meet appended folders."""
-    t = ParquetTable(spark, scratch_path(spark, name))
+    t = _table(spark, name)
     s = _published_silver(spark, sf_dir, f"{name}_src")
     early = _true(F.col("event_timestamp") < F.lit(SPLIT_TIME).cast("timestamp"))
     t.overwrite(s.filter(early))
@@ -150,6 +157,111 @@ def q_cluster_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.read()
 
 
+def q_curve_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Laid out on two columns at once, so that a filter on either skips files."""
+    t = _silver_table(spark, sf_dir, "curve_layout")
+    t.cluster_by(["locality", "event_timestamp"], curve=True)
+    return t.read()
+
+
+def q_append_new_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table that gains a column by an append, then gets rows without it and without another one."""
+    t = _table(spark, "append_new_columns")
+    s = _published_silver(spark, sf_dir, "append_new_columns_src")
+    early = _true(F.col("event_timestamp") < F.lit(SPLIT_TIME).cast("timestamp"))
+    removed = _true(F.col("event_type") == "REMOVED")
+    t.overwrite(s.filter(early & ~removed))
+    t.append(s.filter(~early & ~removed).withColumn("event_date", agg.event_day()))
+    t.append(s.filter(removed).drop("price", "bedrooms"))
+    t.compact()
+    return t.read()
+
+
+def q_silver_add_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The clean table from a first load and a later raw batch, which overlaps it and rewrites only
+    the days that it touches; the batch is run twice."""
+    run = layers.LayerRun(scratch_path(spark, "silver_add_batch"))
+    raw = bronze(spark, sf_dir)
+    replayed = _true(F.col("listing_id").cast("long") % 50 == 0)
+    layers.run_silver(spark, run, raw.filter(_before_split()), fx.SILVER_LOAD)
+    for _ in range(2):
+        t = layers.add_to_silver(spark, run, raw.filter(~_before_split() | replayed), fx.SILVER_LOAD)
+    return t.read()
+
+
+def q_scd2_merge_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dimension job's history: merges into key buckets, the day's changes run twice."""
+    run = layers.LayerRun(scratch_path(spark, "scd2_merge_slices"))
+    feed = fx.scd2_feed(spark, sf_dir)
+    t = layers.run_dimension(spark, run, fx.agent_master(spark, sf_dir), fx.scd1_feed(spark, sf_dir), feed,
+                             fx.INITIAL_LOAD, fx.CITY_MOVE)
+    layers.add_scd2_changes(spark, run, t, feed, fx.CITY_MOVE)
+    return t.read()
+
+
+def q_delete_by_key_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``delete_by_key`` on a table sliced by the key: untouched slices keep their files."""
+    t = _table(spark, "delete_by_key_slices", by_key("agent_id", 32))
+    t.overwrite(_published_silver(spark, sf_dir, "delete_by_key_slices_src"))
+    t.delete_keys(_deleted_agents(spark, sf_dir), "agent_id")
+    return t.read()
+
+
+def q_stream_compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw events through a sink that merges its small files while the stream runs."""
+    root = scratch_path(spark, "stream_compaction")
+    fx.land_envelopes(bronze(spark, sf_dir).repartition(6), f"{root}/landing")
+    decoded = ingest.decode_json(ingest.envelope_stream(spark, f"{root}/landing", max_files_per_trigger=1))
+    ingest.drain_compacting(decoded, f"{root}/bronze", f"{root}/_checkpoint", batches_per_group=2)
+    return ingest.read_compacting(spark, f"{root}/bronze", BRONZE_EVENT)
+
+
+def q_bronze_rescue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both feeds with broken input (fixed rules on the listing number): cut JSON, a price that is no
+    number, bodies that are no object or missing, unknown fields; short, long and mistyped CSV lines.
+    Streamed into raw tables that lose nothing, then split into kept and quarantined rows."""
+    root = scratch_path(spark, "bronze_rescue")
+    raw = fx.listing_events(spark, sf_dir, dirty=False)
+    number = F.coalesce(F.col("listing_id").cast("long"), F.lit(0))
+    fields = [F.col(c) for c in BRONZE_EVENT.fieldNames()]
+    good = F.to_json(F.struct(*fields))
+    body = (F.when(number % 20 == 1, F.substring(good, 1, 40))
+            .when(number % 20 == 2, F.to_json(F.struct(*[F.lit("much").alias("price") if c == "price" else F.col(c)
+                                                         for c in BRONZE_EVENT.fieldNames()])))
+            .when(number % 20 == 3, F.lit("null")).when(number % 20 == 4, F.lit("[1]"))
+            .when(number % 20 == 5, F.lit(None).cast("string"))
+            .when(number % 20 == 6, F.to_json(F.struct(*fields, F.lit("pool").alias("extra"), F.lit(3).alias("floors"))))
+            .otherwise(good))
+    raw.select(body.cast("binary").alias("body")).write.parquet(f"{root}/landing")
+    stream = ingest.decode_json_rescued(ingest.envelope_stream(spark, f"{root}/landing"))
+    ingest.drain(stream, f"{root}/events", f"{root}/_checkpoint_events")
+
+    cells = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in BRONZE_EVENT.fieldNames()]
+    priced = [F.lit("much") if c == "price" else cell for c, cell in zip(BRONZE_EVENT.fieldNames(), cells)]
+    line = (F.when(number % 20 == 7, F.concat_ws(",", *cells[:4])).when(number % 20 == 8, F.concat_ws(",", *cells, F.lit("more")))
+            .when(number % 20 == 9, F.concat_ws(",", *priced)).otherwise(F.concat_ws(",", *cells)))
+    # every file of a drop starts with the header
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    lines = raw.select(F.pmod(F.xxhash64("listing_id"), F.lit(n)).cast("int").alias("file"), F.lit(1).alias("part"), line.alias("value"))
+    headers = spark.range(n).select(F.col("id").cast("int").alias("file"), F.lit(0).alias("part"),
+                                    F.lit(",".join(BRONZE_EVENT.fieldNames())).alias("value"))
+    (lines.unionByName(headers).repartitionById(n, F.col("file")).sortWithinPartitions("file", "part").select("value")
+     .write.text(f"{root}/incoming/batch_001"))
+    drops = ingest.with_provenance(ingest.csv_stream_rescued(spark, f"{root}/incoming"), fx.SILVER_LOAD)
+    ingest.drain(drops, f"{root}/drops", f"{root}/_checkpoint_drops")
+
+    out = None
+    for feed in ("events", "drops"):
+        held = spark.read.parquet(f"{root}/{feed}")
+        kept = ingest.kept_rows(held).agg(F.lit("kept").alias("outcome"), F.count(F.lit(1)).alias("row_count"),
+                                          F.count(ingest.RESCUED).alias("rescued_rows"))
+        bad = ingest.quarantined_rows(held).groupBy(F.col("fault").alias("outcome")).agg(
+            F.count(F.lit(1)).alias("row_count"), F.lit(0).cast("long").alias("rescued_rows"))
+        part = kept.unionByName(bad).withColumn("feed", F.lit(feed))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def _deleted_agents(spark: SparkSession, sf_dir: str) -> DataFrame:
     cust = read_table(spark, sf_dir, "customer", "c_custkey")
     return cust.filter(F.col("c_custkey") % 10 == 0).select(
@@ -164,13 +276,13 @@ def q_delete_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _published_silver(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Clean events written once; later steps read the files (lineage cut)."""
-    t = ParquetTable(spark, scratch_path(spark, name, "silver"))
-    t.overwrite(silver(spark, sf_dir))
-    return t.read()
+    path = scratch_path(spark, name, "silver")
+    silver(spark, sf_dir).write.parquet(path)
+    return spark.read.parquet(path)
 
 
-def _scripted_loads(spark: SparkSession, sf_dir: str) -> ParquetTable:
-    t = ParquetTable(spark, scratch_path(spark, "load_history"))
+def _scripted_loads(spark: SparkSession, sf_dir: str) -> Table:
+    t = _table(spark, "load_history")
     s = _published_silver(spark, sf_dir, "load_history_src")
     early = _true(F.col("event_timestamp") < F.lit(SPLIT_TIME).cast("timestamp"))
     t.overwrite(s.filter(early))                                   # v0 WRITE
@@ -250,6 +362,13 @@ IO_QUERIES = {
     "schema_evolve": q_schema_evolve,
     "compact_table": q_compact_table,
     "cluster_layout": q_cluster_layout,
+    "curve_layout": q_curve_layout,
+    "append_new_columns": q_append_new_columns,
+    "silver_add_batch": q_silver_add_batch,
+    "scd2_merge_slices": q_scd2_merge_slices,
+    "delete_by_key_slices": q_delete_by_key_slices,
+    "stream_compaction": q_stream_compaction,
+    "bronze_rescue": q_bronze_rescue,
     "delete_by_key": q_delete_by_key,
     "load_history": q_load_history,
     "table_detail": q_table_detail,

@@ -57,6 +57,61 @@ def market_facts(silver: DataFrame) -> DataFrame:
         F.min(pp).alias("p_min"))
 
 
+# ------------------------------------------------ the summary kept up from a change feed
+
+FACT_KEYS = ("city", "locality", "event_type", "event_date")
+_SUMS = ("n_rows", "n_listings", "p_sum", "p_cnt", "p_listings")
+
+
+def signed_facts(changes: DataFrame) -> DataFrame:
+    """What a change feed of clean events (``_change_type``) adds to each group of
+    ``market_facts``: sums in which images that go count negative, and the extreme prices
+    of those that come (``in_``) and go (``out_``)."""
+    comes = F.col("_change_type").isin("insert", "update_postimage")
+    sign = F.when(comes, 1).otherwise(-1)
+    pp = F.when(priced_condition(), F.col("price"))
+    listed = F.col("listing_id").isNotNull()
+    return changes.groupBy("city", "locality", "event_type", event_day().alias("event_date")).agg(
+        F.sum(sign).alias("n_rows"),
+        F.sum(F.when(listed, sign).otherwise(0)).alias("n_listings"),
+        F.coalesce(F.sum(sign * pp.cast("double")), F.lit(0.0)).alias("p_sum"),
+        F.sum(F.when(pp.isNotNull(), sign).otherwise(0)).alias("p_cnt"),
+        F.sum(F.when(priced_condition() & listed, sign).otherwise(0)).alias("p_listings"),
+        F.max(F.when(comes, pp)).alias("in_max"), F.min(F.when(comes, pp)).alias("in_min"),
+        F.max(F.when(~comes, pp)).alias("out_max"), F.min(F.when(~comes, pp)).alias("out_min"))
+
+
+def maintain_market_facts(facts: DataFrame, changes: DataFrame, events: DataFrame) -> DataFrame:
+    """``market_facts`` of ``events`` (the state after the changes) from the facts before them.
+
+    Counts and sums take the feed's signed sums (prices are whole numbers, so sums in double stay
+    exact up to 2^53).  A maximum or minimum follows the feed unless a price that equals it leaves its
+    group and none as extreme comes; only such groups are computed anew, from the events of those
+    groups.  Groups that the feed does not touch are carried over; groups left without rows go.
+    """
+    delta = signed_facts(changes).select(*[F.col(c).alias(f"_d_{c}") for c in (
+        *FACT_KEYS, *_SUMS, "in_max", "in_min", "out_max", "out_min")])
+    both = facts.join(delta, [F.col(k).eqNullSafe(F.col(f"_d_{k}")) for k in FACT_KEYS], "full_outer")
+    zero = F.lit(0)
+    # a group that only one side has: its rows are counted there, and rows are never null
+    key = {k: F.when(F.col("n_rows").isNull(), F.col(f"_d_{k}")).otherwise(F.col(k)).alias(k) for k in FACT_KEYS}
+    sums = {c: (F.coalesce(F.col(c), zero) + F.coalesce(F.col(f"_d_{c}"), zero)) for c in _SUMS}
+    left = sums["p_cnt"] > 0
+    gone_max = F.coalesce((F.col("_d_out_max") >= F.col("p_max")) & ~F.coalesce(F.col("_d_in_max") >= F.col("p_max"), F.lit(False)), F.lit(False))
+    gone_min = F.coalesce((F.col("_d_out_min") <= F.col("p_min")) & ~F.coalesce(F.col("_d_in_min") <= F.col("p_min"), F.lit(False)), F.lit(False))
+    merged = both.select(
+        *key.values(), sums["n_rows"].alias("n_rows"), sums["n_listings"].alias("n_listings"),
+        F.when(left, sums["p_sum"]).alias("p_sum"), *[sums[c].alias(c) for c in ("p_cnt", "p_listings")],
+        F.when(left, F.greatest("p_max", "_d_in_max")).alias("p_max"),
+        F.when(left, F.least("p_min", "_d_in_min")).alias("p_min"),
+        (left & (gone_max | gone_min)).alias("_anew")).where(F.col("n_rows") > 0)
+    anew = merged.where("_anew").select(*[F.col(k).alias(f"_k_{k}") for k in FACT_KEYS])
+    again = market_facts(events.join(anew, [
+        (event_day() if k == "event_date" else F.col(k)).eqNullSafe(F.col(f"_k_{k}")) for k in FACT_KEYS], "left_semi"))
+    columns = [*FACT_KEYS, *_SUMS, "p_max", "p_min"]
+    return merged.where(~F.col("_anew")).select(*columns).unionByName(again.select(*columns))
+
+
 def _priced_rollup(facts: DataFrame, *keys) -> DataFrame:
     return facts.filter(F.col("p_cnt") > 0).groupBy(*keys).agg(
         F.round(ratio(F.sum("p_sum"), F.sum("p_cnt")), 2).alias("avg_price"),

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tierlake.functions.columns import normalized_label, parse_event_time, price_or_zero, trimmed
-from tierlake.operators.dedup import EVENT_KEYS, drop_duplicates
+from tierlake.operators.dedup import EVENT_KEYS, keep_by_order
 from tierlake.schemas import BRONZE_EVENT
 
 
@@ -36,12 +36,19 @@ def standardize(bronze: DataFrame, as_of: str | None = None) -> DataFrame:
 
 
 def clean_events(bronze: DataFrame, as_of: str | None = None) -> DataFrame:
-    """Silver events: ``standardize`` then one row per (listing, type, time).
+    """Silver events: ``standardize`` then one row per (listing, type, time)."""
+    return one_per_event(standardize(bronze, as_of))
 
-    Replayed copies differ only in raw-only columns, so after
-    standardisation they are identical and any survivor is the same row.
-    """
-    return drop_duplicates(standardize(bronze, as_of), EVENT_KEYS)
+
+def one_per_event(events: DataFrame) -> DataFrame:
+    """Of the rows of one (listing, type, time) the first ingested one stays; of several ingested
+    together, the least in the other columns' order.  A retried task picks the same row again."""
+    return keep_by_order(events, EVENT_KEYS, ["ingestion_timestamp"], latest=False)
+
+
+def add_events(held: DataFrame, new: DataFrame) -> DataFrame:
+    """Clean events with a newly cleaned batch: rows that are there stay, whatever their replays say."""
+    return one_per_event(held.unionByName(new))
 
 
 def union_bronze(*raw: DataFrame) -> DataFrame:

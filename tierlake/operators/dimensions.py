@@ -13,24 +13,41 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tierlake.functions.columns import row_digest
+
+Key = str | Sequence[str]
+
+
+def key_columns(key: Key) -> list[str]:
+    return [key] if isinstance(key, str) else list(key)
+
+
+def key_text(key: Key) -> Column:
+    return F.concat_ws(", ", *[F.col(c).cast("string") for c in key_columns(key)])
+
+
+def without_key(key: Key) -> Column:
+    """Is any column of the key null?"""
+    return F.greatest(*[F.col(c).isNull() for c in key_columns(key)], F.lit(False))
 
 
 # ---------------------------------------------------------------- type 1
 
-def _one_row_per_key(feed: DataFrame, key: str) -> DataFrame:
+def _one_row_per_key(feed: DataFrame, key: Key) -> DataFrame:
     """Collapse a merge source to one row per key, failing the job (from inside
     the plan, when the key is first used) if a key has two rows."""
-    rest = [c for c in feed.columns if c != key]
-    grouped = feed.groupBy(key).agg(F.count(F.lit(1)).alias("_n"),
-                                    *[F.first(c).alias(c) for c in rest])
-    guard = F.when(F.col(key).isNull(), F.raise_error(F.lit("merge source has a row without a key"))) \
+    keys = key_columns(key)
+    rest = [c for c in feed.columns if c not in keys]
+    grouped = feed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"),
+                                      *[F.first(c).alias(c) for c in rest])
+    guard = F.when(without_key(key), F.raise_error(F.lit("merge source has a row without a key"))) \
         .when(F.col("_n") > 1, F.raise_error(F.concat(
-            F.lit("merge source has more than one row for key "), F.col(key).cast("string"))))
-    return grouped.select(F.coalesce(guard.cast(feed.schema[key].dataType), F.col(key)).alias(key),
-                          *[F.col(c) for c in rest])
+            F.lit("merge source has more than one row for key "), key_text(key))))
+    first = F.coalesce(guard.cast(feed.schema[keys[0]].dataType), F.col(keys[0])).alias(keys[0])
+    return grouped.select(first, *[F.col(c) for c in keys[1:] + rest])
 
 
-def scd1_upsert(dim: DataFrame, updates: DataFrame, key: str = "agent_id",
+def scd1_upsert(dim: DataFrame, updates: DataFrame, key: Key = "agent_id",
                 set_columns: Sequence[str] = ("tier",)) -> DataFrame:
     """MERGE: matched keys take ``set_columns`` from the update (others kept);
     unmatched update rows are inserted whole; no history is kept.
@@ -42,32 +59,45 @@ def scd1_upsert(dim: DataFrame, updates: DataFrame, key: str = "agent_id",
     src = _one_row_per_key(updates.select(*cols), key).select(
         F.lit(True).alias("_hit"), *[F.col(c).alias(f"_u_{c}") for c in cols])
     old = dim.withColumn("_old", F.lit(True))
-    merged = old.join(src, F.col(key) == F.col(f"_u_{key}"), "full_outer")
+    merged = old.join(src, [F.col(k) == F.col(f"_u_{k}") for k in key_columns(key)], "full_outer")
     from_feed = {c: F.col("_hit") if c in set_columns else F.col("_old").isNull() for c in cols}
     return merged.select(*[F.when(from_feed[c], F.col(f"_u_{c}")).otherwise(F.col(c)).alias(c)
                            for c in cols])
 
 
-def change_feed(before: DataFrame, after: DataFrame, key: str) -> DataFrame:
+def change_feed(before: DataFrame, after: DataFrame, key: Key) -> DataFrame:
     """Row-level diff of two snapshots of a keyed table.
 
     ``_change_type`` is insert, delete, update_preimage or update_postimage;
-    unchanged rows are omitted.  Comparison is null-safe on every column.
-    One full outer join on the key (both sides hash-shuffled once).  Rows
-    without a key never match: they are deletes of the old and inserts of
-    the new snapshot.
+    unchanged rows are omitted.  One full outer join on the key; rows are compared by
+    a digest of all their columns, so a column that only one snapshot has counts as null
+    in the other.  Rows without a key never match: they are deletes of the old and inserts
+    of the new snapshot.
     """
-    cols = [c for c in before.columns]
-    b = before.withColumn("_in", F.lit(True)).alias("b")
-    a = after.withColumn("_in", F.lit(True)).alias("a")
-    j = b.join(a, F.col(f"b.{key}") == F.col(f"a.{key}"), "full_outer")
-    same = F.lit(True)
-    for c in cols:
-        same = same & F.col(f"b.{c}").eqNullSafe(F.col(f"a.{c}"))
-    kind = (F.when(F.col("b._in").isNull(), F.lit("insert"))
-            .when(F.col("a._in").isNull(), F.lit("delete"))
-            .when(~same, F.lit("update")))
-    j = j.withColumn("_kind", kind).filter(F.col("_kind").isNotNull())
+    b, a = _same_columns(before, after)
+    keys = key_columns(key)
+    b = b.withColumn("_d", row_digest(b.columns)).alias("b")
+    a = a.withColumn("_d", row_digest(a.columns)).alias("a")
+    return _changes(b.join(a, [F.col(f"b.{k}") == F.col(f"a.{k}") for k in keys], "full_outer"),
+                    [c for c in b.columns if c != "_d"])
+
+
+def _same_columns(before: DataFrame, after: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both with the columns of ``before``, then those that only ``after`` has."""
+    both = {**{f.name: f.dataType for f in after.schema}, **{f.name: f.dataType for f in before.schema}}
+    names = [*before.columns, *[c for c in after.columns if c not in before.columns]]
+
+    def filled(df: DataFrame) -> DataFrame:
+        return df.select(*[F.col(c) if c in df.columns else F.lit(None).cast(both[c]).alias(c) for c in names])
+    return filled(before), filled(after)
+
+
+def _changes(joined: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """The images of a full outer join of snapshots ``b`` and ``a`` with row digests ``_d``."""
+    kind = (F.when(F.col("b._d").isNull(), F.lit("insert"))
+            .when(F.col("a._d").isNull(), F.lit("delete"))
+            .when(F.col("b._d") != F.col("a._d"), F.lit("update")))
+    j = joined.withColumn("_kind", kind).filter(F.col("_kind").isNotNull())
     pre = F.struct(*[F.col(f"b.{c}").alias(c) for c in cols],
                    F.when(F.col("_kind") == "delete", "delete")
                    .otherwise("update_preimage").alias("_change_type"))
@@ -79,13 +109,43 @@ def change_feed(before: DataFrame, after: DataFrame, key: str) -> DataFrame:
     return j.select(F.explode(images).alias("r")).select("r.*")
 
 
-def apply_change_feed(before: DataFrame, changes: DataFrame, key: str) -> DataFrame:
-    """Replay a change feed onto a snapshot (inverse of ``change_feed``)."""
-    cols = before.columns
+SNAPSHOT_KEY, SNAPSHOT_ROW = "_snapshot_key", "_snapshot_row"
+
+
+def write_snapshot(df: DataFrame, key: Key, name: str, path: str, buckets: int = 64) -> None:
+    """``df`` as the bucketed table ``name``: its columns, a digest of its key (null is a value, as
+    in a GROUP BY key) and one of the whole row, bucketed and sorted by the key's digest.  One
+    shuffle, paid by the write that makes the snapshot anyway."""
+    kept = df.withColumn(SNAPSHOT_KEY, row_digest(key_columns(key))).withColumn(SNAPSHOT_ROW, row_digest(df.columns))
+    # bucket numbers are those of a hash partitioning, so each task writes whole buckets
+    (kept.repartition(buckets, SNAPSHOT_KEY).write.mode("overwrite").bucketBy(buckets, SNAPSHOT_KEY).sortBy(SNAPSHOT_KEY)
+     .option("path", path).saveAsTable(name))
+
+
+def snapshot_changes(before: DataFrame, after: DataFrame) -> DataFrame:
+    """Change feed of two snapshots that ``write_snapshot`` made with one key and number of buckets:
+    equal buckets are merged as they lie, without a shuffle.  Keys are unique in a snapshot."""
+    made = (SNAPSHOT_KEY, SNAPSHOT_ROW)
+    cols = [c for c in before.columns if c not in made]
+    new = [c for c in after.columns if c not in made and c not in cols]
+
+    def side(df: DataFrame, name: str) -> DataFrame:
+        missing = [c for c in cols + new if c not in df.columns]
+        types = {f.name: f.dataType for f in (*before.schema, *after.schema)}
+        return df.withColumns({"_d": F.col(SNAPSHOT_ROW), **{c: F.lit(None).cast(types[c]) for c in missing}}).alias(name)
+    b, a = side(before, "b"), side(after, "a")
+    return _changes(b.join(a, F.col(f"b.{SNAPSHOT_KEY}") == F.col(f"a.{SNAPSHOT_KEY}"), "full_outer"), cols + new)
+
+
+def apply_change_feed(before: DataFrame, changes: DataFrame, key: Key) -> DataFrame:
+    """Replay a change feed onto a snapshot (inverse of ``change_feed``); null is a key value."""
+    keys = key_columns(key)
+    cols = [c for c in changes.columns if c != "_change_type"]
     post = changes.filter(F.col("_change_type").isin("insert", "update_postimage")).select(*cols)
     gone = changes.filter(F.col("_change_type").isin("delete", "update_preimage")).select(
-        F.col(key).alias("_gone"))
-    return (before.join(gone, F.col(key).eqNullSafe(F.col("_gone")), "left_anti")
+        *[F.col(k).alias(f"_gone_{k}") for k in keys])
+    held, _ = _same_columns(before, post)
+    return (held.join(gone, [F.col(k).eqNullSafe(F.col(f"_gone_{k}")) for k in keys], "left_anti")
             .select(*cols).unionByName(post))
 
 
@@ -101,7 +161,7 @@ def scd2_init(dim: DataFrame, as_of: str | Column) -> DataFrame:
                       F.lit(1).alias("scd_version"))
 
 
-def scd2_apply(history: DataFrame, changes: DataFrame, key: str = "agent_id",
+def scd2_apply(history: DataFrame, changes: DataFrame, key: Key = "agent_id",
                tracked: Sequence[str] = ("base_city",), as_of: str | Column | None = None,
                change_time: str | None = None) -> DataFrame:
     """Apply a feed of new attribute values to a type-2 history.
@@ -131,8 +191,9 @@ def scd2_apply(history: DataFrame, changes: DataFrame, key: str = "agent_id",
         F.lit(None).cast("int").alias("scd_version"), F.lit(1).alias("_new"))
     u = history.select(*attrs, *meta, F.lit(0).alias("_new")).unionByName(feed)
 
-    by_key = Window.partitionBy(key)
-    by_time = Window.partitionBy(key, "effective_start_date")
+    keys = key_columns(key)
+    by_key = Window.partitionBy(*keys)
+    by_time = Window.partitionBy(*keys, "effective_start_date")
     is_new = F.col("_new") == 1
     is_cur = ~is_new & F.coalesce(F.col("is_current"), F.lit(False))
     u = u.withColumns({
@@ -141,9 +202,9 @@ def scd2_apply(history: DataFrame, changes: DataFrame, key: str = "agent_id",
         "_same_time": F.sum("_new").over(by_time),
         # highest version so far, closed ones included: new versions follow it
         "_base": F.coalesce(F.max("scd_version").over(by_key), F.lit(0))})
-    guard = F.when(is_new & F.col(key).isNull(), F.raise_error(F.lit("change feed has a row without a key"))) \
+    guard = F.when(is_new & without_key(key), F.raise_error(F.lit("change feed has a row without a key"))) \
         .when(is_new & (F.col("_same_time") > 1), F.raise_error(F.concat(
-            F.lit("change feed has more than one row for key "), F.col(key).cast("string"),
+            F.lit("change feed has more than one row for key "), key_text(key),
             F.lit(" at one effective time"))))
     # the sequence to rebuild: the current version of each touched key plus
     # the feed rows strictly newer than it.  The guard sits in the filter
@@ -153,7 +214,7 @@ def scd2_apply(history: DataFrame, changes: DataFrame, key: str = "agent_id",
     u = (u.withColumn("_seq", F.col("_touched") & (is_cur | (is_new & newer)))
          .filter(F.coalesce(guard.cast("boolean"), ~is_new | F.col("_seq"))))
 
-    seq = Window.partitionBy(key, "_seq").orderBy("effective_start_date", "_new")
+    seq = Window.partitionBy(*keys, "_seq").orderBy("effective_start_date", "_new")
     changed = F.lit(False)
     for c in tracked:
         changed = changed | ~F.col(c).eqNullSafe(F.lag(c).over(seq))
@@ -177,7 +238,7 @@ def _dated(changes: DataFrame, attrs: Sequence[str], as_of: str | Column | None,
     return changes.select(*[F.col(c) for c in attrs], start.alias("effective_start_date"))
 
 
-def scd2_late(history: DataFrame, changes: DataFrame, key: str = "agent_id",
+def scd2_late(history: DataFrame, changes: DataFrame, key: Key = "agent_id",
               tracked: Sequence[str] = ("base_city",), as_of: str | Column | None = None,
               change_time: str | None = None) -> DataFrame:
     """The feed rows that ``scd2_apply`` leaves out although they say something
@@ -186,7 +247,8 @@ def scd2_late(history: DataFrame, changes: DataFrame, key: str = "agent_id",
     attrs = [c for c in history.columns if c not in
              ("effective_start_date", "effective_end_date", "is_current", "scd_version")]
     feed = _dated(changes, attrs, as_of, change_time)
-    spans = history.select(F.col(key).alias("_k"), F.col("effective_start_date").alias("_from"),
+    keys = key_columns(key)
+    spans = history.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("effective_start_date").alias("_from"),
                            F.col("effective_end_date").alias("_to"), "is_current",
                            *[F.col(c).alias(f"_h_{c}") for c in tracked])
     at = F.col("effective_start_date")
@@ -194,7 +256,7 @@ def scd2_late(history: DataFrame, changes: DataFrame, key: str = "agent_id",
     same = F.lit(True)
     for c in tracked:
         same = same & F.col(c).eqNullSafe(F.col(f"_h_{c}"))
-    seen = feed.join(spans, F.col(key) == F.col("_k")).groupBy(*attrs, "effective_start_date").agg(
+    seen = feed.join(spans, [F.col(k) == F.col(f"_k_{k}") for k in keys]).groupBy(*attrs, "effective_start_date").agg(
         F.max(F.when(F.col("is_current"), F.col("_from"))).alias("_cur_start"),
         F.coalesce(F.max(valid & same), F.lit(False)).alias("_known"))
     return seen.filter((at <= F.col("_cur_start")) & ~F.col("_known")).select(*attrs, "effective_start_date")
@@ -229,16 +291,41 @@ def scd2_dedup(history: DataFrame,
     return history.dropDuplicates(list(keys))
 
 
-def valid_at(facts: DataFrame, history: DataFrame, key: str, time_col: str) -> DataFrame:
-    """Join each fact to the version valid at its time.
+def valid_at(facts: DataFrame, history: DataFrame, key: Key, time_col: str, slice_unit: str = "day") -> DataFrame:
+    """Join each fact to the version valid at its time: the last one that started at or before it,
+    unless that one has ended by then.
+
+    An as-of join without a range predicate.  Facts and versions are united and sorted within
+    (key, time slice); the last version is carried forward over the facts that follow it.  What is
+    valid as a slice begins comes from one row per key and slice.  The facts of a key that holds
+    very many are thus split by time, and each fact is compared with no version but its own.
 
-    Equi-join on the key plus ``start <= t < end`` (open end = current), so
-    it plans as a hash/sort-merge join with a residual predicate; AQE
-    broadcasts a small history and splits a skewed key's partition.
+    A key's versions must not overlap (no two of a type-2 history do); of two that start together the
+    one with the greater ``effective_end_date`` (open ends last), then the greater row, counts.
+    Facts without a key, a time or a valid version are left out.  Columns are those of the facts,
+    then those of the history but the key.
     """
-    h = history.withColumnRenamed(key, "_hkey")
-    cond = ((F.col(key) == F.col("_hkey"))
-            & (F.col(time_col) >= F.col("effective_start_date"))
-            & (F.col("effective_end_date").isNull()
-               | (F.col(time_col) < F.col("effective_end_date"))))
-    return facts.join(h, cond, "inner").drop("_hkey")
+    keys = key_columns(key)
+    fact_cols, version_cols = facts.columns, [c for c in history.columns if c not in keys]
+    same = [F.col(k) for k in keys]
+    # greatest of equal starts: open ends last, then by the other columns
+    version = F.struct(F.col("effective_start_date").alias("_start"), F.col("effective_end_date").isNull().alias("_open"),
+                       F.col("effective_end_date").alias("_end"), F.struct(*version_cols).alias("_v"))
+    at = F.col(time_col).cast("timestamp")
+    f = facts.where(~without_key(key) & at.isNotNull()).select(
+        *same, at.alias("_at"), F.lit(1).alias("_kind"), F.struct(*fact_cols).alias("_f"),
+        F.lit(None).cast(history.select(version.alias("v")).schema["v"].dataType).alias("_held"))
+    v = history.where(~without_key(key) & F.col("effective_start_date").isNotNull()).select(
+        *same, F.col("effective_start_date").alias("_at"), F.lit(0).alias("_kind"),
+        F.lit(None).cast(f.schema["_f"].dataType).alias("_f"), version.alias("_held"))
+    u = f.unionByName(v).withColumn("_slice", F.date_trunc(slice_unit, "_at"))
+    # one row per key and slice: the last version that started in it, then in those before it
+    last = u.groupBy(*keys, "_slice").agg(F.max("_held").alias("_last"))
+    before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    carried = last.select(*same, "_slice", F.last("_last", ignorenulls=True).over(before).alias("_carried"))
+    upto = Window.partitionBy(*keys, "_slice").orderBy("_at", "_kind", "_held").rowsBetween(Window.unboundedPreceding, 0)
+    seen = (u.withColumn("_here", F.last("_held", ignorenulls=True).over(upto)).where("_kind = 1")
+            .join(carried, [*keys, "_slice"], "left")
+            .withColumn("_valid", F.coalesce("_here", "_carried")))
+    valid = seen.where(F.col("_valid").isNotNull() & (F.col("_valid._open") | (F.col("_at") < F.col("_valid._end"))))
+    return valid.select(*[F.col(f"_f.{c}").alias(c) for c in fact_cols], *[F.col(f"_valid._v.{c}").alias(c) for c in version_cols])

@@ -1,11 +1,8 @@
 """Ranking and trend windows.
 
 ``rank_within`` replaces ``RANK() OVER (PARTITION BY g ORDER BY x DESC)``
-for partitions that can be huge and few (five tiers): instead of sorting
-every row of a group inside one task, it ranks the *histogram* of
-``(g, x)`` values - at most one row per distinct value - and joins the
-rank back.  rank = 1 + number of rows in the group with a larger value,
-which is exactly SQL RANK (ties share a rank, gaps follow).
+for groups that can be huge and few (five tiers), with many distinct values
+each: no task sorts, or runs a window over, a whole group.
 
 The daily windows (dense rank of cities per day, day-over-day change per
 city) run on already aggregated rows: a partition holds one row per city
@@ -18,27 +15,46 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tierlake.operators.aggregates import daily_city_prices_from, market_facts
+from tierlake.session import scratch_path
 
 
 def rank_within(df: DataFrame, group: str, value: str, rank_col: str = "rank",
-                total_col: str | None = None) -> DataFrame:
+                total_col: str | None = None, ranges: int | None = None) -> DataFrame:
     """Add SQL ``RANK()`` of ``value`` (descending) within ``group``.
 
     With ``total_col`` also add ``SUM(value) OVER (PARTITION BY group)``.
+
+    The histogram of (group, value) is sorted by range partitioning, so a group with many values
+    spreads over many ranges; it is written with its range numbers (a recomputed range could
+    have other bounds).  A value's rank is one more than the rows in the group's ranges before
+    its own (prefix sums over one row per group and range) and before it in its range (a window
+    over a group's part of one range).  The ranks are joined back to the rows.
     """
+    spark = df.sparkSession
+    path = scratch_path(spark, "rank")
     hist = (df.groupBy(group, value).agg(F.count(F.lit(1)).alias("_n"))
             .withColumnRenamed(group, "_g").withColumnRenamed(value, "_x"))
-    above = Window.partitionBy("_g").orderBy(F.desc("_x")).rowsBetween(
-        Window.unboundedPreceding, -1)
-    cols = [F.col("_g"), F.col("_x"),
-            (F.coalesce(F.sum("_n").over(above), F.lit(0)) + 1).cast("long").alias(rank_col)]
+    keys = [F.col("_g"), F.desc("_x")]
+    sorted_ = hist.repartitionByRange(ranges, *keys) if ranges else hist.repartitionByRange(*keys)
+    sorted_.withColumn("_range", F.spark_partition_id()).write.parquet(path)
+    hist = spark.read.parquet(path)
+
+    per_range = hist.groupBy("_g", "_range").agg(F.sum("_n").alias("n"), F.sum(F.col("_n") * F.col("_x")).alias("t"))
+    # prefix sums in an array of one entry per range that the group meets
+    lists = per_range.groupBy("_g").agg(F.sort_array(F.collect_list(F.struct("_range", "n"))).alias("r"), F.sum("t").alias("_total"))
+    before = F.transform("r", lambda e: F.struct(e["_range"].alias("_range"), F.aggregate(
+        F.filter("r", lambda o: o["_range"] < e["_range"]), F.lit(0).cast("long"), lambda a, o: a + o["n"]).alias("before")))
+    offsets = lists.select(F.col("_g").alias("_og"), "_total", F.explode(before).alias("b")).select(
+        "_og", "_total", F.col("b._range").alias("_or"), F.col("b.before").alias("_before"))
+    above = Window.partitionBy("_range", "_g").orderBy(F.desc("_x")).rowsBetween(Window.unboundedPreceding, -1)
+    ranked = hist.withColumn("_above", F.coalesce(F.sum("_n").over(above), F.lit(0)))
+    ranked = ranked.join(offsets, (F.col("_range") == F.col("_or")) & F.col("_g").eqNullSafe(F.col("_og")))
+    cols = [F.col("_g"), F.col("_x"), (F.col("_before") + F.col("_above") + 1).cast("long").alias(rank_col)]
     if total_col:
-        cols.append(F.sum(F.col("_n") * F.col("_x")).over(Window.partitionBy("_g"))
-                    .alias(total_col))
-    ranks = hist.select(*cols)
+        cols.append(F.col("_total").alias(total_col))
     # null-safe on both keys: NULL groups/values rank among themselves as SQL does
     cond = F.col(group).eqNullSafe(F.col("_g")) & F.col(value).eqNullSafe(F.col("_x"))
-    return df.join(ranks, cond, "inner").drop("_g", "_x")
+    return df.join(ranked.select(*cols), cond, "inner").drop("_g", "_x")
 
 
 def daily_city_prices(silver: DataFrame) -> DataFrame:

@@ -227,6 +227,35 @@ GATES = """SELECT g.* FROM (
   ) v(check_name, violations, total, passed)
 ) g"""
 
+def _feed_of_trend() -> str:
+    """Changes of Gold 3 between the clean table as it was and as it is."""
+    def trend(table: str) -> str:
+        return f"""SELECT city, locality, date_trunc('day', event_timestamp) AS event_date,
+       ROUND(CAST(sum(price) AS DOUBLE) / count(*), 2) AS avg_price, count(listing_id) AS listing_count
+FROM {table} WHERE event_type <> 'REMOVED' AND price > 0 GROUP BY ALL"""
+
+    def images(of: str, other: str, alone: str, changed: str) -> str:
+        return f"""SELECT x.*, CASE WHEN y.listing_count IS NULL THEN '{alone}' ELSE '{changed}' END AS _change_type
+FROM {of} x LEFT JOIN {other} y ON x.city IS NOT DISTINCT FROM y.city
+     AND x.locality IS NOT DISTINCT FROM y.locality AND x.event_date IS NOT DISTINCT FROM y.event_date
+WHERE y.listing_count IS NULL OR x.avg_price <> y.avg_price OR x.listing_count <> y.listing_count"""
+
+    return "WITH " + _LISTING + f""",
+yesterday AS (
+  SELECT listing_id, event_type, city, locality, event_timestamp,
+         CASE WHEN CAST(listing_id AS BIGINT) % 13 = 0 AND price > 0 THEN price + 5000000 ELSE price END AS price
+  FROM silver WHERE CAST(listing_id AS BIGINT) % 11 <> 0
+  UNION ALL
+  SELECT 'gone-' || listing_id, event_type, city, locality, event_timestamp, price
+  FROM silver WHERE CAST(listing_id AS BIGINT) % 17 = 0
+),
+was AS ({trend('yesterday')}),
+now AS ({trend('silver')})
+{images('now', 'was', 'insert', 'update_postimage')}
+UNION ALL
+{images('was', 'now', 'delete', 'update_preimage')}"""
+
+
 ORACLE: dict[str, str] = {
     "silver_clean": _with("SELECT * FROM silver"),
     "dedup_latest": _with("""SELECT listing_id, event_type, city, locality, price, bedrooms,
@@ -288,6 +317,11 @@ FROM scd2 GROUP BY agent_id, agent_name HAVING COUNT(*) > 1""", agents=True),
     "gold_agent_vs_city_benchmark": "WITH " + _LISTING + _AGENTS + GOLD6,
     "gold_top_agents_by_tier": "WITH " + _LISTING + _AGENTS + GOLD7,
     "gold_agent_city_movement": "WITH " + _LISTING + _AGENTS + GOLD8,
+    "gold_trend_maintained": _with(GOLD3),
+    "gold_change_feed": _feed_of_trend(),
+    "sql_temp_views": _with("""SELECT a.tier, count(*) AS events, count(DISTINCT s.agent_id) AS agents,
+       max(s.price) AS top_price
+FROM silver s JOIN scd2 a ON a.agent_id = s.agent_id AND a.is_current GROUP BY a.tier""", agents=True),
     "agent_pre_post_move": _with("""SELECT h.agent_id, h.scd_version, h.base_city,
        h.effective_start_date, h.effective_end_date, COUNT(s.listing_id) AS listings,
        ROUND(AVG(CASE WHEN s.price > 0 THEN s.price END), 2) AS avg_price
@@ -351,6 +385,28 @@ FROM silver WHERE event_type <> 'REMOVED'"""),
        area_sqft, agent_id, "timestamp",
        CASE WHEN "timestamp" < '2024-01-15' THEN NULL ELSE 'stream' END AS source
 FROM listing"""),
+    "curve_layout": _with("SELECT * FROM silver"),
+    "append_new_columns": _with("""SELECT listing_id, event_type, city, locality,
+       CASE WHEN event_type = 'REMOVED' THEN NULL ELSE price END AS price,
+       CASE WHEN event_type = 'REMOVED' THEN NULL ELSE bedrooms END AS bedrooms,
+       area_sqft, agent_id, event_timestamp, ingestion_timestamp,
+       CASE WHEN event_type IS DISTINCT FROM 'REMOVED'
+                 AND NOT coalesce(event_timestamp < TIMESTAMP '2024-01-15', FALSE)
+            THEN date_trunc('day', event_timestamp) END AS event_date
+FROM silver"""),
+    "silver_add_batch": _with("SELECT * FROM silver"),
+    "scd2_merge_slices": _with("SELECT * FROM scd2", agents=True),
+    "delete_by_key_slices": _with(_KEPT),
+    "stream_compaction": _with("SELECT * FROM bronze"),
+    "bronze_rescue": _with("""SELECT feed, outcome, count(*) AS row_count,
+       CAST(sum(rescued) AS BIGINT) AS rescued_rows
+FROM (SELECT 'events' AS feed,
+             CASE WHEN event_id % 20 BETWEEN 1 AND 4 THEN 'malformed'
+                  WHEN event_id % 20 = 5 THEN 'no body' ELSE 'kept' END AS outcome,
+             CASE WHEN event_id % 20 = 6 THEN 1 ELSE 0 END AS rescued FROM listing
+      UNION ALL
+      SELECT 'drops', CASE WHEN event_id % 20 BETWEEN 7 AND 9 THEN 'malformed' ELSE 'kept' END, 0
+      FROM listing) GROUP BY feed, outcome"""),
     "compact_table": _with("SELECT * FROM silver"),
     "cluster_layout": _with("SELECT * FROM silver"),
     "delete_by_key": _with(_KEPT),

@@ -1,14 +1,14 @@
-"""Database and table registration in the session catalog.
+"""Databases and tables of the session catalog.
 
-Tables are registered as external Parquet tables over snapshot folders;
-re-registration points the name at the new snapshot (``SET LOCATION``), so
-readers switch only after a write has finished.
+Tables are external Parquet tables.  A load points the table's name at its new
+folder (``SET LOCATION``), so readers switch only after a write has finished.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 def register_views(frames: dict[str, DataFrame]) -> list[str]:
@@ -19,41 +19,83 @@ def register_views(frames: dict[str, DataFrame]) -> list[str]:
     return sorted(frames)
 
 
-def _q(name: str) -> str:
+def quoted(name: str) -> str:
     return ".".join(f"`{p}`" for p in name.split("."))
 
 
 def create_database(spark: SparkSession, database: str, location: str | None = None) -> None:
     loc = f" LOCATION '{location}'" if location else ""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {_q(database)}{loc}")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted(database)}{loc}")
 
 
 def register_table(spark: SparkSession, database: str, table: str, location: str) -> str:
-    """Point the name at ``location``.  Where the published columns differ from
-    the registered ones, the (external) table is dropped and created anew."""
+    """Point the name at ``location``, with the columns and partitions that are found there."""
     name = f"{database}.{table}"
+    found = spark.read.parquet(location)
     if spark.catalog.tableExists(name):
-        published = spark.read.parquet(location).schema
-        if [(f.name, f.dataType) for f in spark.table(name).schema] == \
-                [(f.name, f.dataType) for f in published]:
-            spark.sql(f"ALTER TABLE {_q(name)} SET LOCATION '{location}'")
-            spark.sql(f"REFRESH TABLE {_q(name)}")
+        partitioned = any(c.isPartition for c in spark.catalog.listColumns(name))
+        if not partitioned and [(f.name, f.dataType) for f in spark.table(name).schema] == \
+                [(f.name, f.dataType) for f in found.schema]:
+            spark.sql(f"ALTER TABLE {quoted(name)} SET LOCATION '{location}'")
+            spark.sql(f"REFRESH TABLE {quoted(name)}")
             return name
-        spark.sql(f"DROP TABLE {_q(name)}")
-    spark.sql(f"CREATE TABLE {_q(name)} USING parquet LOCATION '{location}'")
+        spark.sql(f"DROP TABLE {quoted(name)}")
+    spark.sql(f"CREATE TABLE {quoted(name)} USING parquet LOCATION '{location}'")
+    if any(c.isPartition for c in spark.catalog.listColumns(name)):
+        spark.sql(f"MSCK REPAIR TABLE {quoted(name)}")
     return name
 
 
+def table_location(spark: SparkSession, name: str) -> str:
+    found = spark.sql(f"DESCRIBE TABLE EXTENDED {quoted(name)}").where("col_name = 'Location'").first()
+    return found["data_type"]
+
+
+def point_table(spark: SparkSession, name: str, location: str, schema: StructType,
+                partition: tuple[str, str] | None = None) -> None:
+    """Point ``name`` at ``location``, with these columns and partition column (name, type).  Where
+    the columns stay as they are only the location changes."""
+    held = [f for f in schema if partition is None or f.name != partition[0]]
+    columns = [(f.name, f.dataType.simpleString()) for f in held] + ([partition] if partition else [])
+    if spark.catalog.tableExists(name):
+        if not partition and [(f.name, f.dataType.simpleString()) for f in spark.table(name).schema] == columns:
+            spark.sql(f"ALTER TABLE {quoted(name)} SET LOCATION '{location}'")
+            spark.catalog.refreshTable(name)
+            return
+        spark.sql(f"DROP TABLE {quoted(name)}")      # external: its files stay
+    ddl = ", ".join(f"`{n}` {t}" for n, t in columns)
+    by = f" PARTITIONED BY (`{partition[0]}`)" if partition else ""
+    spark.sql(f"CREATE TABLE {quoted(name)} ({ddl}) USING parquet{by} LOCATION '{location}'")
+    if partition:
+        spark.sql(f"MSCK REPAIR TABLE {quoted(name)}")
+
+
+def add_columns(spark: SparkSession, name: str, schema: StructType) -> list[str]:
+    """Add to the table the columns of ``schema`` that it lacks (older files read as null there).
+    A column that it has with another type is an error.  Returns the added names."""
+    held = {f.name.lower(): f.dataType.simpleString() for f in spark.table(name).schema}
+    new = []
+    for f in schema:
+        kind = f.dataType.simpleString()
+        if held.get(f.name.lower(), kind) != kind:
+            raise ValueError(f"column {f.name} of {name} is {held[f.name.lower()]}, not {kind}")
+        if f.name.lower() not in held:
+            new.append((f.name, kind))
+    if new:
+        spark.sql(f"ALTER TABLE {quoted(name)} ADD COLUMNS ({', '.join(f'`{n}` {k}' for n, k in new)})")
+    return [n for n, _ in new]
+
+
 def set_properties(spark: SparkSession, name: str, properties: dict[str, str]) -> None:
     """``ALTER TABLE .. SET TBLPROPERTIES``: labels only.  The behaviours the
     reference switched on this way (deletion vectors, change data feed) are
-    jobs here: ``ParquetTable.delete_keys`` and ``dimensions.change_feed``."""
+    jobs here: ``Table.delete_keys`` and ``dimensions.change_feed``."""
     props = ", ".join(f"'{k}' = '{v}'" for k, v in properties.items())
-    spark.sql(f"ALTER TABLE {_q(name)} SET TBLPROPERTIES ({props})")
+    spark.sql(f"ALTER TABLE {quoted(name)} SET TBLPROPERTIES ({props})")
 
 
 def table_properties(spark: SparkSession, name: str) -> dict[str, str]:
-    return {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {_q(name)}").collect()}
+    return {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {quoted(name)}").collect()}
 
 
 def list_tables(spark: SparkSession, database: str) -> list[str]:

@@ -1,241 +1,336 @@
-"""Parquet table jobs: staged overwrite, append, compaction, clustered
-layout, delete by key, load history and table detail.
-
-A table is a folder of snapshot folders plus an append-only run log:
-
-    <root>/snapshot-<uuid>/part-*.parquet   data written by one overwrite
-    <root>/_history/<version>.json          one small file per load
-
-An overwrite always writes a *new* snapshot folder and only then records it
-as current, so a job may read the table it is replacing (Parquet has no
-transaction log; overwriting the folder being read loses data).  An append
-writes a folder of its own, which joins the list of current folders.  Old
-folders stay on storage until ``purge``.  Row counts come from ``observe()`` on the write itself - no second scan.
+"""Table jobs on catalog tables: staged overwrite, append, merges that rewrite only what
+changed, compaction of small files, layout, delete by key, load history, detail.
+
+A table is an external Parquet table of Spark's catalog; its name says where its files
+are, so there is no log of our own.  A full load writes a new folder and then points the
+name at it; readers that started before go on with the old folder, which stays until
+``purge``.  An append writes into the current folder with Spark's own committer; new
+columns are added to the catalog's schema, so older files read as null there and nothing
+that a file holds is lost.
+
+A table may be dealt into slices: folders by a column that is computed from others, a
+hash bucket of the key (dimensions) or the day (events).  A merge, a delete or a new
+batch then reads and overwrites only the slices that its feed touches (Spark's dynamic
+partition overwrite); all other files stay as they are.
+
+Every load appends one row to the load history, an ordinary Parquet table beside the
+data.  A table has one writer at a time; two loads at once are not arbitrated.
 """
 
 from __future__ import annotations
 
-import json
 import math
 import uuid
-from collections.abc import Sequence
-from datetime import datetime, timezone
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
+from pyspark.sql.types import StructType
 
-from tierlake.sources.tables import path_bytes
+from tierlake.plans.catalog import add_columns, create_database, point_table, quoted, table_location
+from tierlake.sources.tables import Files, path_bytes
 
-HISTORY_SCHEMA = StructType([
-    StructField("version", LongType(), False),
-    StructField("timestamp", TimestampType(), False),
-    StructField("operation", StringType(), False),
-    StructField("operation_parameters", StringType(), True),
-    StructField("row_count", LongType(), True),
-    StructField("location", StringType(), False),
-])
+LOAD = ("load_id string, timestamp timestamp, operation string, operation_parameters string, row_count long, "
+        "location string")
+HISTORY = "version long, timestamp timestamp, operation string, operation_parameters string, row_count long, location string"
 
 TARGET_FILE_BYTES = 128 * 1024 * 1024
+SMALL_SHARE = 0.75             # files below this share of the target are small
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"      # Spark's folder name for a null partition value
 
 
-def write_observed(df: DataFrame, path: str) -> int:
-    """Write ``df`` as Parquet and return the number of rows written."""
+def write_observed(df: DataFrame, path: str, mode: str = "errorifexists", by: Column | None = None,
+                   partition_by: str | None = None) -> tuple[int, list]:
+    """Write ``df`` as Parquet; returns the number of rows written and, with ``by``, its
+    distinct values as text (null as ``NO_VALUE``).  Both come from the write itself."""
     obs = Observation(f"rows_{uuid.uuid4().hex[:8]}")
-    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.parquet(path)
-    return int(obs.get.get("rows", 0))
+    metrics = [F.count(F.lit(1)).alias("rows")]
+    if by is not None:
+        metrics.append(F.collect_set(F.coalesce(by.cast("string"), F.lit(NO_VALUE))).alias("values"))
+    writer = df.observe(obs, *metrics).write.mode(mode)
+    if partition_by:
+        writer = writer.partitionBy(partition_by).option("partitionOverwriteMode", "dynamic")
+    writer.parquet(path)
+    found = obs.get
+    return int(found.get("rows", 0)), list(found.get("values") or [])
 
 
 def files_for(spark: SparkSession, path: str, target_file_bytes: int = TARGET_FILE_BYTES) -> int:
     return max(1, math.ceil(path_bytes(spark, path) / target_file_bytes))
 
 
-class _FileSystem:
-    """The Hadoop FileSystem of a path: listing and small metadata files."""
+# ---------------------------------------------------------------- slices
 
-    def __init__(self, spark: SparkSession, path: str):
-        self._jvm = spark._jvm
-        self._path = self._jvm.org.apache.hadoop.fs.Path
-        self.fs = self._path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+@dataclass(frozen=True)
+class Slices:
+    """How rows are dealt into folders: ``name``, a column computed from ``columns``.  There is a
+    bounded number of slices (hash buckets, days of a calendar), so their values fit on the driver."""
+
+    name: str
+    type: str
+    columns: tuple[str, ...]
+    value: Callable[[], Column]
+
+    def touched(self, feed: DataFrame) -> list:
+        """The slices that the rows of ``feed`` fall into."""
+        return [r[0] for r in feed.select(self.value().alias("s")).distinct().collect()]
+
+    def among(self, values: Sequence) -> Column:
+        """Rows in these slices; literals, so folders are pruned when the scan is planned."""
+        some = [F.lit(v) for v in values if v is not None]
+        col = F.col(self.name)
+        hit = col.isin(*some) if some else F.lit(False)
+        return hit | col.isNull() if None in values else hit
 
-    def names(self, folder: str) -> list[str]:
-        p = self._path(folder)
-        if not self.fs.exists(p):
-            return []
-        return [st.getPath().getName() for st in self.fs.listStatus(p)]
-
-    def create(self, path: str, text: str) -> None:
-        """Write a new small file; fails if it already exists."""
-        out = self.fs.create(self._path(path), False)
-        try:
-            out.write(bytearray(text.encode("utf-8")))
-        finally:
-            out.close()
-
-    def delete(self, folder: str) -> None:
-        self.fs.delete(self._path(folder), True)
-
-    def read(self, path: str) -> str:
-        stream = self.fs.open(self._path(path))
-        try:
-            return self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-        finally:
-            stream.close()
-
-
-class ParquetTable:
-    """A Parquet table with staged overwrites and a run log.
-
-    The run log is one small JSON file per load, ``_history/<version>.json``,
-    created with overwrite disabled and numbered after the version the load
-    was made from: of two loads made from one version only the first is
-    recorded, the other fails and changes nothing.
-    """
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark = spark
-        self.root = root.rstrip("/")
-        self.history_path = f"{self.root}/_history"
-        self._fs = _FileSystem(spark, self.root)
-
-    # ------------------------------------------------------------ log
-    def _versions(self) -> list[int]:
-        return sorted(int(n[:-5]) for n in self._fs.names(self.history_path)
-                      if n.endswith(".json") and n[:-5].isdigit())
-
-    def _head(self) -> dict | None:
-        versions = self._versions()
-        if not versions:
-            return None
-        return json.loads(self._fs.read(f"{self.history_path}/{versions[-1]:020d}.json"))
-
-    def version(self) -> int:
-        """Number of the last load; -1 before the first."""
-        return max(self._versions(), default=-1)
-
-    def _record(self, operation: str, params: dict, rows: int, location: str, base: int) -> int:
-        """Record a load that was made from version ``base``.  If another load was
-        recorded meanwhile, its file exists and this one fails."""
-        version = base + 1
-        entry = {"version": version,
-                 "timestamp": datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%S.%f"),
-                 "operation": operation, "operation_parameters": json.dumps(params, sort_keys=True),
-                 "row_count": rows, "location": location}
-        self._fs.create(f"{self.history_path}/{version:020d}.json", json.dumps(entry))
-        return version
+def by_key(keys: Sequence[str] | str, buckets: int = 64) -> Slices:
+    """Hash buckets of the key columns."""
+    keys = (keys,) if isinstance(keys, str) else tuple(keys)
+    return Slices("key_bucket", "int", keys, lambda: F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
+
+
+def by_day(column: str) -> Slices:
+    return Slices("event_day", "date", (column,), lambda: F.to_date(F.col(column)))
+
+
+# ---------------------------------------------------------------- tables
+
+class Table:
+    """The catalog table ``name`` (``database.table``), its folders under ``root``.  Files of a sliced
+    table are sorted by ``layout``, and rows that are near in it share files."""
+
+    def __init__(self, spark: SparkSession, name: str, root: str, slices: Slices | None = None, layout: Sequence[str] = ()):
+        self.spark, self.name, self.root, self.slices = spark, name, root.rstrip("/"), slices
+        self.layout = list(layout)
+        self.loads = f"{self.root}/_loads"
+        self._files = Files(spark, self.root)
 
     # ------------------------------------------------------------ reads
-    def locations(self) -> list[str]:
-        """The current version's folders: one snapshot and one per append since."""
-        head = self._head()
-        if head is None:
-            raise FileNotFoundError(f"table at {self.root} has no data yet")
-        return head["location"].split(",")
+    def exists(self) -> bool:
+        return self.spark.catalog.tableExists(self.name)
 
     def location(self) -> str:
-        """The one folder of a table without appends, for path-addressed readers."""
-        found = self.locations()
-        if len(found) > 1:
-            raise ValueError(f"table at {self.root} has appended folders; compact() it first")
-        return found[0]
+        """The current folder, for path-addressed readers."""
+        if not self.exists():
+            raise FileNotFoundError(f"table {self.name} has no data yet")
+        return table_location(self.spark, self.name)
 
     def read(self) -> DataFrame:
-        return self.spark.read.parquet(*self.locations())
+        if not self.exists():
+            raise FileNotFoundError(f"table {self.name} has no data yet")
+        df = self.spark.table(self.name)
+        return df.drop(self.slices.name) if self.slices else df
 
     def history(self, limit: int | None = 5) -> DataFrame:
-        """Most recent loads first (``DESCRIBE HISTORY .. LIMIT n``)."""
-        if not self._versions():
-            return self.spark.createDataFrame([], HISTORY_SCHEMA)
-        log = self.spark.read.schema(HISTORY_SCHEMA).json(self.history_path)
-        out = log.orderBy(F.desc("version"))
+        """Most recent loads first (``DESCRIBE HISTORY .. LIMIT n``); versions count from 0."""
+        if not self._files.exists(self.loads):
+            return self.spark.createDataFrame([], HISTORY)
+        log = self.spark.read.schema(LOAD).parquet(self.loads)      # one row per load
+        numbered = log.withColumn("version", F.row_number().over(Window.orderBy("timestamp", "load_id")).cast("long") - 1)
+        out = numbered.select("version", "timestamp", "operation", "operation_parameters", "row_count",
+                              "location").orderBy(F.desc("version"))
         return out.limit(limit) if limit else out
 
+    def files(self, folder: str | None = None) -> DataFrame:
+        """(path, length) of the data files, one row per file, from the file listing; nothing is read."""
+        return (self.spark.read.format("binaryFile").option("recursiveFileLookup", True)
+                .option("pathGlobFilter", "*.parquet").load(folder or self.location()).select("path", "length"))
+
     def detail(self) -> DataFrame:
-        """Files, bytes and rows of the current snapshot, from file metadata."""
-        df = self.read().select(F.col("_metadata.file_path").alias("f"),
-                                F.col("_metadata.file_size").alias("s"))
-        per_file = df.groupBy("f", "s").agg(F.count(F.lit(1)).alias("n"))
-        return per_file.agg(
-            F.lit("parquet").alias("format"),
-            F.lit(",".join(self.locations())).alias("location"),
-            F.count(F.lit(1)).alias("num_files"),
-            F.coalesce(F.sum("s"), F.lit(0)).cast("long").alias("size_in_bytes"),
-            F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("num_rows"))
-
-    # ------------------------------------------------------------ writes
+        """Files and bytes from the file listing, rows from the Parquet footers."""
+        none = F.lit(0).cast("long")
+        rows = self.read().agg(F.count(F.lit(1)).alias("num_rows"))
+        sizes = self.files().agg(F.count(F.lit(1)).alias("num_files"), F.coalesce(F.sum("length"), F.lit(0)).alias("size_in_bytes"))
+        both = sizes.withColumn("num_rows", none).unionByName(
+            rows.select(none.alias("num_files"), none.alias("size_in_bytes"), "num_rows"))
+        return both.agg(F.lit("parquet").alias("format"), F.lit(self.location()).alias("location"),
+                        *[F.sum(c).alias(c) for c in ("num_files", "size_in_bytes", "num_rows")])
+
+    # ------------------------------------------------------------ whole loads
+    def _sliced(self, df: DataFrame) -> DataFrame:
+        """Rows of a slice together; AQE splits a hot slice and merges small ones."""
+        dealt = df.withColumn(self.slices.name, self.slices.value()).hint("rebalance", self.slices.name, *self.layout)
+        return dealt.sortWithinPartitions(self.slices.name, *self.layout) if self.layout else dealt
+
+    def _record(self, operation: str, rows: int, location: str, params: dict) -> None:
+        told = ", ".join(f"{k}={v}" for k, v in sorted(params.items()))
+        row = self.spark.range(1).select(
+            F.lit(uuid.uuid4().hex).alias("load_id"), F.current_timestamp().alias("timestamp"), F.lit(operation).alias("operation"),
+            F.lit(told).alias("operation_parameters"), F.lit(rows).cast("long").alias("row_count"), F.lit(location).alias("location"))
+        row.coalesce(1).write.mode("append").parquet(self.loads)
+
     def stage(self, df: DataFrame) -> tuple[str, int]:
-        """Write a snapshot folder that readers do not see yet."""
-        path = f"{self.root}/snapshot-{uuid.uuid4().hex}"
-        return path, write_observed(df, path)
-
-    def publish(self, path: str, rows: int, operation: str = "WRITE", base: int | None = None,
-                **params) -> int:
-        """Make a staged snapshot the current one.  ``base`` is the version it was made
-        from; a load recorded since then fails this one."""
-        return self._record(operation, {"mode": "Overwrite", **params}, rows, path,
-                            self.version() if base is None else base)
-
-    def overwrite(self, df: DataFrame, operation: str = "WRITE", base: int | None = None,
-                  **params) -> int:
-        """Staged overwrite: new snapshot folder, then recorded as current.
-        The new schema replaces the old one (``overwriteSchema``)."""
-        base = self.version() if base is None else base
+        """Write a folder that readers do not see yet."""
+        path = f"{self.root}/load-{uuid.uuid4().hex}"
+        if self.slices:
+            return path, write_observed(self._sliced(df), path, partition_by=self.slices.name)[0]
+        return path, write_observed(df, path)[0]
+
+    def publish(self, path: str, rows: int, operation: str = "WRITE", schema: StructType | None = None, **params) -> None:
+        """Point the name at a staged folder; its columns replace the old ones (``overwriteSchema``)."""
+        create_database(self.spark, self.name.rsplit(".", 1)[0], f"{self.root}/_db")
+        schema = schema or self.spark.read.parquet(path).schema
+        point_table(self.spark, self.name, path, schema, (self.slices.name, self.slices.type) if self.slices else None)
+        self._record(operation, rows, path, {"mode": "Overwrite", **params})
+
+    def overwrite(self, df: DataFrame, operation: str = "WRITE", **params) -> int:
+        """Staged overwrite, so a job may read the table that it replaces.  Returns the rows written."""
         path, rows = self.stage(df)
-        return self.publish(path, rows, operation, base, **params)
-
-    def append(self, df: DataFrame, operation: str = "WRITE", **params) -> int:
-        """New rows in a folder of their own; no folder that readers use is written to."""
-        base = self.version()
-        if base < 0:
-            return self.overwrite(df, operation, **params)
-        held = self.locations()
-        path, rows = self.stage(df)
-        return self._record(operation, {"mode": "Append", **params}, rows, ",".join([*held, path]), base)
+        self.publish(path, rows, operation, df.schema, **params)
+        return rows
+
+    def append(self, df: DataFrame, **params) -> int:
+        """Add rows to the current folder.  Columns that the table lacks are added to it; columns that
+        ``df`` lacks are null.  A column of another type is an error, and nothing is written."""
+        if not self.exists():
+            return self.overwrite(df, **params)
+        add_columns(self.spark, self.name, df.schema)
+        path = self.location()
+        if self.slices:
+            # static: slices are added to, not replaced
+            rows, _ = write_observed(self._sliced(df), path, "append", partition_by=self.slices.name)
+        else:
+            rows, _ = write_observed(df, path, "append")
+        self._refresh()
+        self._record("WRITE", rows, path, {"mode": "Append", **params})
+        return rows
+
+    def _refresh(self) -> None:
+        if self.slices:
+            self.spark.sql(f"MSCK REPAIR TABLE {quoted(self.name)} SYNC PARTITIONS")
+        self.spark.catalog.refreshTable(self.name)
+
+    # ------------------------------------------------------------ changes
+    def rewrite(self, feed: DataFrame, change: Callable[[DataFrame], DataFrame], operation: str = "MERGE", **params) -> int:
+        """Replace the slices that ``feed`` touches by ``change(their rows)``; all other files stay.
+
+        ``change`` may only return rows of those slices (a row of another one fails the job before
+        anything is replaced).  Slices that it leaves empty go.  Run again after a crash, a change that
+        is idempotent (both merges, the event dedup, a delete) gives the same table."""
+        hit = self.slices.touched(feed)
+        if not hit:
+            return 0
+        old = self.spark.table(self.name).where(self.slices.among(hit))
+        new = self._sliced(change(old.drop(self.slices.name)))
+        stray = F.when(~F.coalesce(self.slices.among(hit), F.lit(False)),
+                       F.raise_error(F.lit(f"a change of {self.name} returned rows of a slice that its feed does not touch")))
+        new = new.where(F.coalesce(stray.cast("boolean"), F.lit(True)))
+        add_columns(self.spark, self.name, new.drop(self.slices.name).schema)
+        path = self.location()
+        rows, left = write_observed(new, path, "overwrite", F.col(self.slices.name), self.slices.name)
+        for v in {NO_VALUE if v is None else str(v) for v in hit} - set(left):
+            self._files.delete(f"{path}/{self.slices.name}={v}")
+        self._refresh()
+        self._record(operation, rows, path, {"mode": "Slices", "slices": len(hit), **params})
+        return rows
+
+    def delete_keys(self, keys: DataFrame, on: Sequence[str] | str) -> int:
+        """Remove every row whose key is in ``keys`` (left anti join).  A table sliced by the key
+        rewrites only the slices that hold them; another one is rewritten whole, and ``purge`` then
+        takes the superseded folder off storage.  Returns the rows written."""
+        on = [on] if isinstance(on, str) else list(on)
+        if self.slices and tuple(on) == self.slices.columns:
+            return self.rewrite(keys, lambda old: delete_by_key(old, keys, on), "DELETE", on=on)
+        return self.overwrite(delete_by_key(self.read(), keys, on), "DELETE", on=on)
+
+    # ------------------------------------------------------------ layout
+    def cluster_by(self, columns: Sequence[str], target_file_bytes: int = TARGET_FILE_BYTES, curve: bool = False) -> int:
+        """Rewrite with rows range-partitioned and sorted on ``columns`` (with ``curve`` on a
+        space-filling curve of them), so each file covers narrow ranges and statistics skip files."""
+        n = files_for(self.spark, self.location(), target_file_bytes)
+        layout = curve_layout if curve else cluster_layout
+        return self.overwrite(layout(self.read(), columns, n), "OPTIMIZE", clusterBy=list(columns), files=n)
 
     def compact(self, target_file_bytes: int = TARGET_FILE_BYTES) -> int:
-        """Rewrite the current version into files of about the target size
-        (same rows, fewer files).  The file count comes from the bytes on
-        storage; scan tasks are merged without a shuffle."""
-        base = self.version()
-        n = sum(files_for(self.spark, p, target_file_bytes) for p in self.locations())
-        return self.overwrite(self.read().coalesce(n), "OPTIMIZE", base, files=n)
-
-    def purge(self) -> list[str]:
-        """Delete the folders that the current version does not use, for good (rows
-        removed by ``delete_keys`` are then off storage).  Returns their names."""
-        held = {p.rsplit("/", 1)[-1] for p in self.locations()}
-        gone = [n for n in self._fs.names(self.root) if n.startswith("snapshot-") and n not in held]
+        """Merge small files into files of about the target size; returns the number of files merged.
+
+        Sizes come from the file listing; first-fit packs small files of one folder into bins, and only
+        files of a bin with company are read and rewritten, one task per bin.  Large files are not
+        touched.  The new files are staged whole, with the list of those they replace, then moved in,
+        then the replaced ones are deleted; ``finish_compaction`` (called first here) completes a
+        compaction that was cut off in between.  Readers that start between the moves and the deletes
+        may see rows twice: run it when none starts."""
+        self.finish_compaction()
+        path = self.location()
+        small = [(r.path, r.length) for r in self.files(path).where(
+            F.col("length") < int(target_file_bytes * SMALL_SHARE)).collect()]      # the listing that any scan makes
+        bins = [b for b in first_fit(small, target_file_bytes) if len(b) > 1]
+        if not bins:
+            self._record("OPTIMIZE", 0, path, {"files": 0})
+            return 0
+        replaced = [p for b in bins for p in b]
+        dealt = self.spark.createDataFrame([(tail(p), i) for i, b in enumerate(bins) for p in b], "tail string, bin int")
+        schema = self.spark.table(self.name).schema
+        old = self.spark.read.schema(schema).option("basePath", path).parquet(*replaced)
+        key = F.regexp_extract(F.col("_metadata.file_path"), TAIL, 1)
+        rows = (old.select("*", key.alias("__tail")).join(dealt, F.col("__tail") == F.col("tail"))
+                .repartitionById(len(bins), F.col("bin")).drop("__tail", "tail", "bin"))
+        staged = f"{self.root}/_compact-{uuid.uuid4().hex}"
+        n, _ = write_observed(rows, f"{staged}/new", partition_by=self.slices.name if self.slices else None)
+        self.spark.createDataFrame([(path, p) for p in replaced], "location string, path string").coalesce(1) \
+            .write.parquet(f"{staged}/replaced")
+        self.finish_compaction()
+        self._record("OPTIMIZE", n, path, {"files": len(replaced), "into": len(bins)})
+        return len(replaced)
+
+    def finish_compaction(self) -> None:
+        """Complete staged compactions; drop those whose files were not all written.  Each step may be
+        repeated, so this may itself be cut off and run again."""
+        for name in self._files.names(self.root):
+            if not name.startswith("_compact-"):
+                continue
+            staged = f"{self.root}/{name}"
+            if self._files.exists(f"{staged}/replaced/_SUCCESS"):
+                rows = self.spark.read.parquet(f"{staged}/replaced").collect()
+                for f in self._files.data_files(f"{staged}/new"):
+                    self._files.move(f"{staged}/new/{f}", f"{rows[0].location}/{f}")
+                for r in rows:
+                    self._files.delete(r.path)
+            self._files.delete(staged)
+            self._refresh()
+
+    def purge(self, older_than_seconds: int = 0) -> list[str]:
+        """Delete, for good, folders of earlier loads that the name no longer points at.  Only folders
+        named in the load history go, so a folder that is staged and not yet published is safe.
+        Returns their names."""
+        if not self._files.exists(self.loads):
+            return []
+        held = self.location().rstrip("/").rsplit("/", 1)[-1]
+        old = self.spark.read.schema(LOAD).parquet(self.loads).where(
+            F.col("timestamp") <= F.current_timestamp() - F.make_interval(secs=F.lit(older_than_seconds)))
+        names = {r[0].rstrip("/").rsplit("/", 1)[-1] for r in old.select("location").distinct().collect()}
+        gone = sorted(n for n in names & set(self._files.names(self.root)) if n != held)
         for n in gone:
-            self._fs.delete(f"{self.root}/{n}")
+            self._files.delete(f"{self.root}/{n}")
         return gone
 
-    def cluster_by(self, columns: Sequence[str], target_file_bytes: int = TARGET_FILE_BYTES
-                   ) -> int:
-        """Rewrite with rows range-partitioned and sorted on ``columns`` so
-        each file covers a narrow min/max range and Parquet statistics skip
-        files and row groups on equality/range filters."""
-        base = self.version()
-        n = sum(files_for(self.spark, p, target_file_bytes) for p in self.locations())
-        clustered = cluster_layout(self.read(), columns, n)
-        return self.overwrite(clustered, "OPTIMIZE", base, clusterBy=list(columns), files=n)
 
-    def delete_keys(self, keys: DataFrame, on: Sequence[str] | str) -> int:
-        """Remove every row whose key is in ``keys`` (left anti join).  ``purge`` then
-        takes the superseded folders off storage."""
-        base = self.version()
-        kept = delete_by_key(self.read(), keys, on)
-        return self.overwrite(kept, "DELETE", base, on=[on] if isinstance(on, str) else list(on))
+# ---------------------------------------------------------------- compaction helpers
+
+TAIL = r"([^/]+/[^/]+)$"       # a file's folder and name: two spellings of one path agree in them
+
+
+def tail(path: str) -> str:
+    return "/".join(path.split("/")[-2:])
 
 
-def compact_stream_output(spark: SparkSession, path: str, table: ParquetTable,
-                          target_file_bytes: int = TARGET_FILE_BYTES) -> int:
-    """A stream sink's committed files as a table of files of about the target size.
-    The sink's folder stays as it is: its log belongs to the running stream."""
-    base = table.version()
-    n = files_for(spark, path, target_file_bytes)
-    return table.overwrite(spark.read.parquet(path).coalesce(n), "OPTIMIZE", base, files=n)
+def first_fit(files: list[tuple[str, int]], size: int) -> list[list[str]]:
+    """First-fit decreasing: file paths in bins of at most ``size`` bytes, each bin of one folder."""
+    folders: dict[str, list[tuple[int, list[str]]]] = {}
+    for path, length in sorted(files, key=lambda f: (-f[1], f[0])):
+        bins = folders.setdefault(path.rsplit("/", 1)[0], [])
+        at = next((i for i, (left, _) in enumerate(bins) if left >= length), None)
+        if at is None:
+            bins.append((size - length, [path]))
+        else:
+            left, paths = bins[at]
+            bins[at] = (left - length, [*paths, path])
+    return [paths for bins in folders.values() for _, paths in bins]
 
 
+# ---------------------------------------------------------------- layouts and deletes
+
 def cluster_layout(df: DataFrame, columns: Sequence[str], num_files: int | None = None
                    ) -> DataFrame:
     """Range-partition on ``columns`` then sort within partitions.
@@ -254,6 +349,55 @@ def cluster_layout(df: DataFrame, columns: Sequence[str], num_files: int | None
     return parted.sortWithinPartitions(*cols)
 
 
+CURVE_BITS = 6                 # a column's range is cut into 2^bits parts of about equal rows
+
+
+def curve_layout(df: DataFrame, columns: Sequence[str], num_files: int | None = None, bits: int = CURVE_BITS) -> DataFrame:
+    """Range-partition and sort on the Z-order curve of ``columns``, so that a filter on any of them
+    skips files, where a plain range sort serves the first column only.
+
+    A column's place on its axis is its number among 2^bits - 1 approximate quantiles (dates, times
+    and numbers by value, text by its first six bytes, which keep its order), found by one aggregate over the
+    columns alone.  The axes' bits are interleaved into one key.  Nulls come first.  Rows of one
+    place are spread by a row hash, so a very frequent value fills several files."""
+    cols = list(columns)
+    parts = (1 << bits) - 1
+    shares = F.array(*[F.lit((i + 1) / (parts + 1)) for i in range(parts)])
+    cuts = df.agg(*[F.percentile_approx(_axis(df, c), shares, 10_000).alias(f"c{i}") for i, c in enumerate(cols)])
+    bounds = cuts.first()
+    key = F.lit(0).cast("long")
+    for i, c in enumerate(cols):
+        # how many cuts lie at or below the value; a value that several cuts fell on takes all their places
+        place = _place(_axis(df, c), list(bounds[i] or []))
+        for b in range(bits):
+            key = key.bitwiseOR(F.shiftleft(F.shiftright(place, b).bitwiseAND(F.lit(1)).cast("long"), b * len(cols) + i))
+    spread = F.xxhash64(*[F.col(c) for c in df.columns])
+    keyed = df.withColumn("__curve", key)
+    ranged = (keyed.repartitionByRange(num_files, F.col("__curve"), spread) if num_files
+              else keyed.repartitionByRange(F.col("__curve"), spread))
+    return ranged.sortWithinPartitions("__curve", *cols).drop("__curve")
+
+
+def _place(axis: Column, cuts: list[float]) -> Column:
+    """The number of cuts at or below the value; 0 for null."""
+    if not cuts:
+        return F.lit(0)
+    below = F.size(F.filter(F.array(*[F.lit(float(v)) for v in cuts]), lambda v: v <= axis))
+    return F.when(axis.isNull(), F.lit(0)).otherwise(below)
+
+
+def _axis(df: DataFrame, column: str) -> Column:
+    """A column's values as doubles in the same order (text: by its first six bytes)."""
+    kind, c = df.schema[column].dataType.simpleString(), F.col(column)
+    if kind == "string":
+        return F.conv(F.rpad(F.substring(F.hex(c.cast("binary")), 1, 12), 12, "0"), 16, 10).cast("double")
+    if kind == "date":
+        return F.unix_date(c).cast("double")
+    if kind in ("timestamp", "boolean"):
+        return c.cast("long").cast("double") if kind == "boolean" else F.unix_micros(c).cast("double")
+    return c.cast("double")
+
+
 def delete_by_key(df: DataFrame, keys: DataFrame, on: Sequence[str] | str) -> DataFrame:
     on = [on] if isinstance(on, str) else list(on)
     return df.join(keys.select(*on).distinct(), on, "left_anti")
