@@ -167,7 +167,7 @@ def burst(spark: SparkSession, found: DataFrame, most: int) -> tuple[list[DataFr
     A suffix carries its container's head (a digest that stands for the path to it), the head's
     depth and words, the chain of bursts above it and the smallest conversation id of the head's
     parent node."""
-    held = found.select(F.unhex(F.lit("")).alias("head"), F.lit(0).alias("depth"), F.lit(0).cast("long").alias("head_words"),
+    held = found.select("head", F.lit(0).alias("depth"), F.lit(0).cast("long").alias("head_words"),
                         F.array().cast("array<binary>").alias("chain"), F.lit(None).cast("long").alias("parent"),
                         F.col("path").alias("rest"), "n", "least", "ends")
     kept, bursts, ended = [], [], []
@@ -312,7 +312,8 @@ def _burst_nodes(spark: SparkSession, swept: DataFrame, bursts: DataFrame, ended
 
 def prefix_trie(spark: SparkSession, paths: DataFrame, burst_turns: int = BURST_TURNS) -> DataFrame:
     """One row per node (``NODE``) of the trie of (conv_id, path); conv_ids are distinct."""
-    found = written(spark, classes(spark, paths), "trie_classes")
+    # the root's head is a column of the written table: as a constant it would turn joins into nested loops
+    found = written(spark, classes(spark, paths).withColumn("head", F.unhex(F.lit(""))), "trie_classes")
     kept, bursts, ended = burst(spark, found, burst_turns)
     swept = (_union(kept).repartition("head").sortWithinPartitions("head", "rest")
              .mapInArrow(sweep, NODE + ", chain array<binary>"))
