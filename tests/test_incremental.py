@@ -152,6 +152,44 @@ def test_age_gate_stops_the_whole_flow(spark):
     assert not run.silver(spark).exists()
 
 
+@pytest.mark.parametrize("lost", [None, "facts", "gold"])
+def test_increment_equals_the_whole_run(spark, monkeypatch, lost):
+    from tierlake.queries import bronze
+
+    raw = bronze(spark, SF_SMALL)
+    early = F.coalesce(F.col("timestamp") < "2024-01-15", F.lit(False))
+    replayed = F.col("listing_id").cast("long") % 50 == 0
+    run, whole = layers.LayerRun(scratch_path(spark, "t_inc")), layers.LayerRun(scratch_path(spark, "t_inc_whole"))
+    layers.run_gold(spark, run, layers.run_silver(spark, run, raw.where(early), fx.SILVER_LOAD).read())
+    before = files(run.market_facts(spark))
+    args = (spark, run, raw.where(~early | replayed), "day-2", fx.SILVER_LOAD)
+    if lost:
+        with monkeypatch.context() as m:
+            if lost == "gold":
+                m.setattr(layers, "write_gold", lambda *a: 1 / 0)
+            else:
+                m.setattr(agg, "maintain_market_facts", lambda *a: 1 / 0)
+            with pytest.raises(ZeroDivisionError):
+                layers.run_increment(*args)
+    tables = layers.run_increment(*args)
+    want = layers.run_gold(spark, whole, layers.run_silver(spark, whole, raw, fx.SILVER_LOAD).read())
+    assert canon(tables["silver"].read()) == canon(whole.silver(spark).read())
+    assert canon(run.market_facts(spark).read()) == canon(whole.market_facts(spark).read().select(run.market_facts(spark).read().columns))
+    for name, t in want.items():
+        assert canon(tables[name].read()) == canon(t.read())
+    assert before & files(run.market_facts(spark)) or lost
+
+
+def test_quarantine_in_the_whole_flow(spark):
+    run = layers.LayerRun(scratch_path(spark, "t_quarantine"))
+    good = fx.listing_events(spark, SF_SMALL, dirty=False)
+    fx.land_envelopes(good, f"{run.root}/landing")
+    spark.createDataFrame([(bytearray(b'{"listing_id": '),), (None,)], "body binary").write.mode("append").parquet(f"{run.root}/landing")
+    raw = layers.run_bronze(spark, run, f"{run.root}/landing", 1, rescue=True, batches_per_group=2)
+    assert (run.rows["bronze"], run.rows["quarantine"]) == (1000, 2)
+    assert canon(layers.run_silver(spark, run, raw, fx.SILVER_LOAD).read().select("listing_id")) == canon(good.select("listing_id"))
+
+
 def test_null_day_is_a_slice(spark):
     t = table(spark, "t", slices=by_day("ts"))
     t.overwrite(spark.createDataFrame([(1, "2024-01-01"), (2, None)], "id int, d string").select("id", F.col("d").cast("timestamp").alias("ts")))

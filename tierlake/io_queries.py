@@ -189,6 +189,17 @@ def q_silver_add_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.read()
 
 
+def q_increment_price_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold 3 after a first run and a day's increment: clean table, summary and report are brought up
+    to date from the new batch."""
+    run = layers.LayerRun(scratch_path(spark, "increment_price_trend"))
+    raw = bronze(spark, sf_dir)
+    first = layers.run_silver(spark, run, raw.filter(_before_split()), fx.SILVER_LOAD)
+    layers.run_gold(spark, run, first.read())
+    tables = layers.run_increment(spark, run, raw.filter(~_before_split()), "increment", fx.SILVER_LOAD)
+    return tables["price_trend_by_locality"].read()
+
+
 def q_scd2_merge_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The dimension job's history: merges into key buckets, the day's changes run twice."""
     run = layers.LayerRun(scratch_path(spark, "scd2_merge_slices"))
@@ -365,6 +376,7 @@ IO_QUERIES = {
     "curve_layout": q_curve_layout,
     "append_new_columns": q_append_new_columns,
     "silver_add_batch": q_silver_add_batch,
+    "increment_price_trend": q_increment_price_trend,
     "scd2_merge_slices": q_scd2_merge_slices,
     "delete_by_key_slices": q_delete_by_key_slices,
     "stream_compaction": q_stream_compaction,

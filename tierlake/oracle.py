@@ -395,6 +395,7 @@ FROM listing"""),
             THEN date_trunc('day', event_timestamp) END AS event_date
 FROM silver"""),
     "silver_add_batch": _with("SELECT * FROM silver"),
+    "increment_price_trend": _with(GOLD3),
     "scd2_merge_slices": _with("SELECT * FROM scd2", agents=True),
     "delete_by_key_slices": _with(_KEPT),
     "stream_compaction": _with("SELECT * FROM bronze"),

@@ -33,6 +33,7 @@ from tierlake.operators.clean import add_events, clean_events
 from tierlake.plans.catalog import create_database
 from tierlake.plans.tables import Slices, Table, by_day, by_key, cluster_layout, curve_layout, write_observed
 from tierlake.schemas import BRONZE_EVENT
+from tierlake.sources.tables import Files
 from tierlake.streaming import ingest
 
 # Layout keys of the business tables (the reference's CLUSTER BY columns); more than one lie on a
@@ -80,6 +81,9 @@ class LayerRun:
     def table(self, spark: SparkSession, name: str, slices: Slices | None = None, layout: tuple[str, ...] = ()) -> Table:
         return Table(spark, f"{self.database}.{name.rsplit('/', 1)[-1]}", f"{self.root}/{name}", slices, layout)
 
+    def market_facts(self, spark: SparkSession) -> Table:
+        return self.table(spark, "summary/market_facts", by_day("event_date"))
+
     def silver(self, spark: SparkSession) -> Table:
         return self.table(spark, "silver", by_day("event_timestamp"), SILVER_LAYOUT)
 
@@ -92,18 +96,28 @@ def _timed(run: LayerRun, name: str, fn):
 
 
 def run_bronze(spark: SparkSession, run: LayerRun, landing: str,
-               files_per_batch: int | None = None) -> DataFrame:
+               files_per_batch: int | None = None, rescue: bool = False, batches_per_group: int | None = None) -> DataFrame:
     """Drain every landed message into the raw table; returns the raw table.
 
     ``files_per_batch`` bounds each micro-batch, so a large backlog is
     drained as a sequence of committed batches rather than one huge one
-    (a failure then only repeats the uncommitted batch)."""
+    (a failure then only repeats the uncommitted batch).  With ``batches_per_group`` the run merges
+    its small files as it goes.  With ``rescue`` the raw table keeps unknown fields and broken
+    messages; the latter also go to the table ``quarantine``, and are not in the returned rows
+    (``run.rows`` counts both)."""
     out, ckpt = f"{run.root}/bronze", f"{run.root}/_checkpoints/bronze"
-    stream = ingest.decode_json(
-        ingest.envelope_stream(spark, landing, max_files_per_trigger=files_per_batch),
-        BRONZE_EVENT)
-    _timed(run, "bronze_ingest", lambda: ingest.drain(stream, out, ckpt))
-    raw = spark.read.schema(BRONZE_EVENT).parquet(out)
+    messages = ingest.envelope_stream(spark, landing, max_files_per_trigger=files_per_batch)
+    stream = ingest.decode_json_rescued(messages) if rescue else ingest.decode_json(messages, BRONZE_EVENT)
+    if batches_per_group:
+        _timed(run, "bronze_ingest", lambda: ingest.drain_compacting(stream, out, ckpt, batches_per_group))
+        raw = ingest.read_compacting(spark, out, stream.schema)
+    else:
+        _timed(run, "bronze_ingest", lambda: ingest.drain(stream, out, ckpt))
+        raw = spark.read.schema(stream.schema).parquet(out)
+    if rescue:
+        bad = run.table(spark, "quarantine")
+        run.rows["quarantine"] = bad.overwrite(ingest.quarantined_rows(raw))
+        raw = ingest.kept_rows(raw)
     run.rows["bronze"] = raw.count()   # of the written table: progress keeps the last batches only
     return raw
 
@@ -144,16 +158,21 @@ def run_silver(spark: SparkSession, run: LayerRun, raw: DataFrame, as_of: str |
     return t
 
 
+def stage_batch(spark: SparkSession, run: LayerRun, raw: DataFrame, as_of: str | None, max_age_days: int | None) -> str:
+    """A raw batch cleaned, written and gated on its own; returns its folder."""
+    path = f"{run.root}/silver_batch/{uuid.uuid4().hex}"
+    _timed(run, "silver_batch_write", lambda: write_observed(clean_events(raw, as_of), path))
+    _timed(run, "silver_batch_gates", lambda: _gate(spark, path, as_of, max_age_days))
+    return path
+
+
 def add_to_silver(spark: SparkSession, run: LayerRun, raw: DataFrame, as_of: str | None = None,
                   max_age_days: int | None = None) -> Table:
     """A new raw batch: cleaned, staged and gated on its own, then merged into the days that it
     touches; files of other days stay.  An event that is there already stays as it is, so a batch
     that is run twice changes nothing."""
     t = run.silver(spark)
-    path = f"{run.root}/silver_batch/{uuid.uuid4().hex}"
-    _timed(run, "silver_batch_write", lambda: write_observed(clean_events(raw, as_of), path))
-    _timed(run, "silver_batch_gates", lambda: _gate(spark, path, as_of, max_age_days))
-    batch = spark.read.parquet(path)
+    batch = spark.read.parquet(stage_batch(spark, run, raw, as_of, max_age_days))
     _timed(run, "silver_merge", lambda: t.rewrite(batch, lambda old: add_events(old, batch)))
     return t
 
@@ -174,16 +193,10 @@ def run_gold(spark: SparkSession, run: LayerRun, silver: DataFrame,
         builders.append(("agent_city_facts", star.agent_city_facts))
     summaries = {}
     for name, build in builders:
-        t = run.table(spark, f"summary/{name}")
+        t = run.market_facts(spark) if name == "market_facts" else run.table(spark, f"summary/{name}")
         _timed(run, f"summary_{name}", lambda t=t, build=build: t.overwrite(build(silver)))
         summaries[name] = t.read()
-    market = summaries["market_facts"]
-    frames = {
-        "avg_price_by_city": agg.avg_price_by_city_from(market, ordered=False),
-        "listing_count_by_event": agg.listing_count_by_event_from(market, ordered=False),
-        "price_trend_by_locality": agg.price_trend_by_locality_from(market, ordered=False),
-        "top_active_cities": agg.top_active_cities_from(market, ordered=False),
-    }
+    frames = market_tables(summaries["market_facts"])
     if agent_history is not None:
         current, agent_city = agent_history.filter("is_current"), summaries["agent_city_facts"]
         frames.update({
@@ -193,6 +206,28 @@ def run_gold(spark: SparkSession, run: LayerRun, silver: DataFrame,
             "agent_city_movement_impact": star.agent_city_movement_from(
                 agent_city, agent_history, ordered=False),
         })
+    tables = write_gold(spark, run, frames)
+    if agent_history is None:
+        return tables
+    t7 = run.table(spark, "gold/top_agents_by_tier")
+    perf = tables["agent_performance"].read()
+    _timed(run, "gold_top_agents_by_tier",
+           lambda: t7.overwrite(star.top_agents_from_performance(perf, ordered=False)))
+    tables["top_agents_by_tier"] = t7
+    return tables
+
+
+def market_tables(facts: DataFrame) -> dict[str, DataFrame]:
+    """The four market tables as roll-ups of ``market_facts``."""
+    return {
+        "avg_price_by_city": agg.avg_price_by_city_from(facts, ordered=False),
+        "listing_count_by_event": agg.listing_count_by_event_from(facts, ordered=False),
+        "price_trend_by_locality": agg.price_trend_by_locality_from(facts, ordered=False),
+        "top_active_cities": agg.top_active_cities_from(facts, ordered=False),
+    }
+
+
+def write_gold(spark: SparkSession, run: LayerRun, frames: dict[str, DataFrame]) -> dict[str, Table]:
     tables = {}
     for name, df in frames.items():
         if name in GOLD_LAYOUT:
@@ -201,16 +236,42 @@ def run_gold(spark: SparkSession, run: LayerRun, silver: DataFrame,
         t = run.table(spark, f"gold/{name}")
         _timed(run, f"gold_{name}", lambda df=df, t=t: t.overwrite(df))
         tables[name] = t
-    if agent_history is None:
-        return tables
-    t7 = run.table(spark, "gold/top_agents_by_tier")
-    perf = tables["agent_performance"].read()
-    _timed(run, "gold_top_agents_by_tier",
-           lambda: t7.overwrite(star.top_agents_from_performance(perf, ordered=False)))
-    tables["top_agents_by_tier"] = t7
     return tables
 
 
+def run_increment(spark: SparkSession, run: LayerRun, raw: DataFrame, batch_id: str, as_of: str | None = None,
+                  max_age_days: int | None = None) -> dict[str, Table]:
+    """The day's run on tables that an earlier run published: the new raw batch goes into the days of
+    the clean table that it touches, its new events (a change feed, written first) into the same days
+    of the market summary, and the four market tables are rolled up again from the summary, their
+    changes recorded.  No step reads the whole clean table.
+
+    A run that died may be repeated with the same ``batch_id``.  Its feed is then there already, and
+    since the summary may or may not have taken it, the touched days of the summary are computed
+    from the clean table instead of from the feed's sums."""
+    silver, facts, days = run.silver(spark), run.market_facts(spark), by_day("event_timestamp")
+    feed_path = f"{run.root}/silver_feed/{batch_id}"
+    repeated = Files(spark, run.root).exists(f"{feed_path}/_SUCCESS")
+    batch = spark.read.parquet(stage_batch(spark, run, raw, as_of, max_age_days))
+    if not repeated:
+        held = spark.table(silver.name).where(days.among(days.touched(batch))).select(
+            *[F.col(c).alias(f"_h_{c}") for c in SILVER_KEY])
+        new = batch.join(held, [F.col(c).eqNullSafe(F.col(f"_h_{c}")) for c in SILVER_KEY], "left_anti")
+        new.withColumn("_change_type", F.lit("insert")).write.mode("overwrite").parquet(feed_path)
+    feed = spark.read.parquet(feed_path)
+    _timed(run, "silver_merge", lambda: silver.rewrite(batch, lambda old: add_events(old, batch)))
+
+    def merged(old: DataFrame) -> DataFrame:
+        now = spark.table(silver.name).where(days.among(days.touched(feed)))
+        return agg.market_facts(now) if repeated else agg.maintain_market_facts(old, feed, now)
+    _timed(run, "facts_merge", lambda: facts.rewrite(feed.withColumn("event_date", agg.event_day()), merged))
+    frames = market_tables(facts.read())
+    tables = write_gold(spark, run, frames)
+    for name in frames:
+        record_changes(spark, run, name, tables[name].read())
+    return {"silver": silver, "market_facts": facts, **tables}
+
+
 def laid_out(spark: SparkSession, run: LayerRun, name: str, df: DataFrame, columns: list[str]) -> DataFrame:
     """``df`` on a curve of ``columns``.  It is written first: the curve reads it twice, for the
     quantiles of the columns alone and for the rows."""
@@ -288,7 +349,8 @@ def run_all(spark: SparkSession, run: LayerRun, landing: str, master: DataFrame,
             scd1_updates: DataFrame | None, scd2_changes: DataFrame | None,
             initial_load: str, change_time: str, as_of: str | None = None,
             database: str | None = None, csv_incoming: str | None = None,
-            files_per_batch: int | None = None, max_age_days: int | None = None) -> dict[str, Table]:
+            files_per_batch: int | None = None, max_age_days: int | None = None,
+            rescue: bool = False, batches_per_group: int | None = None) -> dict[str, Table]:
     """The whole flow: stream the landed messages (and, with ``csv_incoming``,
     the CSV drops) into raw tables, publish the gated clean table built from
     all raw feeds (with ``max_age_days`` no event may be older than that at
@@ -299,7 +361,7 @@ def run_all(spark: SparkSession, run: LayerRun, landing: str, master: DataFrame,
     if database:
         run.database = database
 
-    raw = run_bronze(spark, run, landing, files_per_batch)
+    raw = run_bronze(spark, run, landing, files_per_batch, rescue, batches_per_group)
     if csv_incoming:
         raw = union_bronze(raw, run_bronze_csv(spark, run, csv_incoming, as_of,
                                                files_per_batch))
