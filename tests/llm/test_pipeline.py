@@ -41,7 +41,25 @@ def test_repeated_rows_and_null_ids(spark):
 def test_run_and_empty(spark):
     assert [n for n, _ in cp.STAGES] == ["language_id", "ngram_jaccard_join", "benchmark_decontamination", "secret_scans", "packing"]
     assert cp.run(spark, SF_SMALL).count() > 0
-    docs = documents(spark, ["a"]).drop("spans", "n_words").limit(0)
+    docs = documents(spark, ["a"]).limit(0)
     for name, stage in cp.STAGES:
         docs = stage(spark, docs, SF_SMALL)
         assert docs.count() == 0
+
+
+def test_columns_of_the_caller_come_through_every_stage(spark):
+    texts = ["The cat sat on the mat with a password: hunter2hunter2 and slept", "und der Hund lief durch den Wald", None, "", "12 34",
+             "long " * 100_000, "The cat sat on the mat with a password: hunter2hunter2 and slept"]
+    docs = documents(spark, texts).selectExpr(
+        "*", "0.123 AS score", "'mine' AS lang_pred", "array(1) AS __known", "7 AS __candidates", "'h' AS hex", "1 AS __n_words",
+        "array('s') AS __spans", "2 AS __items", "doc_id AS id", "3 AS class_id", "4 AS n_links", "named_struct('a b', 1) AS `odd name`")
+    want = {r["doc_id"]: r.asDict() for r in docs.collect()}
+    for name, stage in cp.STAGES[:-1]:
+        docs = stage(spark, docs, SF_SMALL)
+        assert docs.columns == list(next(iter(want.values()))), name
+        for r in docs.collect():
+            assert {k: v for k, v in r.asDict().items() if k not in ("text", "n_chars")} == \
+                {k: v for k, v in want[r["doc_id"]].items() if k not in ("text", "n_chars")}, name
+    assert {r["doc_id"] for r in docs.collect()} == {0, 1, 5}
+    packed = cp.token_packing(spark, docs, SF_SMALL)
+    assert {r["doc_id"] for r in packed.collect()} == {0, 1, 5}

@@ -15,7 +15,7 @@ the next block's spans are merged with it.
 Defined cases: a null or wordless text has no words and no hits; an item without
 words matches nothing; items with one id count as one; a null item id counts as
 an item but is left out of lists of ids; an item of fewer words than the window
-is one window.  Extra columns pass through and may have any names.
+is one window.  Extra columns pass through; those named like a made column are replaced.
 """
 
 from __future__ import annotations
@@ -145,10 +145,10 @@ def find_matches(documents: DataFrame, benchmark: DataFrame, text: str = "text",
 
     spans = T.ArrayType(T.StructType([T.StructField("start", T.LongType()),
                                       T.StructField("n", T.LongType())]))
-    kept = [f for f in documents.schema if f.name != text]
+    kept = [f for f in documents.schema if f.name not in (text, N_WORDS, SPANS, ITEMS)]
     made = [T.StructField(N_WORDS, T.LongType()), T.StructField(SPANS, spans),
             T.StructField(ITEMS, T.ArrayType(benchmark.schema[item_id].dataType))]
-    out = documents
+    out = documents.drop(N_WORDS, SPANS, ITEMS)
     blocks = _blocks(benchmark, item_id, item_text)
     block = next(blocks)
     while block:
@@ -202,7 +202,7 @@ def digest(found: DataFrame, doc_id: str = "doc_id") -> DataFrame:
 def remove_contaminated(documents: DataFrame, benchmark: DataFrame, text: str = "text",
                         most_hit: float = 0.0) -> DataFrame:
     """``documents`` without those whose share of hit words is above ``most_hit``."""
-    copy = "__kept_text"
-    found = find_matches(documents.withColumn(copy, F.col(text)), benchmark, text)
+    # the row as a struct: no column of the caller's meets a made one
+    found = find_matches(documents.select(F.col(text), F.struct(*documents.columns).alias("__row")), benchmark, text)
     clean = found.filter(~(n_hit() > F.lit(most_hit) * F.col(N_WORDS)))
-    return clean.select(*[F.col(copy if c == text else c).alias(c) for c in documents.columns])
+    return clean.select(*[F.col(f"__row.`{c}`").alias(c) for c in documents.columns])

@@ -40,6 +40,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tierlake.llm.components import written
+from tierlake.llm.vectors import exact, floored, largest, matrix, takes_part
 
 SHARD_ROWS = 4096              # rows of a shard, about
 ANCHOR_BLOCK = 128             # anchors scored together
@@ -47,10 +48,8 @@ LEVELS = (0.8, 0.5, 0.35, 0.25, 0.12, 0.0)   # thresholds over anchor norm, in m
 CHECK_EVERY = 8                # dimensions between two prunings
 FEW = 16                       # pairs per anchor that are simply scored exactly
 MOST_TASKS = 20_000            # tasks that build the index
-SCALE = 256.0
 POSITIVES, NEGATIVES = 5, 3
 LEAST_SHARE, MOST_SHARE = 50, 95   # a negative's score over its positive's, in hundredths
-_LONG = np.iinfo(np.int64)
 
 
 # ---------------------------------------------------------------- rows
@@ -59,42 +58,24 @@ def quantised(vectors: DataFrame, vec_id: str = "vec_id", vector: str = "embeddi
               relabel: bool = True) -> DataFrame:
     """(id, label, v) of the rows that take part: v the floored scaled components as longs.
     With ``relabel`` labels of ids divisible by 7 move on by one, modulo 10."""
-    x = F.transform(F.col(vector), lambda c: F.floor(F.lit(SCALE) * c.cast("double")))
-    bad = F.exists(F.col(vector), lambda c: c.isNull() | F.isnan(c) | (F.abs(c.cast("double")) == float("inf")))
     ids, labels = F.col(vec_id).cast("long"), F.col(label).cast("long")
     if relabel:
         labels = F.when(ids % 7 == 0, (labels + 1) % 10).otherwise(labels)
-    return (vectors.where(F.col(vec_id).isNotNull() & F.col(label).isNotNull() & F.col(vector).isNotNull()
-                          & (F.size(vector) > 0) & ~F.coalesce(bad, F.lit(True)))
-            .select(ids.alias("id"), labels.alias("label"), x.alias("v")))
+    return (vectors.where(F.col(vec_id).isNotNull() & F.col(label).isNotNull() & takes_part(vector))
+            .select(ids.alias("id"), labels.alias("label"), floored(vector).alias("v")))
 
 
 def norm(v: Column) -> Column:
     return F.sqrt(F.aggregate(v, F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))
 
 
-def _matrix(values: list, wide: int | None = None) -> np.ndarray:
-    wide = max(map(len, values)) if wide is None else wide
-    if all(len(v) == wide for v in values):
-        return np.array(values, dtype=np.int64).reshape(len(values), wide)
-    out = np.zeros((len(values), wide), dtype=np.int64)
-    for r, v in enumerate(values):
-        out[r, :len(v)] = v
-    return out
-
-
-def _largest(m: np.ndarray) -> int:
-    """The largest absolute value; the least long has one too."""
-    return max(int(m.max(initial=0)), -int(m.min(initial=0)))
-
-
 # ---------------------------------------------------------------- index
 
 def _index(levels: list[float]):
     """The index row of one shard: its rows, and per level the postings it adds."""
     def run(shard: pa.Table) -> pa.Table:
         rows, ids, labels = (shard.column(c).to_numpy().astype(np.int64) for c in ("row", "id", "label"))
-        m = _matrix(shard.column("v").to_pylist())
+        m = matrix(shard.column("v").to_pylist())
         energy = m.astype(np.float64) ** 2
         order = np.argsort(-energy.sum(axis=0), kind="stable")
         m, energy = m[:, order], energy[:, order]
@@ -102,7 +83,7 @@ def _index(levels: list[float]):
         # the first level whose threshold the suffix norm reaches, with room for rounding
         need = np.searchsorted(-np.array(levels), -(suffix * (1 + 1e-9) + 1e-9), side="left")
         need[m == 0] = len(levels)
-        small = _largest(m) < 1 << 15
+        small = largest(m) < 1 << 15
         out = {"shard": shard.column("shard").slice(0, 1), "wide": pa.array([m.shape[1]], pa.int32()), "small": pa.array([bool(small)]),
                "dims": pa.array([order.astype("<i4").tobytes()], pa.binary()),
                "m": pa.array([m.astype("<i2" if small else "<i8").tobytes()], pa.binary())}
@@ -168,7 +149,7 @@ class Shard:
             if not free:
                 alive &= score + self._bound(done, rest) >= least[None, :]
         r, a = np.nonzero(alive)
-        return a, r, _exact(q, self.m, a, r)
+        return a, r, exact(q, self.m, a, r)
 
     def _bound(self, done: np.ndarray, rest: np.ndarray) -> np.ndarray:
         """What a pair's score may still gain, with room for rounding: the product of the norms of
@@ -179,18 +160,6 @@ class Shard:
         return held[:, None] * left * (1 + 1e-9) + 1e-6 * (1 + rest[0][None, :] * self.suffix[:, :1])
 
 
-def _exact(q: np.ndarray, m: np.ndarray, a: np.ndarray, r: np.ndarray) -> np.ndarray:
-    """Integer inner products of the pairs; beyond 64 bits the nearest long."""
-    if _largest(q) < 1 << 24 and _largest(m) < 1 << 24:
-        out = np.zeros(len(a), dtype=np.int64)
-        for at in range(0, len(a), 1 << 16):
-            s = slice(at, at + (1 << 16))
-            out[s] = np.einsum("ij,ij->i", q[a[s]], m[r[s]])
-        return out
-    return np.array([min(max(sum(int(x) * int(y) for x, y in zip(q[i], m[j])), _LONG.min), _LONG.max)
-                     for i, j in zip(a.tolist(), r.tolist())], dtype=np.int64)
-
-
 # ---------------------------------------------------------------- joins
 
 _BLOCK = "a_rows binary, a_labels binary, a_wide int, a_m binary, a_least binary, a_windows binary"
@@ -200,7 +169,7 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Anchors (row, label, v, least, windows) in blocks, as packed integers.  ``windows`` holds
     (number, positive score) pairs, padded by number -1."""
     def block(held: list[dict]) -> pa.RecordBatch:
-        m = _matrix([r["v"] for r in held])
+        m = matrix([r["v"] for r in held])
         most = max([1, *(len(r["windows"]) for r in held)])
         windows = np.full((len(held), most, 2), -1, dtype="<i8")
         for i, r in enumerate(held):

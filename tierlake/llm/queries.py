@@ -74,7 +74,7 @@ def op9_secret_scans(spark, sf_dir):
 
 def op10_topk(spark, sf_dir):
     vectors = topk.quantised(_read(spark, sf_dir, "embeddings"))
-    return topk.top_k(spark, vectors, vectors.where(F.col("id") % 50 == 0))
+    return topk.top_k(spark, vectors, F.col("id") % 50 == 0)
 
 
 def op11_prefix_trie(spark, sf_dir):
@@ -140,15 +140,15 @@ ORACLE = {
         FROM w""",
     "op10_topk": r"""
         WITH v AS (
-            SELECT vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE) for x in embedding] AS e
+            SELECT row_number() OVER () AS r, vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE) for x in embedding] AS e
             FROM embeddings
             WHERE vec_id IS NOT NULL AND len(embedding) > 0
               AND len([1 for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
         s AS (
-            SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
-            FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id),
-        r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
-        SELECT query_id, CAST(rank AS INT) AS rank, vec_id, score FROM r WHERE rank <= 5""",
+            SELECT q.r AS qr, q.vec_id AS query_id, c.r, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
+            FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.r <> q.r),
+        t AS (SELECT *, row_number() OVER (PARTITION BY qr ORDER BY score DESC, vec_id, r) AS rank FROM s)
+        SELECT query_id, CAST(rank AS INT) AS rank, vec_id, score FROM t WHERE rank <= 5""",
     "op11_prefix_trie": r"""
         WITH seq AS (
             SELECT conv_id, list({'r': coalesce(role, ''), 't': coalesce(text, '')} ORDER BY turn NULLS FIRST) AS s

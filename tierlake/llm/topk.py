@@ -1,21 +1,28 @@
 """Exact top-k search by inner product over an impact-ordered index, score at a time.
 
-Vectors of integers are dealt into index blocks.  A block keeps its postings (vector,
-dimension, value) in segments by quantised impact, the power of two of |value|, and
-for each vector the norm of what lies below each level.  A block of queries goes
-through the segments from the highest impact down and adds whole segments to its
-scores.  After each level a vector's score is known up to |query| x (norm of the
-vector's rest); a vector whose upper bound is below the k-th best lower bound can't be
-a member.  Processing stops when the possible members are few, which proves that all
-others are out; these are scored again exactly, in whole numbers.
-
-Queries are a stated set and are scored against all blocks, in query blocks of bounded
-size; a unit (query block, index block) returns at most k rows per query, and a window
-with a group limit keeps the k best.
-
-Defined cases: a vector that is null, empty, or holds null or non-finite components
-takes no part; shorter vectors count as padded by zeros; a query's own row (equal id)
-is no candidate of it; ties go to the smaller id; a null id takes no part.
+Vectors of whole numbers are dealt into index blocks.  A posting (vector, dimension) has an
+impact level, the number of binary digits of |value|.  A block is one row of the written
+index: per level a segment of its postings, dimension by dimension; for each vector the norm
+of what lies below each level; and for each dimension the largest |value| in the block.
+
+A first pass scores every query against one block, which gives a lower bound of its k-th best
+score.  A second pass over the largest values alone proves of (query block, index block)
+pairs that no vector can reach the bound of any of their queries; these are not read.  The
+others go through the segments from the highest level down and add them to the scores.  After
+each level a vector's score is known up to |query| x (norm of its rest); a vector whose upper
+bound is below the query's k-th best lower bound is out.  Processing stops when few vectors
+are possible, which proves that all others are out; these few are scored again exactly.  A
+round reads the segments of the upper levels only; pairs that could not stop there go on to a
+round that reads more levels, at last all.
+
+Queries are a stated set of rows and meet the blocks in query blocks; a unit returns at most k
+rows per query, and a window with a group limit keeps the k best.
+
+Defined cases: a vector that is null, empty, or holds null or non-finite components takes no
+part, nor does a null id; shorter vectors count as padded by zeros; rows with equal ids are
+rows of their own (each query row has its own ranks, and is no candidate of itself only); ties
+go to the smaller id; components and scores beyond 64 bits count as the nearest long; a query
+with fewer candidates gets all; an empty table gives no rows.  Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -24,137 +31,231 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tierlake.llm.components import written
+from tierlake.llm.vectors import exact, floored, largest, matrix, takes_part
 
-INDEX_BLOCK = 4096             # vectors in an index block
-QUERY_BLOCK = 512              # queries scored together
+INDEX_BLOCK = 4096             # vectors in an index block, about
+QUERY_BLOCK = 256              # queries scored together
 FEW = 64                       # possible members per query that are simply rescored
-SCALE = 256.0
+DEPTHS = (0.6, 0.8, 1.0)       # shares of the levels that the rounds read
+MOST_TASKS = 20_000            # tasks that build the index
 
 
 def quantised(vectors: DataFrame, vec_id: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """(id, v): v the floored scaled components as longs, of vectors that take part."""
-    x = F.transform(F.col(vector), lambda c: F.floor(F.lit(SCALE) * c.cast("double")))
-    bad = F.exists(F.col(vector), lambda c: c.isNull() | F.isnan(c) | (F.abs(c.cast("double")) == float("inf")))
-    return (vectors.where(F.col(vec_id).isNotNull() & F.col(vector).isNotNull()
-                          & (F.size(vector) > 0) & ~F.coalesce(bad, F.lit(True)))
-            .select(F.col(vec_id).cast("long").alias("id"), x.alias("v")))
-
-
-def _matrix(values: list) -> np.ndarray:
-    wide = max(map(len, values))
-    out = np.zeros((len(values), wide), dtype=np.int64)
-    for r, v in enumerate(values):
-        out[r, :len(v)] = v
-    return out
-
-
-class IndexBlock:
-    """Segments of one block: level -> (vector, dimension, value) postings."""
-
-    def __init__(self, ids: np.ndarray, m: np.ndarray):
-        self.ids, self.m = ids, m
-        level = np.zeros(m.shape, dtype=np.int64)
-        size = np.abs(m)
-        while (size > 0).any():
-            level += size > 0
-            size >>= 1
-        self.levels = [int(x) for x in np.unique(level)[::-1] if x]
-        self.segments = {k: np.nonzero(level == k) for k in self.levels}
-        square = m.astype(np.float64) ** 2
-        # norm of what is not yet processed, after each level
-        self.rest = {k: np.sqrt(np.where(level < k, square, 0).sum(axis=1)) for k in self.levels}
-
-    def top(self, q_ids: np.ndarray, q: np.ndarray, k: int) -> Iterator[tuple[int, int, int]]:
-        wide = max(q.shape[1], self.m.shape[1])
-        q = np.pad(q, ((0, 0), (0, wide - q.shape[1])))
-        m = np.pad(self.m, ((0, 0), (0, wide - self.m.shape[1])))
-        weights = q.astype(np.float64)
-        norm = np.sqrt((weights ** 2).sum(axis=1))[:, None] * (1 + 1e-9)
-        own = q_ids[:, None] == self.ids[None, :]
-        score = np.zeros((len(q), len(m)))
+    return (vectors.where(F.col(vec_id).isNotNull() & takes_part(vector))
+            .select(F.col(vec_id).cast("long").alias("id"), floored(vector).alias("v")))
+
+
+# ---------------------------------------------------------------- index
+
+def _levels(m: np.ndarray) -> np.ndarray:
+    """The number of binary digits of |value|; 0 for 0."""
+    level = np.zeros(m.shape, dtype=np.int64)
+    size = np.where(m < 0, -(m + 1), m).astype(np.uint64) + (m < 0)      # the least long has no negation
+    while (size > 0).any():
+        level += size > 0
+        size >>= np.uint64(1)
+    return level
+
+
+def _index(top: int):
+    """The index row of one block: levels ``top`` down to 1."""
+    def run(block: pa.Table) -> pa.Table:
+        rows, ids = (block.column(c).to_numpy().astype("<i8") for c in ("row", "id"))
+        m = matrix(block.column("v").to_pylist())
+        level, square = _levels(m), m.astype(np.float64) ** 2
+        small = largest(m) < 1 << 15
+        rest = np.stack([np.sqrt(np.where(level < k, square, 0).sum(axis=1)) for k in range(top, 0, -1)])
+        out = {"block": block.column("block").slice(0, 1), "wide": pa.array([m.shape[1]], pa.int32()), "small": pa.array([small])}
+        for name, x in (("rows", rows), ("ids", ids), ("m", m.astype("<i2" if small else "<i8")), ("rest", rest.astype("<f8")),
+                        ("peak", np.abs(m.astype(np.float64)).max(axis=0).astype("<f8"))):
+            out[name] = pa.array([x.tobytes()], pa.binary())
+        for k in range(1, top + 1):
+            dim, row = np.nonzero((level == k).T)
+            starts = np.searchsorted(dim, np.arange(m.shape[1] + 1)).astype("<i4")
+            out[f"segment_{k}"] = pa.array([starts.tobytes() + row.astype("<i4").tobytes()], pa.binary())
+        return pa.table(out)
+    return run
+
+
+def build_index(spark: SparkSession, rows: DataFrame, n_blocks: int, top: int) -> DataFrame:
+    """One row per block of ``rows`` (row, id, v), written."""
+    schema = ("block int, wide int, small boolean, rows binary, ids binary, m binary, rest binary, peak binary, "
+              + ", ".join(f"segment_{k} binary" for k in range(1, top + 1)))
+    dealt = rows.withColumn("block", F.pmod(F.xxhash64("row"), F.lit(n_blocks)).cast("int"))
+    dealt = dealt.repartition(min(n_blocks, MOST_TASKS), "block")      # tiny files would be read by one task
+    return written(spark, dealt.groupBy("block").applyInArrow(_index(top), schema), "impact_index")
+
+
+class Block:
+    """An index row, read from level ``top`` down to ``last``."""
+
+    def __init__(self, r: dict, top: int, last: int):
+        self.rows, self.ids = (np.frombuffer(r[c], dtype="<i8") for c in ("rows", "ids"))
+        n, wide = len(self.ids), r["wide"]
+        self.m = np.frombuffer(r["m"], dtype="<i2" if r["small"] else "<i8").reshape(n, wide).astype(np.int64)
+        self.rest = np.frombuffer(r["rest"], dtype="<f8").reshape(top, n)
+        self.top, self.last, self.segments, self.read = top, last, {}, 0
+        for k in range(top, last - 1, -1):
+            at = 4 * (wide + 1)
+            held = r[f"segment_{k}"]
+            self.segments[k] = np.frombuffer(held[:at], dtype="<i4"), np.frombuffer(held[at:], dtype="<i4")
+
+    def search(self, q_rows: np.ndarray, q: np.ndarray, floor: np.ndarray, k: int) -> tuple[np.ndarray, list | None]:
+        """(which queries are settled, their best k as (query row, row, id, score)).  ``floor`` is a
+        lower bound of each query's k-th best score over all blocks."""
+        wide = self.m.shape[1]
+        q = np.pad(q, ((0, 0), (0, max(0, wide - q.shape[1]))))[:, :wide]      # dimensions of no vector here add nothing
+        weights, m = q.astype(np.float64).T.copy(), self.m.astype(np.float64)
+        norm = np.sqrt((weights ** 2).sum(axis=0))[None, :] * (1 + 1e-9)
+        own = self.rows[:, None] == q_rows[None, :]
+        score = np.zeros((len(self.rows), len(q)))
         possible = ~own
-        for lev in self.levels:
-            rows, dims = self.segments[lev]
-            segment = np.zeros((wide, len(m)))
-            segment[dims, rows] = m[rows, dims]
-            score += weights @ segment
-            slack = norm * self.rest[lev][None, :] + 1e-9 * np.abs(score) + 0.5
+        for level in range(self.top, self.last - 1, -1):
+            starts, rows = self.segments[level]
+            if not len(rows):
+                continue
+            for d in np.flatnonzero(np.diff(starts)).tolist():
+                at = rows[starts[d]:starts[d + 1]]
+                score[at] += m[at, d][:, None] * weights[d][None, :]
+                self.read += len(at)
+            slack = self.rest[self.top - level][:, None] * norm + 1e-9 * np.abs(score) + 0.5
             lower = np.where(own, -np.inf, score - slack)
-            kth = -np.partition(-lower, min(k, lower.shape[1]) - 1, axis=1)[:, min(k, lower.shape[1]) - 1]
-            possible = ~own & (score + slack >= kth[:, None])
-            if possible.sum() <= FEW * len(q):
+            # with fewer vectors than k there is no k-th best here
+            kth = -np.partition(-lower, k - 1, axis=0)[k - 1] if len(lower) >= k else np.full(len(q), -np.inf)
+            possible = ~own & (score + slack >= np.maximum(kth, floor)[None, :])
+            if (np.count_nonzero(possible, axis=0) <= FEW).all():
                 break
-        for r in range(len(q)):
-            at = np.flatnonzero(possible[r])
-            if not len(at):
-                continue
-            if np.abs(q[r]).max(initial=0) < 1 << 24 and np.abs(m).max(initial=0) < 1 << 24:
-                exact = m[at] @ q[r]
-            else:      # products that could pass 64 bits
-                exact = np.array([sum(int(a) * int(b) for a, b in zip(m[i], q[r])) for i in at], dtype=object)
-            order = np.lexsort((self.ids[at], -exact)) if exact.dtype != object else \
-                np.array(sorted(range(len(at)), key=lambda i: (-exact[i], self.ids[at[i]])), dtype=np.int64)
-            for o in order[:k].tolist():
-                yield int(q_ids[r]), int(self.ids[at[o]]), int(exact[o])
-
-
-def _packed(batches: Iterator[pa.RecordBatch], block: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    ids: list[int] = []
-    values: list = []
+        settled = np.count_nonzero(possible, axis=0) <= FEW if self.last > 1 else np.ones(len(q), dtype=bool)
+        r, a = np.nonzero(possible & settled[None, :])
+        scores = exact(q, self.m, a, r)
+        found = []
+        order = np.array(sorted(range(len(r)), key=lambda i: (a[i], -int(scores[i]), self.ids[r[i]], self.rows[r[i]])), dtype=np.int64)
+        taken = -1, 0
+        for i in order.tolist():
+            taken = (a[i], taken[1] + 1) if taken[0] == a[i] else (a[i], 1)
+            if taken[1] <= k:
+                found.append((int(q_rows[a[i]]), int(self.rows[r[i]]), int(self.ids[r[i]]), int(scores[i])))
+        return settled, found
+
+
+# ---------------------------------------------------------------- search
+
+_QUERIES = "q_rows binary, q_m binary, q_wide int, q_floor binary"
+
+
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Queries (row, v, floor) in blocks of packed numbers; a null floor is none."""
+    def block(held: list[dict]) -> pa.RecordBatch:
+        m = matrix([r["v"] for r in held])
+        floor = np.array([-np.inf if r["floor"] is None else r["floor"] for r in held], dtype="<f8")
+        return pa.RecordBatch.from_arrays(
+            [pa.array([np.array([r["row"] for r in held], dtype="<i8").tobytes()], pa.binary()),
+             pa.array([m.astype("<i8").tobytes()], pa.binary()), pa.array([m.shape[1]], pa.int32()),
+             pa.array([floor.tobytes()], pa.binary())], names=["q_rows", "q_m", "q_wide", "q_floor"])
+    held: list[dict] = []
     for b in batches:
-        ids += b.column("id").to_pylist()
-        values += b.column("v").to_pylist()
-        while len(ids) >= block:
-            yield np.array(ids[:block], dtype=np.int64), _matrix(values[:block])
-            del ids[:block], values[:block]
-    if ids:
-        yield np.array(ids, dtype=np.int64), _matrix(values)
+        for r in b.to_pylist():
+            held.append(r)
+            if len(held) == QUERY_BLOCK:
+                yield block(held)
+                held = []
+    if held:
+        yield block(held)
 
 
-_PACKED = "ids binary, m binary, wide int"
+def _query(r: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    rows = np.frombuffer(r["q_rows"], dtype="<i8")
+    return rows, np.frombuffer(r["q_m"], dtype="<i8").reshape(len(rows), r["q_wide"]), np.frombuffer(r["q_floor"], dtype="<f8")
 
 
-def _pack(block: int):
-    """Rows of whole blocks: ids and values as packed integers."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, m in _packed(batches, block):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([ids.tobytes()], pa.binary()), pa.array([m.tobytes()], pa.binary()),
-                 pa.array([m.shape[1]], pa.int32())], names=["ids", "m", "wide"])
-    return run
+def reachable(q: np.ndarray, floor: np.ndarray, peak: np.ndarray) -> np.ndarray:
+    """Of each query: can a vector whose values are nowhere above ``peak`` reach its floor?"""
+    wide = min(q.shape[1], len(peak))
+    most = np.abs(q[:, :wide].astype(np.float64)) @ peak[:wide]
+    return most * (1 + 1e-9) + 0.5 >= floor
+
+
+def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pairs of blocks that have to be read."""
+    for b in batches:
+        for i in range(b.num_rows):
+            r = b.slice(i, 1).to_pylist()[0]
+            _, q, floor = _query(r)
+            if reachable(q, floor, np.frombuffer(r["peak"], dtype="<f8")).any():
+                yield pa.RecordBatch.from_arrays([pa.array([r["block"]], pa.int32()), pa.array([r["q_block"]], pa.int64())],
+                                                 names=["block", "q_block"])
 
 
-def _search(k: int):
+def _search(k: int, top: int, last: int):
+    """Best rows of settled queries; a row without a score is a query that needs more levels."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for r in b.to_pylist():
-                ids, q_ids = (np.frombuffer(r[c], dtype=np.int64) for c in ("ids", "q_ids"))
-                index = IndexBlock(ids, np.frombuffer(r["m"], dtype=np.int64).reshape(len(ids), r["wide"]))
-                q = np.frombuffer(r["q_m"], dtype=np.int64).reshape(len(q_ids), r["q_wide"])
-                found = list(index.top(q_ids, q, k))
+            for i in range(b.num_rows):
+                r = b.slice(i, 1).to_pylist()[0]
+                rows, q, floor = _query(r)
+                settled, found = Block(r, top, last).search(rows, q, floor, k)
+                # a pair of blocks is settled as a whole, or read again
+                out = found if settled.all() else [(None, None, None, None)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([f[c] for f in found], pa.int64()) for c in range(3)],
-                    names=["query_id", "vec_id", "score"])
+                    [pa.array([r["block"]] * len(out), pa.int32()), pa.array([r["q_block"]] * len(out), pa.int64()),
+                     *[pa.array([f[c] for f in out], pa.int64()) for c in range(4)]],
+                    names=["block", "q_block", "q_row", "x_row", "vec_id", "score"])
     return run
 
 
-def top_k(spark: SparkSession, vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
-    """(query_id, rank, vec_id, score) for ``queries`` against ``vectors`` (both id, v)."""
-    blocks = written(spark, vectors.mapInArrow(_pack(INDEX_BLOCK), _PACKED)
-                     .withColumn("i_block", F.monotonically_increasing_id()), "impact_index")
-    asked = queries.mapInArrow(_pack(QUERY_BLOCK), _PACKED).select(
-        F.col("ids").alias("q_ids"), F.col("m").alias("q_m"), F.col("wide").alias("q_wide"))
-    asked = written(spark, asked.withColumn("q_block", F.monotonically_increasing_id()), "queries")
-    # every index block meets every query block: block rows, not vectors
-    units = (blocks.select("i_block").crossJoin(asked.select("q_block"))
-             .repartition("i_block", "q_block")
-             .join(blocks, "i_block").join(asked, "q_block")
-             .select("ids", "m", "wide", "q_ids", "q_m", "q_wide"))
-    found = units.mapInArrow(_search(k), "query_id long, vec_id long, score long")
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("vec_id"))
-    return (found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+def _best(found: DataFrame, k: int) -> DataFrame:
+    best = Window.partitionBy("q_row").orderBy(F.desc("score"), F.asc("vec_id"), F.asc("x_row"))
+    return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+
+
+def top_k(spark: SparkSession, vectors: DataFrame, asked: Column, k: int = 5) -> DataFrame:
+    """(query_id, rank, vec_id, score) for the rows of ``vectors`` (id, v) that the condition ``asked``
+    names, against all of them."""
+    rows = written(spark, vectors.withColumn("row", F.monotonically_increasing_id()), "impact_rows")
+    digits = F.aggregate("v", F.lit(0), lambda a, x: F.greatest(a, F.length(F.bin(F.abs(F.greatest(x, F.lit(-(2 ** 63 - 1)))))) ))
+    n, top = rows.agg(F.count(F.lit(1)), F.max(digits)).first()
+    n_blocks, top = max(1, -(-n // INDEX_BLOCK)), max(1, min(64, (top or 1) + 1))
+    index = build_index(spark, rows, n_blocks, top)
+    queries = rows.where(asked)
+    kinds = "block int, q_block long, q_row long, x_row long, vec_id long, score long"
+
+    def blocks(of: DataFrame) -> DataFrame:
+        packed = of.select("row", "v", "floor").mapInArrow(_pack, _QUERIES)
+        return written(spark, packed.withColumn("q_block", F.monotonically_increasing_id()), "impact_queries")
+
+    def units(pairs: DataFrame, of: DataFrame, last: int) -> DataFrame:
+        held = index.select("block", "wide", "small", "rows", "ids", "m", "rest", *[f"segment_{j}" for j in range(top, last - 1, -1)])
+        return held.join(of.join(pairs, "q_block"), "block").mapInArrow(_search(k, top, last), kinds)
+
+    # a floor for every query: its k-th best score in one block
+    first = blocks(queries.withColumn("floor", F.lit(None).cast("double")))
+    seed = units(written(spark, first.select("q_block", F.lit(0).alias("block")), "impact_seeds"), first, 1)
+    floor = _best(seed.where(F.col("q_row").isNotNull()), k).where(F.col("rank") == k).select(
+        F.col("q_row").alias("row"), F.col("score").cast("double").alias("floor"))
+    floor = written(spark, floor, "impact_floors")
+    # a double may round a large score up, a bound must not
+    asked_blocks = blocks(queries.join(floor, "row", "left").withColumn(
+        "floor", F.col("floor") - F.abs("floor") * F.lit(1e-9)))
+    every = asked_blocks.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
+    pairs = written(spark, index.select("block", "peak").join(every, "block").mapInArrow(_meet, "block int, q_block long"), "impact_pairs")
+
+    results = []
+    for share in DEPTHS:
+        last = max(1, top - int(np.ceil(share * top)) + 1) if share < 1 else 1
+        found = written(spark, units(pairs, asked_blocks, last), "impact_found")
+        results.append(found.where(F.col("q_row").isNotNull()))
+        if last == 1:
+            break
+        pairs = written(spark, found.where(F.col("q_row").isNull()).select("block", "q_block"), "impact_pairs")
+        if pairs.isEmpty():
+            break
+    out = results[0]
+    for r in results[1:]:
+        out = out.unionByName(r)
+    return (_best(out, k).join(queries.select(F.col("row").alias("q_row"), F.col("id").alias("query_id")), "q_row")
             .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"))

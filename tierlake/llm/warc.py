@@ -101,11 +101,13 @@ def read_index(spark: SparkSession, path: str) -> DataFrame:
     that the archive holds."""
     records = spark.read.parquet(f"{path}/records").withColumn("h", F.decode("headers", "utf-8"))
     held = read_payloads(spark, path).select(
-        "digest", F.length("payload").cast("long").alias("payload_bytes"), base32(F.sha1("payload")).alias("of_payload"))
+        "digest", F.length("payload").cast("long").alias("payload_bytes"), F.sha1("payload").alias("hex"))
     page = F.regexp_extract(_field(F.col("h"), "WARC-Record-ID"), "<urn:page:(.*)>", 1)
     refers = F.regexp_extract(_field(F.col("h"), "WARC-Refers-To"), "<urn:page:(.*)>", 1)
     claimed = _field(F.col("h"), "WARC-Payload-Digest")
-    return (records.join(held, "digest").select(
+    # the letters are made after the join: before it, each of them would compute the SHA-1 again
+    joined = records.join(held, "digest").withColumn("of_payload", base32(F.col("hex")))
+    return (joined.select(
         page.try_cast("long").alias("page_id"),
         F.when(F.instr("h", "\r\nWARC-Target-URI: ") > 0, _field(F.col("h"), "WARC-Target-URI")).alias("url"),
         _field(F.col("h"), "WARC-Type").alias("record_type"), refers.try_cast("long").alias("refers_to"),
