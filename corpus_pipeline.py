@@ -16,23 +16,37 @@ from tierlake.llm.shipping import ship
 from tierlake.sources.tables import table_path
 
 
+REST = "__rest"
+
+
+def apart(docs):
+    """The text, and all other columns as one struct: no name of theirs meets a column that a stage makes."""
+    rest = [c for c in docs.columns if c != "text"]
+    return docs.select("text", F.struct(*rest).alias(REST))
+
+
+def together(stage, columns):
+    """The columns as they were, the text as the stage left it."""
+    return stage.select(*[F.col("text") if c == "text" else F.col(f"{REST}.`{c}`").alias(c) for c in columns])
+
+
 def language_id(spark, docs, sf_dir):
     """Drops documents without a language (null texts, texts without a letter)."""
     ship(spark)
     labelled = docs.where(F.col("lang").isNotNull() & ~F.coalesce(held_out(), F.lit(False)))
     sample = langid.sample_texts(labelled, "doc_id", "text", "lang")
-    known = langid.identify(docs, sample).where(F.col("lang_pred") != langid.UNDETERMINED)
-    return known.select(*docs.columns)
+    known = langid.identify(apart(docs), sample).where(F.col("lang_pred") != langid.UNDETERMINED)
+    return together(known, docs.columns)
 
 
 def near_duplicates(spark, docs, sf_dir):
     """Keeps the row of smallest id of each group of near-duplicates; of repeated rows, one."""
     ship(spark)
-    rows = written(spark, docs.withColumn(
-        "__row", F.struct("doc_id", F.monotonically_increasing_id().alias("n"))), "pipeline_rows")
+    rows = written(spark, apart(docs).withColumn(
+        "__row", F.struct(F.col(f"{REST}.doc_id"), F.monotonically_increasing_id().alias("n"))), "pipeline_rows")
     group = ngram_join.near_duplicates(spark, rows.select("__row", "text"), doc_id="__row")
     keep = group.where(F.col("doc_id") == F.col("class_id")).select(F.col("doc_id").alias("__keep"))
-    return rows.join(keep, F.col("__row") == F.col("__keep"), "left_semi").select(*docs.columns)
+    return together(rows.join(keep, F.col("__row") == F.col("__keep"), "left_semi"), docs.columns)
 
 
 def benchmark_decontamination(spark, docs, sf_dir):
@@ -44,8 +58,9 @@ def benchmark_decontamination(spark, docs, sf_dir):
 def secret_scans(spark, docs, sf_dir):
     """Blanks secrets out of the texts; no document goes."""
     ship(spark)
-    found = secret_scan.find_secrets(spark, docs, keep_text=True)
-    return secret_scan.redact(found).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    found = secret_scan.find_secrets(spark, apart(docs), keep_text=True)
+    clean = together(secret_scan.redact(found), docs.columns)
+    return clean.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else clean
 
 
 def token_packing(spark, docs, sf_dir):
