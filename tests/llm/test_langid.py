@@ -27,6 +27,61 @@ def test_automaton_gives_longest_matches():
         assert got == plain_phrases("".join(map(str, learned)), "".join(map(str, text)))
 
 
+def test_rare_symbols_parse_alike():
+    rng = np.random.default_rng(6)
+    learned = rng.zipf(1.3, 3000).clip(1, 900).astype(np.uint16)      # far more symbols than have a table
+    automaton = langid.suffix_automaton(learned, 1000)
+    assert automaton.any_rare and len(automaton.keys) > 100
+    text = np.concatenate([learned[500:900], rng.integers(0, 1000, 200).astype(np.uint16), learned[:50]])
+    assert langid.phrases(automaton, learned[100:108][:, None], np.array([8]))[0] == 1
+    at = n = 0
+    joined = " ".join(map(str, learned.tolist()))
+    while at < len(text):
+        k = 1
+        while at + k < len(text) and f" {' '.join(map(str, text[at:at + k + 1].tolist()))} " in f" {joined} ":
+            k += 1
+        n, at = n + 1, at + k
+    got = langid.phrases(automaton, text[:, None], np.array([len(text)]))[0]
+    assert got == n
+
+
+def test_memory_of_a_script_of_many_letters():
+    rng = np.random.default_rng(1)
+    han = "".join(chr(0x4E00 + int(k)) for k in rng.zipf(1.2, langid.SAMPLE_CHARS // 2).clip(1, 3000))
+    latin = " ".join("".join(chr(97 + int(k)) for k in rng.integers(0, 26, 5)) for _ in range(langid.SAMPLE_CHARS // 12))
+    model = langid.Model((("zh", (han, han[:1000] + "x")), ("en", (latin, latin[:1000]))))
+    sizes = [t.nbytes() for t in model.tables]
+    assert model.alphabet.size > 1500 and max(sizes) < 40 << 20, sizes
+    assert model.predict([han[500:700], latin[500:700]])[0] == ["zh", "en"]
+
+
+def test_predictions_equal_a_plain_parse(medium):
+    rows = [r for r in medium.limit(400).collect() if r["text"] and r["lang"]]
+    by = {}
+    for r in rows:
+        by.setdefault(r["lang"], []).append(r["text"][:300])
+    sample = tuple((name, tuple(texts[:6])) for name, texts in sorted(by.items()))
+    model = langid.Model(sample)
+
+    def numbered(text):
+        return "".join(chr(200 + int(s)) for s in model.alphabet.symbols(text))
+    learned = ["".join(numbered(t + " ") for t in list(dict.fromkeys(texts))[::2]) for _, texts in sample]
+    texts = [r["text"][:200] for r in rows[:40]]
+    got, _ = model.predict(texts)
+    for text, lang in zip(texts, got):
+        costs = [plain_phrases(x, numbered(text)) / rate for x, rate in zip(learned, model.rates)]
+        assert model.langs[int(np.argmin(costs))] == lang
+
+
+def test_many_languages_share_the_sample(spark, monkeypatch):
+    monkeypatch.setattr(langid, "TOTAL_CHARS", 6000)
+    texts = [words_of("abcdefgh"[k:] + "xyz", 100, 10 * k + j) for k in range(3) for j in range(8)]
+    docs = spark.createDataFrame([(i, t, f"l{i // 8}") for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    sample = langid.sample_texts(docs, "doc_id", "text", "lang")
+    assert len(sample) == 3
+    assert all(len(t) >= 2 and sum(map(len, t[2:])) <= langid.LEAST_CHARS for _, t in sample)
+
+
 def test_held_out_accuracy(spark, medium):
     lang = {r["doc_id"]: r["lang"] for r in medium.collect()}
     rows = QUERIES["op4_language_id"](spark, SF_MEDIUM).collect()

@@ -6,16 +6,19 @@ a phrase ends and the next begins.  The text's cost in a language is its number
 phrases, divided by the number that the language's own unseen text needs at that
 length; the language of least cost wins.
 
-The automaton's transitions are a dense table (state x symbol), so a batch of texts
-is parsed in step, one symbol of every text at a time.  Texts of any length are
-parsed whole, in runs of ``RUN`` symbols; a phrase ends at the end of a run.
+A batch of texts is parsed in step, one symbol of every text at a time.  A language's
+``DENSE`` most frequent symbols have a table (state x symbol) of transitions; the others,
+which only scripts of many letters have, are a sorted list of edges that is searched.  So a
+language takes some ten MB, whatever its script and the other languages are.  Texts of any
+length are parsed whole, in runs of ``RUN`` symbols; a phrase ends at the end of a run.
 
 Training: a bounded sample of each language, ``SAMPLE_ROWS`` whole distinct texts by
 least hash of the text, fewer where they pass ``SAMPLE_CHARS`` characters, but always two
 where the language has two.  Every other text is learned, the rest gives the rate of
 unseen text; no text is in both.  A language of a single text gets the mean rate of the
 others.  Only these texts are sent to the tasks, and every worker builds its automata
-once from them.
+once from them.  With more than ``TOTAL_CHARS`` / ``SAMPLE_CHARS`` languages each has an equal
+share of ``TOTAL_CHARS`` instead, so the number of languages does not add to the memory.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0; ties go
 to the language with more labelled rows, then by name; texts without a letter are not
@@ -38,6 +41,9 @@ from tierlake.llm.words import text_slices
 
 SAMPLE_ROWS = 24
 SAMPLE_CHARS = 72_000
+TOTAL_CHARS = 4_000_000        # of all languages' samples together
+LEAST_CHARS = 2_000            # of one language's, however many languages there are
+DENSE = 48                     # symbols of a language with a table of their own
 RUN = 1024
 UNDETERMINED = "und"
 
@@ -52,7 +58,7 @@ class Alphabet:
         letters = sorted({c for t in texts for c in t.lower() if c.isalpha()})
         self.size = len(letters) + 2
         code = {c: k + 1 for k, c in enumerate(letters)}
-        self.table = np.zeros(0x110000, dtype=np.uint8 if self.size < 256 else np.uint16)
+        self.table = np.zeros(0x110000, dtype=np.uint8 if self.size < 256 else np.uint16 if self.size < 1 << 16 else np.uint32)
         self.table[[k for k in range(0x110000) if chr(k).isalpha()]] = self.size - 1
         for c, k in code.items():
             self.table[ord(c)] = k
@@ -66,8 +72,49 @@ class Alphabet:
         return s[keep]
 
 
-def suffix_automaton(symbols: np.ndarray, size: int) -> np.ndarray:
-    """Transitions (state, symbol) -> state; state 0 is dead, state 1 the root."""
+class Automaton:
+    """Transitions of a suffix automaton; state 0 is dead, state 1 the root."""
+
+    def __init__(self, nexts: list[dict[int, int]], symbols: np.ndarray, size: int):
+        count = np.bincount(symbols, minlength=size)
+        frequent = [int(c) for c in np.argsort(-count, kind="stable")[:DENSE] if count[c]]
+        self.width = len(frequent) + 1               # the last column is dead
+        self.column = np.full(size, self.width - 1, dtype=np.int32)
+        self.column[frequent] = np.arange(len(frequent))
+        self.rare = count > 0
+        self.rare[frequent] = False
+        self.any_rare = bool(self.rare.any())
+        self.size = size
+        self.flat = np.zeros(len(nexts) * self.width, dtype=np.int32)
+        keys, targets = [], []
+        column = self.column.tolist()
+        for state, row in enumerate(nexts):
+            for c, t in row.items():
+                if column[c] < self.width - 1:
+                    self.flat[state * self.width + column[c]] = t
+                else:
+                    keys.append(state * size + c)
+                    targets.append(t)
+        order = np.argsort(np.array(keys, dtype=np.int64), kind="stable")
+        self.keys = np.array(keys, dtype=np.int64)[order]
+        self.targets = np.array(targets, dtype=np.int32)[order]
+
+    def step(self, states: np.ndarray, symbols: np.ndarray) -> np.ndarray:
+        out = self.flat[states * self.width + self.column[symbols]]
+        if self.any_rare:
+            at = np.flatnonzero(self.rare[symbols])
+            if len(at):
+                key = states[at].astype(np.int64) * self.size + symbols[at]
+                place = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+                out[at] = np.where(self.keys[place] == key, self.targets[place], 0)
+        return out
+
+    def nbytes(self) -> int:
+        return sum(x.nbytes for x in (self.flat, self.column, self.rare, self.keys, self.targets))
+
+
+def suffix_automaton(symbols: np.ndarray, size: int) -> Automaton:
+    """The automaton of all substrings of ``symbols`` (numbers below ``size``)."""
     nexts: list[dict[int, int]] = [{}, {}]
     link, length = [0, 0], [0, 0]
     last = 1
@@ -94,33 +141,28 @@ def suffix_automaton(symbols: np.ndarray, size: int) -> np.ndarray:
                     p = link[p]
                 link[q] = link[new] = copy
         last = new
-    table = np.zeros((len(nexts), size), dtype=np.int32)
-    for s, row in enumerate(nexts):
-        for c, t in row.items():
-            table[s, c] = t
-    return table
+    return Automaton(nexts, symbols, size)
 
 
-def phrases(table: np.ndarray, runs: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+def phrases(automaton: Automaton, runs: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Phrases of each run: ``runs`` is (step, run), longest run first."""
-    size = table.shape[1]
-    flat = (table * size).ravel()        # states as row starts
+    root = 1
     count = np.zeros(runs.shape[1], dtype=np.int32)
-    state = np.full(runs.shape[1], size, dtype=np.int32)
+    state = np.full(runs.shape[1], root, dtype=np.int32)
     active = np.searchsorted(-lengths, -np.arange(1, runs.shape[0] + 1), "right")
     for step, n in enumerate(active.tolist()):
         c = runs[step, :n]
-        s = flat[state[:n] + c]
+        s = automaton.step(state[:n], c)
         end = np.flatnonzero(s == 0)
         if len(end):
             # the phrase ended before c, unless c itself is unknown at the root
-            count[end] += state[end] != size
-            again = flat[size + c[end].astype(np.int32)]
+            count[end] += state[end] != root
+            again = automaton.step(np.full(len(end), root, dtype=np.int32), c[end])
             count[end[again == 0]] += 1
-            again[again == 0] = size
+            again[again == 0] = root
             s[end] = again
         state[:n] = s
-    return count + (state != size)
+    return count + (state != root)
 
 
 class Model:
@@ -214,6 +256,7 @@ def sample_texts(labelled: DataFrame, key: str, text: str, lang: str, rows: int
         for r in levels:
             total[r["l"]] = total.get(r["l"], 0) + r["all"]
         ordered = sorted(total, key=lambda name: (-total[name], name))
+        chars = min(chars, max(LEAST_CHARS, TOTAL_CHARS // max(1, len(ordered))))
         least: dict[str, int] = {}
         for name in ordered:
             held = held_chars = 0
