@@ -56,3 +56,51 @@ def test_empty_tables(spark):
     assert decontam.digest(decontam.find_matches(docs.limit(0), bench)).count() == 0
     out = decontam.digest(decontam.find_matches(docs, bench.limit(0))).collect()
     assert [(r["n_words"], r["n_hit"], r["contaminated"]) for r in sorted(out)] == [(2, 0, False), (0, 0, False)]
+
+
+def longest(text, items):
+    """Of each item with an occurring window, the longest common run of words and its first places."""
+    w, out = words(text), {}
+    for name, t in items:
+        iw = words(t)
+        need = min(10, len(iw))
+        best = (0,)
+        row = [0] * (len(iw) + 1)
+        for a in range(len(w)):
+            row = [0] + [row[p] + 1 if w[a] == iw[p] else 0 for p in range(len(iw))]
+            for p in range(len(iw)):
+                n = row[p + 1]
+                best = max(best, (n, -(a - n + 1), -(p - n + 1))) if n else best
+        if need and best[0] >= need:
+            out[name] = (-best[1], -best[2], best[0])
+    return out
+
+
+def test_longest_matches_and_their_places(spark):
+    r = random.Random(9)
+    items = [(i, " ".join(r.choice("ab") for _ in range(r.choice([2, 10, 12, 25, 40])))) for i in range(8)]
+    items += [(20, " ".join("abcdefghijklmnopqrstuvwxyz")), (21, "a " * 60), (22, "q r"), (23, None)]
+    texts = [" ".join(r.choice("abc") for _ in range(r.randint(0, 80))) for _ in range(60)]
+    texts += ["zz " + " ".join("abcdefghijklmnopqrstuvwxyz") + " yy c d e f g h i j k l m n", "a " * 500, " ".join("cdefghijklmnop") + " 1", None, "q r q r"]
+    docs = documents(spark, texts).selectExpr("*", "1 AS __matches")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    for block in (decontam.BLOCK_WORDS, 60):
+        whole, decontam.BLOCK_WORDS = decontam.BLOCK_WORDS, block
+        try:
+            rows = decontam.find_matches(docs, bench).collect()
+        finally:
+            decontam.BLOCK_WORDS = whole
+        for x in rows:
+            got = {m["item"]: (m["start"], m["item_start"], m["n"]) for m in x["__matches"]}
+            assert got == longest(texts[x["doc_id"]], items), texts[x["doc_id"]]
+            assert sorted(got) == sorted(x["__items"])
+
+
+def test_repeating_texts_do_not_pair_all_their_places():
+    tests = decontam.TestSuffixes([b"a " * 400], [1])
+    pairs = []
+    plain = decontam.TestSuffixes._longest
+    tests._longest = lambda *a: pairs.extend(a[4]) or plain(tests, *a)
+    hashes, offsets = decontam.word_hashes([b"a " * 3000])
+    _, found, best = tests.search(hashes, offsets)
+    assert best.tolist() == [[0, 0, 400]] and sum(map(len, pairs)) < 2 * 3400

@@ -4,8 +4,14 @@ Every block of documents is a shard.  A shard's words are numbered by the
 benchmark's vocabulary (0: not in it), and a sparse suffix array is built: the
 suffixes that can match at all, sorted by their first ``window`` words.  Every
 suffix of every benchmark item is then binary-searched in the shard; the range
-found holds all places where its opening window occurs verbatim, and chained
-places give the longest matches.  A document word inside such a match is hit.
+found holds all places where its opening window occurs verbatim.  A document word
+inside such a window is hit.
+
+Places from which a match cannot be extended to the left are extended to the right as
+far as words agree: these are the maximal verbatim matches, and the longest of each
+document and item is reported with its place in both (the first one of equals).  Places
+that extend to the left belong to a match that starts earlier, so a text that repeats
+itself does not pair each of its places with each place of an item that does so too.
 
 The benchmark is a stated test set.  It is read in blocks of at most
 ``BLOCK_WORDS`` words, so what the driver and a task hold of it is bounded; each
@@ -34,7 +40,7 @@ from tierlake.llm.words import text_slices, word_hashes
 WINDOW = 10
 BLOCK_WORDS = 2_000_000
 
-N_WORDS, SPANS, ITEMS = "__n_words", "__spans", "__items"
+N_WORDS, SPANS, ITEMS, MATCHES = "__n_words", "__spans", "__items", "__matches"
 
 
 class TestSuffixes:
@@ -48,7 +54,7 @@ class TestSuffixes:
         self.coarse[(self.vocab >> np.uint64(48)).astype(np.int64)] = True
         words = np.searchsorted(self.vocab, hashes) + 1
         n = np.diff(offsets)
-        self.by_length: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+        self.by_length: dict[int, tuple[np.ndarray, ...]] = {}
         for length in sorted({min(int(k), window) for k in n if k}):
             owners = np.flatnonzero(n >= window if length == window else n == length)
             starts = np.concatenate([np.arange(offsets[i], offsets[i + 1] - length + 1)
@@ -57,7 +63,8 @@ class TestSuffixes:
             keys, of = np.unique(self.keys(words, starts, length), return_inverse=True)
             order = np.argsort(of, kind="stable")
             first = np.searchsorted(of[order], np.arange(len(keys) + 1))
-            self.by_length[length] = keys, first, item[order]
+            self.by_length[length] = keys, first, item[order], starts[order]
+        self.words, self.begin, self.end = words, offsets[:-1], offsets[1:]
 
     def numbered(self, hashes: np.ndarray) -> np.ndarray:
         out = np.zeros(len(hashes), dtype=np.int64)
@@ -76,7 +83,8 @@ class TestSuffixes:
         return wide.view(f"S{4 * length}").ravel() if len(starts) else np.zeros(0, f"S{4 * length}")
 
     def search(self, hashes: np.ndarray, offsets: np.ndarray):
-        """Per shard: (hit mask of its words, sorted distinct (text, item) pairs)."""
+        """Per shard: (hit mask of its words, sorted distinct (text, item) pairs, and for each pair the
+        longest match as (place in the shard, place in the item, words))."""
         words = self.numbered(hashes)
         total = len(words)
         stop = np.full(total + 1, total, dtype=np.int64)
@@ -85,8 +93,8 @@ class TestSuffixes:
         of_text = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
         run = np.minimum(stop, offsets[1:][of_text]) - np.arange(total)
         cover = np.zeros(total + 1, dtype=np.int64)
-        pairs = []
-        for length, (tests, first, items) in self.by_length.items():
+        pairs, longest = [], []
+        for length, (tests, first, items, places) in self.by_length.items():
             starts = np.flatnonzero(run >= length)
             if not len(starts):
                 continue
@@ -101,8 +109,43 @@ class TestSuffixes:
                 texts = np.unique(of_text[at])
                 mine = np.unique(items[first[t]:first[t + 1]])
                 pairs.append(np.stack([np.repeat(texts, len(mine)), np.tile(mine, len(texts))], 1))
+                here = slice(first[t], first[t + 1])
+                longest.append(self._maximal(words, of_text, offsets, at, items[here], places[here]))
         found = np.unique(np.concatenate(pairs), axis=0) if pairs else np.zeros((0, 2), np.int64)
-        return np.cumsum(cover[:-1]) > 0, found
+        return np.cumsum(cover[:-1]) > 0, found, self._longest(found, words, of_text, offsets, longest)
+
+    def _maximal(self, words, of_text, offsets, at, items, places) -> np.ndarray:
+        """(shard place, item number, item place) of the pairs that cannot be extended to the left."""
+        def before(of, i, begin):
+            """The word before each place; -1 where none is."""
+            return np.where(i > begin, of[np.maximum(i - 1, 0)], -1)
+        d, b = before(words, at, offsets[of_text[at]]), before(self.words, places, self.begin[items])
+        # a document word that no item has extends nothing; neither does a text's beginning
+        d = np.where(d <= 0, -2, d)
+        out = []
+        kinds, of = np.unique(b, return_inverse=True)
+        for i, word in enumerate(kinds.tolist()):
+            mine, theirs = np.flatnonzero(of == i), np.flatnonzero(d != word)
+            if len(theirs):
+                out.append(np.stack([np.repeat(at[theirs], len(mine)), np.tile(items[mine], len(theirs)), np.tile(places[mine], len(theirs))], 1))
+        return np.concatenate(out) if out else np.zeros((0, 3), np.int64)
+
+    def _longest(self, found, words, of_text, offsets, pairs: list) -> np.ndarray:
+        starts = np.concatenate(pairs) if pairs else np.zeros((0, 3), np.int64)
+        a, item, p = starts.T
+        most = np.minimum(offsets[1:][of_text[a]] - a, self.end[item] - p) if len(a) else np.zeros(0, np.int64)
+        n, going = np.zeros(len(a), dtype=np.int64), np.arange(len(a))
+        while len(going):
+            going = going[n[going] < most[going]]
+            going = going[words[a[going] + n[going]] == self.words[p[going] + n[going]]]
+            n[going] += 1
+        text = of_text[a] if len(a) else a
+        order = np.lexsort((p, a, -n, item, text))
+        first = np.ones(len(order), dtype=bool)
+        first[1:] = (text[order][1:] != text[order][:-1]) | (item[order][1:] != item[order][:-1])
+        best = order[first]
+        # as many as pairs found, in their order (text, item)
+        return np.stack([a[best] - offsets[text[best]], p[best] - self.begin[item[best]], n[best]], 1) if len(best) else np.zeros((0, 3), np.int64)
 
 
 def _mapper(tests: TestSuffixes, column: str, out: pa.Schema):
@@ -110,7 +153,7 @@ def _mapper(tests: TestSuffixes, column: str, out: pa.Schema):
         for batch in batches:
             for rows, texts in text_slices(batch, column):
                 hashes, offsets = word_hashes(texts)
-                hit, found = tests.search(hashes, offsets)
+                hit, found, longest = tests.search(hashes, offsets)
                 edge = np.diff(np.concatenate([[0], hit.astype(np.int8), [0]]))
                 # a span ends at its text's last word
                 inner = offsets[1:-1][(offsets[1:-1] > 0) & (offsets[1:-1] < len(hit))]
@@ -122,10 +165,12 @@ def _mapper(tests: TestSuffixes, column: str, out: pa.Schema):
                 for i, a, b in zip(text.tolist(), begin.tolist(), end.tolist()):
                     spans[i].append({"start": a - int(offsets[i]), "n": b - a})
                 items: list[list] = [[] for _ in texts]
-                for i, k in found.tolist():
+                matches: list[list] = [[] for _ in texts]
+                for (i, k), (a, p, n) in zip(found.tolist(), longest.tolist()):
                     items[i].append(tests.ids[k])
+                    matches[i].append({"item": tests.ids[k], "start": a, "item_start": p, "n": n})
                 new = {N_WORDS: pa.array(np.diff(offsets), pa.int64())}
-                for name, mine in ((SPANS, spans), (ITEMS, items)):
+                for name, mine in ((SPANS, spans), (ITEMS, items), (MATCHES, matches)):
                     kind = out.field(name).type
                     old = rows.column(name).to_pylist() if name in rows.schema.names else None
                     new[name] = pa.array([(o or []) + m for o, m in zip(old, mine)] if old else mine, kind)
@@ -139,16 +184,20 @@ def find_matches(documents: DataFrame, benchmark: DataFrame, text: str = "text",
                  item_id: str = "item_id", item_text: str = "text",
                  window: int = WINDOW) -> DataFrame:
     """``documents`` (its text column dropped) with ``__n_words``, ``__spans`` (word
-    spans hit, merged within a block: struct<start,n>) and ``__items`` (ids of items
-    of which a window occurs)."""
+    spans hit, merged within a block: struct<start,n>), ``__items`` (ids of items
+    of which a window occurs) and ``__matches`` (the longest verbatim match with each of
+    these items: struct<item,start,item_start,n>, in words)."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
     spans = T.ArrayType(T.StructType([T.StructField("start", T.LongType()),
                                       T.StructField("n", T.LongType())]))
-    kept = [f for f in documents.schema if f.name not in (text, N_WORDS, SPANS, ITEMS)]
+    kept = [f for f in documents.schema if f.name not in (text, N_WORDS, SPANS, ITEMS, MATCHES)]
     made = [T.StructField(N_WORDS, T.LongType()), T.StructField(SPANS, spans),
-            T.StructField(ITEMS, T.ArrayType(benchmark.schema[item_id].dataType))]
-    out = documents.drop(N_WORDS, SPANS, ITEMS)
+            T.StructField(ITEMS, T.ArrayType(benchmark.schema[item_id].dataType)),
+            T.StructField(MATCHES, T.ArrayType(T.StructType([
+                T.StructField("item", benchmark.schema[item_id].dataType), T.StructField("start", T.LongType()),
+                T.StructField("item_start", T.LongType()), T.StructField("n", T.LongType())])))]
+    out = documents.drop(N_WORDS, SPANS, ITEMS, MATCHES)
     blocks = _blocks(benchmark, item_id, item_text)
     block = next(blocks)
     while block:
