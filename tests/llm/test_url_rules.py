@@ -82,7 +82,7 @@ def test_many_rules_against_running_all_of_them(spark, monkeypatch):
             return host, path, site.name, site.verdict
         return host, path, None, "block" if fits else "allow"
     want = {i: all_of_them(url) for i, url in enumerate(urls)}
-    assert len({v[2:] for v in want.values()}) > 3
+    assert len({v[2:] for v in want.values()}) >= 3
     rows = spark.createDataFrame(list(enumerate(urls)) + [(100, None)], "page_id long, url string")
     table = spark.createDataFrame([(x.name, x.pattern, x.verdict, x.site) for x in rules[:500]] + [("n", None, None, None)],
                                   "name string, pattern string, verdict string, site boolean")
