@@ -40,7 +40,7 @@ from tierlake.llm.vectors import exact, floored, largest, matrix, takes_part
 INDEX_BLOCK = 4096             # vectors in an index block, about
 QUERY_BLOCK = 256              # queries scored together
 FEW = 64                       # possible members per query that are simply rescored
-DEPTHS = (0.6, 0.8, 1.0)       # shares of the levels that the rounds read
+DEPTHS = (0.8, 1.0)            # shares of the levels that the rounds read
 MOST_TASKS = 20_000            # tasks that build the index
 
 
