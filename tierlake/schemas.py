@@ -3,6 +3,8 @@
 from pyspark.sql.types import (BinaryType, BooleanType, DoubleType, IntegerType, LongType,
                                StringType, StructField, StructType, TimestampType)
 
+# Names, types and order of the columns below are those of the listing model.
+
 # Raw event as it arrives on the stream or in a CSV drop.  The event time is
 # still a string (ISO-8601 with an offset).
 BRONZE_EVENT = StructType([
