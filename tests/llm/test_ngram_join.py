@@ -69,6 +69,40 @@ def test_large_group_in_blocks(spark, monkeypatch):
     assert result(nj.near_duplicates(spark, docs)) == brute(dict(enumerate(texts)))
 
 
+def test_large_group_of_many_sizes_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(nj, "BUCKET_CLASSES", 20)
+    monkeypatch.setattr(nj, "BLOCK_CLASSES", 10)
+    r = random.Random(8)
+    base = [f"w{k}" for k in range(400)]
+    # heads of one text: a chain of near-duplicates over many sizes, some changed
+    texts = [" ".join(base[:n] + [f"x{r.randrange(10**6)}"]) for n in [r.randint(40, 400) for _ in range(250)]]
+    docs = documents(spark, texts)
+    assert result(nj.near_duplicates(spark, docs)) == brute(dict(enumerate(texts)))
+
+
+def test_only_blocks_of_like_sizes_meet(spark):
+    r = random.Random(6)
+    sizes = [r.choice([1, 2, 3, 4, 5, 16, 20, 25, 99, 100, 124, 125, 126, 800, 1000, r.randint(1, 2000)]) for _ in range(500)]
+    df = spark.createDataFrame([(i, n) for i, n in enumerate(sizes)], "class long, n long")
+    loads = df.groupBy(nj._stratum().alias("stratum")).count().selectExpr("1 AS g", "stratum", "CAST(ceil(count / 10) AS INT) AS blocks")
+    strata = nj._dealt(loads, "g").drop("g")
+    rows = nj._in_units(df.join(strata)).collect()
+    units, block = defaultdict(set), {}
+    for x in rows:
+        units[x["x"], x["y"]].add(x["class"])
+        block[x["class"]] = x["block"]
+    assert all(sum(b == v for b in block.values()) < 40 for v in set(block.values()))
+    for a in range(500):
+        for b in range(a + 1, 500):
+            if min(sizes[a], sizes[b]) >= 0.8 * max(sizes[a], sizes[b]) - 1e-9:
+                x, y = sorted((block[a], block[b]))
+                assert {a, b} <= units[x, y]
+    # each class meets a few of the blocks only
+    assert len(rows) < 500 * len(set(block.values())) / 3
+    one = nj._in_units(df.selectExpr("*", "CAST(NULL AS MAP<INT, INT>) AS strata")).collect()
+    assert len(one) == 500 and {(x["block"], x["x"], x["y"]) for x in one} == {(0, 0, 0)}
+
+
 def test_edges(spark):
     texts = [None, "", "!!", "one two", "One  TWO.", "a b c d e", "a b c d e f", None, "z" * 2_000_000]
     got = result(nj.near_duplicates(spark, documents(spark, texts)))

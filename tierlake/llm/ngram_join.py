@@ -15,7 +15,10 @@
    forest of them are returned, never the pairs.
 
 Buckets and candidate groups are dealt into blocks of bounded size, and each pair of
-blocks is one unit of work, so a large one is spread over many tasks.
+blocks is one unit of work, so a large one is spread over many tasks.  Where there are
+several blocks they are made of sets of like size: sizes fall into strata, each
+``STRATUM`` times the one before, and since similar sets lie in one stratum or in
+neighbouring ones, no other blocks meet.
 
 Defined cases: a null or wordless text is linked to nothing; a text of one to four
 words has one shingle, all its words; repeated rows are copies of each other.
@@ -27,11 +30,11 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from functools import lru_cache
-from math import comb
+from math import comb, log
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierlake.llm.components import components, written
@@ -46,6 +49,7 @@ TOLERANCE = 1e-7
 BUCKET_CLASSES = 2048          # classes in a block of a bucket
 BLOCK_CLASSES = 256            # classes in a block of a candidate group
 BLOCK_SHINGLES = 2_000_000     # about as many shingles at most
+STRATUM = 1.01 / THRESHOLD     # above 1 / THRESHOLD, so that rounding parts no similar sets
 FILTER_BITS = 1 << 23          # bits of the filter of candidate classes: 1 MiB at any input size
 
 _rng = np.random.default_rng(20240601)
@@ -252,12 +256,33 @@ def _possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
 
+def _stratum(n: str = "n") -> Column:
+    """The stratum of a set's size; sizes whose ratio reaches the threshold differ by one at most."""
+    return F.floor(F.log(F.col(n)) / F.lit(log(STRATUM))).cast("int")
+
+
+def _dealt(loads: DataFrame, key: str) -> DataFrame:
+    """(key, strata): the number of blocks by stratum, of ``loads`` (key, stratum, blocks)."""
+    return loads.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("stratum", "blocks"))).alias("strata"))
+
+
 def _in_units(df: DataFrame) -> DataFrame:
-    """Deals classes into ``blocks`` blocks; a row for each pair of blocks with the class's own."""
-    pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(
-        F.least("block", o).alias("x"), F.greatest("block", o).alias("y")))
-    return (df.withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
-            .withColumn("u", F.explode(pairs)).select("*", "u.x", "u.y").drop("u", "blocks"))
+    """Deals classes into the blocks that ``strata`` gives for their size (null: into one
+    block); a row for each pair of blocks with the class's own that may hold similar sets."""
+    strata = F.coalesce("strata", F.create_map(F.lit(0), F.lit(1)))
+    df = df.withColumn("s", F.when(F.col("strata").isNull(), F.lit(0)).otherwise(_stratum())).withColumn("strata", strata)
+
+    def blocks(stratum: Column) -> Column:
+        n = F.col("strata")[stratum]
+        return F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), lambda k: F.struct(
+            stratum.alias("s"), k.alias("k")))).otherwise(F.array().cast("array<struct<s:int,k:int>>"))
+    own = F.struct("s", F.pmod(F.xxhash64("class"), F.col("strata")[F.col("s")]).cast("int").alias("k"))
+    met = F.concat(blocks(F.col("s") - 1), blocks(F.col("s")), blocks(F.col("s") + 1))
+    pairs = F.transform(met, lambda o: F.struct(F.least("block", o).alias("x"), F.greatest("block", o).alias("y")))
+    name = {c: (F.col(f"{c}.s").cast("long") * (1 << 32) + F.col(f"{c}.k")).alias(c) for c in ("block", "x", "y")}
+    kept = [c for c in df.columns if c not in ("s", "strata")]
+    return (df.withColumn("block", own).withColumn("u", F.explode(pairs)).select(*kept, "block", "u.x", "u.y")
+            .select(*kept, *name.values()))
 
 
 def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -332,31 +357,36 @@ def near_duplicates(spark: SparkSession, documents: DataFrame, doc_id: str = "do
         F.min("row").alias("rep"), F.count(F.lit(1)).alias("size"), F.max("sig").alias("sig"),
         F.max("brief").alias("brief"), F.max("n").alias("n")).withColumn("class", F.monotonically_increasing_id()), "classes")
 
-    bands = classes.select("class", F.explode(F.array(*[
+    bands = classes.select("class", "n", F.explode(F.array(*[
         F.xxhash64(F.lit(b), F.substring("sig", 4 * ROWS * b + 1, 4 * ROWS)) for b in range(BANDS)])).alias("band"))
     buckets = bands.groupBy("band").agg(
         F.count(F.lit(1)).alias("m"), F.min("class").alias("head"),
         F.bit_xor(F.xxhash64("class")).alias("members")).where("m > 1")
     # bands that bring the same classes together make one bucket
     buckets = buckets.groupBy("m", "head", "members").agg(F.min("band").alias("band"))
-    buckets = buckets.select("band", F.ceil(F.col("m") / BUCKET_CLASSES).cast("int").alias("blocks"))
-    meeting = bands.join(buckets, "band").join(classes.select("class", "n", "brief"), "class")
+    buckets = written(spark, buckets.select("band", "m"), "buckets")
+    large = bands.join(buckets.where(F.col("m") > BUCKET_CLASSES), "band").groupBy("band", _stratum().alias("stratum"))
+    large = _dealt(large.agg(F.ceil(F.count(F.lit(1)) / BUCKET_CLASSES).cast("int").alias("blocks")), "band")
+    meeting = (bands.drop("n").join(buckets.select("band").join(large, "band", "left"), "band")
+               .join(classes.select("class", "n", "brief"), "class"))
     possible = written(spark, _in_units(meeting).repartition("band", "x", "y").sortWithinPartitions("band", "x", "y")
                        .mapInArrow(_possible, "a long, b long"), "possible")
     groups = components(spark, possible)
 
     candidates = written(spark, classes.drop("brief").join(groups.withColumnRenamed("id", "class"), "class"), "candidates")
-    loads = candidates.groupBy("component").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("s"))
-    blocks = F.greatest(F.ceil(F.col("m") / BLOCK_CLASSES), F.ceil(F.col("s") / BLOCK_SHINGLES)).cast("int")
-    loads = loads.select("component", blocks.alias("blocks"))
+    of_load = F.greatest(F.ceil(F.col("m") / BLOCK_CLASSES), F.ceil(F.col("s") / BLOCK_SHINGLES)).cast("int")
+    loads = candidates.groupBy("component", _stratum().alias("stratum")).agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("s"))
+    whole = loads.groupBy("component").agg(F.sum("m").alias("m"), F.sum("s").alias("s")).where(of_load > 1)
+    loads = _dealt(loads.select("component", "stratum", of_load.alias("blocks")).join(
+        whole.select("component"), "component", "left_semi"), "component")
     wanted = _candidate_filter(candidates)
     sets = named.mapInArrow(_shingles_of(wanted), f"row {rows.schema['doc_id'].dataType.simpleString()}, "
                             "key binary, shingles binary")
     kept = candidates.select(F.col("key").alias("k"), "rep")
     sets = (sets.join(kept, (F.col("key") == F.col("k")) & F.col("row").eqNullSafe(F.col("rep")))
             .dropDuplicates(["key"]).select("key", "shingles"))
-    dealt = candidates.join(loads, "component").join(sets, "key")
-    units = _in_units(dealt.select("component", "blocks", "class", "size", "sig", "shingles"))
+    dealt = candidates.join(loads, "component", "left").join(sets, "key")
+    units = _in_units(dealt.select("component", "strata", "class", "n", "size", "sig", "shingles"))
     links = written(spark, units.repartition("component", "x", "y").sortWithinPartitions("component", "x", "y")
                     .mapInArrow(_units, "class long, links long, root long"), "links")
 
