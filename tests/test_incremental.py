@@ -424,7 +424,8 @@ def test_only_groups_that_lost_an_extreme_are_computed_anew(spark):
 
 # ---------------------------------------------------------------- rank and as-of
 
-def test_rank_over_many_ranges(spark):
+def test_rank_over_many_ranges(spark, monkeypatch):
+    from tierlake.operators import windows
     from tierlake.operators.windows import rank_within
 
     r = random.Random(1)
@@ -434,6 +435,9 @@ def test_rank_over_many_ranges(spark):
     want = spark.sql("SELECT g, x, i, CAST(RANK() OVER (PARTITION BY g ORDER BY x DESC) AS BIGINT) AS rank, "
                      "SUM(x) OVER (PARTITION BY g) AS t FROM t_rank")
     assert canon(rank_within(df, "g", "x", total_col="t", ranges=7)) == canon(want)
+    # several chunks of ranges
+    monkeypatch.setattr(windows, "CHUNK_RANGES", 3)
+    assert canon(rank_within(df, "g", "x", total_col="t", ranges=20)) == canon(want)
 
 
 def test_valid_at_against_the_range_join_under_skew(spark):

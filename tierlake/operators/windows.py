@@ -11,13 +11,21 @@ or per calendar day, bounded by the calendar, not by the data volume.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tierlake.operators.aggregates import daily_city_prices_from, market_facts
 from tierlake.session import scratch_path
 
 
+CHUNK_RANGES = 512             # ranges whose counts are summed together
+
+
+def _sum_before(counts: str, at: Column) -> Column:
+    """The sum of ``n`` over the entries (at, n) of an array that lie before ``at``."""
+    return F.aggregate(counts, F.lit(0).cast("long"), lambda a, o: a + F.when(o["at"] < at, o["n"]).otherwise(0))
+
+
 def rank_within(df: DataFrame, group: str, value: str, rank_col: str = "rank",
                 total_col: str | None = None, ranges: int | None = None) -> DataFrame:
     """Add SQL ``RANK()`` of ``value`` (descending) within ``group``.
@@ -27,8 +35,9 @@ def rank_within(df: DataFrame, group: str, value: str, rank_col: str = "rank",
     The histogram of (group, value) is sorted by range partitioning, so a group with many values
     spreads over many ranges; it is written with its range numbers (a recomputed range could
     have other bounds).  A value's rank is one more than the rows in the group's ranges before
-    its own (prefix sums over one row per group and range) and before it in its range (a window
-    over a group's part of one range).  The ranks are joined back to the rows.
+    its own (prefix sums over one row per group and range, in two levels, so that their cost does
+    not grow with the square of the ranges) and before it in its range (a window over a group's
+    part of one range).  The ranks are joined back to the rows.
     """
     spark = df.sparkSession
     path = scratch_path(spark, "rank")
@@ -40,12 +49,15 @@ def rank_within(df: DataFrame, group: str, value: str, rank_col: str = "rank",
     hist = spark.read.parquet(path)
 
     per_range = hist.groupBy("_g", "_range").agg(F.sum("_n").alias("n"), F.sum(F.col("_n") * F.col("_x")).alias("t"))
-    # prefix sums in an array of one entry per range that the group meets
-    lists = per_range.groupBy("_g").agg(F.sort_array(F.collect_list(F.struct("_range", "n"))).alias("r"), F.sum("t").alias("_total"))
-    before = F.transform("r", lambda e: F.struct(e["_range"].alias("_range"), F.aggregate(
-        F.filter("r", lambda o: o["_range"] < e["_range"]), F.lit(0).cast("long"), lambda a, o: a + o["n"]).alias("before")))
-    offsets = lists.select(F.col("_g").alias("_og"), "_total", F.explode(before).alias("b")).select(
-        "_og", "_total", F.col("b._range").alias("_or"), F.col("b.before").alias("_before"))
+    # prefix sums in two levels: over chunks of ranges, then over the ranges of a chunk
+    chunks = per_range.groupBy("_g", F.expr(f"_range div {CHUNK_RANGES}").alias("at")).agg(
+        F.sum("n").alias("n"), F.sum("t").alias("t"), F.collect_list(F.struct(F.col("_range").alias("at"), "n")).alias("r"))
+    lists = chunks.groupBy("_g").agg(F.collect_list(F.struct("at", "n", "r")).alias("c"), F.sum("t").alias("_total"))
+    chunks = lists.select("_g", "_total", F.explode(F.transform("c", lambda e: F.struct(
+        e["r"].alias("r"), _sum_before("c", e["at"]).alias("n")))).alias("c"))
+    ranges_ = chunks.select("_g", "_total", F.explode(F.transform("c.r", lambda e: F.struct(
+        e["at"].alias("at"), (F.col("c.n") + _sum_before("c.r", e["at"])).alias("n")))).alias("b"))
+    offsets = ranges_.select(F.col("_g").alias("_og"), "_total", F.col("b.at").alias("_or"), F.col("b.n").alias("_before"))
     above = Window.partitionBy("_range", "_g").orderBy(F.desc("_x")).rowsBetween(Window.unboundedPreceding, -1)
     ranked = hist.withColumn("_above", F.coalesce(F.sum("_n").over(above), F.lit(0)))
     ranked = ranked.join(offsets, (F.col("_range") == F.col("_or")) & F.col("_g").eqNullSafe(F.col("_og")))
