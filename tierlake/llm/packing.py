@@ -1,11 +1,14 @@
 """Token packing by Karmarkar-Karp multiway differencing.
 
-A document's ids (byte-level BPE, then the end id 0) are cut into pieces: full
-windows, and a rest in pieces of at most ``REST`` ids.  A full window is a sequence
-of its own.  The others are packed per bundle of at most ``BUNDLE`` pieces: each
-piece starts as a partial partition into k windows, and the two partitions of largest
+A document's ids (byte-level BPE, then the end id 0) are cut into full windows, each a
+sequence of its own, and a rest.  The rests are packed whole, per bundle of ``BUNDLE``:
+each piece starts as a partial partition into k windows, and the two partitions of largest
 imbalance are merged with their loads opposed, until one is left.  Its windows are
-nearly equal; while the largest exceeds the capacity, k rises by one.
+nearly equal; while the largest exceeds the capacity, k rises by one, as long as not more
+than a share ``SPARE`` of the bundle is padding.  Then only a window that still exceeds the
+capacity is cut, where it is full; what was cut off, in parts as long as the other windows lack
+on average, is differenced again with those that lack more than ``NEAR`` ids.  Each such round
+closes at least one full window.
 
 A bundle lies within one task, so nothing is shuffled, and a lost task is simply
 recomputed: a sequence id is the partition's number and a count in it.
@@ -35,8 +38,9 @@ from pyspark.sql import DataFrame
 from tierlake.llm.words import text_slices
 
 CAPACITY = 1024
-REST = 128
-BUNDLE = 2048
+BUNDLE = 512
+SPARE = 0.005
+NEAR = 4
 END_ID = 0
 
 _NOT_LATIN = re.compile("[^\\x00-\\x1b\\x20-\\x84\\x86-\\u024f]")
@@ -76,18 +80,6 @@ class Encoder:
         return np.array(ids, dtype="<u4").tobytes()
 
 
-def cuts(n: int, capacity: int = CAPACITY, rest: int = REST) -> list[tuple[int, int]]:
-    """(start, length) of a document's pieces."""
-    out = [(at, capacity) for at in range(0, n - capacity + 1, capacity)]
-    at = len(out) * capacity
-    parts = -(-(n - at) // rest)
-    for k in range(parts):
-        size = (n - at) // (parts - k)
-        out.append((at, size))
-        at += size
-    return out
-
-
 def differencing(sizes: list[int], k: int) -> list[list[int]]:
     """Karmarkar-Karp multiway differencing: item numbers of k windows of nearly equal load."""
     if k == 1:
@@ -122,19 +114,46 @@ def differencing(sizes: list[int], k: int) -> list[list[int]]:
     return [items(t) for t in heap[0][3]]
 
 
-def windows(sizes: list[int], capacity: int = CAPACITY) -> list[list[int]]:
+def windows(sizes: list[int], capacity: int = CAPACITY, most: int | None = None) -> list[list[int]]:
+    """Item numbers of windows that hold whole items.  Their count rises while one exceeds the
+    capacity; with ``most`` given, up to that, and some may then exceed it."""
     k = max(1, -(-sum(sizes) // capacity))
     while True:
         out = differencing(sizes, k)
-        if all(sum(sizes[i] for i in w) <= capacity for w in out):
+        if most is not None and k >= most or all(sum(sizes[i] for i in w) <= capacity for w in out):
             return [w for w in out if w]
         k += 1
 
 
-def well_filled(pieces: int, total: int) -> bool:
-    """Is this a good place to close a bundle?  Its windows would lack one to three ids each."""
-    k = -(-total // CAPACITY)
-    return pieces == BUNDLE or pieces > BUNDLE * 7 // 8 and k <= k * CAPACITY - total <= 3 * k
+def filled(sizes: list[int], capacity: int = CAPACITY) -> list[list[tuple[int, int, int]]]:
+    """Windows of (item, start, length): items are cut only where a window is full."""
+    todo = [(i, 0, s) for i, s in enumerate(sizes) if s]
+    out = []
+    while todo:
+        lengths = [p[2] for p in todo]
+        most = int(sum(lengths) * (1 + SPARE) / capacity)
+        parts = [sorted((todo[i] for i in w), key=lambda p: (-p[2], p)) for w in windows(lengths, capacity, most)]
+        loads = [sum(p[2] for p in w) for w in parts]
+        if max(loads) <= capacity:
+            return out + parts
+        todo = []
+        gaps = [capacity - load for load in loads if load < capacity - NEAR]
+        gap = -(-sum(gaps) // len(gaps)) if gaps else capacity
+        for window, load in zip(parts, loads):
+            if load < capacity - NEAR:
+                todo += window
+                continue
+            full, room = [], capacity
+            for item, start, length in window:
+                here = min(room, length)
+                if here:
+                    full.append((item, start, here))
+                n = -(-(length - here) // gap)
+                edges = [start + here + (length - here) * j // max(n, 1) for j in range(n + 1)]
+                todo += [(item, a, b - a) for a, b in zip(edges, edges[1:])]
+                room -= here
+            out.append(full)
+    return out
 
 
 def pack(documents: DataFrame, tokenizer: str, ranks: str, text: str = "text") -> DataFrame:
@@ -152,20 +171,22 @@ def pack(documents: DataFrame, tokenizer: str, ranks: str, text: str = "text") -
         arrow = to_arrow_schema(schema)
         encoder = Encoder.of(tokenizer, ranks)
         sequence = TaskContext.get().partitionId() << 33
-        open_pieces: list[tuple] = []        # (kept values, start, length, crc, doc tokens)
-        total = 0
+        rests: list[tuple] = []              # (kept values, start, doc tokens, ids)
         rows: list[tuple] = []
 
+        def place(window: list[tuple]) -> None:
+            nonlocal sequence
+            at = 0
+            for rest, skip, length in window:
+                other, start, n, ids = rest
+                rows.append((other, start + skip, length, zlib.crc32(ids[4 * skip:4 * (skip + length)]), n, sequence, at))
+                at += length
+            sequence += 1
+
         def settle() -> None:
-            nonlocal sequence, total
-            total = 0
-            for window in windows([p[2] for p in open_pieces]):
-                at = 0
-                for i in window:
-                    rows.append((*open_pieces[i], sequence, at))
-                    at += open_pieces[i][2]
-                sequence += 1
-            open_pieces.clear()
+            for window in filled([len(r[3]) // 4 for r in rests]):
+                place([(rests[i], skip, length) for i, skip, length in window])
+            rests.clear()
 
         def drain() -> pa.RecordBatch:
             values = [[r[0][k] for r in rows] for k in range(len(names))]
@@ -180,20 +201,16 @@ def pack(documents: DataFrame, tokenizer: str, ranks: str, text: str = "text") -
                 for other, t in zip(others, texts):
                     ids = (encoder.ids(t.decode()) if t else b"") + END_ID.to_bytes(4, "little")
                     n = len(ids) // 4
-                    for start, length in cuts(n):
-                        crc = zlib.crc32(ids[4 * start:4 * (start + length)])
-                        if length == CAPACITY:
-                            rows.append((other, start, length, crc, n, sequence, 0))
-                            sequence += 1
-                        else:
-                            open_pieces.append((other, start, length, crc, n))
-                            total += length
-                            if well_filled(len(open_pieces), total):
-                                settle()
+                    whole = n - n % CAPACITY
+                    for start in range(0, whole, CAPACITY):
+                        place([((other, 0, n, ids), start, CAPACITY)])
+                    if whole < n:
+                        rests.append((other, whole, n, ids[4 * whole:]))
+                        if len(rests) == BUNDLE:
+                            settle()
                 if len(rows) > 20_000:
                     yield drain()
-        if open_pieces:
-            settle()
+        settle()
         if rows:
             yield drain()
 
