@@ -32,12 +32,15 @@ def test_random_texts(spark):
     items += [(6, "A! a, C"), (20, None), (21, "..."), (22, "Ünï ßpecial"), (23, "q r s t u v w x y z aa bb")]
     texts = [" ".join(r.choice("abcd") for _ in range(r.randint(0, 60))) for _ in range(80)]
     texts += [None, "", "ünï", "Ünï-ßPECIAL", "Q r s T u v w x y z", "q r s t u v w x y", "x " * 300_000 + "q r s t u v w x y z aa bb cc"]
-    docs = documents(spark, texts)
+    docs = documents(spark, texts).selectExpr("*", "doc_id + 1 AS __row")
     bench = spark.createDataFrame([(i, t, 0) for i, t in items], "item_id long, text string, doc_id int")
     want = {i: brute(t, items) for i, t in enumerate(texts)}
 
     def got():
-        rows = decontam.digest(decontam.find_matches(docs, bench)).collect()
+        found = decontam.find_matches(docs, bench)
+        assert set(found.columns) == {*docs.columns, *decontam.MADE} - {"text"}
+        assert found.where("__row = doc_id + 1").count() == len(texts)
+        rows = decontam.digest(found).collect()
         return {x["doc_id"]: tuple(x[c] for c in ("n_words", "n_hit", "n_items", "items_sha256", "contaminated")) for x in rows}
     assert got() == want
     whole, decontam.BLOCK_WORDS = decontam.BLOCK_WORDS, 40     # several blocks of the test set
@@ -104,3 +107,28 @@ def test_repeating_texts_do_not_pair_all_their_places():
     hashes, offsets = decontam.word_hashes([b"a " * 3000])
     _, found, best = tests.search(hashes, offsets)
     assert best.tolist() == [[0, 0, 400]] and sum(map(len, pairs)) < 2 * 3400
+
+
+def test_blocks_of_the_test_set_are_bounded_and_whole(spark, monkeypatch):
+    r = random.Random(2)
+    rows = [(i % 40, " ".join("w" * r.randint(1, 9) for _ in range(r.randint(0, 50)))) for i in range(200)]
+    rows += [(7, None), (None, "a b c"), (8, "long " * 900)]
+    items = spark.createDataFrame(rows, "item int, text string").repartition(5)
+    monkeypatch.setattr(decontam, "BLOCK_WORDS", 600)
+    blocks = [b.collect() for b in decontam._blocks(items)]
+    assert sorted(map(repr, (tuple(x) for b in blocks for x in b))) == sorted(map(repr, rows)) and len(blocks) > 10
+    for b in blocks:
+        sizes = sorted(len(words(x["text"])) for x in b)
+        assert sum(sizes[:-1]) <= 600
+    assert len(decontam._blocks(items.limit(0))) == 1
+
+
+def test_repeated_rows_keep_their_hits_in_several_blocks(spark, monkeypatch):
+    ten = "q r s t u v w x y z"
+    docs = spark.createDataFrame([(1, ten), (1, ten), (1, "k l"), (None, ten + " k l"), (None, None)], "doc_id int, text string")
+    bench = spark.createDataFrame([(1, ten), (2, "k l"), (2, "k l"), (None, ten)], "item_id int, text string")
+    monkeypatch.setattr(decontam, "BLOCK_WORDS", 8)
+    got = decontam.digest(decontam.find_matches(docs, bench)).collect()
+    assert sorted((str(x["doc_id"]), x["n_words"], x["n_hit"], x["n_items"]) for x in got) == [
+        ("1", 2, 2, 1), ("1", 10, 10, 2), ("1", 10, 10, 2), ("None", 0, 0, 0), ("None", 12, 12, 3)]
+    assert [tuple(x) for x in decontam.remove_contaminated(docs, bench).collect()] == [(None, None)]

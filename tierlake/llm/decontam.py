@@ -13,10 +13,12 @@ document and item is reported with its place in both (the first one of equals).
 that extend to the left belong to a match that starts earlier, so a text that repeats
 itself does not pair each of its places with each place of an item that does so too.
 
-The benchmark is a stated test set.  It is read in blocks of at most
-``BLOCK_WORDS`` words, so what the driver and a task hold of it is bounded; each
-block is searched in all shards, what it found is written to the shared folder, and
-the next block's spans are merged with it.
+The benchmark is a stated test set.  Spark numbers its items into blocks of at most
+``BLOCK_WORDS`` words (one longer item is a block of its own) and writes them to the shared
+folder; one block at a time is fetched and broadcast, so what the driver and a task hold
+of it is bounded.  With several blocks the documents are written once, with a row number; a block's
+pass reads them and writes only the rows in which it found something, and one grouping
+by row number merges what the blocks found.
 
 Defined cases: a null or wordless text has no words and no hits; an item without
 words matches nothing; items with one id count as one; a null item id counts as
@@ -33,14 +35,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from tierlake.llm.components import written
 from tierlake.llm.words import text_slices, word_hashes
+from tierlake.session import scratch_path
 
 WINDOW = 10
 BLOCK_WORDS = 2_000_000
 
-N_WORDS, SPANS, ITEMS, MATCHES = "__n_words", "__spans", "__items", "__matches"
+N_WORDS, SPANS, ITEMS, MATCHES = MADE = "__n_words", "__spans", "__items", "__matches"
 
 
 class TestSuffixes:
@@ -172,8 +176,7 @@ def _mapper(tests: TestSuffixes, column: str, out: pa.Schema):
                 new = {N_WORDS: pa.array(np.diff(offsets), pa.int64())}
                 for name, mine in ((SPANS, spans), (ITEMS, items), (MATCHES, matches)):
                     kind = out.field(name).type
-                    old = rows.column(name).to_pylist() if name in rows.schema.names else None
-                    new[name] = pa.array([(o or []) + m for o, m in zip(old, mine)] if old else mine, kind)
+                    new[name] = pa.array(mine, kind)
                 yield pa.RecordBatch.from_arrays(
                     [new.get(f.name, rows.column(f.name) if f.name in rows.schema.names else None)
                      for f in out], schema=out)
@@ -191,39 +194,63 @@ def find_matches(documents: DataFrame, benchmark: DataFrame, text: str = "text",
 
     spans = T.ArrayType(T.StructType([T.StructField("start", T.LongType()),
                                       T.StructField("n", T.LongType())]))
-    kept = [f for f in documents.schema if f.name not in (text, N_WORDS, SPANS, ITEMS, MATCHES)]
+    spark = documents.sparkSession
+    kept = [f for f in documents.schema if f.name not in (text, *MADE)]
     made = [T.StructField(N_WORDS, T.LongType()), T.StructField(SPANS, spans),
             T.StructField(ITEMS, T.ArrayType(benchmark.schema[item_id].dataType)),
             T.StructField(MATCHES, T.ArrayType(T.StructType([
                 T.StructField("item", benchmark.schema[item_id].dataType), T.StructField("start", T.LongType()),
                 T.StructField("item_start", T.LongType()), T.StructField("n", T.LongType())])))]
-    out = documents.drop(N_WORDS, SPANS, ITEMS, MATCHES)
-    blocks = _blocks(benchmark, item_id, item_text)
-    block = next(blocks)
-    while block:
-        tests = TestSuffixes(block[1], block[0], window)
-        block = next(blocks, None)           # one block is held, beside the one searched
-        schema = T.StructType(kept + ([T.StructField(text, T.StringType())] if block else []) + made)
-        out = out.mapInArrow(_mapper(tests, text, to_arrow_schema(schema)), schema)
-        if block:
-            out = written(documents.sparkSession, out, "decontam")
-    return out
-
-
-def _blocks(benchmark: DataFrame, item_id: str, item_text: str):
-    """The test set, streamed in blocks of bounded size; an empty set is one empty block."""
-    ids, texts, held, any_block = [], [], 0, False
-    for r in benchmark.select(item_id, item_text).toLocalIterator():
-        v = r[1].encode() if r[1] else None
-        n = len(v) // 2 if v else 0
-        if texts and held + n > BLOCK_WORDS:
-            yield ids, texts
-            ids, texts, held, any_block = [], [], 0, True
-        ids.append(r[0])
-        texts.append(v)
-        held += n
-    if texts or not any_block:
-        yield ids, texts
+
+    def searched(rows: DataFrame, block: DataFrame, carried: list) -> DataFrame:
+        found = block.toArrow()
+        tests = TestSuffixes([t.encode() if t else None for t in found.column(1).to_pylist()],
+                             found.column(0).to_pylist(), window)
+        schema = T.StructType(carried + made)
+        return rows.select(f"`{text}`", *[f"`{f.name}`" for f in carried]).mapInArrow(
+            _mapper(tests, text, to_arrow_schema(schema)), schema)
+
+    blocks = _blocks(benchmark.select(F.col(item_id).alias("item"), F.col(item_text).alias("text")))
+    documents = documents.drop(*MADE)
+    if len(blocks) == 1:
+        return searched(documents, blocks[0], kept)
+    number = "__row"
+    while number in documents.columns:
+        number += "_"
+    row = T.StructField(number, T.LongType())
+    rows = written(spark, documents.withColumn(number, F.monotonically_increasing_id()), "decontam_rows")
+    found = None
+    for block in blocks[1:]:
+        hits = searched(rows, block, [row]).where(F.size(ITEMS) > 0).drop(N_WORDS)
+        hits = written(spark, hits, "decontam_hits")
+        found = hits if found is None else found.unionByName(hits)
+    lists = (SPANS, ITEMS, MATCHES)
+    merged = found.groupBy(F.col(number).alias(f"{number}_of")).agg(
+        *[F.array_sort(F.flatten(F.collect_list(c))).alias(f"{c}_more") for c in lists])
+    first = searched(rows, blocks[0], kept + [row])
+    both = [F.concat(c, F.coalesce(f"{c}_more", F.array())).alias(c) for c in lists]
+    return first.join(merged, F.col(number) == F.col(f"{number}_of"), "left").select(
+        *[F.col(f"`{f.name}`") for f in kept], N_WORDS, *both)
+
+
+def _blocks(items: DataFrame) -> list[DataFrame]:
+    """(item, text) in blocks of bounded size; a small or empty set is one block."""
+    # every word but the last takes a character and the one behind it
+    sized = items.withColumn("n", F.coalesce((F.length("text") + 1) / 2, F.lit(0)).cast("long") + 1)
+    total = sized.agg(F.sum("n")).first()[0] or 0
+    if total <= BLOCK_WORDS:
+        return [items]
+    spark = items.sparkSession
+    # shuffled evenly, so that most partitions are one block
+    spread = written(spark, sized.repartition(-(-5 * total // (4 * BLOCK_WORDS)))
+                     .withColumn("part", F.spark_partition_id())
+                     .withColumn("at", F.monotonically_increasing_id()), "decontam_items")
+    before = F.sum("n").over(Window.partitionBy("part").orderBy("at").rowsBetween(Window.unboundedPreceding, 0))
+    path = scratch_path(spark, "llm", "decontam_blocks")
+    spread.withColumn("block", F.floor((before - 1) / BLOCK_WORDS)).write.partitionBy("part", "block").parquet(path)
+    blocks = spark.read.parquet(path)
+    numbers = sorted(blocks.select("part", "block").distinct().collect())
+    return [blocks.where((F.col("part") == p) & (F.col("block") == b)).select("item", "text") for p, b in numbers]
 
 
 def n_hit():
@@ -252,6 +279,6 @@ def remove_contaminated(documents: DataFrame, benchmark: DataFrame, text: str =
                         most_hit: float = 0.0) -> DataFrame:
     """``documents`` without those whose share of hit words is above ``most_hit``."""
     # the row as a struct: no column of the caller's meets a made one
-    found = find_matches(documents.select(F.col(text), F.struct(*documents.columns).alias("__row")), benchmark, text)
+    found = find_matches(documents.select(F.col(text), F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("__row")), benchmark, text)
     clean = found.filter(~(n_hit() > F.lit(most_hit) * F.col(N_WORDS)))
     return clean.select(*[F.col(f"__row.`{c}`").alias(c) for c in documents.columns])
