@@ -287,3 +287,30 @@ def test_uniqueness_and_timeliness_gates_stop_publishing(spark):
     with pytest.raises(QualityGateError, match="timeliness"):
         layers.run_silver(spark, run, bronze(spark, SF_SMALL), fx.SILVER_LOAD, max_age_days=7)
     assert not run.silver(spark).exists()
+
+
+def test_labels_stay_when_a_table_is_pointed_elsewhere(spark, tmp_path):
+    database = f"labels_{tmp_path.name.replace('-', '_')}"
+    for name, ddl in (("a", "id int"), ("b", "id int, x string"), ("c", "y string")):
+        spark.createDataFrame([], ddl).write.parquet(f"{tmp_path}/{name}")
+    catalog.create_database(spark, database, f"{tmp_path}/_db")
+    name = catalog.register_table(spark, database, "t", f"{tmp_path}/a")
+    catalog.set_properties(spark, name, {})
+    catalog.set_properties(spark, name, {"lake.owner": "O'Hara \\ co", "lake.tier": "clean", "other": "1"})
+    catalog.register_table(spark, database, "t", f"{tmp_path}/b")
+    catalog.point_table(spark, name, f"{tmp_path}/c", spark.read.parquet(f"{tmp_path}/c").schema)
+    assert spark.table(name).columns == ["y"]
+    assert catalog.table_properties(spark, name)["other"] == "1"
+    got = sorted(map(tuple, catalog.labels(spark, database, "lake.").collect()))
+    assert got == [("t", "lake.owner", "O'Hara \\ co"), ("t", "lake.tier", "clean")]
+    assert catalog.labels(spark, database, "none.").count() == 0
+
+
+def test_run_that_is_cut_off_loses_nothing(spark, tmp_path):
+    landing, out, checkpoint = (f"{tmp_path}/{x}" for x in ("in", "out", "ckpt"))
+    spark.range(300).repartition(30).write.parquet(landing)
+    stream = spark.readStream.schema("id long").option("maxFilesPerTrigger", 1).parquet(landing)
+    q = ingest.run_for(stream, out, checkpoint, seconds=2.5, processing_time="0 seconds")
+    assert not q.isActive
+    ingest.drain(stream, out, checkpoint)
+    assert sorted(r["id"] for r in spark.read.schema("id long").parquet(out).collect()) == list(range(300))

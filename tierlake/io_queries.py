@@ -26,6 +26,8 @@ from tierlake.streaming import ingest
 SPLIT_TIME = "2024-01-15"  # CSV drops and staged loads split at this event time
 CSV_SOURCE = "external-provider"
 GOLD_DATABASE = "tierlake_gold"
+BOUNDED_SECONDS = 2
+LABEL = "tierlake."
 TIMESTAMP_TEXT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
 
@@ -68,6 +70,16 @@ def q_stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(BRONZE_EVENT).parquet(f"{root}/bronze")
 
 
+def q_bounded_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run bounded in time, ended wherever it stands, and a later run that takes what it left."""
+    root = scratch_path(spark, "bounded_stream")
+    fx.land_envelopes(bronze(spark, sf_dir), f"{root}/landing")
+    stream = ingest.decode_json(ingest.envelope_stream(spark, f"{root}/landing"))
+    ingest.run_for(stream, f"{root}/bronze", f"{root}/_checkpoint", seconds=BOUNDED_SECONDS)
+    ingest.drain(stream, f"{root}/bronze", f"{root}/_checkpoint")
+    return spark.read.schema(BRONZE_EVENT).parquet(f"{root}/bronze")
+
+
 def _csv_drops(spark: SparkSession, sf_dir: str, root: str) -> None:
     drops = fx.listing_events(spark, sf_dir, dirty=False, removed_price=F.lit(0).cast("long"),
                               source=CSV_SOURCE)
@@ -361,7 +373,24 @@ def q_catalog_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                                 sorted(n for n in CATALOG_NAMES.values() if n in registered))
 
 
+def q_table_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The clean and four business tables labelled with their tier and their load's row count; the
+    labels as the catalog gives them after each table has been pointed at other columns."""
+    run, tables = _publish_layers(spark, sf_dir, with_agents=False, with_raw=False)
+    database = f"tierlake_{uuid4().hex[:12]}"
+    catalog.create_database(spark, database, f"{run.root}/_db")
+    for name in ("silver", *layers.MARKET_TABLES):
+        held = tables[name].read()
+        table = catalog.register_table(spark, database, name, tables[name].location())
+        catalog.set_properties(spark, table, {f"{LABEL}tier": "clean" if name == "silver" else "business",
+                                              f"{LABEL}rows": str(held.count())})
+        catalog.point_table(spark, table, tables[name].location(), held.drop(held.columns[-1]).schema)
+    return catalog.labels(spark, database, LABEL)
+
+
 IO_QUERIES = {
+    "bounded_stream": q_bounded_stream,
+    "table_properties": q_table_properties,
     "bronze_json_stream": q_bronze_json_stream,
     "stream_resume": q_stream_resume,
     "bronze_csv_stream": q_bronze_csv_stream,

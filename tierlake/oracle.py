@@ -330,6 +330,15 @@ FROM silver s JOIN scd2 h ON s.agent_id = h.agent_id
   AND (h.effective_end_date IS NULL OR s.event_timestamp < h.effective_end_date)
 GROUP BY h.agent_id, h.scd_version, h.base_city, h.effective_start_date,
          h.effective_end_date""", agents=True),
+    "ingestion_mark": _with("""SELECT event_type, COUNT(*) AS row_count, CAST(1 AS BIGINT) AS marks,
+       COUNT(*) AS stamped_in_run FROM silver GROUP BY event_type"""),
+    "literal_feed": _with("""SELECT agent_id, agent_name, base_city, tier, rating, total_deals FROM master
+WHERE agent_id NOT IN ('1', '2', 'L-1')
+UNION ALL
+SELECT * FROM (VALUES
+  ('1', 'Agent One', 'FRANCE', 'BUILDING', CAST(4.5 AS DOUBLE), CAST(12 AS BIGINT)),
+  ('2', 'Agent Two', NULL, 'MACHINERY', NULL, 0),
+  ('L-1', 'Agent O''Hara', 'JAPAN', 'FURNITURE', 3.25, 7)) v""", agents=True),
     "window_dense_rank": "WITH " + _LISTING + DAILY + """
 SELECT city, event_date, avg_price, listing_count,
        CAST(DENSE_RANK() OVER (PARTITION BY event_date ORDER BY avg_price DESC) AS BIGINT)
@@ -408,6 +417,14 @@ FROM (SELECT 'events' AS feed,
       UNION ALL
       SELECT 'drops', CASE WHEN event_id % 20 BETWEEN 7 AND 9 THEN 'malformed' ELSE 'kept' END, 0
       FROM listing) GROUP BY feed, outcome"""),
+    "bounded_stream": _with("SELECT * FROM bronze"),
+    "table_properties": _with("""SELECT table_name, label, CASE label WHEN 'tierlake.rows'
+         THEN CAST(row_count AS VARCHAR) WHEN 'tierlake.tier'
+         THEN CASE table_name WHEN 'silver' THEN 'clean' ELSE 'business' END END AS value
+FROM (""" + _counts({"silver": "SELECT * FROM silver", "avg_price_by_city": GOLD1,
+                     "listing_count_by_event": GOLD2, "price_trend_by_locality": GOLD3,
+                     "top_active_cities": GOLD4}) + """) c
+CROSS JOIN (VALUES ('tierlake.rows'), ('tierlake.tier')) l(label)"""),
     "compact_table": _with("SELECT * FROM silver"),
     "cluster_layout": _with("SELECT * FROM silver"),
     "delete_by_key": _with(_KEPT),

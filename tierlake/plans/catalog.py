@@ -39,13 +39,21 @@ def register_table(spark: SparkSession, database: str, table: str, location: str
             spark.sql(f"ALTER TABLE {quoted(name)} SET LOCATION '{location}'")
             spark.sql(f"REFRESH TABLE {quoted(name)}")
             return name
-        spark.sql(f"DROP TABLE {quoted(name)}")
-    spark.sql(f"CREATE TABLE {quoted(name)} USING parquet LOCATION '{location}'")
+    replace_table(spark, name, f"USING parquet LOCATION '{location}'")
     if any(c.isPartition for c in spark.catalog.listColumns(name)):
         spark.sql(f"MSCK REPAIR TABLE {quoted(name)}")
     return name
 
 
+def replace_table(spark: SparkSession, name: str, definition: str) -> None:
+    """Create the external table anew; files of the one before stay, and so do its labels."""
+    labels = table_properties(spark, name) if spark.catalog.tableExists(name) else {}
+    spark.sql(f"DROP TABLE IF EXISTS {quoted(name)}")
+    spark.sql(f"CREATE TABLE {quoted(name)} {definition}")
+    own = table_properties(spark, name)
+    set_properties(spark, name, {k: v for k, v in labels.items() if k not in own})
+
+
 def table_location(spark: SparkSession, name: str) -> str:
     found = spark.sql(f"DESCRIBE TABLE EXTENDED {quoted(name)}").where("col_name = 'Location'").first()
     return found["data_type"]
@@ -62,10 +70,9 @@ def point_table(spark: SparkSession, name: str, location: str, schema: StructTyp
             spark.sql(f"ALTER TABLE {quoted(name)} SET LOCATION '{location}'")
             spark.catalog.refreshTable(name)
             return
-        spark.sql(f"DROP TABLE {quoted(name)}")      # external: its files stay
     ddl = ", ".join(f"`{n}` {t}" for n, t in columns)
     by = f" PARTITIONED BY (`{partition[0]}`)" if partition else ""
-    spark.sql(f"CREATE TABLE {quoted(name)} ({ddl}) USING parquet{by} LOCATION '{location}'")
+    replace_table(spark, name, f"({ddl}) USING parquet{by} LOCATION '{location}'")
     if partition:
         spark.sql(f"MSCK REPAIR TABLE {quoted(name)}")
 
@@ -90,14 +97,24 @@ def set_properties(spark: SparkSession, name: str, properties: dict[str, str]) -
     """``ALTER TABLE .. SET TBLPROPERTIES``: labels only.  The behaviours the
     reference switched on this way (deletion vectors, change data feed) are
     jobs here: ``Table.delete_keys`` and ``dimensions.change_feed``."""
-    props = ", ".join(f"'{k}' = '{v}'" for k, v in properties.items())
-    spark.sql(f"ALTER TABLE {quoted(name)} SET TBLPROPERTIES ({props})")
+    def text(s: str) -> str:
+        return "'" + str(s).replace("\\", "\\\\").replace("'", "\\'") + "'"
+    if properties:
+        props = ", ".join(f"{text(k)} = {text(v)}" for k, v in properties.items())
+        spark.sql(f"ALTER TABLE {quoted(name)} SET TBLPROPERTIES ({props})")
 
 
 def table_properties(spark: SparkSession, name: str) -> dict[str, str]:
     return {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {quoted(name)}").collect()}
 
 
+def labels(spark: SparkSession, database: str, prefix: str) -> DataFrame:
+    """(table_name, label, value) of the database's tables, labels that start with ``prefix`` only."""
+    rows = [(t, k, v) for t in list_tables(spark, database)
+            for k, v in table_properties(spark, f"{database}.{t}").items() if k.startswith(prefix)]
+    return spark.createDataFrame(rows, "table_name string, label string, value string")
+
+
 def list_tables(spark: SparkSession, database: str) -> list[str]:
     """``SHOW TABLES IN db`` (catalog metadata, one entry per table)."""
     return sorted(t.name for t in spark.catalog.listTables(database) if not t.isTemporary)

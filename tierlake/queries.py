@@ -21,6 +21,7 @@ from tierlake.operators.clean import clean_events
 from tierlake.operators.dedup import EVENT_KEYS, duplicate_keys, keep_by_order
 from tierlake.plans import catalog
 from tierlake.plans.tables import Table, cluster_layout
+from tierlake.schemas import AGENT
 from tierlake.session import scratch_path
 from tierlake.sources import fixtures as fx
 
@@ -258,6 +259,23 @@ def q_sql_temp_views(spark, sf_dir):
                          FROM {events} s JOIN {agents} a ON s.agent_id = a.agent_id GROUP BY a.tier""")
 
 
+def q_ingestion_mark(spark, sf_dir):
+    """A load without a stated time stamps its own: one for all rows, between its start and now."""
+    started = spark.sql("SELECT unix_micros(current_timestamp()) AS t").first()["t"]
+    loaded = published(spark, clean_events(bronze(spark, sf_dir)), "ingestion_mark")
+    mark = F.unix_micros("ingestion_timestamp")
+    in_run = mark.between(F.lit(started), F.unix_micros(F.current_timestamp()))
+    return loaded.groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("row_count"), F.countDistinct("ingestion_timestamp").alias("marks"),
+        F.count_if(in_run).alias("stamped_in_run"))
+
+
+def q_literal_feed(spark, sf_dir):
+    """Literal rows, typed by the dimension's schema, merged into the whole dimension."""
+    feed = spark.createDataFrame(fx.LITERAL_AGENTS, AGENT)
+    return dims.scd1_upsert(fx.agent_master(spark, sf_dir), feed, set_columns=AGENT.fieldNames()[1:])
+
+
 def q_scan_count(spark, sf_dir):
     """Row counts of the raw and clean event tables, tagged and stacked."""
     b = bronze(spark, sf_dir).agg(F.count(F.lit(1)).alias("row_count"))
@@ -297,6 +315,8 @@ QUERIES: dict[str, Query] = {
     "gold_change_feed": q_gold_change_feed,
     "gold_trend_maintained": q_gold_trend_maintained,
     "sql_temp_views": q_sql_temp_views,
+    "ingestion_mark": q_ingestion_mark,
+    "literal_feed": q_literal_feed,
     "agent_pre_post_move": q_agent_pre_post_move,
     "window_dense_rank": q_window_dense_rank,
     "window_lag_trend": q_window_lag_trend,

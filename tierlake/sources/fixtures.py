@@ -33,6 +33,10 @@ from tierlake.sources.tables import read_table
 
 INITIAL_LOAD = "2024-01-01 00:00:00"
 CITY_MOVE = "2024-01-15 00:00:00"
+# two agents of the given table with other values, one that it lacks
+LITERAL_AGENTS = [("1", "Agent One", "FRANCE", "BUILDING", 4.5, 12),
+                  ("2", "Agent Two", None, "MACHINERY", None, 0),
+                  ("L-1", "Agent O'Hara", "JAPAN", "FURNITURE", 3.25, 7)]
 SILVER_LOAD = "2024-01-31 00:00:00"
 SCD1_NEW_TIER = "BUILDING"
 INSERTED_KEY_PREFIX = "N"      # no number can equal it, however many customers there are

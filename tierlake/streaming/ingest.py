@@ -151,11 +151,14 @@ def drain(df: DataFrame, out_path: str, checkpoint: str) -> StreamingQuery:
 
 def run_for(df: DataFrame, out_path: str, checkpoint: str, seconds: float,
             processing_time: str = "1 second") -> StreamingQuery:
-    """Run a continuous ingest for a bounded time, then stop it."""
+    """Run a continuous ingest for a bounded time, then stop it.  A batch that is cut off is not
+    committed; the next run on the same checkpoint takes it up again."""
     q = start_append(df, out_path, checkpoint, available_now=False,
                      processing_time=processing_time)
-    q.awaitTermination(seconds)
-    q.stop()
+    try:
+        q.awaitTermination(seconds)
+    finally:
+        q.stop()
     return q
 
 
