@@ -284,6 +284,22 @@ def test_curve_layout_of_nulls_ties_and_types(spark):
     assert tb.curve_layout(df.limit(0), ["s", "d"], 4).count() == 0
 
 
+@pytest.mark.parametrize("curve", [False, True])
+def test_a_layout_task_sorts_a_bounded_part_of_a_well_compressed_table(spark, monkeypatch, curve):
+    t = table(spark, "t")
+    t.overwrite(spark.range(20_000).select("id", F.lit("x" * 500).alias("same"), F.array(F.lit("y" * 500)).alias("many"),
+                                           F.lit(None).cast("string").alias("none")).repartition(4))
+    held = tb.row_bytes(t.read())
+    assert held >= 20_000 * 1_000 and sum(r.length for r in t.files().collect()) < held / 20
+    monkeypatch.setattr(tb, "TASK_BYTES", 2_000_000)
+    assert t.cluster_by(["id"], curve=curve) == 20_000
+    ids = [sorted(r.id for r in spark.read.parquet(f).collect()) for f in files(t)]
+    assert len(ids) >= 10 and max(map(len, ids)) <= 4_000
+    assert sorted(i for part in ids for i in part) == list(range(20_000))
+    t.overwrite(t.read().limit(0))
+    assert tb.row_bytes(t.read()) == 0 and t.cluster_by(["id"], curve=curve) == 0
+
+
 # ---------------------------------------------------------------- stream compaction
 
 def stream_rows(spark, i):

@@ -26,7 +26,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType
 
 from tierlake.plans.catalog import add_columns, create_database, point_table, quoted, table_location
 from tierlake.sources.tables import Files, path_bytes
@@ -37,6 +37,7 @@ HISTORY = "version long, timestamp timestamp, operation string, operation_parame
 
 TARGET_FILE_BYTES = 128 * 1024 * 1024
 SMALL_SHARE = 0.75             # files below this share of the target are small
+TASK_BYTES = 256 * 1024 * 1024               # rows that one task of a layout sorts, as Spark holds them
 NO_VALUE = "__HIVE_DEFAULT_PARTITION__"      # Spark's folder name for a null partition value
 
 
@@ -60,6 +61,18 @@ def files_for(spark: SparkSession, path: str, target_file_bytes: int = TARGET_FI
     return max(1, math.ceil(path_bytes(spark, path) / target_file_bytes))
 
 
+def row_bytes(df: DataFrame) -> int:
+    """Bytes of the rows as tasks hold them: a word a column and what varies in length.  Parquet files
+    say little about it, since their columns may be compressed to a small part of that."""
+    size = F.lit(8 * (len(df.columns) + 1)).cast("long")
+    for f in df.schema:
+        if isinstance(f.dataType, (StringType, BinaryType)):
+            size += F.coalesce(F.octet_length(F.col(f.name)), F.lit(0))
+        elif isinstance(f.dataType, (ArrayType, MapType, StructType)):
+            size += F.coalesce(F.octet_length(F.col(f.name).cast("string")), F.lit(0))
+    return int(df.agg(F.sum(size)).first()[0] or 0)
+
+
 # ---------------------------------------------------------------- slices
 
 @dataclass(frozen=True)
@@ -237,10 +250,14 @@ class Table:
     # ------------------------------------------------------------ layout
     def cluster_by(self, columns: Sequence[str], target_file_bytes: int = TARGET_FILE_BYTES, curve: bool = False) -> int:
         """Rewrite with rows range-partitioned and sorted on ``columns`` (with ``curve`` on a
-        space-filling curve of them), so each file covers narrow ranges and statistics skip files."""
-        n = files_for(self.spark, self.location(), target_file_bytes)
+        space-filling curve of them), so each file covers narrow ranges and statistics skip files.
+
+        A task sorts the rows of one file, so files are of about the target size only while their rows
+        are within ``TASK_BYTES``; well compressed tables get more and smaller files."""
+        rows = self.read()
+        n = max(files_for(self.spark, self.location(), target_file_bytes), math.ceil(row_bytes(rows) / TASK_BYTES))
         layout = curve_layout if curve else cluster_layout
-        return self.overwrite(layout(self.read(), columns, n), "OPTIMIZE", clusterBy=list(columns), files=n)
+        return self.overwrite(layout(rows, columns, n), "OPTIMIZE", clusterBy=list(columns), files=n)
 
     def compact(self, target_file_bytes: int = TARGET_FILE_BYTES) -> int:
         """Merge small files into files of about the target size; returns the number of files merged.
