@@ -231,6 +231,43 @@ def test_first_fit_packs_within_folders():
     assert sorted(map(sorted, got)) == [["/a/1", "/a/3"], ["/a/2", "/a/5"], ["/b/4"]]
 
 
+def staged_plans(monkeypatch):
+    """The plans of the writes that follow."""
+    plans, plain = [], tb.write_observed
+
+    def watched(df, *a, **kw):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return plain(df, *a, **kw)
+    monkeypatch.setattr(tb, "write_observed", watched)
+    return plans
+
+
+@pytest.mark.parametrize("sliced", [False, True])
+def test_compaction_does_not_shuffle(spark, monkeypatch, sliced):
+    t = table(spark, "t", slices=by_key("id", 3) if sliced else None)
+    t.overwrite(spark.range(400).withColumn("v", F.col("id") * 2).repartition(12))
+    t.append(spark.range(400, 800).withColumn("v", F.col("id") * 2).repartition(12))
+    before = t.files().collect()
+    plans = staged_plans(monkeypatch)
+    assert t.compact() == len(before)
+    assert len(plans) == len(files(t)) == (3 if sliced else 1) and not any("Exchange" in p for p in plans)
+    assert canon(t.read()) == [(i, 2 * i) for i in sorted(range(800), key=lambda i: repr((i, 2 * i)))]
+
+
+def test_compaction_of_many_bins_and_of_bins_with_very_many_files(spark, monkeypatch):
+    t = table(spark, "t")
+    t.overwrite(spark.range(2000).withColumn("v", F.col("id") * 2).repartition(20))
+    lengths = [r.length for r in t.files().collect()]
+    size = max(lengths) * 5
+    bins = [b for b in tb.first_fit([(r.path, r.length) for r in t.files().collect()], size) if len(b) > 1]
+    monkeypatch.setattr(tb, "BINS_AT_ONCE", 2)
+    monkeypatch.setattr(tb, "FILES_PER_TASK", 3)
+    assert len(bins) >= 4 and t.compact(target_file_bytes=size) == sum(map(len, bins))
+    assert len(files(t)) == 20 - sum(map(len, bins)) + len(bins)
+    assert sorted((r.id, r.v) for r in t.read().collect()) == [(i, 2 * i) for i in range(2000)]
+    assert t.history(1).first().row_count == 2000
+
+
 @pytest.mark.parametrize("step", range(8))
 def test_compaction_cut_off_anywhere_is_finished_by_the_next(spark, monkeypatch, step):
     t = table(spark, "t")

@@ -22,8 +22,10 @@ from __future__ import annotations
 import math
 import uuid
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType
@@ -37,6 +39,8 @@ HISTORY = "version long, timestamp timestamp, operation string, operation_parame
 
 TARGET_FILE_BYTES = 128 * 1024 * 1024
 SMALL_SHARE = 0.75             # files below this share of the target are small
+BINS_AT_ONCE = 32              # bins merged side by side, a Spark job each
+FILES_PER_TASK = 1_000         # a bin of more files is first read by many tasks
 TASK_BYTES = 256 * 1024 * 1024               # rows that one task of a layout sorts, as Spark holds them
 NO_VALUE = "__HIVE_DEFAULT_PARTITION__"      # Spark's folder name for a null partition value
 
@@ -263,11 +267,12 @@ class Table:
         """Merge small files into files of about the target size; returns the number of files merged.
 
         Sizes come from the file listing; first-fit packs small files of one folder into bins, and only
-        files of a bin with company are read and rewritten, one task per bin.  Large files are not
-        touched.  The new files are staged whole, with the list of those they replace, then moved in,
-        then the replaced ones are deleted; ``finish_compaction`` (called first here) completes a
-        compaction that was cut off in between.  Readers that start between the moves and the deletes
-        may see rows twice: run it when none starts."""
+        files of a bin with company are read and rewritten: one task per bin scans its files and writes
+        the rows as they come, without a shuffle, so it reads no more than the compressed bytes of a
+        bin and holds no rows.  Large files are not touched.  The new files are staged whole, with the
+        list of those they replace, then moved in, then the replaced ones are deleted;
+        ``finish_compaction`` (called first here) completes a compaction that was cut off in between.
+        Readers that start between the moves and the deletes may see rows twice: run it when none starts."""
         self.finish_compaction()
         path = self.location()
         small = [(r.path, r.length) for r in self.files(path).where(
@@ -277,14 +282,18 @@ class Table:
             self._record("OPTIMIZE", 0, path, {"files": 0})
             return 0
         replaced = [p for b in bins for p in b]
-        dealt = self.spark.createDataFrame([(tail(p), i) for i, b in enumerate(bins) for p in b], "tail string, bin int")
         schema = self.spark.table(self.name).schema
-        old = self.spark.read.schema(schema).option("basePath", path).parquet(*replaced)
-        key = F.regexp_extract(F.col("_metadata.file_path"), TAIL, 1)
-        rows = (old.select("*", key.alias("__tail")).join(dealt, F.col("__tail") == F.col("tail"))
-                .repartitionById(len(bins), F.col("bin")).drop("__tail", "tail", "bin"))
         staged = f"{self.root}/_compact-{uuid.uuid4().hex}"
-        n, _ = write_observed(rows, f"{staged}/new", partition_by=self.slices.name if self.slices else None)
+
+        def merge(i: int) -> int:
+            rows = self.spark.read.schema(schema).option("basePath", path).parquet(*bins[i])
+            if len(bins[i]) > FILES_PER_TASK:
+                rows.write.parquet(f"{staged}/first/{i}")
+                rows = self.spark.read.schema(schema).parquet(f"{staged}/first/{i}")
+            return write_observed(rows.coalesce(1), f"{staged}/new/{BIN}{i}",
+                                  partition_by=self.slices.name if self.slices else None)[0]
+        with ThreadPoolExecutor(BINS_AT_ONCE) as pool:
+            n = sum(pool.map(inheritable_thread_target(self.spark)(merge), range(len(bins))))
         self.spark.createDataFrame([(path, p) for p in replaced], "location string, path string").coalesce(1) \
             .write.parquet(f"{staged}/replaced")
         self.finish_compaction()
@@ -301,7 +310,8 @@ class Table:
             if self._files.exists(f"{staged}/replaced/_SUCCESS"):
                 rows = self.spark.read.parquet(f"{staged}/replaced").collect()
                 for f in self._files.data_files(f"{staged}/new"):
-                    self._files.move(f"{staged}/new/{f}", f"{rows[0].location}/{f}")
+                    to = f.split("/", 1)[1] if f.startswith(BIN) else f
+                    self._files.move(f"{staged}/new/{f}", f"{rows[0].location}/{to}")
                 for r in rows:
                     self._files.delete(r.path)
             self._files.delete(staged)
@@ -325,11 +335,7 @@ class Table:
 
 # ---------------------------------------------------------------- compaction helpers
 
-TAIL = r"([^/]+/[^/]+)$"       # a file's folder and name: two spellings of one path agree in them
-
-
-def tail(path: str) -> str:
-    return "/".join(path.split("/")[-2:])
+BIN = "bin-"                   # staged folders, one per bin
 
 
 def first_fit(files: list[tuple[str, int]], size: int) -> list[list[str]]:
