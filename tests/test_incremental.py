@@ -254,6 +254,18 @@ def test_compaction_does_not_shuffle(spark, monkeypatch, sliced):
     assert canon(t.read()) == [(i, 2 * i) for i in sorted(range(800), key=lambda i: repr((i, 2 * i)))]
 
 
+def test_compaction_of_files_with_other_columns_does_not_shuffle(spark, monkeypatch):
+    t = table(spark, "t")
+    t.overwrite(spark.range(0, 10).select("id", F.lit(1).alias("price")).repartition(3))
+    t.append(spark.range(10, 20).select("id", F.lit(2).alias("price"), F.lit("d").alias("day")).repartition(3))
+    t.append(spark.range(20, 30).select("id").repartition(3))
+    plans = staged_plans(monkeypatch)
+    assert t.compact() == 9 and len(files(t)) == 1
+    assert len(plans) == 1 and "Exchange" not in plans[0]
+    assert canon(t.read()) == sorted([(i, 1 if i < 10 else 2 if i < 20 else None, "d" if 10 <= i < 20 else None)
+                                      for i in range(30)], key=repr)
+
+
 def test_compaction_of_many_bins_and_of_bins_with_very_many_files(spark, monkeypatch):
     t = table(spark, "t")
     t.overwrite(spark.range(2000).withColumn("v", F.col("id") * 2).repartition(20))
