@@ -125,3 +125,24 @@ def test_pairs_that_cannot_reach_are_not_read(spark, small_blocks, monkeypatch):
     queries = [df for name, df in read if name == "impact_queries"][-1].count()
     assert next(df for name, df in read if name == "impact_pairs").count() <= blocks * queries
     assert any(name == "impact_floors" and df.count() for name, df in read)
+
+
+def test_queries_sent_to_many_blocks_are_not_broadcast(spark, small_blocks, monkeypatch):
+    # the estimate of exploded rows is that of the file they come from, so the driver would get them all
+    monkeypatch.setattr(topk, "PEAK_GROUP", 3)
+    monkeypatch.setattr(topk, "SLICE_BLOCKS", 2)
+    plans, held = [], []
+    plain = topk.written
+
+    def kept(s, df, name):
+        plans.append((name, df._jdf.queryExecution().executedPlan().toString()))
+        held.append((name, plain(s, df, name)))
+        return held[-1][1]
+    monkeypatch.setattr(topk, "written", kept)
+    rows = odd()
+    assert run(spark, rows, 5) == brute(rows, 5)
+    assert {"impact_pairs", "impact_found"} <= {name for name, _ in plans}
+    assert not [name for name, plan in plans if name in ("impact_pairs", "impact_found") and "Broadcast" in plan]
+    # each pair of blocks once at most
+    pairs = next(df for name, df in held if name == "impact_pairs")
+    assert pairs.count() == pairs.distinct().count() > 0

@@ -16,6 +16,14 @@ def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def shuffled_join(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
+    """Inner join that never sends a side through the driver; of a key, only rows of ``right`` are held.
+
+    Spark takes a table for as small as its compressed file and as no larger after an explode,
+    so rows that are sent to many places would be broadcast far above the threshold."""
+    return left.hint("merge").join(right, on)
+
+
 def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
     """(id, component) of every id in ``edges`` (columns a, b: long, not null);
     component is the smallest id that can be reached.

@@ -34,11 +34,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tierlake.llm.components import written
+from tierlake.llm.components import shuffled_join, written
 from tierlake.llm.vectors import exact, floored, largest, matrix, takes_part
 
 INDEX_BLOCK = 4096             # vectors in an index block, about
 QUERY_BLOCK = 256              # queries scored together
+PEAK_GROUP = 1024              # index blocks whose largest values are sent together
+SLICE_BLOCKS = 64              # query blocks that meet such a group in one task, about
 FEW = 64                       # possible members per query that are simply rescored
 DEPTHS = (0.8, 1.0)            # shares of the levels that the rounds read
 MOST_TASKS = 20_000            # tasks that build the index
@@ -181,14 +183,14 @@ def reachable(q: np.ndarray, floor: np.ndarray, peak: np.ndarray) -> np.ndarray:
 
 
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The pairs of blocks that have to be read."""
+    """The pairs of blocks that have to be read; a row holds a query block and a group's peaks."""
     for b in batches:
         for i in range(b.num_rows):
             r = b.slice(i, 1).to_pylist()[0]
             _, q, floor = _query(r)
-            if reachable(q, floor, np.frombuffer(r["peak"], dtype="<f8")).any():
-                yield pa.RecordBatch.from_arrays([pa.array([r["block"]], pa.int32()), pa.array([r["q_block"]], pa.int64())],
-                                                 names=["block", "q_block"])
+            met = [p["block"] for p in r["peaks"] if reachable(q, floor, np.frombuffer(p["peak"], dtype="<f8")).any()]
+            yield pa.RecordBatch.from_arrays([pa.array(met, pa.int32()), pa.array([r["q_block"]] * len(met), pa.int64())],
+                                             names=["block", "q_block"])
 
 
 def _search(k: int, top: int, last: int):
@@ -218,7 +220,7 @@ def top_k(spark: SparkSession, vectors: DataFrame, asked: Column, k: int = 5) ->
     names, against all of them."""
     rows = written(spark, vectors.withColumn("row", F.monotonically_increasing_id()), "impact_rows")
     digits = F.aggregate("v", F.lit(0), lambda a, x: F.greatest(a, F.length(F.bin(F.abs(F.greatest(x, F.lit(-(2 ** 63 - 1)))))) ))
-    n, top = rows.agg(F.count(F.lit(1)), F.max(digits)).first()
+    n, n_asked, top = rows.agg(F.count(F.lit(1)), F.count(F.when(asked, 1)), F.max(digits)).first()
     n_blocks, top = max(1, -(-n // INDEX_BLOCK)), max(1, min(64, (top or 1) + 1))
     index = build_index(spark, rows, n_blocks, top)
     queries = rows.where(asked)
@@ -230,7 +232,8 @@ def top_k(spark: SparkSession, vectors: DataFrame, asked: Column, k: int = 5) ->
 
     def units(pairs: DataFrame, of: DataFrame, last: int) -> DataFrame:
         held = index.select("block", "wide", "small", "rows", "ids", "m", "rest", *[f"segment_{j}" for j in range(top, last - 1, -1)])
-        return held.join(of.join(pairs, "q_block"), "block").mapInArrow(_search(k, top, last), kinds)
+        sent = shuffled_join(of, pairs, ["q_block"])
+        return shuffled_join(sent, held, ["block"]).mapInArrow(_search(k, top, last), kinds)
 
     # a floor for every query: its k-th best score in one block
     first = blocks(queries.withColumn("floor", F.lit(None).cast("double")))
@@ -241,8 +244,14 @@ def top_k(spark: SparkSession, vectors: DataFrame, asked: Column, k: int = 5) ->
     # a double may round a large score up, a bound must not
     asked_blocks = blocks(queries.join(floor, "row", "left").withColumn(
         "floor", F.col("floor") - F.abs("floor") * F.lit(1e-9)))
-    every = asked_blocks.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
-    pairs = written(spark, index.select("block", "peak").join(every, "block").mapInArrow(_meet, "block int, q_block long"), "impact_pairs")
+    # peaks are small: groups of them go to slices of the query blocks, not every query to every index block
+    n_groups, n_slices = -(-n_blocks // PEAK_GROUP), max(1, -(-n_asked // (QUERY_BLOCK * SLICE_BLOCKS)))
+    peaks = index.groupBy(F.floor(F.col("block") / PEAK_GROUP).cast("int").alias("group")).agg(
+        F.collect_list(F.struct("block", "peak")).alias("peaks"))
+    peaks = peaks.withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(n_slices - 1))))
+    every = asked_blocks.withColumn("slice", F.pmod(F.xxhash64("q_block"), F.lit(n_slices)).cast("int")) \
+        .withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(n_groups - 1))))
+    pairs = written(spark, shuffled_join(every, peaks, ["group", "slice"]).mapInArrow(_meet, "block int, q_block long"), "impact_pairs")
 
     results = []
     for share in DEPTHS:
