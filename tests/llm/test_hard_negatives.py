@@ -111,3 +111,17 @@ def test_high_levels_read_fewer_postings_and_lose_nothing():
     assert read == sorted(read) and read[0] < read[-1] / 1.5 and read[-1] == np.count_nonzero(m)
     a, _, _ = hn.Shard(index, 0).reaching(q, np.ceil(levels[0] * np.linalg.norm(q, axis=1)) + 1, np.ones((len(q), len(m)), dtype=bool))
     assert len(a) < true.size / 4      # pruned, not scored
+
+
+def test_anchors_sent_to_many_shards_are_not_broadcast(spark, monkeypatch):
+    # the estimate of exploded rows is that of the file they come from, so the driver would get them all
+    monkeypatch.setattr(hn, "SHARD_ROWS", 20)
+    monkeypatch.setattr(hn, "ANCHOR_BLOCK", 5)
+    plans = []
+    plain = hn.written
+    monkeypatch.setattr(hn, "written", lambda s, df, name: plans.append(
+        (name, df._jdf.queryExecution().executedPlan().toString())) or plain(s, df, name))
+    rows = vectors(300, 24, 1, 3.0)
+    assert run(spark, rows, 10) == brute(rows, 10)
+    joins = [(name, plan) for name, plan in plans if name in ("negatives_positive", "negatives_found")]
+    assert len({name for name, _ in joins}) == 2 and not [name for name, plan in joins if "Broadcast" in plan]

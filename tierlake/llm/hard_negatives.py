@@ -39,8 +39,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tierlake.llm.components import written
-from tierlake.llm.vectors import exact, floored, largest, matrix, takes_part
+from tierlake.llm.components import shuffled_join, written
+from tierlake.llm.vectors import exact, floored, largest, matrix, packed, takes_part, unpacked
 
 SHARD_ROWS = 4096              # rows of a shard, about
 ANCHOR_BLOCK = 128             # anchors scored together
@@ -162,7 +162,7 @@ class Shard:
 
 # ---------------------------------------------------------------- joins
 
-_BLOCK = "a_rows binary, a_labels binary, a_wide int, a_m binary, a_least binary, a_windows binary"
+_BLOCK = "a_rows binary, a_labels binary, a_wide int, a_small boolean, a_m binary, a_least binary, a_windows binary"
 
 
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -175,10 +175,12 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for i, r in enumerate(held):
             for j, w in enumerate(r["windows"]):
                 windows[i, j] = w["number"], w["score"]
-        packed = [np.array([r["row"] for r in held], dtype="<i8"), np.array([r["label"] for r in held], dtype="<i8"), None,
-                  m.astype("<i8"), np.array([np.nan if r["least"] is None else r["least"] for r in held], dtype="<f8"), windows]
+        held_m, small = packed(m)
+        least = np.array([np.nan if r["least"] is None else r["least"] for r in held], dtype="<f8")
+        rows, labels = (np.array([r[c] for r in held], dtype="<i8") for c in ("row", "label"))
         return pa.RecordBatch.from_arrays(
-            [pa.array([m.shape[1]], pa.int32()) if x is None else pa.array([x.tobytes()], pa.binary()) for x in packed],
+            [pa.array([rows.tobytes()], pa.binary()), pa.array([labels.tobytes()], pa.binary()), pa.array([m.shape[1]], pa.int32()),
+             pa.array([small]), *[pa.array([x], pa.binary()) for x in (held_m, least.tobytes(), windows.tobytes())]],
             names=[c.split(" ")[0] for c in _BLOCK.split(", ")])
     held: list[dict] = []
     for b in batches:
@@ -206,7 +208,7 @@ def _join(level: int, same_label: bool, keep: int):
 
 def _unit(shard: Shard, r: dict, same_label: bool, keep: int) -> Iterator[tuple]:
     rows, labels = (np.frombuffer(r[c], dtype="<i8") for c in ("a_rows", "a_labels"))
-    q = np.frombuffer(r["a_m"], dtype="<i8").reshape(len(rows), r["a_wide"])
+    q = unpacked(r["a_m"], len(rows), r["a_wide"], r["a_small"])
     least = np.frombuffer(r["a_least"], dtype="<f8")
     least = np.where(np.isnan(least), -np.inf, least)
     windows = np.frombuffer(r["a_windows"], dtype="<i8").reshape(len(rows), -1, 2)
@@ -243,7 +245,7 @@ def threshold_join(index: DataFrame, anchors: DataFrame, level: int, n_shards: i
     blocks = anchors.select("row", "label", "v", "least", "windows").mapInArrow(_pack, _BLOCK)
     sent = blocks.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(n_shards - 1))))
     needed = ["shard", "wide", "small", "dims", "m", "rows", "ids", "labels", *[f"post_{k}" for k in range(level + 1)]]
-    found = index.select(*needed).join(sent, "shard").mapInArrow(
+    found = shuffled_join(sent, index.select(*needed), ["shard"]).mapInArrow(
         _join(level, same_label, keep), "row long, number long, x_row long, x_id long, score long")
     best = Window.partitionBy("row", "number").orderBy(F.desc("score"), F.asc("x_id"), F.asc("x_row"))
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= keep)

@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tierlake.llm.components import shuffled_join, written
-from tierlake.llm.vectors import exact, floored, largest, matrix, takes_part
+from tierlake.llm.vectors import exact, floored, largest, matrix, packed, takes_part, unpacked
 
 INDEX_BLOCK = 4096             # vectors in an index block, about
 QUERY_BLOCK = 256              # queries scored together
@@ -147,18 +147,19 @@ class Block:
 
 # ---------------------------------------------------------------- search
 
-_QUERIES = "q_rows binary, q_m binary, q_wide int, q_floor binary"
+_QUERIES = "q_rows binary, q_m binary, q_wide int, q_small boolean, q_floor binary"
 
 
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Queries (row, v, floor) in blocks of packed numbers; a null floor is none."""
     def block(held: list[dict]) -> pa.RecordBatch:
         m = matrix([r["v"] for r in held])
+        held_m, small = packed(m)
         floor = np.array([-np.inf if r["floor"] is None else r["floor"] for r in held], dtype="<f8")
         return pa.RecordBatch.from_arrays(
             [pa.array([np.array([r["row"] for r in held], dtype="<i8").tobytes()], pa.binary()),
-             pa.array([m.astype("<i8").tobytes()], pa.binary()), pa.array([m.shape[1]], pa.int32()),
-             pa.array([floor.tobytes()], pa.binary())], names=["q_rows", "q_m", "q_wide", "q_floor"])
+             pa.array([held_m], pa.binary()), pa.array([m.shape[1]], pa.int32()), pa.array([small]),
+             pa.array([floor.tobytes()], pa.binary())], names=["q_rows", "q_m", "q_wide", "q_small", "q_floor"])
     held: list[dict] = []
     for b in batches:
         for r in b.to_pylist():
@@ -172,7 +173,7 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _query(r: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     rows = np.frombuffer(r["q_rows"], dtype="<i8")
-    return rows, np.frombuffer(r["q_m"], dtype="<i8").reshape(len(rows), r["q_wide"]), np.frombuffer(r["q_floor"], dtype="<f8")
+    return rows, unpacked(r["q_m"], len(rows), r["q_wide"], r["q_small"]), np.frombuffer(r["q_floor"], dtype="<f8")
 
 
 def reachable(q: np.ndarray, floor: np.ndarray, peak: np.ndarray) -> np.ndarray:

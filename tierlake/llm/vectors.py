@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 SCALE = 256.0
 LONG = np.iinfo(np.int64)
+PART = 1 << 19                 # numbers multiplied at once
 
 
 def takes_part(vector: str) -> Column:
@@ -37,12 +38,23 @@ def largest(m: np.ndarray) -> int:
     return max(int(m.max(initial=0)), -int(m.min(initial=0)))
 
 
+def packed(m: np.ndarray) -> tuple[bytes, bool]:
+    """The numbers row by row, in two bytes each if all are small; are they?"""
+    small = largest(m) < 1 << 15
+    return m.astype("<i2" if small else "<i8").tobytes(), small
+
+
+def unpacked(held: bytes, n: int, wide: int, small: bool) -> np.ndarray:
+    return np.frombuffer(held, dtype="<i2" if small else "<i8").reshape(n, wide).astype(np.int64)
+
+
 def exact(q: np.ndarray, m: np.ndarray, a: np.ndarray, r: np.ndarray) -> np.ndarray:
     """Integer inner products of the pairs q[a], m[r]; beyond 64 bits the nearest long."""
     if largest(q) < 1 << 24 and largest(m) < 1 << 24:
         out = np.zeros(len(a), dtype=np.int64)
-        for at in range(0, len(a), 1 << 16):
-            s = slice(at, at + (1 << 16))
+        step = max(1, PART // max(1, q.shape[1]))
+        for at in range(0, len(a), step):
+            s = slice(at, at + step)
             out[s] = np.einsum("ij,ij->i", q[a[s]], m[r[s]])
         return out
     return np.array([min(max(sum(int(x) * int(y) for x, y in zip(q[i], m[j])), LONG.min), LONG.max)
